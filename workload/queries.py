@@ -19,6 +19,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 RANKED = "BUILDING"
+PATIENT_NAMESPACES = (
+    'xmlns:brca="urn:brca" xmlns:shared="urn:shared" '
+    'xmlns:clin_shared="urn:clin" xmlns:shared_stage="urn:stage"'
+)
 PATIENT_ELEMENT = (
     "`shared_stage:stage_event` struct<`shared_stage:pathologic_stage`: struct<_VALUE: string>>, "
     "`clin_shared:tumor_tissue_site` struct<_VALUE: string>, "
@@ -430,20 +434,24 @@ def clinical_quarantine(spark, sf):
 
 @query
 def clinical_xml_struct(spark, sf):
-    """Patient elements written as text and read back as nested rows by their tag."""
+    """Patient elements written as XML and read back as nested rows by their tag."""
     root = tables.scratch_path(spark, "elements")
-    element = F.format_string(
-        '<brca:patient><clin_shared:tumor_tissue_site cde="1">%s</clin_shared:tumor_tissue_site>'
-        '<shared:gender cde="2">%s</shared:gender><shared_stage:stage_event>'
-        '<shared_stage:pathologic_stage cde="3">%s</shared_stage:pathologic_stage>'
-        "</shared_stage:stage_event></brca:patient>",
-        F.coalesce("disease_type", F.lit("none")),
-        F.coalesce("gender", F.lit("none")),
-        F.coalesce("disease_stage", F.lit("none")),
+
+    def element(column, cde):
+        return F.struct(F.lit(cde).alias("_cde"), F.coalesce(column, F.lit("none")).alias("_VALUE"))
+
+    rows = s.patients(spark, sf).select(
+        element("disease_type", "1").alias("clin_shared:tumor_tissue_site"),
+        element("gender", "2").alias("shared:gender"),
+        F.struct(element("disease_stage", "3").alias("shared_stage:pathologic_stage")).alias(
+            "shared_stage:stage_event"
+        ),
     )
-    rows = s.patients(spark, sf).select(element.alias("value"))
-    tables.save_table(rows, root, "text")
-    read = files.read_elements(spark, root, "brca:patient", PATIENT_ELEMENT)
+    tag = "brca:patient"
+    # Prefixed names are no plain names, which is what the writer would check.
+    layout = {"rowTag": tag, "rootTag": f"brca:bcr {PATIENT_NAMESPACES}", "validateName": "false"}
+    tables.save_table(rows, root, "xml", **layout)
+    read = files.read_elements(spark, root, tag, PATIENT_ELEMENT)
     return (
         clinical.clinical_from_elements(read)
         .groupBy("disease_type", "disease_stage", "gender")
