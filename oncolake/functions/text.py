@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 # Decimal text that counts as a number at ingest. Digits may be grouped by single
 # underscores; a type suffix as in `1d` or `1.5f`, which a cast would take, is no number.
 _DIGITS = r"\d+(?:_\d+)*"
-NUMBER = (
-    rf"(?i)^\s*[+-]?(?:(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:e[+-]?{_DIGITS})?"
-    r"|inf(?:inity)?|nan)\s*$"
+_NUMBER = (
+    rf"\s*[+-]?(?:(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:e[+-]?{_DIGITS})?"
+    r"|inf(?:inity)?|nan)\s*"
 )
 
 
@@ -20,27 +20,37 @@ def strip_version(gene_id: Column) -> Column:
 
 
 def is_number(text: Column) -> Column:
-    return text.rlike(NUMBER)
+    return text.rlike(f"(?i)^{_NUMBER}$")
+
+
+def is_number_field(field: Column) -> Column:
+    """Whether a field of a text table, quoted or not, holds a number."""
+    return field.rlike(f'(?i)^(?:{_NUMBER}|"{_NUMBER}")$')
+
+
+def number_of_field(field: Column) -> Column:
+    """The value of a field that is known to hold a number; null for a signed nan."""
+    return F.replace(F.btrim(field, F.lit('"')), F.lit("_"), F.lit("")).try_cast("double")
 
 
 def parse_double(text: Column) -> Column:
     """The number in `text`, or null where it is none."""
-    plain = F.replace(text, F.lit("_"), F.lit(""))
+    value = F.replace(text, F.lit("_"), F.lit("")).try_cast("double")
     # A signed nan passes the pattern but not the cast.
-    return F.when(
-        is_number(text), F.coalesce(plain.try_cast("double"), F.lit(float("nan")))
-    )
+    return F.when(is_number(text), F.coalesce(value, F.lit(float("nan"))))
 
 
 def is_positive(value: Column) -> Column:
-    """True above zero. Spark orders NaN above every number, so it is taken out by name."""
-    return (value > 0) & ~F.isnan(value)
+    """True above zero. Spark orders NaN above every number, so it is replaced first."""
+    return F.nanvl(value, F.lit(-1.0)) > 0
 
 
 def unquote(text: Column) -> Column:
     """Drop one pair of surrounding double quotes; doubled quotes inside become single."""
-    inner = F.replace(F.regexp_extract(text, r'(?s)^"(.*)"$', 1), F.lit('""'), F.lit('"'))
-    return F.when(text.rlike(r'(?s)^".*"$'), inner).otherwise(text)
+    quote = F.lit('"')
+    inner = F.replace(F.substring(text, F.lit(2), F.length(text) - 2), F.lit('""'), quote)
+    quoted = F.startswith(text, quote) & F.endswith(text, quote) & (F.length(text) > 1)
+    return F.when(quoted, inner).otherwise(text)
 
 
 def regex_extract(text: Column, pattern: str) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from oncolake.functions.text import file_path, glue
+from oncolake.plans.joins import lookup_join
 
 # The table that lists the files of each format, the table of all others, the
 # format that is left out, and the mark of a normalised expression file.
@@ -97,9 +98,14 @@ def expression_files(paths: DataFrame) -> DataFrame:
     return paths.filter(F.col("filepath").contains(EXPRESSION_MARK))
 
 
-def missing_files(paths: DataFrame, present: DataFrame) -> DataFrame:
+def missing_files(
+    paths: DataFrame, present: DataFrame, broadcast: bool | None = None
+) -> DataFrame:
     """Listed files that are not among the `filepath`s present."""
-    return paths.join(present.select("filepath").distinct(), "filepath", "left_anti")
+    stored = present.select("filepath").distinct()
+    return lookup_join(
+        paths, stored, ["filepath"], "left_anti", salt_by=["case_id"], broadcast=broadcast
+    )
 
 
 def first_files(paths: DataFrame, n: int = 100) -> DataFrame:

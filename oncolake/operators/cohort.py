@@ -19,12 +19,14 @@ from oncolake.plans.cohorts import (
     Arm,
     CohortSpec,
     arm_patients,
+    arm_rows,
     cohort_members,
     is_changed,
 )
-from oncolake.plans.joins import attach_reference, lookup_join
+from oncolake.plans.joins import attach_reference, fits_broadcast, lookup_join
 
 TOP = 10
+REFERENCE = ("name", "chromosome", "info")
 
 
 def cohort_mean(
@@ -52,6 +54,9 @@ def stage_means(
     broadcast: bool | None = None,
 ) -> DataFrame:
     """(disease_type, gene_id, early_avg_expr, late_avg_expr) of genes seen in both arms."""
+    if broadcast is None:
+        # Members are at most the patient rows they are folded from.
+        broadcast = fits_broadcast(arm_rows(patients, specs))
     members = cohort_members(patients, specs)
     measured = expression.select("case_id", "gene_id", "gene_expr").filter(
         F.col("gene_id").isNotNull()
@@ -181,12 +186,21 @@ def top_changed(
         .filter(F.col("_place") <= n)
         .drop("_place")
     )
-    # At most n genes per disease of the spec list: the size of this side is fixed.
-    named = genome.join(
-        F.broadcast(best.select(F.col("gene_id").alias("id")).distinct()), "id", "left_semi"
+    # At most n genes per disease of the spec list, and of each the n reference rows that come
+    # first in the same order: both sides of the join below have a fixed size.
+    of_gene = Window.partitionBy("id").orderBy(
+        *(F.asc_nulls_last(c) if increased else F.desc_nulls_first(c) for c in REFERENCE)
+    )
+    named = (
+        genome.select("id", *REFERENCE)
+        .join(
+            F.broadcast(best.select(F.col("gene_id").alias("id")).distinct()), "id", "left_semi"
+        )
+        .withColumn("_place", F.row_number().over(of_gene))
+        .filter(F.col("_place") <= n)
     )
     return (
-        _ranked_columns(with_reference(best, named))
+        _ranked_columns(with_reference(best, named, broadcast=True))
         .withColumn("rank", F.row_number().over(per_disease.orderBy(*order)))
         .filter(F.col("rank") <= n)
     )

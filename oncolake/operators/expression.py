@@ -7,43 +7,59 @@ one row per file, so no file is gathered in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from oncolake.functions.text import is_number, is_positive, parse_double, strip_version, unquote
+from oncolake.functions.text import (
+    is_number_field,
+    is_positive,
+    number_of_field,
+    strip_version,
+    unquote,
+)
 from oncolake.plans.joins import fits_broadcast, lookup_join
 
 
-def data_lines(lines: DataFrame) -> DataFrame:
-    """(filepath, gene, measure, readable) of lines (filepath, value) with two fields or more."""
-    fields = F.split("value", "\t")
-    return lines.filter(F.contains("value", F.lit("\t")) | ~F.is_valid_utf8("value")).select(
-        "filepath",
-        unquote(fields[0]).alias("gene"),
-        unquote(F.get(fields, F.lit(1))).alias("measure"),
-        F.is_valid_utf8("value").alias("readable"),
-    )
+def _has_two_fields() -> Column:
+    return F.contains("value", F.lit("\t"))
+
+
+def _gene_field() -> Column:
+    return F.substring_index("value", "\t", 1)
+
+
+def _measure_field() -> Column:
+    return F.substring_index(F.substring_index("value", "\t", 2), "\t", -1)
 
 
 def rejected_files(lines: DataFrame) -> DataFrame:
-    """Files with at least one unreadable line, and how many such lines they have."""
-    bad = ~F.col("readable") | ~F.coalesce(is_number(F.col("measure")), F.lit(False))
-    return (
-        data_lines(lines)
-        .filter(bad)
-        .groupBy("filepath")
-        .agg(F.count(F.lit(1)).alias("bad_lines"))
-    )
+    """Files with at least one unreadable line, and how many such lines they have.
+
+    Lines are (filepath, value). A line of a single field is passed over, whatever it holds.
+    """
+    bad = ~F.is_valid_utf8("value") | (_has_two_fields() & ~is_number_field(_measure_field()))
+    return lines.filter(bad).groupBy("filepath").agg(F.count(F.lit(1)).alias("bad_lines"))
 
 
-def accepted_files(lines: DataFrame, paths: DataFrame, unreadable: DataFrame | None = None):
+def accepted_files(
+    lines: DataFrame, paths: DataFrame, unreadable: DataFrame | None = None
+) -> DataFrame:
     """Listed files without a bad line, and not among the `unreadable` ones."""
-    accepted = paths.join(rejected_files(lines).select("filepath"), "filepath", "left_anti")
+    rejected = rejected_files(lines).select("filepath")
     if unreadable is not None:
-        accepted = accepted.join(
-            unreadable.select("filepath").distinct(), "filepath", "left_anti"
-        )
-    return accepted
+        rejected = rejected.union(unreadable.select("filepath")).distinct()
+    # To measure the rejected files would cost a pass over the lines. Both sides hold one row
+    # per file, so they are shuffled; adaptive execution copies the smaller if it turns out
+    # to be small.
+    return lookup_join(
+        paths,
+        rejected,
+        ["filepath"],
+        "left_anti",
+        salt_by=["case_id"],
+        broadcast=False,
+        splits=8,
+    )
 
 
 def ingest_expression(
@@ -60,14 +76,16 @@ def ingest_expression(
     """
     if broadcast is None:
         broadcast = fits_broadcast(paths)
-    measures = data_lines(lines).select(
+    # Whatever is no number lies in a rejected file, so it is not looked for again.
+    measure = number_of_field(_measure_field())
+    measures = lines.filter(_has_two_fields() & is_positive(measure)).select(
         "filepath",
         # An empty id is stored as null.
-        F.nullif(strip_version(F.col("gene")), F.lit("")).alias("gene_id"),
-        parse_double(F.col("measure")).alias("gene_expr"),
+        F.nullif(strip_version(unquote(_gene_field())), F.lit("")).alias("gene_id"),
+        measure.alias("gene_expr"),
     )
     return lookup_join(
-        measures.filter(is_positive(F.col("gene_expr"))),
+        measures,
         accepted_files(lines, paths, unreadable),
         ["filepath"],
         salt_by=["gene_id", "gene_expr"],
@@ -78,8 +96,7 @@ def ingest_expression(
 def clustered(expression: DataFrame) -> DataFrame:
     """Lay rows out by gene, so that file statistics let a reader skip other genes.
 
-    The range is over gene and case: one gene's rows may span many files.
+    Rows are rebalanced rather than repartitioned: a gene that holds too many rows for one
+    task is cut into several files, and small ones share a file.
     """
-    return expression.repartitionByRange("gene_id", "case_id").sortWithinPartitions(
-        "gene_id", "case_id"
-    )
+    return expression.hint("rebalance", "gene_id").sortWithinPartitions("gene_id", "case_id")

@@ -106,14 +106,17 @@ def rejected_genes(parsed: DataFrame) -> DataFrame:
 
 
 def gene_reference(parsed: DataFrame) -> DataFrame:
-    """The reference table: located genes, one row per full id, the first by position."""
-    rest = [c for c in COLUMNS if c != "full_id"]
+    """The reference table: located genes, one row per full id, the first by position.
+
+    Unlocated genes are passed over by the aggregate, not by a filter below it, which would
+    have every pattern searched once more for each condition.
+    """
     first = ["chromosome", "pos_start", "pos_end"]
-    row = F.struct(*first, *(c for c in rest if c not in first))
+    row = F.struct(*first, *(c for c in COLUMNS if c not in ("full_id", *first)))
     return (
-        parsed.filter(_is_located())
-        .groupBy("full_id")
-        .agg(F.min(row).alias("_first"))
+        parsed.groupBy("full_id")
+        .agg(F.min(F.when(_is_located(), row)).alias("_first"))
+        .filter(F.col("_first").isNotNull())
         .select("full_id", "_first.*")
         .select(*COLUMNS)
     )

@@ -83,20 +83,27 @@ def arm_patients(patients: DataFrame, disease: str, arm: Arm) -> DataFrame:
     ).select("case_id")
 
 
+def arm_rows(patients: DataFrame, specs: Iterable[CohortSpec]) -> DataFrame:
+    """(case_id, disease_type, early, late) of every patient row that is in an arm."""
+    specs = [s for s in specs if not s.is_placeholder]
+    disease, stage = F.col("disease_type"), F.col("disease_stage")
+    early = _any((disease == s.disease) & s.early.holds(stage) for s in specs)
+    late = _any((disease == s.disease) & s.late.holds(stage) for s in specs)
+    return patients.filter(disease.isin(*[s.disease for s in specs]) & (early | late)).select(
+        "case_id", "disease_type", early.alias("early"), late.alias("late")
+    )
+
+
 def cohort_members(patients: DataFrame, specs: Iterable[CohortSpec]) -> DataFrame:
     """(case_id, disease_type, early, late), one row per case and disease with an arm.
 
     A case may be in both arms. Repeated patient rows fold into one, so that joining the
     measures with this table keeps the counts of an IN test.
     """
-    specs = [s for s in specs if not s.is_placeholder]
-    disease, stage = F.col("disease_type"), F.col("disease_stage")
-    early = _any((disease == s.disease) & s.early.holds(stage) for s in specs)
-    late = _any((disease == s.disease) & s.late.holds(stage) for s in specs)
     return (
-        patients.filter(disease.isin(*[s.disease for s in specs]) & (early | late))
+        arm_rows(patients, specs)
         .groupBy("case_id", "disease_type")
-        .agg(F.bool_or(early).alias("early"), F.bool_or(late).alias("late"))
+        .agg(F.bool_or("early").alias("early"), F.bool_or("late").alias("late"))
     )
 
 

@@ -50,18 +50,17 @@ def lookup_join(
     `salt_by` columns, each of which holds a copy of that key's lookup rows. The hash depends
     on row content only, so a task that is run again deals the same rows the same way. Copies
     of one row share a hash; adaptive execution cuts such a partition further by map output.
-    `how` is inner, left or left_semi, for which each part of the rows stands on its own.
+    `how` is inner, left, left_semi or left_anti: every part of the rows meets the whole
+    lookup, so the parts stand on their own.
     """
-    if how not in ("inner", "left", "left_semi"):
+    if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type: {how}")
     if broadcast is None:
         broadcast = fits_broadcast(lookup)
     if broadcast:
         return rows.join(F.broadcast(lookup), list(on), how)
-    salt = F.pmod(F.xxhash64(*(salt_by or rows.columns)), F.lit(splits))
-    copies = lookup.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(splits - 1))).cast("bigint")
-    )
+    salt = F.pmod(F.xxhash64(*(salt_by or rows.columns)), F.lit(splits)).cast("int")
+    copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(splits - 1))))
     return rows.withColumn("_salt", salt).join(copies, [*on, "_salt"], how).drop("_salt")
 
 

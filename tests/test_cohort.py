@@ -1,0 +1,222 @@
+from __future__ import annotations
+
+from collections import defaultdict
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from oncolake.operators import cohort
+from oncolake.plans.cohorts import COHORTS, Arm, CohortSpec, cohort_members, like, stages
+
+PATIENTS = "case_id string, project_id string, disease_type string, disease_stage string, gender string"
+EXPRESSION = "case_id string, gene_id string, gene_expr double"
+GENOME = "full_id string, id string, name string, chromosome string, info string"
+
+SPECS = (
+    CohortSpec("A", stages("I"), stages("II", "IIA")),
+    CohortSpec("B", like("Stage II"), like("Stage III"), high=3.0),
+    CohortSpec("C"),
+)
+
+patient = st.tuples(
+    st.sampled_from(["p1", "p2", "p3", "p4", "p5", "p6"]),
+    st.sampled_from(["A", "B", "C", None]),
+    st.sampled_from(["Stage I", "Stage II", "Stage IIA", "Stage III", "N/A", None]),
+)
+measure = st.tuples(
+    st.sampled_from(["p1", "p2", "p3", "p4", "p5", "p6", "p7", None]),
+    st.sampled_from(["g1", "g2", "g3", None]),
+    st.integers(1, 9).map(float),
+)
+
+
+def arm_mean(patients, measures, disease, in_arm):
+    """One arm by the letter: an IN list, then a mean per gene."""
+    cases = {c for c, d, s in patients if d == disease and s is not None and in_arm(s)}
+    groups = defaultdict(list)
+    for case, gene, value in measures:
+        if case in cases:
+            groups[gene].append(value)
+    return {g: sum(v) / len(v) for g, v in groups.items()}
+
+
+def in_arm(arm: Arm):
+    if arm.pattern is not None:
+        return lambda s: arm.pattern in s
+    return lambda s: s in arm.stages
+
+
+def brute_force(patients, measures):
+    rows = []
+    for spec in SPECS:
+        early = arm_mean(patients, measures, spec.disease, in_arm(spec.early))
+        late = arm_mean(patients, measures, spec.disease, in_arm(spec.late))
+        for gene in early.keys() & late.keys() - {None}:
+            rows.append((spec.disease, gene, early[gene], late[gene]))
+    return sorted(rows)
+
+
+@settings(
+    max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(st.lists(patient, max_size=10), st.lists(measure, max_size=40))
+def test_stage_means_match_brute_force(spark, patients, measures):
+    people = spark.createDataFrame([(c, "x", d, s, None) for c, d, s in patients], PATIENTS)
+    table = spark.createDataFrame(measures, EXPRESSION)
+    want = brute_force(patients, measures)
+    for broadcast in (True, False):
+        means = cohort.stage_means(table, people, SPECS, broadcast=broadcast)
+        assert sorted(map(tuple, means.collect())) == want
+
+
+@pytest.fixture(scope="module")
+def small(spark):
+    patients = spark.createDataFrame(
+        [
+            ("p1", "x", "A", "Stage I", None),
+            ("p2", "x", "A", "Stage II", None),
+            ("p3", "x", "B", "Stage II", None),
+            ("p4", "x", "B", "Stage IIIA", None),
+            # the same case in a second project must not weigh twice
+            ("p2", "y", "A", "Stage II", None),
+        ],
+        PATIENTS,
+    )
+    expression = spark.createDataFrame(
+        [
+            ("p1", "g1", 1.0),
+            ("p2", "g1", 4.0),
+            ("p1", "g2", 4.0),
+            ("p2", "g2", 1.0),
+            ("p1", "g3", 2.0),
+            ("p2", "g3", 3.0),
+            ("p1", "only-early", 1.0),
+            ("p2", "only-late", 1.0),
+            ("p3", "g1", 2.0),
+            ("p4", "g1", 10.0),
+            ("p9", "g1", 100.0),
+        ],
+        EXPRESSION,
+    )
+    genome = spark.createDataFrame(
+        [
+            ("g1.1", "g1", "one", "chromosome.1", "first [Source:a]"),
+            ("g1.2", "g1", "one", "chromosome.1", "second"),
+            ("g2.1", "g2", "two", "chromosome.2", None),
+        ],
+        GENOME,
+    )
+    return expression, patients, genome
+
+
+def test_overlapping_arms_share_patients(small):
+    _, patients, _ = small
+    members = {r.case_id: (r.early, r.late) for r in cohort_members(patients, SPECS).collect()}
+    assert members["p4"] == (True, True)
+    assert members["p3"] == (True, False)
+
+
+def test_fold_change_ranked(small):
+    expression, patients, genome = small
+    rows = cohort.fold_change_ranked(expression, patients, genome, SPECS[0]).collect()
+    assert [(r.gene_id, r.fold_change, r.gene_name, r.info) for r in rows] == [
+        ("g1", 4.0, "one", "first [Source:a]"),
+        ("g1", 4.0, "one", "second"),
+        ("g3", 1.5, None, None),
+        ("g2", 0.25, "two", None),
+    ]
+
+
+def test_thresholds_are_strict_and_per_disease(spark, small):
+    _, _, genome = small
+    means = spark.createDataFrame(
+        [
+            ("A", "at", 1.0, 2.0),
+            ("A", "above", 1.0, 2.5),
+            ("A", "low", 2.0, 1.0),
+            ("A", "below", 4.0, 1.0),
+            ("B", "inside", 1.0, 2.5),
+            ("B", "above", 1.0, 3.5),
+        ],
+        "disease_type string, gene_id string, early_avg_expr double, late_avg_expr double",
+    )
+    changed = cohort.expression_changed(means, genome, SPECS).collect()
+    assert sorted((r.disease_type, r.gene_id) for r in changed) == [
+        ("A", "above"),
+        ("A", "below"),
+        ("B", "above"),
+    ]
+
+
+def test_placeholder_gives_the_same_columns_without_rows(small):
+    expression, patients, genome = small
+    means = cohort.stage_means(expression, patients, [SPECS[2]])
+    rows = cohort.fold_change(means, genome)
+    assert rows.columns == [
+        "disease_type", "gene_id", "gene_name", "fold_change", "chromosome", "info",
+    ]
+    assert rows.isEmpty()
+
+
+@pytest.mark.parametrize("increased", [True, False])
+def test_top_changed_equals_sorting_everything(spark, increased):
+    n = F.col("id")
+    means = spark.range(3000).select(
+        F.when(n % 2 == 0, "A").otherwise("B").alias("disease_type"),
+        F.concat(F.lit("g"), (n / 2).cast("int")).alias("gene_id"),
+        F.lit(1.0).alias("early_avg_expr"),
+        (F.hash("id") % 40).cast("double").alias("late_avg_expr"),
+    )
+    # Reference rows per gene: none, one or fifteen.
+    copies = F.when(n % 3 == 0, F.sequence(F.lit(1), F.lit(15))).when(n % 3 == 1, F.array(F.lit(1)))
+    genome = spark.range(1500).select(
+        F.concat(F.lit("g"), n).alias("id"),
+        F.concat(F.lit("n"), n % 7).alias("name"),
+        F.lit("c").alias("chromosome"),
+        F.explode(copies.cast("array<string>")).alias("info"),
+    )
+    everything = cohort.fold_change(means, genome)
+    for disease in ("A", "B"):
+        whole = cohort.top_of_one(everything.filter(F.col("disease_type") == disease), 10, increased)
+        top = cohort.top_changed(means, genome, 10, increased).filter(
+            F.col("disease_type") == disease
+        )
+        assert [tuple(r)[:6] for r in top.orderBy("rank").collect()] == [
+            tuple(r) for r in whole.collect()
+        ]
+        assert [r.rank for r in top.orderBy("rank").collect()] == list(range(1, 11))
+
+
+def test_decreased_is_the_ranking_from_its_end(small):
+    expression, patients, genome = small
+    ranked = cohort.fold_change_ranked(expression, patients, genome, SPECS[0])
+    last_first = ranked.collect()[::-1]
+    assert cohort.top_of_one(ranked, 3, increased=False).collect() == last_first[:3]
+
+
+def test_report_specs():
+    by_name = {s.disease: s for s in COHORTS}
+    assert len(by_name) == 15
+    assert sorted(s.disease for s in COHORTS if s.is_placeholder) == [
+        "Extremities", "Other  Specify", "Rectum", "Trunk",
+    ]
+    assert by_name["Stomach"].high == 3.0
+    assert {s.high for s in COHORTS if s.disease != "Stomach"} == {2.0}
+    assert {s.low for s in COHORTS} == {0.5}
+    assert by_name["Esophagus"].early.stages == ("Stage IIA",)
+    assert by_name["Colon"].early.pattern == "Stage II"
+
+
+def test_undefined_means_do_not_stop_a_report(spark, small):
+    """An infinite measure is kept by the ingest: its ratio may be infinite, zero or NaN."""
+    _, patients, genome = small
+    inf = float("inf")
+    expression = spark.createDataFrame(
+        [("p1", "up", 1.0), ("p2", "up", inf), ("p1", "down", inf), ("p2", "down", 1.0),
+         ("p1", "both", inf), ("p2", "both", inf)],
+        EXPRESSION,
+    )
+    rows = cohort.fold_change_ranked(expression, patients, genome, SPECS[0]).collect()
+    assert [r.gene_id for r in rows] == ["both", "up", "down"]

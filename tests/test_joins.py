@@ -1,0 +1,102 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from oncolake.plans.joins import attach_reference, fits_broadcast, lookup_join, measured_bytes
+
+
+def rows_of(df):
+    return sorted(map(repr, df.select(*sorted(df.columns)).collect()))
+
+
+@pytest.fixture(scope="module")
+def hot(spark):
+    """30000 rows, of which one key holds a third and null keys some."""
+    n = F.col("id")
+    return spark.range(30000).select(
+        F.when(n % 3 == 0, 0).when(n % 100 == 1, None).otherwise(n % 50).alias("k"),
+        (n % 977).alias("v"),
+    )
+
+
+@pytest.fixture(scope="module")
+def lookup(spark):
+    """Some keys twice, some missing."""
+    return spark.range(0, 40, 2).select(
+        F.col("id").alias("k"), F.explode(F.sequence(F.lit(0), F.col("id") % 4)).alias("w")
+    )
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_shuffled_equals_broadcast(hot, lookup, how):
+    plain = hot.join(lookup, "k", how)
+    for broadcast in (True, False, None):
+        got = lookup_join(hot, lookup, ["k"], how, salt_by=["v"], broadcast=broadcast, splits=5)
+        assert got.columns == plain.columns
+        assert rows_of(got) == rows_of(plain)
+
+
+def test_outer_joins_are_refused(hot, lookup):
+    with pytest.raises(ValueError):
+        lookup_join(hot, lookup, ["k"], "full")
+
+
+def test_hot_key_is_dealt_out(spark, hot, lookup):
+    """No shuffled task holds the whole hot key."""
+    got = lookup_join(hot, lookup, ["k"], salt_by=["v"], broadcast=False, splits=64)
+    plan = got._jdf.queryExecution().toString()
+    assert "_salt" in plan
+    salt = F.pmod(F.xxhash64("v"), F.lit(64))
+    largest = hot.filter("k = 0").groupBy(salt).count().agg(F.max("count")).first()[0]
+    assert largest < 10000 / 64 * 2
+
+
+def test_measured_bytes(spark):
+    df = spark.createDataFrame([("abc", 1), (None, 2)], "s string, n int")
+    assert measured_bytes(df) == (16 + 19 + 8) + (16 + 16 + 8)
+    assert measured_bytes(df.filter("n > 5")) == 0
+    nested = spark.createDataFrame([([("a", 1)],)], "x array<struct<p: string, q: int>>")
+    assert measured_bytes(nested) > 16
+
+
+def test_fits_broadcast(spark):
+    assert fits_broadcast(spark.range(10))
+    assert not fits_broadcast(spark.range(10), limit=100)
+
+
+def test_attach_reference_with_a_hot_reference_key(spark):
+    rows = spark.range(40).select(F.col("id").alias("k"), (F.col("id") * 2).alias("r"))
+    reference = spark.range(9000).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 30).alias("k"),
+        F.col("id").alias("name"),
+    )
+    plain = rows.join(reference, "k", "left")
+    for broadcast in (True, False):
+        got = attach_reference(rows, reference, ["k"], ["name"], broadcast=broadcast, splits=7)
+        assert rows_of(got) == rows_of(plain)
+
+
+def test_adaptive_execution_cuts_a_hot_partition(spark):
+    """The joins of two large sides rely on this: the final plan splits the hot key."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        n = F.col("id")
+        left = spark.range(0, 400000, 1, 8).select(
+            F.when(n % 2 == 0, 1).otherwise(n % 1000).alias("k"), F.hash(n).alias("v")
+        )
+        right = spark.range(1000).select(n.alias("k"), n.alias("w"))
+        joined = left.join(right, "k")
+        assert len(joined.collect()) == 400000
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
