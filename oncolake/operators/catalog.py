@@ -108,6 +108,13 @@ def missing_files(
     )
 
 
+def require_files(paths: DataFrame, present: DataFrame) -> None:
+    """Stop a job whose listed files are not all there. Files without content are not."""
+    missing = missing_files(paths, present).select("filepath").limit(10).collect()
+    if missing:
+        raise FileNotFoundError("listed but missing: " + ", ".join(r.filepath for r in missing))
+
+
 def first_files(paths: DataFrame, n: int = 100) -> DataFrame:
     """A trial run's share of the list: the first n files by path."""
     return paths.orderBy("filepath", "case_id").limit(n)

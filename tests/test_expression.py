@@ -1,0 +1,116 @@
+from __future__ import annotations
+
+import gzip
+import math
+
+import pytest
+
+from oncolake.operators import catalog
+from oncolake.operators import expression as ingest
+from oncolake.sources import files
+
+FILES = {
+    "d1/good.FPKM-UQ.txt.gz": b"G1.2\t0.0\nG2.3\t1.5\nG2.7\t2.5\textra\n\n",
+    "d2/lone.FPKM-UQ.txt.gz": b"lone\nG1.1\t4\n",
+    "d3/bad.FPKM-UQ.txt.gz": b"G1.1\t1\nG2.1\tabc\nG3.1\t2\n",
+    "d4/suffix.FPKM-UQ.txt.gz": b"G1.1\t1d\nG2.1\t1.5f\nG3.1\t2\n",
+    "d5/odd.FPKM-UQ.txt.gz": b"G1.1\tnan\nG2.1\tinf\nG3.1\t-1\nG4.1\t-nan\n.5\t3\n",
+    "d6/empty.FPKM-UQ.txt.gz": b"G1.1\t\nG2.1\t1\n",
+    "d7/quoted.FPKM-UQ.txt.gz": b'"G1.1"\t"2.5"\nG2.1\t1_0\n',
+    "d8/bytes.FPKM-UQ.txt.gz": b"G1.1\t1\nG\xff2.1\t2\n",
+    "d9/plain.FPKM-UQ.txt": b"G9.1\t9\r\n",
+    "e1/unlisted.FPKM-UQ.txt.gz": b"G1.1\t1\n",
+    "e2/other.FPKM.txt.gz": b"G1.1\t1\n",
+    "e3 x/name+plus%20 \xc3\xa9.FPKM-UQ.txt.gz".encode("latin-1").decode(): b"G1.1\t7\n",
+}
+
+
+@pytest.fixture(scope="module")
+def root(tmp_path_factory):
+    root = tmp_path_factory.mktemp("expression data")
+    for name, content in FILES.items():
+        path = root / name
+        path.parent.mkdir(exist_ok=True)
+        path.write_bytes(gzip.compress(content) if name.endswith(".gz") else content)
+    return root
+
+
+@pytest.fixture(scope="module")
+def paths(spark):
+    listed = [("c-" + n.split("/")[0], n) for n in FILES if not n.startswith("e1")]
+    # One file listed for two cases, and one that does not exist.
+    listed += [("second", "d1/good.FPKM-UQ.txt.gz"), ("c", "d0/missing.FPKM-UQ.txt.gz")]
+    df = spark.createDataFrame(listed, "case_id string, filepath string")
+    return catalog.expression_files(df)
+
+
+WANT = [
+    ("c-d1", "G2", 1.5),
+    ("c-d1", "G2", 2.5),
+    ("c-d2", "G1", 4.0),
+    ("c-d5", "G2", math.inf),
+    ("c-d5", None, 3.0),
+    ("c-d7", "G1", 2.5),
+    ("c-d7", "G2", 10.0),
+    ("c-d9", "G9", 9.0),
+    ("c-e3 x", "G1", 7.0),
+    ("second", "G2", 1.5),
+    ("second", "G2", 2.5),
+]
+
+
+@pytest.mark.parametrize("broadcast", [True, False, None])
+def test_ingest(spark, root, paths, broadcast):
+    lines = files.read_lines(spark, str(root))
+    rows = ingest.ingest_expression(lines, paths, broadcast=broadcast)
+    assert sorted(map(tuple, rows.collect()), key=repr) == sorted(WANT, key=repr)
+
+
+def test_rejected_files(spark, root):
+    rejected = ingest.rejected_files(files.read_lines(spark, str(root)))
+    assert sorted(map(tuple, rejected.collect())) == [
+        ("d3/bad.FPKM-UQ.txt.gz", 1),
+        ("d4/suffix.FPKM-UQ.txt.gz", 2),
+        ("d6/empty.FPKM-UQ.txt.gz", 1),
+        ("d8/bytes.FPKM-UQ.txt.gz", 1),
+    ]
+
+
+def test_missing_files_are_reported(spark, root, paths):
+    present = files.list_files(spark, str(root), "*-UQ.txt*")
+    missing = catalog.missing_files(paths, present).collect()
+    assert [r.filepath for r in missing] == ["d0/missing.FPKM-UQ.txt.gz"]
+    with pytest.raises(FileNotFoundError, match="d0/missing"):
+        catalog.require_files(paths, present)
+    catalog.require_files(paths.filter("filepath not like 'd0%'"), present)
+
+
+def test_damaged_files_are_left_out(spark, tmp_path):
+    whole = gzip.compress(b"".join(b"G%d.1\t1\n" % i for i in range(50000)))
+    for name, content in {
+        "a.gz": whole,
+        "cut.gz": whole[: len(whole) // 2],
+        "flipped.gz": whole[:-200] + b"\0" * 200,
+        "members.gz": gzip.compress(b"G1.1\t1\n") + gzip.compress(b"G2.1\t2\n"),
+    }.items():
+        (tmp_path / name).write_bytes(content)
+    damaged = files.damaged_gzip_files(spark, str(tmp_path))
+    assert sorted(r.filepath for r in damaged.collect()) == ["cut.gz", "flipped.gz"]
+
+    listed = [("c", n) for n in ("a.gz", "cut.gz", "flipped.gz", "members.gz")]
+    paths = spark.createDataFrame(listed, "case_id string, filepath string")
+    spark.conf.set("spark.sql.files.ignoreCorruptFiles", "true")
+    try:
+        lines = files.read_lines(spark, str(tmp_path), "*.gz")
+        rows = ingest.ingest_expression(lines, paths, unreadable=damaged)
+        assert rows.count() == 50002
+    finally:
+        spark.conf.unset("spark.sql.files.ignoreCorruptFiles")
+
+
+def test_clustered_keeps_all_rows(spark):
+    df = spark.range(1000).selectExpr(
+        "'c' || id case_id", "'g' || (id % 7) gene_id", "cast(id as double) gene_expr"
+    )
+    out = ingest.clustered(df)
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, df.collect()))
