@@ -41,19 +41,15 @@ def rejected_files(lines: DataFrame) -> DataFrame:
     return lines.filter(bad).groupBy("filepath").agg(F.count(F.lit(1)).alias("bad_lines"))
 
 
-def accepted_files(
-    lines: DataFrame, paths: DataFrame, unreadable: DataFrame | None = None
-) -> DataFrame:
-    """Listed files without a bad line, and not among the `unreadable` ones."""
-    rejected = rejected_files(lines).select("filepath")
-    if unreadable is not None:
-        rejected = rejected.union(unreadable.select("filepath")).distinct()
-    # To measure the rejected files would cost a pass over the lines. Both sides hold one row
-    # per file, so they are shuffled; adaptive execution copies the smaller if it turns out
-    # to be small.
+def accepted_files(paths: DataFrame, rejected: DataFrame) -> DataFrame:
+    """Listed files that are not among the rejected ones.
+
+    To measure the rejected files may cost a pass over all lines. Both sides hold one row per
+    file, so they are shuffled; adaptive execution copies the smaller if it turns out small.
+    """
     return lookup_join(
         paths,
-        rejected,
+        rejected.select("filepath").distinct(),
         ["filepath"],
         "left_anti",
         salt_by=["case_id"],
@@ -65,14 +61,15 @@ def accepted_files(
 def ingest_expression(
     lines: DataFrame,
     paths: DataFrame,
-    unreadable: DataFrame | None = None,
+    rejected: DataFrame | None = None,
     broadcast: bool | None = None,
 ) -> DataFrame:
     """Positive measures of all accepted files, for each case the file is listed for.
 
-    The lines are read twice, once to reject files and once to keep rows, and are not
-    shuffled while the file list is small enough to copy: its full size is what is measured,
-    so the choice costs no pass over the lines.
+    `rejected` names the files to leave out; by default they are looked for here, which reads
+    the lines once more. Whatever is given must cover `rejected_files(lines)`. The lines are
+    not shuffled while the file list is small enough to copy: its full size is what is
+    measured, so the choice costs no pass over them.
     """
     if broadcast is None:
         broadcast = fits_broadcast(paths)
@@ -86,7 +83,7 @@ def ingest_expression(
     )
     return lookup_join(
         measures,
-        accepted_files(lines, paths, unreadable),
+        accepted_files(paths, rejected_files(lines) if rejected is None else rejected),
         ["filepath"],
         salt_by=["gene_id", "gene_expr"],
         broadcast=broadcast,

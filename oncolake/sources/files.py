@@ -1,5 +1,9 @@
-"""Readers for the file inputs. One job reads a whole directory; nothing loops over files."""
+"""Readers for the file inputs. One job reads a whole directory; nothing loops over files.
 
+Each reader takes the `root` that file lists are relative to, and reads what lies `under` it:
+everything, or a folder or pattern of folders. The driver holds the names of all files of one
+read, so an archive of very many files is read in parts.
+"""
 from __future__ import annotations
 
 import re
@@ -7,7 +11,7 @@ import zlib
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
@@ -45,55 +49,68 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _text(spark: SparkSession, root: str, glob: str | None, **options) -> DataFrame:
+def _files_under(spark: SparkSession, glob: str | None) -> DataFrameReader:
     reader = spark.read.option("recursiveFileLookup", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    return reader.text(root, **options)
+    return reader.option("pathGlobFilter", glob) if glob else reader
 
 
-def read_lines(spark: SparkSession, root: str, glob: str | None = EXPRESSION_FILES) -> DataFrame:
+def _below(root: str, under: str) -> str:
+    return f"{root.rstrip('/')}/{under}" if under else root
+
+
+def read_lines(
+    spark: SparkSession, root: str, glob: str | None = EXPRESSION_FILES, under: str = ""
+) -> DataFrame:
     """(filepath, value) of every line; compressed files are unpacked by their extension."""
-    return _text(spark, root, glob).select(relative_path(root).alias("filepath"), "value")
+    lines = _files_under(spark, glob).text(_below(root, under))
+    return lines.select(relative_path(root).alias("filepath"), "value")
 
 
-def read_documents(spark: SparkSession, root: str, glob: str | None = "*.xml") -> DataFrame:
+def read_documents(
+    spark: SparkSession, root: str, glob: str | None = "*.xml", under: str = ""
+) -> DataFrame:
     """(filepath, value), one row per file."""
-    return _text(spark, root, glob, wholetext=True).select(
-        relative_path(root).alias("filepath"), "value"
-    )
+    documents = _files_under(spark, glob).text(_below(root, under), wholetext=True)
+    return documents.select(relative_path(root).alias("filepath"), "value")
 
 
 def read_elements(
-    spark: SparkSession, root: str, row_tag: str, schema: str, glob: str | None = None
+    spark: SparkSession,
+    root: str,
+    row_tag: str,
+    schema: str,
+    glob: str | None = None,
+    under: str = "",
 ) -> DataFrame:
     """(filepath, fields of the schema), one row per `row_tag` element in any file."""
-    reader = spark.read.format("xml").schema(schema).option("rowTag", row_tag)
-    reader = reader.option("recursiveFileLookup", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    return reader.load(root).select(relative_path(root).alias("filepath"), "*")
+    reader = _files_under(spark, glob).format("xml").schema(schema).option("rowTag", row_tag)
+    elements = reader.load(_below(root, under))
+    return elements.select(relative_path(root).alias("filepath"), "*")
 
 
 def read_genome_records(
-    spark: SparkSession, root: str, layout: str = "genbank", glob: str | None = GENOME_FILES
+    spark: SparkSession,
+    root: str,
+    layout: str = "genbank",
+    glob: str | None = GENOME_FILES,
+    under: str = "",
 ) -> DataFrame:
     """(file_name, value): text cut at each gene line, so one record starts with one gene.
 
     The cut is made by the reader, at the byte level: a record never depends on the lines of
-    another, and large plain files are split over tasks.
+    another, and large plain files are split over tasks. The record of the last gene before a
+    sequence holds that sequence too: a task needs memory for the longest one.
     """
-    return _text(spark, root, glob, lineSep=GENE_LINE[layout]).select(
-        F.col("_metadata.file_name").alias("file_name"), "value"
-    )
+    records = _files_under(spark, glob).text(_below(root, under), lineSep=GENE_LINE[layout])
+    return records.select(F.col("_metadata.file_name").alias("file_name"), "value")
 
 
-def list_files(spark: SparkSession, root: str, glob: str | None = "*.gz") -> DataFrame:
+def list_files(
+    spark: SparkSession, root: str, glob: str | None = "*.gz", under: str = ""
+) -> DataFrame:
     """(filepath, length, modified) of the files below a prefix; contents are not read."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    return reader.load(root).select(
+    found = _files_under(spark, glob).format("binaryFile").load(_below(root, under))
+    return found.select(
         relative_path(root).alias("filepath"),
         "length",
         F.col("modificationTime").alias("modified"),
@@ -122,19 +139,18 @@ def _unpacks(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield blobs.map(unpacks).astype(bool)
 
 
-def damaged_gzip_files(spark: SparkSession, root: str, glob: str | None = "*.gz") -> DataFrame:
+def damaged_gzip_files(
+    spark: SparkSession, root: str, glob: str | None = "*.gz", under: str = ""
+) -> DataFrame:
     """(filepath) of files that do not unpack to their end.
 
     The line reader stops a job at such a file. Where damaged files are expected, list them
-    with this, read with `spark.sql.files.ignoreCorruptFiles` set, and pass the list on as
-    unreadable: what was read of them before the damage is then dropped with them.
+    with this, read with `spark.sql.files.ignoreCorruptFiles` set, and add the list to the
+    rejected files: what was read of them before the damage is then dropped with them.
     """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
+    blobs = _files_under(spark, glob).format("binaryFile").load(_below(root, under))
     return (
-        reader.load(root)
-        .select(relative_path(root).alias("filepath"), _unpacks("content").alias("_whole"))
+        blobs.select(relative_path(root).alias("filepath"), _unpacks("content").alias("_whole"))
         .filter(~F.col("_whole"))
         .select("filepath")
     )

@@ -102,7 +102,8 @@ def test_damaged_files_are_left_out(spark, tmp_path):
     spark.conf.set("spark.sql.files.ignoreCorruptFiles", "true")
     try:
         lines = files.read_lines(spark, str(tmp_path), "*.gz")
-        rows = ingest.ingest_expression(lines, paths, unreadable=damaged)
+        rejected = ingest.rejected_files(lines).select("filepath").union(damaged)
+        rows = ingest.ingest_expression(lines, paths, rejected)
         assert rows.count() == 50002
     finally:
         spark.conf.unset("spark.sql.files.ignoreCorruptFiles")

@@ -68,9 +68,9 @@ ARMS = [
 
 
 def _arm(disease: str, condition: str) -> str:
-    return f"""(SELECT gene_id, AVG(gene_expr) AS avg_expr FROM gene_expr_table
-      WHERE case_id IN (SELECT case_id FROM patient_info
-                        WHERE disease_type = '{disease}' AND {condition})
+    return f"""(SELECT gene_id, AVG(gene_expr) AS avg_expr FROM gene_expr_table x
+      WHERE EXISTS (SELECT 1 FROM patient_info p
+                    WHERE p.case_id = x.case_id AND p.disease_type = '{disease}' AND {condition})
       GROUP BY gene_id)"""
 
 
@@ -245,10 +245,11 @@ ORACLES = {
     # file catalog
     "src_json_nested": """SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k
         FROM events""",
-    "nested_ids_concat": """SELECT l_orderkey,
-        string_agg(CAST(l_partkey AS VARCHAR), '' ORDER BY l_linenumber, l_partkey) AS ids
-        FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey FROM lineitem)
-        GROUP BY l_orderkey""",
+    "nested_ids_concat": """SELECT l_orderkey, l_linenumber,
+        CASE WHEN l_linenumber = 7 THEN ''
+             ELSE CAST(l_partkey AS VARCHAR) || CAST(l_suppkey AS VARCHAR) END AS case_id,
+        CASE WHEN l_linenumber = 7 THEN '' ELSE l_returnflag || l_linestatus END AS project_id
+        FROM lineitem""",
     "catalog_not_xlsx": f"""WITH {INDEX}
         SELECT file_name, data_format FROM meta WHERE data_format <> 'XLSX'""",
     "catalog_join": _index("*"),

@@ -217,15 +217,21 @@ def src_json_nested(spark, sf):
 
 @query
 def nested_ids_concat(spark, sf):
-    """All part ids of an order as one text, in line order, from an array of structs."""
-    lines = s.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
-    cases = F.array_sort(F.collect_set(F.struct("l_linenumber", "l_partkey")))
-    return (
-        lines.groupBy("l_orderkey")
-        .agg(cases.alias("cases"))
-        .select(
-            "l_orderkey", text.glue(F.col("cases.l_partkey").cast("array<string>")).alias("ids")
-        )
+    """Two nested cases per line; every seventh line has none."""
+
+    def case(case_id, project_id):
+        project = F.struct(F.col(project_id).alias("project_id"))
+        return F.struct(F.col(case_id).cast("string").alias("case_id"), project.alias("project"))
+
+    cases = F.array(case("l_partkey", "l_returnflag"), case("l_suppkey", "l_linestatus"))
+    nested = s.table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.when(F.col("l_linenumber") != 7, cases).alias("cases")
+    )
+    return nested.select(
+        "l_orderkey",
+        "l_linenumber",
+        text.glue(F.col("cases.case_id")).alias("case_id"),
+        text.glue(F.col("cases.project.project_id")).alias("project_id"),
     )
 
 
