@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 # Decimal text that counts as a number at ingest. Digits may be grouped by single
 # underscores; a type suffix as in `1d` or `1.5f`, which a cast would take, is no number.
-_DIGITS = r"\d+(?:_\d+)*"
+# Nothing is tried twice: a long line that is no number costs one look at each character.
+_DIGITS = r"\d++(?:_\d++)*+"
 _NUMBER = (
-    rf"\s*[+-]?(?:(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:e[+-]?{_DIGITS})?"
-    r"|inf(?:inity)?|nan)\s*"
+    rf"\s*+[+-]?(?:(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:e[+-]?{_DIGITS})?"
+    r"|inf(?:inity)?|nan)\s*+"
 )
 
 

@@ -17,6 +17,7 @@ from urllib.parse import quote
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from oncolake import schemas
 from oncolake.operators import catalog, clinical, expression, genome
 from oncolake.operators.reports import save_reports
 from oncolake.operators.serving import project_summary
@@ -25,9 +26,15 @@ from oncolake.sources import files
 from oncolake.sources.tables import load_table, save_table
 
 
+def _lists(spark: SparkSession, base: str) -> DataFrame:
+    return load_table(
+        spark, f"{base}/lists", schema=f"{schemas.FILE_LIST}, list_table string"
+    )
+
+
 def _list(spark: SparkSession, base: str, table: str) -> DataFrame:
     """One list table; only its partition is read."""
-    lists = load_table(spark, f"{base}/lists")
+    lists = _lists(spark, base)
     return lists.filter(F.col("list_table") == table).drop("list_table")
 
 
@@ -44,8 +51,7 @@ def run_catalog(
         mode="overwrite",
         partition_by=["list_table"],
     )
-    lists = load_table(spark, f"{base}/lists")
-    save_table(catalog.new_patients(lists), f"{base}/new_patients", mode="overwrite")
+    save_table(catalog.new_patients(_lists(spark, base)), f"{base}/new_patients", mode="overwrite")
     patients = load_table(spark, f"{base}/new_patients")
     save_table(catalog.repeated_cases(patients), f"{base}/repeated_cases", mode="overwrite")
 
@@ -125,7 +131,7 @@ def run_genome(
 def run_reports(spark: SparkSession, base: str) -> None:
     """All report tables."""
     save_reports(
-        load_table(spark, f"{base}/gene_expr_table").drop("batch"),
+        load_table(spark, f"{base}/gene_expr_table", schema=schemas.GENE_EXPR).drop("batch"),
         load_table(spark, f"{base}/patient_info"),
         load_table(spark, f"{base}/hs_genome"),
         base,

@@ -97,7 +97,7 @@ def analysis_menu(
     patients: DataFrame, variant_diseases: Sequence[str] = VARIANT_DISEASES
 ) -> DataFrame:
     """(disease_type, analyses): the analyses offered for each disease, in menu order."""
-    none = F.array_remove(F.array(_entry(CLINICAL)), _entry(CLINICAL))
+    none = F.array().cast("array<struct<label: string, value: string>>")
     return stage_eligibility(patients).select(
         "disease_type",
         F.concat(

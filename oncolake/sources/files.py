@@ -69,9 +69,10 @@ def read_lines(
 def read_documents(
     spark: SparkSession, root: str, glob: str | None = "*.xml", under: str = ""
 ) -> DataFrame:
-    """(filepath, value), one row per file."""
+    """(filepath, value), one row per file, without a byte order mark."""
     documents = _files_under(spark, glob).text(_below(root, under), wholetext=True)
-    return documents.select(relative_path(root).alias("filepath"), "value")
+    text = F.ltrim(F.col("value"), F.lit("\ufeff"))
+    return documents.select(relative_path(root).alias("filepath"), text.alias("value"))
 
 
 def read_elements(

@@ -34,16 +34,20 @@ def parallel_scan(column: str, lower: int, upper: int, partitions: int) -> dict[
 
 
 def load_table(
-    spark: SparkSession, name: str, fmt: str = "parquet", **options: str
+    spark: SparkSession, name: str, fmt: str = "parquet", schema: str | None = None, **options: str
 ) -> DataFrame:
     """A table by name or path. `fmt` is 'table' for the catalog, 'jdbc' for a database, or
-    any file or connector format."""
+    any file or connector format.
+
+    A schema is needed for a partitioned table that may be empty, and keeps partition values
+    that look like numbers as they are.
+    """
     if fmt == "table":
         return spark.table(name)
-    reader = spark.read.format(fmt)
+    reader = spark.read.format(fmt).options(**options)
     if fmt == "jdbc":
-        return reader.options(dbtable=name, **options).load()
-    return reader.options(**options).load(name)
+        return reader.option("dbtable", name).load()
+    return (reader.schema(schema) if schema else reader).load(name)
 
 
 def save_table(

@@ -84,6 +84,14 @@ def test_fields(spark, root, broadcast):
         assert all(r.case_id == f"c-{r.filepath}" for r in rows)
 
 
+def test_byte_order_mark(spark, tmp_path):
+    (tmp_path / "a.xml").write_text("\ufeff" + report(FULL))
+    listed = clinical.listed_reports(
+        files.read_documents(spark, str(tmp_path)), listing(spark, ["a.xml"])
+    )
+    assert clinical.extract_clinical(listed).first().gender == "FEMALE"
+
+
 def test_only_listed_reports_are_parsed(spark, tmp_path):
     (tmp_path / "a.xml").write_text(report(FULL))
     (tmp_path / "unlisted.xml").write_text("<broken")

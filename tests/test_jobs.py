@@ -8,7 +8,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from oncolake import jobs
+from oncolake import jobs, schemas
 from oncolake.sources.tables import load_table
 from tests.test_clinical import report
 from tests.test_genome import gene, genbank
@@ -140,6 +140,28 @@ def test_quarantine(spark, base, archive, tmp_path):
     assert [r.case_id for r in missing] == ["c3"]
 
 
+def test_nothing_at_all(spark, tmp_path):
+    """Jobs over empty inputs leave empty tables that can be read."""
+    base = str(tmp_path / "out")
+    (tmp_path / "meta.json").write_text("[]")
+    (tmp_path / "manifest.txt").write_text("id\tfilename\n")
+    (tmp_path / "data").mkdir()
+    (tmp_path / "data" / "S.1.chromosome.7.dat.gz").write_bytes(gzip.compress(b"LOCUS\n"))
+    (tmp_path / "data" / "a.FPKM-UQ.txt").write_bytes(b"G1.1\t1\n")
+    data = str(tmp_path / "data")
+    jobs.run_catalog(spark, base, str(tmp_path / "meta.json"), str(tmp_path / "manifest.txt"))
+    jobs.run_clinical(spark, base, data)
+    jobs.run_expression(spark, base, data)
+    jobs.run_genome(spark, base, data)
+    jobs.run_reports(spark, base)
+    for table in ("patient_info", "project_summary", "gene_expr_table", "hs_genome"):
+        assert load_table(spark, f"{base}/{table}").isEmpty()
+    ranked = load_table(
+        spark, f"{base}/fold_change_ranked", schema=schemas.FOLD_CHANGE_RANKED
+    )
+    assert ranked.isEmpty()
+
+
 def test_arguments(monkeypatch):
     seen = {}
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 from pathlib import Path
 
 import duckdb
@@ -11,7 +12,7 @@ import pytest
 from workload.oracles import ORACLES
 from workload.queries import QUERIES
 
-SF = "/root/testdata/sf0.01"
+SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 
 
 @pytest.fixture(scope="module")

@@ -56,6 +56,15 @@ def test_top_of_each_disease_limits_before_the_shuffle(spark):
     assert re.search(r"WindowGroupLimit [^\n]*Partial", plan)
 
 
+def test_top_of_each_disease_reads_the_measures_once(spark):
+    df = QUERIES["top_increased_all"](spark, SF)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    final = plan[: plan.index("== Initial Plan ==")]
+    assert "ReusedExchange" in final
+    assert scans(final, "l_partkey") == 1
+
+
 def test_top_of_one_disease_sorts_nothing_whole(spark):
     df = QUERIES["sample_limit"](spark, SF)
     assert "TakeOrderedAndProject" in plan_of(df)

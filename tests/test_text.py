@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -53,6 +54,29 @@ def test_stray_quotes_are_no_numbers(spark, value):
     assert one(spark, value, text.is_number_field) is False
 
 
+def as_python_reads_it(text):
+    try:
+        return repr(float(text))
+    except ValueError:
+        return None
+
+
+def test_numbers_are_those_python_reads(spark):
+    rng = random.Random(7)
+    pieces = list("0123456789") * 2 + list("+-._eE ") + ["inf", "NaN", "infinity", "x", "d"]
+    texts = sorted({"".join(rng.choices(pieces, k=rng.randint(1, 6))) for _ in range(20000)})
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    rows = df.select("x", text.parse_double(F.col("x")).alias("v")).collect()
+    got = {r.x: None if r.v is None else repr(r.v) for r in rows}
+    assert got == {t: as_python_reads_it(t) for t in texts}
+    assert sum(v is not None for v in got.values()) > 1000
+
+
+def test_long_lines_cost_little(spark):
+    for value in ("1" * 200000 + "x", "1_" * 100000, " " * 200000 + "x"):
+        assert one(spark, value, text.is_number_field) is False
+
+
 def test_positive(spark):
     rows = [0.0, -0.0, -1.0, 1e-300, math.inf, -math.inf, math.nan, None]
     df = spark.createDataFrame([(v,) for v in rows], "v double")

@@ -467,7 +467,10 @@ def clinical_xml_struct(spark, sf):
 
 @query
 def patient_update(spark, sf):
-    return clinical.update_patients(s.patients(spark, sf), clinical_xml_extract(spark, sf))
+    """The records are written first, so that the reports are parsed once."""
+    records = tables.scratch_path(spark, "clinical")
+    tables.save_table(clinical_xml_extract(spark, sf), records)
+    return clinical.update_patients(s.patients(spark, sf), tables.load_table(spark, records))
 
 
 # --- reference genome ---------------------------------------------------------------------
