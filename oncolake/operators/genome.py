@@ -32,14 +32,14 @@ def gene_blocks(records: DataFrame) -> DataFrame:
     """(file_name, location, block): the location line and qualifiers of each gene.
 
     A record is the text after the gene key. What stands before the first gene of a file is
-    no block; it does not start with the blanks that follow a key.
+    no block: it does not start with a blank, as what follows a key does.
     """
     annotations = reduce(
         lambda text, section: F.substring_index(text, section, 1), SECTIONS, F.col("value")
     )
     block = F.get(F.split(annotations, NEXT_FEATURE, 2), F.lit(0))
     one_line = F.regexp_replace(block, r"\r?\n(?:FT)?\s+", " ")
-    return records.filter(F.col("value").rlike(r"^ +\S")).select(
+    return records.filter(F.startswith("value", F.lit(" "))).select(
         "file_name",
         F.regexp_extract(block, r"^ +(\S[^\r\n]*)", 1).alias("location"),
         one_line.alias("block"),

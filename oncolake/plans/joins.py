@@ -46,10 +46,10 @@ def lookup_join(
     """Join large `rows` with a smaller `lookup` on equally named columns.
 
     A lookup that measures small enough is broadcast, and `rows` do not move. A larger one
-    is shuffled, and the rows of a key are dealt to `splits` tasks by a hash of their
-    `salt_by` columns, each of which holds a copy of that key's lookup rows. The hash depends
-    on row content only, so a task that is run again deals the same rows the same way. Copies
-    of one row share a hash; adaptive execution cuts such a partition further by map output.
+    is shuffled, and the rows of a key are dealt to `splits` tasks, each of which holds a copy
+    of that key's lookup rows. They are dealt by a hash of their `salt_by` columns and of the
+    input partition they come from, so equal rows are dealt out as well. Both are the same
+    when a lost task is run again.
     `how` is inner, left, left_semi or left_anti: every part of the rows meets the whole
     lookup, so the parts stand on their own.
     """
@@ -59,7 +59,8 @@ def lookup_join(
         broadcast = fits_broadcast(lookup)
     if broadcast:
         return rows.join(F.broadcast(lookup), list(on), how)
-    salt = F.pmod(F.xxhash64(*(salt_by or rows.columns)), F.lit(splits)).cast("int")
+    dealt_by = F.xxhash64(*(salt_by or rows.columns), F.spark_partition_id())
+    salt = F.pmod(dealt_by, F.lit(splits)).cast("int")
     copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(splits - 1))))
     return rows.withColumn("_salt", salt).join(copies, [*on, "_salt"], how).drop("_salt")
 
@@ -80,11 +81,12 @@ def attach_reference(
     """
     if broadcast is None:
         broadcast = fits_broadcast(reference)
+    columns = [*rows.columns, *(c for c in reference.columns if c not in on)]
     if broadcast:
-        return rows.join(F.broadcast(reference), list(on), "left")
+        return rows.join(F.broadcast(reference), list(on), "left").select(*columns)
     matched = lookup_join(
         reference, rows, on, "inner", salt_by=salt_by, broadcast=False, splits=splits
     )
-    unmatched = rows.join(reference.select(*on).distinct(), list(on), "left_anti")
-    columns = [*rows.columns, *(c for c in reference.columns if c not in on)]
+    known = reference.select(*on).distinct()
+    unmatched = lookup_join(rows, known, on, "left_anti", broadcast=False, splits=splits)
     return matched.select(*columns).unionByName(unmatched, allowMissingColumns=True)

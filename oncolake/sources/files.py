@@ -28,10 +28,12 @@ _PIECE = 64 * 1024
 
 def relative_path(root: str) -> Column:
     """Path of the file a row comes from, below `root`, as it stands in a file list."""
-    # File URIs are percent-encoded, but a plus sign stands for itself.
-    escaped = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
     below = "/" + re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:/*|^/+", "", root).rstrip("/") + "/"
-    full = F.url_decode(escaped)
+    uri = F.col("_metadata.file_path")
+    # File URIs are percent-encoded, but a plus sign stands for itself. Most have neither, and
+    # this is evaluated for every line.
+    decoded = F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+    full = F.when(F.contains(uri, F.lit("%")), decoded).otherwise(uri)
     return F.substring(full, F.locate(below, full) + F.lit(len(below)), F.length(full))
 
 

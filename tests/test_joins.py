@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from oncolake.operators.catalog import build_index
 from oncolake.plans.joins import attach_reference, fits_broadcast, lookup_join, measured_bytes
 
 
@@ -42,14 +43,23 @@ def test_outer_joins_are_refused(hot, lookup):
         lookup_join(hot, lookup, ["k"], "full")
 
 
-def test_hot_key_is_dealt_out(spark, hot, lookup):
-    """No shuffled task holds the whole hot key."""
-    got = lookup_join(hot, lookup, ["k"], salt_by=["v"], broadcast=False, splits=64)
-    plan = got._jdf.queryExecution().toString()
-    assert "_salt" in plan
-    salt = F.pmod(F.xxhash64("v"), F.lit(64))
-    largest = hot.filter("k = 0").groupBy(salt).count().agg(F.max("count")).first()[0]
-    assert largest < 10000 / 64 * 2
+@pytest.mark.parametrize("copies", [False, True])
+def test_hot_key_is_dealt_out(spark, copies):
+    """No task holds the whole hot key, also where its rows are copies of one row."""
+    n = F.col("id")
+    rows = spark.range(0, 200000, 1, 64).select(
+        F.when(n % 2 == 0, 1).otherwise(n % 1000).alias("k"),
+        F.when((n % 2 == 0) & F.lit(copies), 0).otherwise(F.hash(n)).alias("v"),
+    )
+    lookup = spark.range(1000).select(n.alias("k"), (n * 2).alias("w"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = lookup_join(rows, lookup.hint("merge"), ["k"], salt_by=["v"], broadcast=False)
+        assert joined.count() == 200000
+        per_task = joined.groupBy(F.spark_partition_id()).count().agg(F.max("count"))
+        assert per_task.first()[0] < 200000 / 8 * 1.6
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
 
 
 def test_measured_bytes(spark):
@@ -77,8 +87,8 @@ def test_attach_reference_with_a_hot_reference_key(spark):
         assert rows_of(got) == rows_of(plain)
 
 
-def test_adaptive_execution_cuts_a_hot_partition(spark):
-    """The joins of two large sides rely on this: the final plan splits the hot key."""
+def test_adaptive_execution_cuts_a_hot_file_name(spark):
+    """The catalog joins two large sides: its final plan splits the name of half the rows."""
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -90,13 +100,20 @@ def test_adaptive_execution_cuts_a_hot_partition(spark):
         spark.conf.set(k, v)
     try:
         n = F.col("id")
-        left = spark.range(0, 400000, 1, 8).select(
-            F.when(n % 2 == 0, 1).otherwise(n % 1000).alias("k"), F.hash(n).alias("v")
+        manifest = spark.range(0, 400000, 1, 8).select(
+            F.hash(n).cast("string").alias("path"),
+            F.when(n % 2 == 0, "same").otherwise((n % 1000).cast("string")).alias("filename"),
+        )
+        project = F.struct(F.lit("P").alias("project_id"))
+        case = F.struct(n.cast("string").alias("case_id"), project.alias("project"))
+        metadata = spark.range(1000).select(
+            F.when(n == 0, "same").otherwise(n.cast("string")).alias("file_name"),
+            F.lit("TXT").alias("data_format"),
+            F.array(case).alias("cases"),
         )
-        right = spark.range(1000).select(n.alias("k"), n.alias("w"))
-        joined = left.join(right, "k")
-        assert len(joined.collect()) == 400000
-        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+        index = build_index(manifest, metadata)
+        assert len(index.collect()) == 400000
+        assert "skew=true" in index._jdf.queryExecution().executedPlan().toString()
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)

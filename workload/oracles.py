@@ -167,7 +167,7 @@ ORACLES = {
     # cohort reports
     "fold_change_ranked": _report(RANKED_COLUMNS, ["BUILDING"]),
     "fold_change_all": _report(RANKED_COLUMNS),
-    "fold_change_placeholder": _report(RANKED_COLUMNS, ["BUILDING"], "disease_type = 'TRUNK'"),
+    "fold_change_placeholder": _report(RANKED_COLUMNS, ["FURNITURE"]),
     "expression_changed": _report(
         "disease_type, gene_id, early_avg_expr, late_avg_expr, name AS gene_name, chromosome, info",
         where=CHANGED,

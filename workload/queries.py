@@ -11,7 +11,7 @@ from oncolake.functions import text
 from oncolake.operators import catalog, clinical, cohort, genome, serving
 from oncolake.operators import expression as ingest
 from oncolake.operators.reports import save_reports
-from oncolake.plans.cohorts import like, stages
+from oncolake.plans.cohorts import CohortSpec, like, stages
 from oncolake.sources import files, tables
 from workload import standins as s
 
@@ -60,8 +60,9 @@ def fold_change_all(spark, sf):
 
 @query
 def fold_change_placeholder(spark, sf):
-    means = _means(spark, sf, [s.spec_of("TRUNK")])
-    return cohort.fold_change(means, s.genome(spark, sf))
+    """A disease that is in the data, but has no stages to compare, gives no rows."""
+    specs = [CohortSpec("MACHINERY"), s.spec_of("FURNITURE")]
+    return cohort.fold_change(_means(spark, sf, specs), s.genome(spark, sf))
 
 
 @query
