@@ -93,8 +93,8 @@ def run_expression(
 ) -> None:
     """Measures of the files under one part of the archive, as one batch of the table.
 
-    To run a part again replaces its batch; parts must not overlap. `check_gzip` is for archives with damaged files;
-    set `spark.sql.files.ignoreCorruptFiles` along with it.
+    To run a part again replaces its batch; parts must not overlap. `check_gzip` is for
+    archives with damaged files; set `spark.sql.files.ignoreCorruptFiles` along with it.
     """
     batch = quote(under, safe="") or "everything"
     paths = catalog.expression_files(catalog.file_paths(_list(spark, base, "txt_list")))

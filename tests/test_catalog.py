@@ -90,7 +90,8 @@ def test_repeated_cases(spark):
 def test_paths(spark, index):
     paths = catalog.file_paths(index)
     assert ("c1", "dir1/b.txt") in set(map(tuple, paths.collect()))
-    unknown = spark.createDataFrame([("c", None, "f")], "case_id string, path string, filename string")
+    schema = "case_id string, path string, filename string"
+    unknown = spark.createDataFrame([("c", None, "f")], schema)
     assert catalog.file_paths(unknown).first().filepath is None
 
 

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import pytest
 
+from oncolake import schemas
 from oncolake.operators import catalog, clinical
 from oncolake.sources import files
 
@@ -25,7 +26,9 @@ FULL = (
 REPORTS = {
     "complete.xml": (report(FULL), ("Stage IIA", "Breast & more", "FEMALE")),
     "no_stage.xml": (
-        report("<p><si:tumor_tissue_site>Colon</si:tumor_tissue_site><g:gender>MALE</g:gender></p>"),
+        report(
+            "<p><si:tumor_tissue_site>Colon</si:tumor_tissue_site><g:gender>MALE</g:gender></p>"
+        ),
         ("N/A", "Colon", "MALE"),
     ),
     "empty_gender.xml": (
@@ -120,7 +123,8 @@ def test_malformed_fails_or_is_set_aside(spark, tmp_path, name):
 
 
 def test_empty_text_is_no_report(spark):
-    listed = spark.createDataFrame([("c", "f", "")], "case_id string, filepath string, value string")
+    schema = "case_id string, filepath string, value string"
+    listed = spark.createDataFrame([("c", "f", "")], schema)
     assert clinical.extract_clinical(listed, "quarantine").isEmpty()
     with pytest.raises(Exception, match="empty report"):
         clinical.extract_clinical(listed).collect()
@@ -149,7 +153,7 @@ def test_update(spark, broadcast):
             ("c1", "Q", None, None, None),
             (None, "P", "old", "old", "old"),
         ],
-        "case_id string, project_id string, disease_type string, disease_stage string, gender string",
+        schemas.PATIENT_INFO,
     )
     records = spark.createDataFrame(
         [

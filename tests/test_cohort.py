@@ -7,11 +7,12 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from oncolake import schemas
 from oncolake.operators import cohort
 from oncolake.plans.cohorts import COHORTS, Arm, CohortSpec, cohort_members, like, stages
 
-PATIENTS = "case_id string, project_id string, disease_type string, disease_stage string, gender string"
-EXPRESSION = "case_id string, gene_id string, gene_expr double"
+PATIENTS = schemas.PATIENT_INFO
+EXPRESSION = schemas.GENE_EXPR
 GENOME = "full_id string, id string, name string, chromosome string, info string"
 
 SPECS = (
@@ -179,7 +180,8 @@ def test_top_changed_equals_sorting_everything(spark, increased):
     )
     everything = cohort.fold_change(means, genome)
     for disease in ("A", "B"):
-        whole = cohort.top_of_one(everything.filter(F.col("disease_type") == disease), 10, increased)
+        one = everything.filter(F.col("disease_type") == disease)
+        whole = cohort.top_of_one(one, 10, increased)
         top = cohort.top_changed(means, genome, 10, increased).filter(
             F.col("disease_type") == disease
         )

@@ -67,7 +67,8 @@ NAMES = {
 }
 WANT = {
     "G1.2": ("G1", "AGAIN", "Non-chromosomal", "+", -1, -1, ""),
-    "G2.1": ("G2", "TWO", "chromosome.14", "-", 30, 40, "wrapped over lines like this one [Source:S]"),
+    "G2.1": ("G2", "TWO", "chromosome.14", "-", 30, 40,
+             "wrapped over lines like this one [Source:S]"),
     "G4.1": ("G4", None, "chromosome.14", "-", 90, 95, ""),
     "G5.1": ("G5", "QUOTED", "chromosome.14", "+", 100, 110, ""),
     "G6.1": ("G6", "LAST", "chromosome.14", "+", 120, 130, "ends the file"),

@@ -75,7 +75,11 @@ def test_scratch_lies_in_the_shared_folder(spark):
 
 def test_serving_edge_rows(spark):
     patients = spark.createDataFrame(
-        [("c1", "P", None, None, None), ("c2", "P", None, "N/A", None), ("c3", "Q", "A'b", "s", "x")],
+        [
+            ("c1", "P", None, None, None),
+            ("c2", "P", None, "N/A", None),
+            ("c3", "Q", "A'b", "s", "x"),
+        ],
         schemas.PATIENT_INFO,
     )
     summary = project_summary(patients)

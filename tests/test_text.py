@@ -86,7 +86,15 @@ def test_positive(spark):
 
 @pytest.mark.parametrize(
     ("value", "plain"),
-    [('"a"', "a"), ('"a""b"', 'a"b'), ("a", "a"), ('"', '"'), ('""', ""), ('"a', '"a'), (None, None)],
+    [
+        ('"a"', "a"),
+        ('"a""b"', 'a"b'),
+        ("a", "a"),
+        ('"', '"'),
+        ('""', ""),
+        ('"a', '"a'),
+        (None, None),
+    ],
 )
 def test_unquote(spark, value, plain):
     assert one(spark, value, text.unquote) == plain
@@ -98,8 +106,11 @@ def test_strip_version(spark):
 
 
 def test_regex_extract(spark):
-    assert one(spark, "xx GENE=Ab.1", lambda c: text.regex_extract(c, "gene=([a-z.0-9]+)")) == "Ab.1"
-    assert one(spark, "none", lambda c: text.regex_extract(c, "gene=(.)")) == ""
+    def gene(column):
+        return text.regex_extract(column, "gene=([a-z.0-9]+)")
+
+    assert one(spark, "xx GENE=Ab.1", gene) == "Ab.1"
+    assert one(spark, "none", gene) == ""
 
 
 def test_regex_groups(spark):

@@ -9,10 +9,11 @@ from __future__ import annotations
 PATIENTS = """patient_info AS (
   SELECT c_custkey AS case_id, c_nationkey AS project_id,
          CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE c_mktsegment END AS disease_type,
-         CASE c_custkey % 11 WHEN 0 THEN 'Stage I'   WHEN 1 THEN 'Stage IA'   WHEN 2 THEN 'Stage IB'
-                             WHEN 3 THEN 'Stage II'  WHEN 4 THEN 'Stage IIA'  WHEN 5 THEN 'Stage IIB'
-                             WHEN 6 THEN 'Stage III' WHEN 7 THEN 'Stage IIIA' WHEN 8 THEN 'Stage IIIB'
-                             WHEN 9 THEN 'N/A' ELSE NULL END AS disease_stage,
+         CASE c_custkey % 11
+              WHEN 0 THEN 'Stage I' WHEN 1 THEN 'Stage IA' WHEN 2 THEN 'Stage IB'
+              WHEN 3 THEN 'Stage II' WHEN 4 THEN 'Stage IIA' WHEN 5 THEN 'Stage IIB'
+              WHEN 6 THEN 'Stage III' WHEN 7 THEN 'Stage IIIA' WHEN 8 THEN 'Stage IIIB'
+              WHEN 9 THEN 'N/A' ELSE NULL END AS disease_stage,
          CASE c_custkey % 3 WHEN 0 THEN 'FEMALE' WHEN 1 THEN 'MALE' ELSE NULL END AS gender
   FROM customer)"""
 
