@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A lookup is copied to every executor only while its measured content stays below this.
+# A lookup is copied to every executor only while its measured content stays below this. A
+# cluster with large executors may allow more through the session setting named below.
 BROADCAST_BYTES = 128 * 1024 * 1024
+BROADCAST_SETTING = "spark.oncolake.broadcastBytes"
 # Number of tasks the rows of one key are dealt to when both sides are shuffled.
 SPLITS = 64
 
@@ -30,8 +32,9 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.sum(row_bytes), F.lit(0)).alias("bytes")).first()["bytes"]
 
 
-def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
-    return measured_bytes(df) <= (BROADCAST_BYTES if limit is None else limit)
+def fits_broadcast(df: DataFrame) -> bool:
+    limit = df.sparkSession.conf.get(BROADCAST_SETTING, str(BROADCAST_BYTES))
+    return measured_bytes(df) <= int(limit)
 
 
 def lookup_join(

@@ -4,7 +4,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from oncolake.operators.catalog import build_index
-from oncolake.plans.joins import attach_reference, fits_broadcast, lookup_join, measured_bytes
+from oncolake.plans.joins import (
+    BROADCAST_SETTING,
+    attach_reference,
+    fits_broadcast,
+    lookup_join,
+    measured_bytes,
+)
 
 
 def rows_of(df):
@@ -72,7 +78,13 @@ def test_measured_bytes(spark):
 
 def test_fits_broadcast(spark):
     assert fits_broadcast(spark.range(10))
-    assert not fits_broadcast(spark.range(10), limit=100)
+    spark.conf.set(BROADCAST_SETTING, "100")
+    try:
+        assert not fits_broadcast(spark.range(10))
+        plan = lookup_join(spark.range(5), spark.range(10), ["id"])._jdf.queryExecution()
+        assert "_salt" in plan.toString()
+    finally:
+        spark.conf.unset(BROADCAST_SETTING)
 
 
 def test_attach_reference_with_a_hot_reference_key(spark):
