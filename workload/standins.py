@@ -21,7 +21,10 @@ SPECS = (
     CohortSpec("MACHINERY", stages("I"), stages("II")),
     CohortSpec("TRUNK"),
 )
-STAGES = ("I", "IA", "IB", "II", "IIA", "IIB", "III", "IIIA", "IIIB")
+STAGES = (
+    *(f"Stage {n}" for n in ("I", "IA", "IB", "II", "IIA", "IIB", "III", "IIIA", "IIIB")),
+    "N/A",
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,12 +35,9 @@ def spec_of(disease: str) -> CohortSpec:
     return next(s for s in SPECS if s.disease == disease)
 
 
-def _stage(number: Column) -> Column:
-    slot = F.pmod(number, F.lit(11))
-    stage = F.when(slot == 9, F.lit("N/A"))
-    for i, name in enumerate(STAGES):
-        stage = stage.when(slot == i, F.lit(f"Stage {name}"))
-    return stage
+def _one_of(values: tuple[str, ...], number: Column) -> Column:
+    """The value at a position; null beyond the last."""
+    return F.get(F.array(*map(F.lit, values)), number.cast("int"))
 
 
 def patients(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,10 +46,8 @@ def patients(spark: SparkSession, sf_dir: str) -> DataFrame:
         key.alias("case_id"),
         F.col("c_nationkey").alias("project_id"),
         F.when(key % 13 != 0, F.col("c_mktsegment")).alias("disease_type"),
-        _stage(key).alias("disease_stage"),
-        F.when(key % 3 == 0, F.lit("FEMALE"))
-        .when(key % 3 == 1, F.lit("MALE"))
-        .alias("gender"),
+        _one_of(STAGES, key % 11).alias("disease_stage"),
+        _one_of(("FEMALE", "MALE"), key % 3).alias("gender"),
     )
 
 
