@@ -33,8 +33,13 @@ def relative_path(root: str) -> Column:
     # File URIs are percent-encoded, but a plus sign stands for itself. Most have neither, and
     # this is evaluated for every line.
     decoded = F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
-    full = F.when(F.contains(uri, F.lit("%")), decoded).otherwise(uri)
-    return F.substring(full, F.locate(below, full) + F.lit(len(below)), F.length(full))
+    return F.when(F.contains(uri, F.lit("%")), _after(decoded, below)).otherwise(
+        _after(uri, below)
+    )
+
+
+def _after(text: Column, mark: str) -> Column:
+    return F.substr(text, F.locate(mark, text) + F.lit(len(mark)))
 
 
 def read_metadata(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:

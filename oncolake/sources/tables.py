@@ -65,7 +65,7 @@ def save_table(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if fmt == "table":
-        writer.saveAsTable(name)
+        writer.options(**options).saveAsTable(name)
     elif fmt == "jdbc":
         writer.format(fmt).options(dbtable=name, **options).save()
     else:
