@@ -27,15 +27,14 @@ class ReportField:
     nested: bool = False
 
     @property
-    def _elements(self) -> str:
+    def elements(self) -> str:
         depth = "/*//*/*" if self.nested else "/*//*"
         return f"{depth}[local-name()='{self.name}']"
 
     @property
-    def xpath(self) -> str:
-        """Presence of the element, then the text its content starts with."""
-        first = f"({self._elements})[1]/node()[1][self::text()]"
-        return f"boolean({self._elements}),'{_SEPARATOR}',{first}"
+    def first_text(self) -> str:
+        """The text that the content of the first such element starts with."""
+        return f"({self.elements})[1]/node()[1][self::text()]"
 
 
 # Element names and namespaces of the clinical reports.
@@ -58,20 +57,24 @@ def report_fields(
 ) -> list[Column]:
     """Text of each field: 'N/A' where the element is absent, null where it is empty.
 
-    One XPath evaluation gives all fields, so a document is parsed once. XPath in Spark does
-    not know namespaces; a field counts as present only if the document declares its
-    namespace. A document that is no XML fails the job.
+    One XPath evaluation gives the texts of all fields, so a document is parsed once. Only
+    where a text is empty, and the document does hold the name, a second one tells an empty
+    element from an absent one. XPath in Spark does not know namespaces; a field counts as
+    present only if the document declares its namespace. A document that is no XML fails the
+    job.
     """
-    expression = f",'{_SEPARATOR}',".join(f.xpath for f in fields)
-    parts = F.split(F.xpath_string(document, F.lit(f"concat({expression})")), _SEPARATOR)
+    texts = f",'{_SEPARATOR}',".join(f.first_text for f in fields)
+    parts = F.split(F.xpath_string(document, F.lit(f"concat({texts})")), _SEPARATOR)
     columns = []
     for i, field in enumerate(fields):
-        present = (F.get(parts, F.lit(2 * i)) == "true") & document.contains(field.namespace)
-        text = F.get(parts, F.lit(2 * i + 1))
+        text = F.get(parts, F.lit(i))
+        empty = document.contains(field.name) & F.xpath_boolean(document, F.lit(field.elements))
         columns.append(
-            F.when(present, F.nullif(text, F.lit("")))
-            .when(F.length(document) > 0, F.lit(ABSENT))
-            .otherwise(F.raise_error(F.lit("empty report")))
+            F.when(text.isNull(), F.raise_error(F.lit("empty report")))
+            .when(~document.contains(field.namespace), F.lit(ABSENT))
+            .when(text != "", text)
+            .when(empty, F.lit(None))
+            .otherwise(F.lit(ABSENT))
             .alias(field.column)
         )
     return columns
