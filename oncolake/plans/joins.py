@@ -37,6 +37,10 @@ def fits_broadcast(df: DataFrame) -> bool:
     return measured_bytes(df) <= int(limit)
 
 
+def _salt(columns: Sequence[str], splits: int) -> Column:
+    return F.pmod(F.xxhash64(*columns, F.spark_partition_id()), F.lit(splits)).cast("int")
+
+
 def lookup_join(
     rows: DataFrame,
     lookup: DataFrame,
@@ -62,8 +66,7 @@ def lookup_join(
         broadcast = fits_broadcast(lookup)
     if broadcast:
         return rows.join(F.broadcast(lookup), list(on), how)
-    dealt_by = F.xxhash64(*(salt_by or rows.columns), F.spark_partition_id())
-    salt = F.pmod(dealt_by, F.lit(splits)).cast("int")
+    salt = _salt(salt_by or rows.columns, splits)
     copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(splits - 1))))
     return rows.withColumn("_salt", salt).join(copies, [*on, "_salt"], how).drop("_salt")
 
@@ -79,17 +82,22 @@ def attach_reference(
     """Left join that keeps every row and fans out over repeated reference keys.
 
     Beyond the broadcast size it is the reference that may repeat one key very often, so it
-    is the reference that is dealt out. A row is then missing from most of the parts, which a
-    left join would report as unmatched: matched and unmatched rows are found separately.
+    is the reference that is dealt out. A row with a known key then meets every part, and
+    finds nothing in some: those finds are dropped, as the key is known to be matched
+    elsewhere. `rows` may be the result of a long computation; it is used once.
     """
     if broadcast is None:
         broadcast = fits_broadcast(reference)
     columns = [*rows.columns, *(c for c in reference.columns if c not in on)]
     if broadcast:
         return rows.join(F.broadcast(reference), list(on), "left").select(*columns)
-    matched = lookup_join(
-        reference, rows, on, "inner", salt_by=salt_by, broadcast=False, splits=splits
+    known = reference.select(*on).distinct().withColumn("_known", F.lit(True))
+    marked = lookup_join(rows, known, on, "left", broadcast=False, splits=splits)
+    parts = F.when(F.col("_known"), F.sequence(F.lit(0), F.lit(splits - 1)))
+    spread = marked.withColumn("_salt", F.explode(F.coalesce(parts, F.array(F.lit(0)))))
+    dealt = reference.withColumn("_salt", _salt(salt_by, splits)).withColumn("_found", F.lit(True))
+    return (
+        spread.join(dealt, [*on, "_salt"], "left")
+        .filter(F.col("_known").isNull() | F.col("_found"))
+        .select(*columns)
     )
-    known = reference.select(*on).distinct()
-    unmatched = lookup_join(rows, known, on, "left_anti", broadcast=False, splits=splits)
-    return matched.select(*columns).unionByName(unmatched, allowMissingColumns=True)

@@ -6,6 +6,7 @@ import re
 
 import pytest
 
+from oncolake.plans.joins import BROADCAST_SETTING
 from workload import standins as s
 from workload.queries import QUERIES
 
@@ -34,6 +35,20 @@ def test_measures_are_not_shuffled_by_case(spark):
     assert "partial_avg" in plan
 
 
+@pytest.mark.parametrize("name", ["fold_change_all", "expression_changed", "fold_change_ranked"])
+def test_one_scan_also_where_nothing_is_broadcast(spark, name):
+    settings = {BROADCAST_SETTING: "0", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        plan = plan_of(QUERIES[name](spark, SF))
+        assert scans(plan, "l_partkey") == 1
+        assert "BroadcastHashJoin" not in plan
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+
+
 def test_scan_reads_three_columns(spark):
     plan = plan_of(QUERIES["fold_change_all"](spark, SF))
     read = re.search(r"FileScan parquet \[([^\]]*l_partkey[^\]]*)\]", plan).group(1)
