@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from oncolake.llm.shared import extended
+
 #: Bounds of the labelled sample: documents of a language, characters of each, characters of all.
 TRAIN_DOCS = 64
 TRAIN_DOC_CHARS = 4_000
@@ -250,7 +252,7 @@ def predict_language(
     pairs = tuple(sorted(sample.items()))
     columns = [F.col(id_col), *(F.col(c) for c in keep)]
     source = docs.select(*columns, F.col(text_col).alias("__text"))
-    schema = source.drop("__text").schema.add("lang_pred", "string").add("score", "double")
+    schema = extended(source.drop("__text"), lang_pred="string", score="double")
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(pairs)

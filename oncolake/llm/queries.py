@@ -4,15 +4,33 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oncolake.llm import language
+from oncolake.llm import bpe, language, token_counts
 from oncolake.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document and the bytes they decode to, as digests."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    docs = table(spark, sf_dir, "documents")
+    encoded = bpe.encode(docs, path, public_tokenizers.PATTERN, stable_input=True)
+    return bpe.digest(bpe.decode(encoded, path))
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, and whether they pass 1,024."""
+    return token_counts.count_tokens(
+        table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.PATTERN,
+    )
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from three of four folds."""
     docs = table(spark, sf_dir, "documents").withColumn("held_out", language.held_out())
@@ -21,6 +39,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op4_byte_bpe": op4_byte_bpe,
+    "op8_token_counts": op8_token_counts,
     "op10_language_id": op10_language_id,
 }
 

@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,3 +55,11 @@ def written(df: DataFrame, label: str) -> DataFrame:
 def ascii_lower(text: Column) -> Column:
     """A-Z to a-z and nothing else, unlike lower()."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def extended(df: DataFrame, **kinds: str) -> T.StructType:
+    """The schema of `df` with further columns."""
+    schema = T.StructType(list(df.schema.fields))
+    for name, kind in kinds.items():
+        schema = schema.add(name, kind)
+    return schema
