@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oncolake.llm import bpe, language, token_counts
+from oncolake.llm import bpe, decontaminate, language, pii, secrets, token_counts
 from oncolake.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,27 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(bpe.decode(encoded, path))
 
 
+#: Stands in for a key that a deployment reads from its own store.
+PSEUDONYM_KEY = "not-a-secret"
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with pseudonyms in place, and how many values of each kind they replace."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = pii.pseudonymize(docs, PSEUDONYM_KEY, counts="replaced")
+    return done.select(
+        "doc_id", "text", *(F.col("replaced")[k].alias(f"n_{k}") for k in pii.KINDS)
+    )
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside passages of the benchmark."""
+    found = decontaminate.contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+    return decontaminate.digest(found)
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, and whether they pass 1,024."""
     return token_counts.count_tokens(
@@ -31,6 +52,13 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document, by the fixed patterns and the Markov models."""
+    docs = table(spark, sf_dir, "documents")
+    ratios = secrets.train(secrets.labelled_sample(docs))
+    return secrets.digest(secrets.scan(docs, ratios))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from three of four folds."""
     docs = table(spark, sf_dir, "documents").withColumn("held_out", language.held_out())
@@ -40,8 +68,51 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_pii": op5_pii,
+    "op7_decontamination": op7_decontamination,
     "op8_token_counts": op8_token_counts,
+    "op9_secrets": op9_secrets,
     "op10_language_id": op10_language_id,
 }
 
-ORACLES: dict[str, str] = {}
+_WORDS = (
+    "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+    "'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+)
+
+ORACLES: dict[str, str] = {
+    "op5_pii": op5_pii,
+    "op7_decontamination": f"""
+        WITH d AS (
+            SELECT row_number() OVER () AS r, doc_id, coalesce({_WORDS}, []) AS w FROM documents
+        ),
+        b AS (
+            SELECT item_id, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL
+        ),
+        n AS (SELECT item_id, w, least(len(w), 10) AS k FROM b WHERE len(w) > 0),
+        grams AS (
+            SELECT DISTINCT item_id, k, array_to_string(w[i : i + k - 1], ' ') AS g
+            FROM (SELECT item_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM n)
+        ),
+        places AS (
+            SELECT r, k, i, array_to_string(w[i : i + k - 1], ' ') AS g
+            FROM (
+                SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS i
+                FROM d, (SELECT DISTINCT k FROM grams) WHERE len(w) >= k
+            )
+        ),
+        hits AS (SELECT r, i, k, item_id FROM places JOIN grams USING (k, g)),
+        covered AS (
+            SELECT r, count(DISTINCT place) AS n
+            FROM (SELECT r, unnest(range(i, i + k)) AS place FROM hits) GROUP BY r
+        ),
+        items AS (
+            SELECT r, count(*) AS n, string_agg(item, ',' ORDER BY item) AS listed
+            FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY r
+        )
+        SELECT doc_id, len(w) AS n_words, coalesce(covered.n, 0) AS n_hit,
+               coalesce(items.n, 0) AS n_items, sha256(coalesce(listed, '')) AS items_sha256,
+               covered.n IS NOT NULL AS contaminated
+        FROM d LEFT JOIN covered USING (r) LEFT JOIN items USING (r)
+    """,
+}

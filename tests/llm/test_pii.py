@@ -1,0 +1,208 @@
+"""Pseudonyms against a second implementation in Python, and their formats."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+from datetime import date, timedelta
+
+import pytest
+
+from oncolake.llm import pii
+from oncolake.llm.queries import PSEUDONYM_KEY, op5_pii
+
+KEY = "k"
+SF = "/root/testdata/sf0.01"
+
+
+def feistel(key, kind, left, lefts, right, rights):
+    for i in range(pii.ROUNDS):
+        half, size = (right, lefts) if i % 2 == 0 else (left, rights)
+        noise = int(hashlib.sha256(f"{key}|{kind}|{i}|{half}".encode()).hexdigest()[:15], 16) % size
+        if i % 2 == 0:
+            left = (left + noise) % lefts
+        else:
+            right = (right + noise) % rights
+    return left, right
+
+
+def in_base(n, base, size):
+    out = ""
+    for _ in range(size):
+        n, d = divmod(n, base)
+        out = "0123456789abcdefghijklmnopqrstuvwxyz"[d] + out
+    return out
+
+
+def permuted(key, kind, text, base):
+    if not text:
+        return text
+    n = len(text) // 2
+    m = len(text) - n
+    left, right = text[:n], text[n:]
+    a, b = feistel(
+        key, f"{kind}{base}", int(left or "0", base), base**n, int(right, base), base**m
+    )
+    return (in_base(a, base, n) if n else "") + in_base(b, base, m)
+
+
+def fill(value, kept, filling):
+    it = iter(filling)
+    return re.sub(kept, lambda m: next(it), value)
+
+
+def luhn(digits):
+    back = [int(c) for c in reversed(digits)]
+    return sum(d if i % 2 == 0 else sum(divmod(2 * d, 10)) for i, d in enumerate(back)) % 10 == 0
+
+
+def mod97(text):
+    return int("".join(str(int(c, 36)) for c in text)) % 97
+
+
+def card(key, value):
+    d = re.sub("[^0-9]", "", value)
+    if not luhn(d):
+        return None
+    p = d[0] + permuted(key, "card", d[1:-1], 10)
+    check = next(c for c in "0123456789" if luhn(p + c))
+    return fill(value, "[0-9]", p + check)
+
+
+def iban(key, value):
+    t = value.replace(" ", "")
+    if not 15 <= len(t) <= 34 or mod97(t[4:] + t[:4]) != 1:
+        return None
+    a = fill(t[4:], "[0-9]", permuted(key, "iban", re.sub("[^0-9]", "", t[4:]), 10))
+    check = 98 - mod97(a + t[:2] + "00")
+    return fill(value, "[A-Z0-9]", f"{t[:2]}{check:02d}{a}")
+
+
+def phone(key, value):
+    every = re.sub("[^0-9]", "", value)
+    d = every[-10:]
+    if d[0] in "01" or d[3] in "01":
+        return None
+    a, b = feistel(
+        key, "phone", (int(d[:3]) - 200) * 100 + int(d[6:8]), 80000,
+        (int(d[3:6]) - 200) * 100 + int(d[8:]), 80000,
+    )
+    new = f"{a // 100 + 200}{b // 100 + 200}{a % 100:02d}{b % 100:02d}"
+    return fill(value, "[0-9]", every[:-10] + new)
+
+
+def ssn(key, value):
+    area, group, serial = map(int, value.split("-"))
+    if area in (0, 666) or area >= 900 or not group or not serial:
+        return None
+    a, b = feistel(
+        key, "ssn", area - 2 if area > 666 else area - 1, 898,
+        (group - 1) * 9999 + serial - 1, 99 * 9999,
+    )
+    area = a + 2 if a >= 665 else a + 1
+    return f"{area:03d}-{b // 9999 + 1:02d}-{b % 9999 + 1:04d}"
+
+
+def ip(key, value):
+    n = list(map(int, value.split(".")))
+    if max(n) > 255:
+        return None
+    a, b = feistel(key, "ip", n[0] * 256 + n[1], 65536, n[2] * 256 + n[3], 65536)
+    return f"{a // 256}.{a % 256}.{b // 256}.{b % 256}"
+
+
+def day(key, value):
+    p = list(map(int, re.split(r"[-/.]", value)))
+    orders = {"-": ["ymd"], "/": ["mdy", "dmy"], ".": ["dmy"]}[re.search(r"[-/.]", value)[0]]
+    for order in orders:
+        try:
+            d = date(p[order.index("y")], p[order.index("m")], p[order.index("d")])
+        except ValueError:
+            continue
+        if not 1900 <= d.year <= 2099:
+            return None
+        n = (d - date(1900, 1, 1)).days
+        a, b = feistel(key, "date", n // 4297, 17, n % 4297, 4297)
+        d = date(1900, 1, 1) + timedelta(a * 4297 + b)
+        sep = re.search(r"[-/.]", value)[0]
+        parts = {"y": f"{d.year:04d}", "m": f"{d.month:02d}", "d": f"{d.day:02d}"}
+        return sep.join(parts[c] for c in order)
+    return None
+
+
+def email(key, value):
+    local, domain = value.lower().split("@")[0], value.split("@")[1]
+    plain = re.sub("[^a-z0-9]", "", local)
+    new = "".join(permuted(key, "email", plain[i : i + 22], 36) for i in range(0, len(plain), 22))
+    return fill(local, "[a-z0-9]", new) + "@" + domain
+
+
+BRUTE = {"email": email, "iban": iban, "card": card, "ssn": ssn, "phone": phone, "date": day, "ip": ip}
+
+
+def pseudonymized(key, text):
+    counts = dict.fromkeys(pii.KINDS, 0)
+    if text is None:
+        return None, counts
+
+    def change(m):
+        kind = next(k for k in pii._ORDER if re.fullmatch(pii._PATTERNS[k], m[0]))
+        new = BRUTE[kind](key, m[0])
+        counts[kind] += new is not None
+        return m[0] if new is None else new
+
+    return re.sub(pii.ANY, change, text, flags=re.ASCII), counts
+
+
+CASES = [
+    "card 4111 1111 1111 1111 and 4111-1111-1111-1112, again 4111111111111111.",
+    "call +1 (212) 555-2485 or 212-555-2485, not (012) 555-2485",
+    "from 10.0.0.1 to 255.255.255.255, but 300.1.1.1 and 1.2.3 and 1.2.3.4.5 stay",
+    "born 1999-12-31, 12/31/1999, 31/12/1999, 31.12.1999; never 1999-02-30 or 1850-01-01",
+    "ssn 123-45-6789, 000-45-6789, 899-99-9999, 001-01-0001",
+    "IBAN DE89 3704 0044 0532 0130 00 or GB82WEST12345698765432, GB83WEST12345698765432",
+    "Mail Ann.Lee+x@mail8.example.com, ann.lee+x@mail8.example.com, __@a.de; a@b is none",
+    "long " + "a1" * 40 + "@x.org and x@y.org",
+    "é 4111111111111111 中 a@b.org\n\n 1999-12-31",
+    "nothing here", "", "@", "0", None, "1234567", "٣١.١٢.١٩٩٩",
+]
+
+
+@pytest.mark.parametrize("key", [KEY, "other"])
+def test_against_python(spark, key):
+    rows = [(i, t, "x") for i, t in enumerate(CASES)] + [(0, CASES[0], "again")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, kind string")
+    got = pii.pseudonymize(docs, key, counts="n").collect()
+    assert len(got) == len(rows)
+    for row in got:
+        text, counts = pseudonymized(key, CASES[row.doc_id])
+        assert (row.text, row.n) == (text, counts)
+    assert {r.kind for r in got} == {"x", "again"}
+
+
+def test_equal_values_stay_linked(spark):
+    docs = spark.createDataFrame([("a 4111 1111 1111 1111",), ("4111111111111111 b",)], "text string")
+    first, second = (r.text for r in pii.pseudonymize(docs, KEY).collect())
+    assert first[2:].replace(" ", "") == second[:-2] != "4111111111111111"
+    assert luhn(second[:-2])
+
+
+def test_permutes_a_whole_domain():
+    seen = {feistel(KEY, "d", n // 4297, 17, n % 4297, 4297) for n in range(17 * 4297)}
+    assert len(seen) == 17 * 4297
+
+
+def test_empty_table(spark):
+    docs = spark.createDataFrame([], "doc_id int, text string")
+    assert pii.pseudonymize(docs, KEY, counts="n").collect() == []
+
+
+def test_whole_table(spark):
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    got = op5_pii(spark, SF).collect()
+    assert len(got) == len(docs)
+    for row in got:
+        text, counts = pseudonymized(PSEUDONYM_KEY, docs[row.doc_id])
+        assert row.text == text
+        assert {k: row[f"n_{k}"] for k in pii.KINDS} == counts
+    assert sum(r.n_card for r in got) and sum(r.n_email for r in got)
