@@ -8,12 +8,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oncolake.llm import bpe, decontaminate, language, pii, secrets, token_counts
+from oncolake.llm import bpe, decontaminate, language, pii, secrets, simhash, token_counts
 from oncolake.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document and the component that near fingerprints make."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        simhash.hex_of(F.col("fp")).alias("fingerprint"),
+        F.col("component").alias("component_id"),
+    )
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and the bytes they decode to, as digests."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -67,6 +77,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_simhash": op2_simhash,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_pii": op5_pii,
     "op7_decontamination": op7_decontamination,
