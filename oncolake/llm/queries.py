@@ -8,7 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oncolake.llm import bpe, decontaminate, language, pii, secrets, simhash, token_counts
+from oncolake.llm import (
+    bpe,
+    decontaminate,
+    language,
+    packing,
+    pii,
+    secrets,
+    simhash,
+    token_counts,
+)
 from oncolake.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,7 +38,7 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     docs = table(spark, sf_dir, "documents")
     encoded = bpe.encode(docs, path, public_tokenizers.PATTERN, stable_input=True)
-    return bpe.digest(bpe.decode(encoded, path))
+    return bpe.digest(encoded, path)
 
 
 #: Stands in for a key that a deployment reads from its own store.
@@ -45,6 +54,19 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in one of 40 shards of nearly equal size."""
+    return packing.shard(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document inside passages of the benchmark."""
     found = decontaminate.contamination(
@@ -80,6 +102,7 @@ QUERIES: dict[str, Query] = {
     "op2_simhash": op2_simhash,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_pii": op5_pii,
+    "op6_sharding": op6_sharding,
     "op7_decontamination": op7_decontamination,
     "op8_token_counts": op8_token_counts,
     "op9_secrets": op9_secrets,
@@ -93,6 +116,7 @@ _WORDS = (
 
 ORACLES: dict[str, str] = {
     "op5_pii": op5_pii,
+    "op6_sharding": op6_sharding,
     "op7_decontamination": f"""
         WITH d AS (
             SELECT row_number() OVER () AS r, doc_id, coalesce({_WORDS}, []) AS w FROM documents
