@@ -17,8 +17,9 @@ from oncolake.llm import (
     secrets,
     simhash,
     token_counts,
+    warc,
 )
-from oncolake.llm.shared import table
+from oncolake.llm.shared import scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +34,19 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's record, written to archives and read back with payloads verified."""
+    path = scratch(spark, "warc")
+    warc.write(warc.page_records(table(spark, sf_dir, "pages"), "2024-01-01T00:00:00Z"), path)
+    return warc.read(spark, path, payload="verify").select(
+        warc.page_ids("record_id").alias("page_id"),
+        "payload_bytes",
+        F.regexp_replace("payload_digest", "^sha1:", "").alias("payload_digest"),
+        "record_type",
+        warc.page_ids("refers_to").alias("refers_to"),
+    )
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and the bytes they decode to, as digests."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -100,6 +114,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_simhash": op2_simhash,
+    "op3_warc": op3_warc,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_pii": op5_pii,
     "op6_sharding": op6_sharding,
