@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oncolake.llm import (
+    ann,
     bpe,
     decontaminate,
     language,
@@ -24,6 +25,12 @@ from oncolake.llm.shared import scratch, table
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every twentieth vector, among all vectors."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.nearest(vectors, vectors.filter(F.col("vec_id") % 20 == 0), k=20)
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint of every document and the component that near fingerprints make."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -113,6 +120,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_nearest": op1_nearest,
     "op2_simhash": op2_simhash,
     "op3_warc": op3_warc,
     "op4_byte_bpe": op4_byte_bpe,
