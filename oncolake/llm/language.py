@@ -27,9 +27,14 @@ TRAIN_DOC_CHARS = 4_000
 TRAIN_CHARS = 32_000
 
 PIECE = 256
-BLOCK_CHARS = 1_000_000
+BLOCK_CHARS = 4_096 * PIECE
 UNDETERMINED = "und"
 
+#: A text is in none of the languages if phrases of the best one are shorter than this on
+#: average. Texts of fewer characters are too short to tell, and are taken as they come.
+LEAST_PHRASE_CHARS = 1.8
+LEAST_CHARS = 20
+
 SPACE = 1  # class of everything that is no letter; 0 stands behind the end of a piece
 
 
@@ -187,8 +192,12 @@ class Model:
             out[:, k] = np.bincount(of, weights=count[k, place], minlength=len(segments))
         return out
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        """Language and score of each text; the score is the saving against the runner-up."""
+    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float], list[float]]:
+        """Language, score and phrase length of each text.
+
+        The score is the saving of the best language against the runner-up; the phrase length
+        is the characters of a phrase in the best language, on average.
+        """
         lowered = [t.lower() if t else "" for t in texts]
         totals = np.zeros((len(texts), len(self.langs)), np.int64)
         held: list[str] = []
@@ -202,31 +211,29 @@ class Model:
             owners.clear()
 
         for k, text in enumerate(lowered):
-            for start in range(0, len(text), BLOCK_CHARS - BLOCK_CHARS % PIECE):
-                part = text[start : start + BLOCK_CHARS - BLOCK_CHARS % PIECE]
-                held.append(part)
+            for start in range(0, len(text), BLOCK_CHARS):
+                held.append(text[start : start + BLOCK_CHARS])
                 owners.append(k)
-                filled += len(part)
+                filled += len(held[-1])
                 if filled >= BLOCK_CHARS:
                     flush()
                     filled = 0
         flush()
-        letters = _letters()
-        langs, scores = [], []
+        langs, scores, lengths = [], [], []
         cost = totals * np.array(self.bits)
         for k, text in enumerate(lowered):
-            if not self.langs or not letters[_codes(text[:64])].any() and not any(
-                map(str.isalpha, text)
-            ):
+            if not self.langs or not any(map(str.isalpha, text)):
                 langs.append(UNDETERMINED)
                 scores.append(0.0)
+                lengths.append(0.0)
                 continue
             best = int(np.argmin(cost[k]))
             rest = np.delete(cost[k], best)
             second = float(rest.min()) if len(rest) else 0.0
             langs.append(self.langs[best])
             scores.append(1.0 if not len(rest) else (second - float(cost[k, best])) / second)
-        return langs, scores
+            lengths.append(len(text) / int(totals[k, best]))
+        return langs, scores, lengths
 
 
 @lru_cache(maxsize=2)
@@ -242,27 +249,28 @@ def predict_language(
     text_col: str = "text",
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """The id, the columns of `keep`, lang_pred and score of every row of `docs`.
+    """The id, the columns of `keep`, lang_pred, score and phrase_chars of every row of `docs`.
 
     A null or empty text, one without letters, and any text if the sample is empty: 'und' with
-    score 0. Of languages with equal cost the first by name wins, with score 0. Repeated rows
+    score and phrase_chars 0. Of languages with equal cost the first by name wins, with score 0. Repeated rows
     are predicted alike. Other columns are not carried on. Nothing is shuffled; every task
     builds the automata of the bounded sample for itself.
     """
     pairs = tuple(sorted(sample.items()))
     columns = [F.col(id_col), *(F.col(c) for c in keep)]
     source = docs.select(*columns, F.col(text_col).alias("__text"))
-    schema = extended(source.drop("__text"), lang_pred="string", score="double")
+    schema = extended(source.drop("__text"), lang_pred="string", score="double", phrase_chars="double")
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(pairs)
         for batch in batches:
-            langs, scores = model.predict(batch.column("__text").to_pylist())
+            langs, scores, lengths = model.predict(batch.column("__text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [
                     *(batch.column(i) for i in range(batch.num_columns - 1)),
                     pa.array(langs, pa.string()),
                     pa.array(scores, pa.float64()),
+                    pa.array(lengths, pa.float64()),
                 ],
                 names=schema.names,
             )
@@ -275,3 +283,17 @@ def held_out(id_col: str = "doc_id", folds: int = 4, fold: int = 2):
     return F.coalesce(
         F.crc32(F.col(id_col).cast("string")) % folds == fold, F.lit(False)
     )
+
+
+def in_known_language(
+    docs: DataFrame, sample: dict[str, str], id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The rows of `docs` whose text has letters and is in one of the sample's languages."""
+    row = docs.select(F.col(id_col).alias("id"), text_col, F.struct(*docs.columns).alias("row"))
+    found = predict_language(row, sample, "id", text_col, keep=("row",))
+    known = (F.col("phrase_chars") >= LEAST_PHRASE_CHARS) | (
+        F.length(F.col("row")[text_col]) < LEAST_CHARS
+    )
+    return found.filter((F.col("lang_pred") != UNDETERMINED) & known).select(
+        *(F.col("row")[c].alias(c) for c in docs.columns)
+    )

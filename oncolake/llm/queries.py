@@ -138,8 +138,6 @@ _WORDS = (
 )
 
 ORACLES: dict[str, str] = {
-    "op5_pii": op5_pii,
-    "op6_sharding": op6_sharding,
     "op7_decontamination": f"""
         WITH d AS (
             SELECT row_number() OVER () AS r, doc_id, coalesce({_WORDS}, []) AS w FROM documents

@@ -1,0 +1,115 @@
+"""Contamination against brute force, both ways of the join, and what removal leaves."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+
+import pytest
+
+from oncolake.llm import decontaminate as d
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+LONG = "alpha Beta gamma delta Épsilon zeta eta theta iota kappa lamda mu nu"
+ITEMS = [
+    (1, LONG, "x"), (2, "Short item here", None), (2, "short ITEM here", "again"), (3, "...", "x"),
+    (None, "nobody owns these words", "x"), (4, None, "x"), (10, LONG + " xi", "x"), (5, "", "x"),
+]
+DOCS = [
+    (1, "before. " + LONG.upper().replace("É", "É") + " after", "x"),
+    (2, "alpha beta gamma delta épsilon zeta eta theta iota kappa", "x"),
+    (3, "a short, item-here! and short item here short item here", "x"),
+    (4, None, "x"), (5, "", "x"), (6, "?!", "x"), (7, "nobody owns these words", "x"),
+    (None, LONG, "x"), (3, "a short, item-here! and", "y"), (3, "clean", "z"),
+    (8, "clean words only " * 5000 + LONG + " tail " * 5000, "x"),
+    (9, "alpha beta gamma delta Épsilon zeta eta theta iota", "x"),
+    (11, LONG.replace("gamma", "Kamma"), "x"),
+]
+
+
+def words(text):
+    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return WORD.findall(lowered)
+
+
+def brute(docs, items, width=10):
+    grams = {}
+    for id_, text, *_ in items:
+        w = words(text)
+        k = min(width, len(w))
+        if id_ is not None and w:
+            for i in range(len(w) - k + 1):
+                grams.setdefault(tuple(w[i : i + k]), set()).add(str(id_))
+    out = []
+    for id_, text, *_ in docs:
+        w, hit, found = words(text), set(), set()
+        for k in {len(g) for g in grams}:
+            for i in range(len(w) - k + 1):
+                if own := grams.get(tuple(w[i : i + k])):
+                    hit |= set(range(i, i + k))
+                    found |= own
+        listed = ",".join(sorted(found)).encode()
+        out.append(
+            (id_, len(w), len(hit), len(found), hashlib.sha256(listed).hexdigest(), bool(hit))
+        )
+    return sorted(out, key=repr)
+
+
+def tables(spark):
+    docs = spark.createDataFrame(DOCS, "doc_id long, text string, items string")
+    items = spark.createDataFrame(ITEMS, "item_id long, text string, doc_id string")
+    return docs, items
+
+
+@pytest.mark.parametrize("vocabulary", [d.MAX_VOCABULARY, 3])
+@pytest.mark.parametrize("broadcast", [d.BROADCAST_BYTES, 0])
+@pytest.mark.parametrize("width", [10, 3])
+def test_against_brute_force(spark, monkeypatch, vocabulary, broadcast, width):
+    monkeypatch.setattr(d, "MAX_VOCABULARY", vocabulary)
+    monkeypatch.setattr(d, "BROADCAST_BYTES", broadcast)
+    docs, items = tables(spark)
+    got = d.digest(d.contamination(docs, items, width=width)).collect()
+    assert sorted(map(tuple, got), key=repr) == brute(DOCS, ITEMS, width)
+    assert sum(r.contaminated for r in got) >= 5
+
+
+def test_empty_tables(spark):
+    docs, items = tables(spark)
+    assert d.contamination(docs.limit(0), items).collect() == []
+    clean = d.contamination(docs, items.limit(0)).collect()
+    assert len(clean) == len(DOCS) and {r.n_hit for r in clean} == {0}
+    assert {r.n_words for r in clean} > {0}
+
+
+def test_documents_are_removed(spark):
+    docs, items = tables(spark)
+    left = d.decontaminate(docs, items)
+    assert left.columns == docs.columns
+    clean = [r for r, b in zip(DOCS, brute_in_order(), strict=True) if not b]
+    assert sorted(map(tuple, left.collect()), key=repr) == sorted(clean, key=repr)
+
+
+def brute_in_order():
+    return [brute([doc], ITEMS)[0][-1] for doc in DOCS]
+
+
+def test_spans_are_removed(spark):
+    docs, items = tables(spark)
+    left = d.decontaminate(docs, items, remove="spans").collect()
+    assert len(left) == len(DOCS)
+    text = {(r.doc_id, r["items"]): r.text for r in left}
+    assert text[1, "x"] == "before. after"
+    assert text[3, "z"] == "clean"
+    assert text[9, "x"] == DOCS[11][1] and text[4, "x"] is None
+    assert text[3, "y"] == "a and"
+    assert text[8, "x"] == "clean words only " * 5000 + "tail " + " tail " * 4999
+    again = d.contamination(spark.createDataFrame(left), items).filter("n_hit > 0")
+    assert again.count() == 0
+    with pytest.raises(ValueError):
+        d.decontaminate(docs, items, remove="all")
+
+
+def test_no_python_in_the_plan(spark):
+    docs, items = tables(spark)
+    plan = d.contamination(docs, items)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
