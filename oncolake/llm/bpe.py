@@ -28,7 +28,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from oncolake.llm.pretokens import blocks, pack, unpack
+from oncolake.llm.pretokens import blocks, bounds, number_words, pack, ragged, unpack
 from oncolake.llm.shared import extended, written
 
 #: Ids of the texts that leave a task at once, at least.
@@ -54,31 +54,13 @@ def _word_encoder(path: str):
     return core._encode_single_piece
 
 
-def _blocks_of(batches, pattern: str):
-    """(block, check sum, words, keys, numbers) of one input partition."""
-    origin: list[int] = []
-
-    def rows():
-        for batch in batches:
-            if batch.num_rows and not origin:
-                origin.append(batch.column(0)[0].as_py())
-            for key, text in zip(batch.column(1), batch.column(2).to_pylist(), strict=True):
-                yield key.as_py(), text
-
-    for k, block in enumerate(blocks(rows(), pattern)):
-        words, numbers = block.by_frequency()
-        raw = [w.encode() for w in words]
+def _blocks_of(batches: Iterator[pa.RecordBatch], pattern: str):
+    """(block, check sum, rows, words, numbered texts) of the rows of one input partition."""
+    for k, (rows, texts) in enumerate(blocks(batches, 2)):
+        numbered = number_words(texts, pattern).by_frequency()
+        raw = [w.encode() for w in numbered.words]
         total = zlib.crc32(b"\0".join(raw)) * (1 << 24) + len(raw) % (1 << 24)
-        yield (origin[0] << 32) + k, total, raw, block.keys, numbers
-
-
-def _bounds(sizes: np.ndarray) -> np.ndarray:
-    return np.concatenate([[0], np.cumsum(sizes)])
-
-
-def _ragged(start: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Indices of consecutive stretches."""
-    return np.repeat(start - _bounds(size)[:-1], size) + np.arange(int(size.sum()))
+        yield (rows.column(0)[0].as_py() << 32) + k, total, rows, raw, numbered
 
 
 def encode(
@@ -108,7 +90,7 @@ def encode(
     key = source.schema["key"]
 
     def split_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, total, words, _, _ in _blocks_of(batches, pattern):
+        for block, total, _, words, _ in _blocks_of(batches, pattern):
             if not words:
                 continue
             bucket = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % buckets
@@ -134,9 +116,9 @@ def encode(
             for row in batch.select(["bucket", "words", "sizes"]).to_pylist():
                 if row["bucket"] != bucket:
                     bucket, ids = row["bucket"], {}
-                bounds = _bounds(unpack(row["sizes"])).tolist()
+                ends = bounds(unpack(row["sizes"])).tolist()
                 found = []
-                for a, b in zip(bounds, bounds[1:], strict=False):
+                for a, b in zip(ends, ends[1:], strict=False):
                     word = row["words"][a:b]
                     got = ids.get(word)
                     if got is None:
@@ -157,30 +139,22 @@ def encode(
             )
 
     def split_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        arrow_key = None
-        held = []
-
-        def tap():
-            nonlocal arrow_key
-            for batch in batches:
-                arrow_key = batch.schema.field(1).type
-                yield batch
-
-        for block, total, _, keys, numbers in _blocks_of(tap(), pattern):
-            held = [pack(n) for n in numbers]
-            nothing = pa.nulls(len(keys), pa.binary())
-            yield pa.RecordBatch.from_arrays(
+        for block, total, rows, _, texts in _blocks_of(batches, pattern):
+            n, ends = rows.num_rows, texts.ends.tolist()
+            packed = [pack(texts.numbers[a:b]) for a, b in zip(ends, ends[1:], strict=False)]
+            nothing = pa.nulls(n, pa.binary())
+            yield from pa.Table.from_arrays(
                 [
-                    pa.array([block] * len(keys), pa.int64()),
-                    pa.array([total] * len(keys), pa.int64()),
-                    pa.array([1] * len(keys), pa.int32()),
+                    pa.array([block] * n, pa.int64()),
+                    pa.array([total] * n, pa.int64()),
+                    pa.array([1] * n, pa.int32()),
                     nothing,
                     nothing,
-                    pa.array(held, pa.binary()),
-                    pa.array(keys, arrow_key),
+                    pa.array(packed, pa.binary()),
+                    rows.column(1),
                 ],
                 names=["block", "sum", "kind", "numbers", "sizes", "data", "key"],
-            )
+            ).to_batches()
 
     def put_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, total, parts = None, None, []
@@ -191,7 +165,7 @@ def encode(
             lengths = np.fromiter(map(len, out), np.int64, len(out))
             values = np.concatenate(out) if out else np.zeros(0)
             listed = pa.ListArray.from_arrays(
-                pa.array(_bounds(lengths), pa.int32()), pa.array(values.astype(np.int32))
+                pa.array(bounds(lengths), pa.int32()), pa.array(values.astype(np.int32))
             )
             return pa.RecordBatch.from_arrays([pa.array(keys, arrow_key), listed], ["key", "ids"])
 
@@ -212,7 +186,7 @@ def encode(
                         raise RuntimeError(f"words of block {block} are missing")
                 at = unpack(row["data"])
                 keys.append(row["key"])
-                out.append(flat[_ragged(start[at], size[at])] if len(at) else flat[:0])
+                out.append(flat[ragged(start[at], size[at])] if len(at) else flat[:0])
                 filled += len(out[-1])
                 if filled >= OUT_IDS:
                     yield batch_of()
@@ -248,15 +222,15 @@ def _dictionary(parts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     sizes = np.concatenate([unpack(s) for _, s, _ in parts])
     flat = np.concatenate([unpack(d) for _, _, d in parts])
     start, size = np.empty_like(number), np.empty_like(number)
-    start[number], size[number] = _bounds(sizes)[:-1], sizes
+    start[number], size[number] = bounds(sizes)[:-1], sizes
     return start, size, flat
 
 
 def _lists(column: pa.ListArray) -> Iterator[list[int]]:
     """The rows of a list column; a null is an empty one."""
     values = column.values.to_numpy(zero_copy_only=False)
-    bounds = column.offsets.to_numpy().tolist()
-    for k, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)):
+    ends = column.offsets.to_numpy().tolist()
+    for k, (a, b) in enumerate(zip(ends, ends[1:], strict=False)):
         yield values[a:b].tolist() if column[k].is_valid else []
 
 
@@ -289,7 +263,7 @@ def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = token_bytes(path)
         for batch in batches:
-            texts = [b"".join(map(table.__getitem__, ids)) for ids in _lists(batch.column(1))]
+            texts = [_joined(table, ids) for ids in _lists(batch.column(1))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.binary())], schema.names
             )
@@ -297,22 +271,29 @@ def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
     return source.mapInArrow(join, schema)
 
 
-def digest(decoded: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The id, n_tokens, and SHA-256 of the decimal ids and of the decoded bytes."""
-    source = decoded.select(F.col(id_col), "ids", "decoded")
+def _joined(table: list[bytes | None], ids: list[int]) -> bytes:
+    return b"".join(map(table.__getitem__, ids))
+
+
+def digest(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
+    """The id, n_tokens, and SHA-256 of the decimal ids and of the bytes they decode to.
+
+    Decodes and hashes in one task, so that decoded texts need not leave it.
+    """
+    source = encoded.select(F.col(id_col), F.col(ids_col))
     schema = extended(
         source.select(id_col), n_tokens="long", ids_sha256="string", decoded_sha256="string"
     )
 
     def hash_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        text = _Decimals()
+        table, decimal = token_bytes(path), _Decimals()
         for batch in batches:
             counts, ids, texts = [], [], []
-            for row, decoded in zip(_lists(batch.column(1)), batch.column(2), strict=True):
+            for row in _lists(batch.column(1)):
                 counts.append(len(row))
-                listed = " ".join(map(text.__getitem__, row))
+                listed = " ".join(map(decimal.__getitem__, row))
                 ids.append(hashlib.sha256(listed.encode()).hexdigest())
-                texts.append(hashlib.sha256(decoded.as_py() or b"").hexdigest())
+                texts.append(hashlib.sha256(_joined(table, row)).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),

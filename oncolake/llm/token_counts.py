@@ -9,15 +9,17 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from oncolake.llm.pretokens import blocks
+from oncolake.llm.pretokens import blocks, bounds, number_words
 from oncolake.llm.shared import extended
 
 #: Longer sequences are merged one by one with a heap: rounds would pass over them too often.
@@ -198,33 +200,39 @@ def count_tokens(
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         merges = _merges(path)
-        split = _splitter(tuple(merges.special))
-        for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            total = np.zeros(len(texts), np.int64)
-            parts = []
-            for k, text in enumerate(texts):
-                pieces = split(text) if split else [text]
-                total[k] += len(pieces) - 1
-                parts += [(k, piece) for piece in pieces if piece]
-            for block in blocks(parts, pattern):
-                tokens = merges.counts([w.encode() for w in block.words])
-                for k, numbers in zip(block.keys, block.numbers, strict=True):
-                    total[k] += tokens[numbers].sum()
-            n_bytes = np.fromiter((len(t.encode()) for t in texts), np.int64, len(texts))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n_bytes), pa.array(total), pa.array(total > max_tokens)],
+        for rows, texts in blocks(batches, 1):
+            owner, pieces = _between_special(texts, merges.special)
+            block = number_words(pieces, pattern)
+            tokens = merges.counts([w.encode() for w in block.words])
+            ends = bounds(tokens[block.numbers])[block.ends]
+            # A text in several pieces has one added token between each two of them.
+            total = np.bincount(owner, weights=np.diff(ends) + 1, minlength=len(texts)) - 1
+            total = total.astype(np.int64)
+            yield from pa.Table.from_arrays(
+                [
+                    rows.column(0),
+                    pc.cast(pc.binary_length(texts), pa.int64()),
+                    pa.array(total),
+                    pa.array(total > max_tokens),
+                ],
                 names=schema.names,
-            )
+            ).to_batches()
 
     return source.mapInArrow(count, schema)
 
 
-def _splitter(special: tuple[str, ...]):
-    """Cuts a text at the strings of added tokens, the leftmost and then the longest."""
-    if not special:
-        return None
-    import re
+def _between_special(texts: pa.Array, special: list[str]) -> tuple[np.ndarray, pa.Array]:
+    """The pieces of the texts between strings of added tokens, and whose pieces they are.
 
-    ordered = sorted(special, key=len, reverse=True)
-    return re.compile("|".join(map(re.escape, ordered))).split
+    The leftmost string cuts, of those at one place the longest.
+    """
+    owner = np.arange(len(texts))
+    found = np.zeros(len(texts), bool)
+    for string in special:
+        found |= pc.match_substring(texts, string).to_numpy(zero_copy_only=False)
+    if not found.any():
+        return owner, texts
+    cut = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True)))).split
+    pieces = [cut(t) if f else [t] for t, f in zip(texts.to_pylist(), found, strict=True)]
+    owner = np.repeat(owner, [len(p) for p in pieces])
+    return owner, pa.array([piece for p in pieces for piece in p], pa.string())
