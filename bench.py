@@ -6,6 +6,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -69,6 +70,8 @@ def main() -> None:
             "spark.sql.shuffle.partitions": CPUS,
             "spark.driver.memory": os.environ.get("BENCH_MEMORY", "16g"),
             "spark.ui.enabled": "false",
+            # One process: a temporary folder is shared by all there is.
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="oncolake-bench-"),
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -1,25 +1,28 @@
-"""Fields of a namespaced XML report, by XPath in the JVM."""
+"""Fields of a namespaced XML report.
+
+A report is parsed once, by a namespace-aware parser over Arrow batches: XPath in the JVM knows
+no namespaces, stops a job at a document that is no XML, and splits a text at a comment.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from xml.parsers import expat
+from xml.etree import ElementTree
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType
+from pyspark.sql import types as T
 
 ABSENT = "N/A"
-# A character that no XML document can hold: it parts the fields of one evaluation.
-_SEPARATOR = "\x01"
+WELL_FORMED = "well_formed"
 
 
 @dataclass(frozen=True)
 class ReportField:
-    """An element by local name and namespace, at any depth below the root; `nested` asks
-    for a parent that is not the root."""
+    """An element by name and namespace, at any depth below the root; `nested` asks for a
+    parent that is not the root."""
 
     column: str
     name: str
@@ -27,14 +30,8 @@ class ReportField:
     nested: bool = False
 
     @property
-    def elements(self) -> str:
-        depth = "/*//*/*" if self.nested else "/*//*"
-        return f"{depth}[local-name()='{self.name}']"
-
-    @property
-    def first_text(self) -> str:
-        """The text that the content of the first such element starts with."""
-        return f"({self.elements})[1]/node()[1][self::text()]"
+    def path(self) -> str:
+        return f"{'.//*/' if self.nested else './/'}{{{self.namespace}}}{self.name}"
 
 
 # Element names and namespaces of the clinical reports.
@@ -52,44 +49,33 @@ CLINICAL_FIELDS = (
 )
 
 
+def _read(text: str | None, fields: tuple[ReportField, ...]) -> tuple:
+    """Whether a text is one XML document, and the text of each field."""
+    try:
+        root = ElementTree.fromstring(text or "")
+    except (ElementTree.ParseError, ValueError):
+        return (False, *(None for _ in fields))
+    found = (root.find(field.path) for field in fields)
+    return (True, *(ABSENT if e is None else e.text for e in found))
+
+
 def report_fields(
     document: Column, fields: tuple[ReportField, ...] = CLINICAL_FIELDS
-) -> list[Column]:
-    """Text of each field: 'N/A' where the element is absent, null where it is empty.
-
-    One XPath evaluation gives the texts of all fields, so a document is parsed once. Only
-    where a text is empty, and the document does hold the name, a second one tells an empty
-    element from an absent one. XPath in Spark does not know namespaces; a field counts as
-    present only if the document declares its namespace. A document that is no XML fails the
-    job.
+) -> Column:
+    """struct(well_formed, a text per field): 'N/A' where the element is absent, null where it
+    is empty, or where the document is no XML.
+
+    A field is the first element of its name and namespace, whatever its prefix; its text is
+    what stands before its first child, comments aside.
     """
-    texts = f",'{_SEPARATOR}',".join(f.first_text for f in fields)
-    parts = F.split(F.xpath_string(document, F.lit(f"concat({texts})")), _SEPARATOR)
-    columns = []
-    for i, field in enumerate(fields):
-        text = F.get(parts, F.lit(i))
-        empty = document.contains(field.name) & F.xpath_boolean(document, F.lit(field.elements))
-        columns.append(
-            F.when(text.isNull(), F.raise_error(F.lit("empty report")))
-            .when(~document.contains(field.namespace), F.lit(ABSENT))
-            .when(text != "", text)
-            .when(empty, F.lit(None))
-            .otherwise(F.lit(ABSENT))
-            .alias(field.column)
-        )
-    return columns
-
-
-@F.pandas_udf(BooleanType())
-def is_well_formed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """Whether each text is one XML document. XPath cannot report this without failing."""
-
-    def parses(text: str | None) -> bool:
-        try:
-            expat.ParserCreate(namespace_separator=" ").Parse(text or "", True)
-        except expat.ExpatError:
-            return False
-        return True
-
-    for texts in batches:
-        yield texts.map(parses).astype(bool)
+    schema = T.StructType([T.StructField(WELL_FORMED, T.BooleanType())])
+    for field in fields:
+        schema = schema.add(field.column, T.StringType())
+
+    @F.pandas_udf(schema)
+    def parse(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            rows = [_read(text, fields) for text in texts]
+            yield pd.DataFrame(rows, columns=schema.names)
+
+    return parse(document)

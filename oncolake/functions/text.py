@@ -54,6 +54,10 @@ def unquote(text: Column) -> Column:
     return F.when(quoted, inner).otherwise(text)
 
 
+# Parts the groups of one search. Texts that hold it are searched for each group.
+_MARK = "\x01"
+
+
 def regex_extract(text: Column, pattern: str) -> Column:
     """First group of the first match, ignoring case; empty text where nothing matches."""
     return F.regexp_extract(text, f"(?iu){pattern}", 1)
@@ -62,8 +66,20 @@ def regex_extract(text: Column, pattern: str) -> Column:
 def regex_extract_groups(text: Column, pattern: str, groups: int) -> Column:
     """Groups 1..n of the first match, ignoring case; an empty array where nothing matches."""
     caseless = f"(?iu){pattern}"
-    found = F.array(*[F.regexp_extract(text, caseless, g) for g in range(1, groups + 1)])
-    return F.when(text.rlike(caseless), found).otherwise(F.array().cast("array<string>"))
+    # One search: the match, and all before and behind it, give way to the groups.
+    marks = _MARK + "".join(f"${g}{_MARK}" for g in range(1, groups + 1))
+    replaced = F.regexp_replace(text, rf"(?iu)^[\s\S]*?(?:{pattern})[\s\S]*$", marks)
+    found = F.when(
+        F.startswith(replaced, F.lit(_MARK)),
+        F.slice(F.split(replaced, _MARK, -1), F.lit(2), F.lit(groups)),
+    )
+    searched = F.when(
+        text.rlike(caseless),
+        F.array(*[F.regexp_extract(text, caseless, g) for g in range(1, groups + 1)]),
+    )
+    marked = F.contains(text, F.lit(_MARK))
+    nothing = F.array().cast("array<string>")
+    return F.coalesce(F.when(marked, searched).otherwise(found), nothing)
 
 
 def glue(ids: Column) -> Column:
@@ -84,3 +100,24 @@ def compact_name(name: Column) -> Column:
 def gene_label(gene_name: Column, info: Column) -> Column:
     """Gene name, a line break, and the description up to its source note."""
     return F.concat(gene_name, F.lit("<br />"), F.substring_index(info, "[", 1))
+
+
+_GLOB = {"*": "[^/]*", "?": "[^/]", "{": "(?:", "}": ")", ",": "|"}
+
+
+def folder_pattern(glob: str) -> str:
+    """A regular expression for the paths below the folders that a file pattern names."""
+    out, depth, inside = [], 0, False
+    for c in glob.strip("/"):
+        if inside:
+            inside = c != "]"
+            out.append("^" if c in "^!" and out[-1] == "[" else c)
+        elif c == "[":
+            inside = True
+            out.append(c)
+        elif c in "{}*?" or (c == "," and depth):
+            depth += (c == "{") - (c == "}")
+            out.append(_GLOB[c])
+        else:
+            out.append(c if c.isalnum() or c in "_/" else "\\" + c)
+    return "^" + "".join(out) + "/"

@@ -1,10 +1,11 @@
-"""The five jobs, from input files to report tables below one base folder.
+"""The jobs, from input files to report tables below one base folder.
 
     python -m oncolake.jobs catalog    BASE --metadata FILE --manifest FILE
-    python -m oncolake.jobs clinical   BASE --root DIR [--on-error quarantine]
-    python -m oncolake.jobs expression BASE --root DIR [--under PART]
+    python -m oncolake.jobs clinical   BASE --root DIR [--under PART] [--on-error quarantine]
+    python -m oncolake.jobs expression BASE --root DIR [--under PART] [--on-missing record]
     python -m oncolake.jobs genome     BASE --root DIR [--layout embl]
-    python -m oncolake.jobs reports    BASE
+    python -m oncolake.jobs layout     BASE --buckets N
+    python -m oncolake.jobs reports    BASE [--buckets N]
 
 Every job writes its results whole and reads what earlier jobs wrote, so each can be run again.
 """
@@ -23,7 +24,7 @@ from oncolake.operators.reports import save_reports
 from oncolake.operators.serving import project_summary
 from oncolake.session import build_session
 from oncolake.sources import files
-from oncolake.sources.tables import load_table, save_table
+from oncolake.sources.tables import load_bucketed, load_table, save_bucketed, save_table
 
 
 def _lists(spark: SparkSession, base: str) -> DataFrame:
@@ -39,11 +40,18 @@ def _list(spark: SparkSession, base: str, table: str) -> DataFrame:
 
 
 def run_catalog(
-    spark: SparkSession, base: str, metadata: str, manifest: str, multi_line: bool = True
+    spark: SparkSession,
+    base: str,
+    metadata: str,
+    manifest: str,
+    multi_line: bool = True,
+    each_case: bool = False,
 ) -> None:
     """File lists and the patients they name. The join of both inputs runs once."""
     index = catalog.build_index(
-        files.read_manifest(spark, manifest), files.read_metadata(spark, metadata, multi_line)
+        files.read_manifest(spark, manifest),
+        files.read_metadata(spark, metadata, multi_line),
+        each_case,
     )
     save_table(
         catalog.with_list_table(index),
@@ -56,28 +64,44 @@ def run_catalog(
     save_table(catalog.repeated_cases(patients), f"{base}/repeated_cases", mode="overwrite")
 
 
+def _batch(under: str) -> str:
+    return quote(under, safe="") or "everything"
+
+
 def run_clinical(
-    spark: SparkSession, base: str, root: str, on_error: str = "fail", glob: str = "*.xml"
+    spark: SparkSession,
+    base: str,
+    root: str,
+    on_error: str = "fail",
+    under: str = "",
+    glob: str = "*.xml",
 ) -> None:
-    """Clinical records, the patient table with them, and its summary.
+    """Clinical records of the reports under one part of the archive, as one batch; the patient
+    table with all batches so far, and its summary.
 
-    A listed report that is missing or malformed stops the job. With on_error='quarantine'
-    both kinds are written to tables of their own, and the rest goes on.
+    A listed report that is missing or malformed stops the job before any table but its own
+    staged one is touched. With on_error='quarantine' both kinds are written to tables of their
+    own, and the rest goes on. To run a part again replaces its batch; parts must not overlap.
     """
-    paths = catalog.file_paths(_list(spark, base, "xml_list"))
-    present = files.list_files(spark, root, glob)
+    batch = _batch(under)
+    paths = catalog.under_part(catalog.file_paths(_list(spark, base, "xml_list")), under)
+    parsed = clinical.parse_reports(files.read_documents(spark, root, glob, under))
+    # The archive is read here and nowhere else: what is missing or malformed is told from it.
+    staged = f"{base}/staged_reports/batch={batch}"
+    save_table(clinical.listed_reports(parsed, paths), staged, mode="overwrite")
+    listed = load_table(spark, staged)
+    missing = catalog.missing_files(paths, listed)
     if on_error == "fail":
-        catalog.require_files(paths, present)
-    listed = clinical.listed_reports(files.read_documents(spark, root, glob), paths)
+        catalog.require_none(missing)
     records = clinical.extract_clinical(listed, on_error)
-    save_table(records, f"{base}/clinical", mode="overwrite")
+    save_table(records, f"{base}/clinical/batch={batch}", mode="overwrite")
     if on_error == "quarantine":
-        missing = catalog.missing_files(paths, present)
-        save_table(missing, f"{base}/missing_reports", mode="overwrite")
+        save_table(missing, f"{base}/missing_reports/batch={batch}", mode="overwrite")
         malformed = clinical.malformed_reports(listed)
-        save_table(malformed, f"{base}/malformed_reports", mode="overwrite")
+        save_table(malformed, f"{base}/malformed_reports/batch={batch}", mode="overwrite")
     patients = load_table(spark, f"{base}/new_patients")
-    updated = clinical.update_patients(patients, load_table(spark, f"{base}/clinical"))
+    every = load_table(spark, f"{base}/clinical", schema=schemas.CLINICAL).drop("batch")
+    updated = clinical.update_patients(patients, every)
     save_table(updated, f"{base}/patient_info", mode="overwrite")
     summary = project_summary(load_table(spark, f"{base}/patient_info"))
     save_table(summary, f"{base}/project_summary", mode="overwrite")
@@ -88,30 +112,65 @@ def run_expression(
     base: str,
     root: str,
     under: str = "",
+    on_missing: str = "fail",
     glob: str = files.EXPRESSION_FILES,
     check_gzip: bool = False,
 ) -> None:
     """Measures of the files under one part of the archive, as one batch of the table.
 
-    To run a part again replaces its batch; parts must not overlap. `check_gzip` is for
-    archives with damaged files; set `spark.sql.files.ignoreCorruptFiles` along with it.
+    Listed files that are not there are written to a table of their own; they stop the job
+    before any other table is touched, or with on_missing='record' the rest goes on. To run a
+    part again replaces its batch; parts must not overlap. `check_gzip` is for archives with
+    damaged files; set `spark.sql.files.ignoreCorruptFiles` along with it.
     """
-    batch = quote(under, safe="") or "everything"
-    paths = catalog.expression_files(catalog.file_paths(_list(spark, base, "txt_list")))
+    if on_missing not in ("fail", "record"):
+        raise ValueError(f"unknown on_missing: {on_missing}")
+    batch = _batch(under)
+    listed = catalog.expression_files(catalog.file_paths(_list(spark, base, "txt_list")))
+    # Only the list rows of the part: the smaller the part, the sooner its list can be copied.
+    paths = catalog.under_part(listed, under)
+    present = files.list_files(spark, root, glob, under)
+    missing = f"{base}/missing_files/batch={batch}"
+    save_table(catalog.missing_files(paths, present), missing, mode="overwrite")
+    if on_missing == "fail":
+        catalog.require_none(load_table(spark, missing))
+    # The text is read once, into this table.
+    staged = f"{base}/staged_lines/batch={batch}"
     lines = files.read_lines(spark, root, glob, under)
-    rejected = expression.rejected_files(lines)
+    save_table(expression.stage_lines(lines), staged, mode="overwrite")
+    stage = load_table(spark, staged)
+    rejected = expression.rejected_files(stage)
     if check_gzip:
         damaged = files.damaged_gzip_files(spark, root, "*.gz", under)
         rejected = rejected.unionByName(damaged.withColumn("bad_lines", F.lit(None)))
-    # The first pass over the lines is kept: the second starts from its result.
     rejections = f"{base}/rejected_files/batch={batch}"
     save_table(rejected, rejections, mode="overwrite")
-    rows = expression.ingest_expression(lines, paths, load_table(spark, rejections))
+    rows = expression.ingest_expression(stage, paths, load_table(spark, rejections))
     save_table(
         expression.clustered(rows), f"{base}/gene_expr_table/batch={batch}", mode="overwrite"
     )
 
 
+BY_CASE = {"schema": schemas.GENE_EXPR, "key": "case_id", "sort_by": "gene_id"}
+
+
+def run_layout(spark: SparkSession, base: str, buckets: int) -> None:
+    """All batches of measures once more, dealt to buckets by case.
+
+    Reports then join them with a cohort of any size where they are. Worth it once the cohort is
+    too large to be copied; below that, the batches clustered by gene serve as they are.
+    """
+    measures = load_table(spark, f"{base}/gene_expr_table", schema=schemas.GENE_EXPR)
+    save_bucketed(
+        measures.drop("batch"),
+        "gene_expr_by_case",
+        f"{base}/gene_expr_by_case",
+        BY_CASE["key"],
+        buckets,
+        BY_CASE["sort_by"],
+    )
+
+
 def run_genome(
     spark: SparkSession,
     base: str,
@@ -128,10 +187,21 @@ def run_genome(
     save_table(genome.repeated_genes(parsed), f"{base}/repeated_genes", mode="overwrite")
 
 
-def run_reports(spark: SparkSession, base: str) -> None:
-    """All report tables."""
+def run_reports(spark: SparkSession, base: str, buckets: int = 0) -> None:
+    """All report tables; with `buckets`, from the measures that `run_layout` dealt to as many."""
+    if buckets:
+        measures = load_bucketed(
+            spark,
+            "gene_expr_by_case",
+            f"{base}/gene_expr_by_case",
+            buckets=buckets,
+            **BY_CASE,
+        )
+    else:
+        measures = load_table(spark, f"{base}/gene_expr_table", schema=schemas.GENE_EXPR)
+        measures = measures.drop("batch")
     save_reports(
-        load_table(spark, f"{base}/gene_expr_table", schema=schemas.GENE_EXPR).drop("batch"),
+        measures,
         load_table(spark, f"{base}/patient_info"),
         load_table(spark, f"{base}/hs_genome"),
         base,
@@ -146,6 +216,7 @@ def main(argv: list[str] | None = None) -> None:
         "clinical": ["--root"],
         "expression": ["--root"],
         "genome": ["--root"],
+        "layout": [],
         "reports": [],
     }
     for name, required in arguments.items():
@@ -154,10 +225,17 @@ def main(argv: list[str] | None = None) -> None:
         for option in required:
             job.add_argument(option, required=True)
     jobs.choices["catalog"].add_argument("--json-lines", dest="multi_line", action="store_false")
+    jobs.choices["catalog"].add_argument("--each-case", action="store_true")
     jobs.choices["clinical"].add_argument(
         "--on-error", choices=["fail", "quarantine"], default="fail"
     )
-    jobs.choices["expression"].add_argument("--under", default="")
+    for name in ("clinical", "expression"):
+        jobs.choices[name].add_argument("--under", default="")
+    jobs.choices["expression"].add_argument(
+        "--on-missing", choices=["fail", "record"], default="fail"
+    )
+    jobs.choices["layout"].add_argument("--buckets", type=int, required=True)
+    jobs.choices["reports"].add_argument("--buckets", type=int, default=0)
     jobs.choices["expression"].add_argument("--check-gzip", action="store_true")
     jobs.choices["genome"].add_argument(
         "--layout", choices=sorted(files.GENE_LINE), default="genbank"
@@ -168,6 +246,7 @@ def main(argv: list[str] | None = None) -> None:
         "clinical": run_clinical,
         "expression": run_expression,
         "genome": run_genome,
+        "layout": run_layout,
         "reports": run_reports,
     }[options.pop("job")]
     run(build_session(f"oncolake-{run.__name__}"), **options)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from oncolake.functions.text import file_path, glue
+from oncolake.functions.text import file_path, folder_pattern, glue
 from oncolake.plans.joins import lookup_join
 
 # The table that lists the files of each format, the table of all others, the
@@ -21,18 +21,26 @@ def without_excluded(metadata: DataFrame) -> DataFrame:
     return metadata.filter(F.col("data_format") != EXCLUDED_FORMAT)
 
 
-def build_index(manifest: DataFrame, metadata: DataFrame) -> DataFrame:
+def build_index(manifest: DataFrame, metadata: DataFrame, each_case: bool = False) -> DataFrame:
     """One row per file known to both inputs, joined on file name.
 
-    `metadata` holds nested cases; the ids of several cases in one file are glued together.
+    `metadata` holds nested cases; the ids of several cases in one file are glued together, and
+    are then no patient's id. With `each_case` such a file has a row for every case instead,
+    with that case's ids. A file without cases has empty ids either way.
     Both sides grow with the archive, so neither is broadcast by hint. A file name that many
     rows share makes a hot partition, which adaptive execution cuts on either side.
     """
-    known = without_excluded(metadata).select(
+    known = without_excluded(metadata)
+    if each_case:
+        known = known.select("file_name", "data_format", F.explode_outer("cases").alias("case"))
+        project, case = F.array("case.project.project_id"), F.array("case.case_id")
+    else:
+        project, case = F.col("cases.project.project_id"), F.col("cases.case_id")
+    known = known.select(
         "file_name",
         "data_format",
-        glue(F.col("cases.project.project_id")).alias("project_id"),
-        glue(F.col("cases.case_id")).alias("case_id"),
+        glue(project).alias("project_id"),
+        glue(case).alias("case_id"),
     )
     return manifest.join(known, F.col("filename") == F.col("file_name"), "inner").select(
         "path", "filename", "data_format", "project_id", "case_id"
@@ -93,26 +101,38 @@ def file_paths(files: DataFrame) -> DataFrame:
     return files.select("case_id", file_path(F.col("path"), F.col("filename")).alias("filepath"))
 
 
+def under_part(paths: DataFrame, under: str) -> DataFrame:
+    """Listed files in the folders that a file pattern names; all if it is empty.
+
+    A row without a path belongs to no part, and is kept when there are no parts.
+    """
+    return paths.filter(F.col("filepath").rlike(folder_pattern(under))) if under else paths
+
+
 def expression_files(paths: DataFrame) -> DataFrame:
     """Listed files whose path carries the mark of a normalised expression file."""
     return paths.filter(F.col("filepath").contains(EXPRESSION_MARK))
 
 
-def missing_files(
-    paths: DataFrame, present: DataFrame, broadcast: bool | None = None
-) -> DataFrame:
-    """Listed files that are not among the `filepath`s present."""
+def missing_files(paths: DataFrame, present: DataFrame) -> DataFrame:
+    """Listed files that are not among the `filepath`s present.
+
+    Both sides have a row per file: they are joined as they are.
+    """
     stored = present.select("filepath").distinct()
-    return lookup_join(
-        paths, stored, ["filepath"], "left_anti", salt_by=["case_id"], broadcast=broadcast
-    )
+    return lookup_join(paths, stored, ["filepath"], "left_anti", broadcast=False)
+
+
+def require_none(missing: DataFrame) -> None:
+    """Stop a job whose listed files are not all there. Ten of them are named."""
+    named = [r.filepath or "a row without a path" for r in missing.limit(10).collect()]
+    if named:
+        raise FileNotFoundError("listed but missing: " + ", ".join(named))
 
 
 def require_files(paths: DataFrame, present: DataFrame) -> None:
     """Stop a job whose listed files are not all there. Files without content are not."""
-    missing = missing_files(paths, present).select("filepath").limit(10).collect()
-    if missing:
-        raise FileNotFoundError("listed but missing: " + ", ".join(r.filepath for r in missing))
+    require_none(missing_files(paths, present))
 
 
 def first_files(paths: DataFrame, n: int = 100) -> DataFrame:

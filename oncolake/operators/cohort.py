@@ -23,7 +23,7 @@ from oncolake.plans.cohorts import (
     cohort_members,
     is_changed,
 )
-from oncolake.plans.joins import attach_reference, fits_broadcast, lookup_join
+from oncolake.plans.joins import attach_reference, fit_broadcast, fits_broadcast, lookup_join
 
 TOP = 10
 REFERENCE = ("name", "chromosome", "info")
@@ -39,9 +39,7 @@ def cohort_mean(
     """(gene_id, avg_expr) over the measures of one arm."""
     cases = arm_patients(patients, disease, arm)
     return (
-        lookup_join(
-            expression, cases, ["case_id"], "left_semi", salt_by=["gene_id"], broadcast=broadcast
-        )
+        lookup_join(expression, cases, ["case_id"], "left_semi", broadcast)
         .groupBy("gene_id")
         .agg(F.avg("gene_expr").alias("avg_expr"))
     )
@@ -61,9 +59,7 @@ def stage_means(
     measured = expression.select("case_id", "gene_id", "gene_expr").filter(
         F.col("gene_id").isNotNull()
     )
-    joined = lookup_join(
-        measured, members, ["case_id"], salt_by=["gene_id", "gene_expr"], broadcast=broadcast
-    )
+    joined = lookup_join(measured, members, ["case_id"], broadcast=broadcast)
     return (
         joined.groupBy("disease_type", "gene_id")
         .agg(
@@ -81,15 +77,19 @@ def _ratio() -> Column:
     return F.col("late_avg_expr") / F.col("early_avg_expr")
 
 
+def gene_rows(genome: DataFrame) -> DataFrame:
+    """What reports show of a gene."""
+    return genome.select(
+        F.col("id").alias("gene_id"), F.col("name").alias("gene_name"), "chromosome", "info"
+    ).filter(F.col("gene_id").isNotNull())
+
+
 def with_reference(rows: DataFrame, genome: DataFrame, broadcast: bool | None = None) -> DataFrame:
     """Add gene name, chromosome and description; a gene without reference keeps nulls and a
     gene with several reference rows is repeated."""
-    reference = genome.select(
-        F.col("id").alias("gene_id"), F.col("name").alias("gene_name"), "chromosome", "info"
-    ).filter(F.col("gene_id").isNotNull())
     return attach_reference(
         rows,
-        reference,
+        gene_rows(genome),
         ["gene_id"],
         salt_by=["gene_name", "chromosome", "info"],
         broadcast=broadcast,
@@ -165,9 +165,12 @@ def fold_change_ranked(
     spec: CohortSpec,
     broadcast: bool | None = None,
 ) -> DataFrame:
-    """All genes of one disease, ranked by fold change."""
-    means = stage_means(expression, patients, [spec], broadcast)
-    return ranked(fold_change(means, genome, broadcast))
+    """All genes of one disease, ranked by fold change. Both lookups are measured at once."""
+    if broadcast is None:
+        few, small = fit_broadcast(arm_rows(patients, [spec]), gene_rows(genome))
+    else:
+        few = small = broadcast
+    return ranked(fold_change(stage_means(expression, patients, [spec], few), genome, small))
 
 
 def top_changed(

@@ -1,8 +1,8 @@
 """Expression ingest: lines of two-column text files to (case_id, gene_id, gene_expr).
 
 A file is taken whole or not at all: one value that is no number, or one line that is no
-valid text, rejects it. Rejected files are found by an aggregate over the lines that leaves
-one row per file, so no file is gathered in one task.
+valid text, rejects it. The text is read once, into a staged table that has the measures and the
+bad lines of every file; what follows works on that.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from oncolake.functions.text import (
     strip_version,
     unquote,
 )
-from oncolake.plans.joins import fits_broadcast, lookup_join
+from oncolake.plans.joins import lookup_join
 
 
 def _has_two_fields() -> Column:
@@ -32,62 +32,57 @@ def _measure_field() -> Column:
     return F.substring_index(F.substring_index("value", "\t", 2), "\t", -1)
 
 
-def rejected_files(lines: DataFrame) -> DataFrame:
-    """Files with at least one unreadable line, and how many such lines they have.
+def _is_bad() -> Column:
+    """Whether a line rejects its file. A single field is passed over, whatever it holds."""
+    return ~F.is_valid_utf8("value") | (_has_two_fields() & ~is_number_field(_measure_field()))
+
+
+def stage_lines(lines: DataFrame) -> DataFrame:
+    """(filepath, gene_id, gene_expr, bad) of the lines that matter: the positive measures, and
+    the bad lines, which have neither gene nor value. Lines are (filepath, value)."""
+    bad = F.coalesce(_is_bad(), F.lit(False))
+    marked = lines.select("filepath", "value", bad.alias("bad"))
+    measure = F.when(~F.col("bad") & _has_two_fields(), number_of_field(_measure_field()))
+    # An empty id is stored as null.
+    gene = F.nullif(strip_version(unquote(_gene_field())), F.lit(""))
+    staged = marked.select(
+        "filepath", F.when(~F.col("bad"), gene).alias("gene_id"), measure.alias("gene_expr"), "bad"
+    )
+    return staged.filter(F.col("bad") | is_positive(F.col("gene_expr")))
 
-    Lines are (filepath, value). A line of a single field is passed over, whatever it holds.
-    """
-    bad = ~F.is_valid_utf8("value") | (_has_two_fields() & ~is_number_field(_measure_field()))
-    return lines.filter(bad).groupBy("filepath").agg(F.count(F.lit(1)).alias("bad_lines"))
+
+def rejected_files(staged: DataFrame) -> DataFrame:
+    """Files with at least one unreadable line, and how many such lines they have."""
+    return staged.filter("bad").groupBy("filepath").agg(F.count(F.lit(1)).alias("bad_lines"))
 
 
 def accepted_files(paths: DataFrame, rejected: DataFrame) -> DataFrame:
     """Listed files that are not among the rejected ones.
 
-    To measure the rejected files may cost a pass over all lines. Both sides hold one row per
-    file, so they are shuffled; adaptive execution copies the smaller if it turns out small.
+    Both sides hold one row per file, so they are joined as they are; adaptive execution copies
+    the smaller if it turns out small.
     """
-    return lookup_join(
-        paths,
-        rejected.select("filepath").distinct(),
-        ["filepath"],
-        "left_anti",
-        salt_by=["case_id"],
-        broadcast=False,
-        splits=8,
-    )
+    bad = rejected.select("filepath").distinct()
+    return lookup_join(paths, bad, ["filepath"], "left_anti", broadcast=False)
 
 
 def ingest_expression(
-    lines: DataFrame,
+    staged: DataFrame,
     paths: DataFrame,
     rejected: DataFrame | None = None,
     broadcast: bool | None = None,
 ) -> DataFrame:
     """Positive measures of all accepted files, for each case the file is listed for.
 
-    `rejected` names the files to leave out; by default they are looked for here, which reads
-    the lines once more. Whatever is given must cover `rejected_files(lines)`. The lines are
-    not shuffled while the file list is small enough to copy: its full size is what is
-    measured, so the choice costs no pass over them.
+    `staged` is what `stage_lines` gave, stored: it is read twice unless `rejected` names the
+    files to leave out, and that must cover `rejected_files(staged)`. The measures are not
+    shuffled while the file list is small enough to copy. A larger one is joined as it is: the
+    rows of a file are bounded by the file.
     """
-    if broadcast is None:
-        broadcast = fits_broadcast(paths)
-    # Whatever is no number lies in a rejected file, so it is not looked for again.
-    measure = number_of_field(_measure_field())
-    measures = lines.filter(_has_two_fields() & is_positive(measure)).select(
-        "filepath",
-        # An empty id is stored as null.
-        F.nullif(strip_version(unquote(_gene_field())), F.lit("")).alias("gene_id"),
-        measure.alias("gene_expr"),
-    )
-    return lookup_join(
-        measures,
-        accepted_files(paths, rejected_files(lines) if rejected is None else rejected),
-        ["filepath"],
-        salt_by=["gene_id", "gene_expr"],
-        broadcast=broadcast,
-    ).select("case_id", "gene_id", "gene_expr")
+    measures = staged.filter(~F.col("bad")).drop("bad")
+    accepted = accepted_files(paths, rejected_files(staged) if rejected is None else rejected)
+    joined = lookup_join(measures, accepted, ["filepath"], broadcast=broadcast)
+    return joined.select("case_id", "gene_id", "gene_expr")
 
 
 def clustered(expression: DataFrame) -> DataFrame:

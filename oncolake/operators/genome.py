@@ -9,13 +9,16 @@ from pyspark.sql import functions as F
 
 from oncolake.functions.text import regex_extract, strip_version
 
-# The name part that holds the chromosome, the value where it is absent, and
-# the position of a gene on none.
+# The name part that holds the chromosome, the value where it is absent, the
+# position of a gene on none, and the qualifiers of a gene.
 CHROMOSOME = r"\.([a-z]+\.[0-9a-z]+)\.dat\.gz$"
 NO_CHROMOSOME = "Non-chromosomal"
 NO_POSITION = -1
 STRANDLESS = "MT"
 POSITION = r"([0-9]+)\.\.([0-9]+)"
+GENE_ID = r'(?i)/gene="?([A-Z0-9.]+)'
+GENE_NAME = r'/locus_tag="([^"]+)"'
+GENE_NOTE = r'/note="([^"]*)"'
 
 # A sequence section, or the end of an entry, ends the annotations. They are cut off by
 # plain search before any pattern sees the text: the last gene of a chromosome is followed
@@ -76,18 +79,18 @@ def parse_genes(records: DataFrame) -> DataFrame:
     return (
         gene_blocks(records)
         .withColumn("_chromosome", chromosome_of(F.col("file_name")))
-        .withColumn("full_id", _qualifier(r'(?i)/gene="?([A-Z0-9.]+)'))
+        .withColumn("full_id", _qualifier(GENE_ID))
         .select(
             "full_id",
             strip_version(full_id).alias("id"),
-            _qualifier(r'/locus_tag="([^"]+)"').alias("name"),
+            _qualifier(GENE_NAME).alias("name"),
             F.when(chromosome == "", F.lit(NO_CHROMOSOME)).otherwise(chromosome).alias(
                 "chromosome"
             ),
             strand_of(chromosome, F.col("location")).alias("strand"),
             position_of(chromosome, F.col("location"), end=False).alias("pos_start"),
             position_of(chromosome, F.col("location"), end=True).alias("pos_end"),
-            F.regexp_extract("block", r'/note="([^"]*)"', 1).alias("info"),
+            F.regexp_extract("block", GENE_NOTE, 1).alias("info"),
         )
     )
 

@@ -6,9 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from oncolake.operators.cohort import expression_changed, fold_change, stage_means
+from oncolake.operators.cohort import expression_changed, fold_change, gene_rows, stage_means
 from oncolake.operators.serving import project_summary
 from oncolake.plans.cohorts import COHORTS, CohortSpec
+from oncolake.plans.joins import fits_broadcast
 from oncolake.sources.tables import load_table, save_table
 
 
@@ -30,8 +31,9 @@ def save_reports(
     save_table(project_summary(patients), f"{base}/project_summary", fmt, "overwrite")
     save_table(stage_means(expression, patients, specs), f"{base}/stage_means", fmt, "overwrite")
     means = load_table(spark, f"{base}/stage_means", fmt)
+    small = fits_broadcast(gene_rows(genome))
     by_disease = {"fmt": fmt, "mode": "overwrite", "partition_by": ["disease_type"]}
-    save_table(fold_change(means, genome), f"{base}/fold_change_ranked", **by_disease)
+    save_table(fold_change(means, genome, small), f"{base}/fold_change_ranked", **by_disease)
     save_table(
-        expression_changed(means, genome, specs), f"{base}/expression_changed", **by_disease
+        expression_changed(means, genome, specs, small), f"{base}/expression_changed", **by_disease
     )

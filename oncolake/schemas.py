@@ -5,10 +5,14 @@ METADATA = (
     "file_name string, data_format string, "
     "cases array<struct<case_id: string, project: struct<project_id: string>>>"
 )
+MANIFEST = ("id", "filename")
 FILE_LIST = "path string, filename string, data_format string, project_id string, case_id string"
 PATIENT_INFO = (
     "case_id string, project_id string, disease_type string, disease_stage string, gender string"
 )
+CLINICAL = (
+    "case_id string, filepath string, disease_stage string, disease_type string, gender string"
+)
 GENE_EXPR = "case_id string, gene_id string, gene_expr double"
 GENE_REFERENCE = (
     "full_id string, id string, name string, chromosome string, strand string, "

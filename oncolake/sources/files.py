@@ -6,9 +6,9 @@ read, so an archive of very many files is read in parts.
 """
 from __future__ import annotations
 
-import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
@@ -26,20 +26,42 @@ EXPRESSION_FILES = "*-UQ.txt*"
 _PIECE = 64 * 1024
 
 
-def relative_path(root: str) -> Column:
-    """Path of the file a row comes from, below `root`, as it stands in a file list."""
-    below = "/" + re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:/*|^/+", "", root).rstrip("/") + "/"
+def resolved(spark: SparkSession, root: str) -> str:
+    """The root as the file system names it: with its scheme, and without `..`, `.` and
+    repeated slashes."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    # Two slashes at the start would name an authority.
+    given = path("/" + root.lstrip("/") if root.startswith("/") else root)
+    store = given.getFileSystem(spark._jsc.hadoopConfiguration())
+    return path(store.makeQualified(given).toUri().normalize()).toString().rstrip("/")
+
+
+def relative_path(spark: SparkSession, root: str) -> Column:
+    """Path of the file a row comes from, below `root`, as it stands in a file list.
+
+    The root must be what was read, as `resolved` names it. A file that does not lie below it
+    stops the job.
+    """
+    below = resolved(spark, root) + "/"
+    scheme, _, rest = below.partition(":/")
+    # A root without an authority is written with one slash or with three.
+    spelled = (below,) if rest.startswith("/") else (f"{scheme}:///{rest}", below)
     uri = F.col("_metadata.file_path")
     # File URIs are percent-encoded, but a plus sign stands for itself. Most have neither, and
     # this is evaluated for every line.
     decoded = F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
-    return F.when(F.contains(uri, F.lit("%")), _after(decoded, below)).otherwise(
-        _after(uri, below)
+    return F.when(F.contains(uri, F.lit("%")), _after(decoded, spelled)).otherwise(
+        _after(uri, spelled)
     )
 
 
-def _after(text: Column, mark: str) -> Column:
-    return F.substr(text, F.locate(mark, text) + F.lit(len(mark)))
+def _after(text: Column, starts: Sequence[str]) -> Column:
+    strange = F.raise_error(F.concat(F.lit(f"not below {starts[-1]}: "), text))
+    out = strange.cast("string")
+    for start in starts:
+        rest = F.substr(text, F.lit(len(start) + 1))
+        out = F.when(F.startswith(text, F.lit(start)), rest).otherwise(out)
+    return out
 
 
 def read_metadata(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
@@ -49,11 +71,33 @@ def read_metadata(spark: SparkSession, path: str, multi_line: bool = True) -> Da
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """(path, filename) of a tab-separated manifest; quote characters are plain text."""
-    # The header names the columns, wherever they stand; all are text, nothing is inferred.
-    return spark.read.csv(path, sep="\t", quote="", header=True).select(
-        F.col("id").alias("path"), "filename"
+    """(path, filename) of tab-separated manifests; quote characters are plain text.
+
+    Every file's own header tells where the two declared columns stand; others are passed over.
+    A file without them in its header stops the job.
+    """
+    lines = spark.read.text(path).filter("value != ''")
+    fields = F.split("value", "\t")
+    wanted = {name: F.array_position(fields, name) for name in schemas.MANIFEST}
+    is_header = reduce(lambda a, b: a & b, (at > 0 for at in wanted.values()))
+    marked = lines.select(
+        F.col("_metadata.file_path").alias("file"),
+        fields.alias("fields"),
+        is_header.alias("header"),
+        *(at.alias(f"_{name}") for name, at in wanted.items()),
     )
+    # One row per manifest file.
+    headers = marked.filter("header").select("file", *(f"_{name}" for name in wanted)).distinct()
+    plain = marked.filter("NOT header").select("file", "fields")
+    rows = plain.join(F.broadcast(headers), "file", "left")
+    strange = F.raise_error(F.concat(F.lit("no header in "), F.col("file"))).cast("string")
+
+    def value(name: str) -> Column:
+        at = F.col(f"_{name}")
+        field = F.nullif(F.get("fields", (at - 1).cast("int")), F.lit(""))
+        return F.when(at.isNull(), strange).otherwise(field)
+
+    return rows.select(value("id").alias("path"), value("filename").alias("filename"))
 
 
 def _files_under(spark: SparkSession, glob: str | None) -> DataFrameReader:
@@ -61,25 +105,26 @@ def _files_under(spark: SparkSession, glob: str | None) -> DataFrameReader:
     return reader.option("pathGlobFilter", glob) if glob else reader
 
 
-def _below(root: str, under: str) -> str:
-    return f"{root.rstrip('/')}/{under}" if under else root
+def _below(spark: SparkSession, root: str, under: str) -> str:
+    top = resolved(spark, root)
+    return f"{top}/{under}" if under else f"{top}/"
 
 
 def read_lines(
     spark: SparkSession, root: str, glob: str | None = EXPRESSION_FILES, under: str = ""
 ) -> DataFrame:
     """(filepath, value) of every line; compressed files are unpacked by their extension."""
-    lines = _files_under(spark, glob).text(_below(root, under))
-    return lines.select(relative_path(root).alias("filepath"), "value")
+    lines = _files_under(spark, glob).text(_below(spark, root, under))
+    return lines.select(relative_path(spark, root).alias("filepath"), "value")
 
 
 def read_documents(
     spark: SparkSession, root: str, glob: str | None = "*.xml", under: str = ""
 ) -> DataFrame:
     """(filepath, value), one row per file, without a byte order mark."""
-    documents = _files_under(spark, glob).text(_below(root, under), wholetext=True)
+    documents = _files_under(spark, glob).text(_below(spark, root, under), wholetext=True)
     text = F.ltrim(F.col("value"), F.lit("\ufeff"))
-    return documents.select(relative_path(root).alias("filepath"), text.alias("value"))
+    return documents.select(relative_path(spark, root).alias("filepath"), text.alias("value"))
 
 
 def read_elements(
@@ -92,8 +137,8 @@ def read_elements(
 ) -> DataFrame:
     """(filepath, fields of the schema), one row per `row_tag` element in any file."""
     reader = _files_under(spark, glob).format("xml").schema(schema).option("rowTag", row_tag)
-    elements = reader.load(_below(root, under))
-    return elements.select(relative_path(root).alias("filepath"), "*")
+    elements = reader.load(_below(spark, root, under))
+    return elements.select(relative_path(spark, root).alias("filepath"), "*")
 
 
 def read_genome_records(
@@ -109,7 +154,7 @@ def read_genome_records(
     another, and large plain files are split over tasks. The record of the last gene before a
     sequence holds that sequence too: a task needs memory for the longest one.
     """
-    records = _files_under(spark, glob).text(_below(root, under), lineSep=GENE_LINE[layout])
+    records = _files_under(spark, glob).text(_below(spark, root, under), lineSep=GENE_LINE[layout])
     return records.select(F.col("_metadata.file_name").alias("file_name"), "value")
 
 
@@ -117,9 +162,9 @@ def list_files(
     spark: SparkSession, root: str, glob: str | None = "*.gz", under: str = ""
 ) -> DataFrame:
     """(filepath, length, modified) of the files below a prefix; contents are not read."""
-    found = _files_under(spark, glob).format("binaryFile").load(_below(root, under))
+    found = _files_under(spark, glob).format("binaryFile").load(_below(spark, root, under))
     return found.select(
-        relative_path(root).alias("filepath"),
+        relative_path(spark, root).alias("filepath"),
         "length",
         F.col("modificationTime").alias("modified"),
     )
@@ -156,9 +201,9 @@ def damaged_gzip_files(
     with this, read with `spark.sql.files.ignoreCorruptFiles` set, and add the list to the
     rejected files: what was read of them before the damage is then dropped with them.
     """
-    blobs = _files_under(spark, glob).format("binaryFile").load(_below(root, under))
+    blobs = _files_under(spark, glob).format("binaryFile").load(_below(spark, root, under))
     return (
-        blobs.select(relative_path(root).alias("filepath"), _unpacks("content").alias("_whole"))
+        blobs.select(relative_path(spark, root).alias("filepath"), _unpacks("content").alias("_whole"))
         .filter(~F.col("_whole"))
         .select("filepath")
     )

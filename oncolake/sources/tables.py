@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -84,16 +83,33 @@ def create_table(
     save_table(empty_table(spark, table), name, fmt, "overwrite", **options)
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path for an intermediate table.
+def save_bucketed(
+    df: DataFrame, name: str, path: str, key: str, buckets: int, sort_by: str
+) -> None:
+    """Write a table whose rows are dealt to `buckets` by `key`, and sorted inside them.
 
-    It lies in the shared folder that the session names in spark.checkpoint.dir. Where none
-    is named, a temporary folder stands in, but only while driver and executors are one
-    process.
+    A join on the key with another side of any size then leaves these rows where they are.
     """
+    writer = df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key)
+    writer.sortBy(sort_by).option("path", path).saveAsTable(name)
+
+
+def load_bucketed(
+    spark: SparkSession, name: str, path: str, schema: str, key: str, buckets: int, sort_by: str
+) -> DataFrame:
+    """The table that `save_bucketed` wrote, also in a session that does not know its name."""
+    if not spark.catalog.tableExists(name):
+        spark.sql(
+            f"CREATE TABLE {name} ({schema}) USING parquet LOCATION '{path}' "
+            f"CLUSTERED BY ({key}) SORTED BY ({sort_by}) INTO {buckets} BUCKETS"
+        )
+    return spark.table(name)
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new path for an intermediate table, in the shared folder that the session names in
+    spark.checkpoint.dir."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="oncolake-")
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from oncolake import schemas
 from oncolake.operators import catalog
 from oncolake.sources import files, tables
 
@@ -104,12 +105,60 @@ def test_expression_files(spark):
     assert got == ["d/a.FPKM-UQ.txt.gz", "d-UQ.txt/a"]
 
 
-@pytest.mark.parametrize("broadcast", [True, False])
-def test_missing_files(spark, broadcast):
+def test_missing_files(spark):
     schema = "case_id string, filepath string"
     paths = spark.createDataFrame([("c", "a"), ("c", "b"), ("d", "b"), ("d", "c")], schema)
     present = spark.createDataFrame([("a",), ("a",), ("z",)], "filepath string")
-    missing = catalog.missing_files(paths, present, broadcast)
+    missing = catalog.missing_files(paths, present)
     assert sorted(map(tuple, missing.select("case_id", "filepath").collect())) == [
         ("c", "b"), ("d", "b"), ("d", "c"),
     ]
+
+
+def test_each_case_of_a_file(spark):
+    manifest = spark.createDataFrame([("p", "a"), ("q", "b"), ("r", "c")], "path string, filename string")
+    rows = [
+        ("a", "TXT", [("c1", ("P1",)), ("c2", ("P2",))]),
+        ("b", "TXT", [("c3", None)]),
+        ("c", "TXT", None),
+    ]
+    metadata = spark.createDataFrame(rows, schemas.METADATA)
+    each = catalog.build_index(manifest, metadata, each_case=True).collect()
+    assert sorted((r.filename, r.case_id, r.project_id) for r in each) == [
+        ("a", "c1", "P1"), ("a", "c2", "P2"), ("b", "c3", ""), ("c", "", ""),
+    ]
+    glued = catalog.build_index(manifest, metadata).collect()
+    assert sorted((r.filename, r.case_id, r.project_id) for r in glued) == [
+        ("a", "c1c2", "P1P2"), ("b", "c3", ""), ("c", "", ""),
+    ]
+
+
+def test_manifests_of_different_layouts(spark, tmp_path):
+    (tmp_path / "1.txt").write_text("id\tfilename\tmd5\nd1\ta\tx\n\nd2\t\"b\"\tx\n")
+    (tmp_path / "2.txt").write_text("size\tfilename\tid\n7\tc\td3\n8\t\td4\n9\n")
+    rows = files.read_manifest(spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, rows), key=repr) == sorted(
+        [("d1", "a"), ("d2", '"b"'), ("d3", "c"), ("d4", None), (None, None)], key=repr
+    )
+    (tmp_path / "3.txt").write_text("name\tfilename\nd1\ta\n")
+    with pytest.raises(Exception, match="no header in"):
+        files.read_manifest(spark, str(tmp_path)).collect()
+
+
+@pytest.mark.parametrize(
+    ("under", "inside", "outside"),
+    [
+        ("left*", ["left1/a", "left/b/c"], ["right/left1/a", "lef/a"]),
+        ("a?c/", ["abc/x"], ["ac/x", "a/c/x", "abc"]),
+        ("[0-4]*", ["0ab/x", "4/x"], ["5/x", "a0/x"]),
+        ("[^0]*/b", ["a/b/x"], ["0/b/x", "a/x"]),
+        ("{a,b.c}x", ["ax/1", "b.cx/1"], ["cx/1", "bbcx/1"]),
+        ("a,b", ["a,b/x"], ["a/x"]),
+        ("", ["anything"], []),
+    ],
+)
+def test_parts_of_a_list(spark, under, inside, outside):
+    rows = [("c", p) for p in inside + outside]
+    paths = spark.createDataFrame(rows, "case_id string, filepath string")
+    got = [r.filepath for r in catalog.under_part(paths, under).collect()]
+    assert sorted(got) == sorted(inside)

@@ -61,13 +61,13 @@ WANT = [
 
 @pytest.mark.parametrize("broadcast", [True, False, None])
 def test_ingest(spark, root, paths, broadcast):
-    lines = files.read_lines(spark, str(root))
-    rows = ingest.ingest_expression(lines, paths, broadcast=broadcast)
+    staged = ingest.stage_lines(files.read_lines(spark, str(root)))
+    rows = ingest.ingest_expression(staged, paths, broadcast=broadcast)
     assert sorted(map(tuple, rows.collect()), key=repr) == sorted(WANT, key=repr)
 
 
 def test_rejected_files(spark, root):
-    rejected = ingest.rejected_files(files.read_lines(spark, str(root)))
+    rejected = ingest.rejected_files(ingest.stage_lines(files.read_lines(spark, str(root))))
     assert sorted(map(tuple, rejected.collect())) == [
         ("d3/bad.FPKM-UQ.txt.gz", 1),
         ("d4/suffix.FPKM-UQ.txt.gz", 2),
@@ -101,14 +101,53 @@ def test_damaged_files_are_left_out(spark, tmp_path):
     paths = spark.createDataFrame(listed, "case_id string, filepath string")
     spark.conf.set("spark.sql.files.ignoreCorruptFiles", "true")
     try:
-        lines = files.read_lines(spark, str(tmp_path), "*.gz")
-        rejected = ingest.rejected_files(lines).select("filepath").union(damaged)
-        rows = ingest.ingest_expression(lines, paths, rejected)
+        staged = ingest.stage_lines(files.read_lines(spark, str(tmp_path), "*.gz"))
+        rejected = ingest.rejected_files(staged).select("filepath").union(damaged)
+        rows = ingest.ingest_expression(staged, paths, rejected)
         assert rows.count() == 50002
     finally:
         spark.conf.unset("spark.sql.files.ignoreCorruptFiles")
 
 
+def test_a_null_path_is_named(spark):
+    paths = spark.createDataFrame([("c", None), ("c", "a")], "case_id string, filepath string")
+    present = spark.createDataFrame([("a",)], "filepath string")
+    with pytest.raises(FileNotFoundError, match="a row without a path"):
+        catalog.require_files(paths, present)
+
+
+ROOTS = ["{0}", "{0}/", "/{0}", "{0}/../{1}", "{0}/.", "{0}//", "file:{0}", "file://{0}", "//{0}"]
+
+
+@pytest.mark.parametrize("form", ROOTS)
+def test_roots_in_any_spelling(spark, root, form):
+    spelled = form.format(root, root.name)
+    got = {r.filepath for r in files.read_lines(spark, spelled).select("filepath").collect()}
+    assert got == {n for n in FILES if n != "e2/other.FPKM.txt.gz"}
+    below = files.read_lines(spark, spelled, under="d[12]").select("filepath").distinct()
+    assert {r.filepath for r in below.collect()} == set(list(FILES)[:2])
+
+
+def test_a_relative_root(spark, tmp_path, monkeypatch):
+    (tmp_path / "a.xml").write_text("<a/>")
+    import os
+
+    relative = os.path.relpath(tmp_path)
+    rows = files.read_documents(spark, f"./{relative}").collect()
+    assert [r.filepath for r in rows] == ["a.xml"]
+
+
+def test_a_file_beside_the_root_stops_the_job(spark, tmp_path):
+    for folder in ("data", "other"):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "a.xml").write_text("<a/>")
+    rows = spark.read.text(str(tmp_path / "other")).select(
+        files.relative_path(spark, str(tmp_path / "data")).alias("filepath")
+    )
+    with pytest.raises(Exception, match="not below"):
+        rows.collect()
+
+
 def test_clustered_keeps_all_rows(spark):
     df = spark.range(1000).selectExpr(
         "'c' || id case_id", "'g' || (id % 7) gene_id", "cast(id as double) gene_expr"

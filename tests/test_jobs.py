@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import gzip
 import json
+import shutil
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -113,14 +115,76 @@ def test_a_report_reads_one_partition(spark, base):
     assert one.count() == 3
 
 
-def test_missing_report_stops_or_is_set_aside(spark, base, archive):
-    data = str(archive / "data" / "x0" / "nowhere")
-    (archive / "data" / "x0" / "nowhere").mkdir(exist_ok=True)
-    with pytest.raises(FileNotFoundError):
-        jobs.run_clinical(spark, base, data)
+def test_missing_report_stops(spark, base, archive, tmp_path):
+    before = load_table(spark, f"{base}/patient_info").collect()
+    with pytest.raises(FileNotFoundError, match="x0/c1.xml"):
+        jobs.run_clinical(spark, base, str(tmp_path))
+    assert load_table(spark, f"{base}/patient_info").collect() == before
 
 
-def test_quarantine(spark, base, archive, tmp_path):
+def test_missing_expression_file_stops_or_is_recorded(spark, archive, tmp_path):
+    other, data = str(tmp_path / "out"), tmp_path / "data"
+    shutil.copytree(archive / "data", data)
+    gone = "left1/c2.FPKM-UQ.txt.gz"
+    (data / gone).unlink()
+    jobs.run_catalog(spark, other, str(archive / "meta.json"), str(archive / "manifest.txt"))
+    with pytest.raises(FileNotFoundError, match=gone):
+        jobs.run_expression(spark, other, str(data), "left*")
+    assert not Path(other, "gene_expr_table").exists()
+    # The file belongs to another part.
+    jobs.run_expression(spark, other, str(data), "right*")
+    jobs.run_expression(spark, other, f"{data}/../data/", "left*", "record")
+    recorded = load_table(spark, f"{other}/missing_files").collect()
+    assert [(r.filepath, r.case_id, r.batch) for r in recorded] == [(gone, "c2", "left*")]
+    rows = load_table(spark, f"{other}/gene_expr_table").collect()
+    assert {r.case_id for r in rows} == set(CASES) - {"c2"}
+    with pytest.raises(ValueError):
+        jobs.run_expression(spark, other, str(data), on_missing="ignore")
+
+
+def test_clinical_in_parts(spark, base, archive, tmp_path):
+    """Two parts that do not overlap, one of them twice, give what one run gives."""
+    other, data = str(tmp_path / "out"), str(archive / "data")
+    jobs.run_catalog(spark, other, str(archive / "meta.json"), str(archive / "manifest.txt"))
+    for under in ("x[0-2]", "x[3-5]", "x[0-2]"):
+        jobs.run_clinical(spark, other, data, under=under)
+    for table in ("patient_info", "project_summary"):
+        parts, whole = (load_table(spark, f"{b}/{table}").collect() for b in (other, base))
+        assert sorted(map(tuple, parts), key=repr) == sorted(map(tuple, whole), key=repr)
+    assert load_table(spark, f"{other}/clinical").count() == len(CASES)
+
+
+def test_measures_by_case(spark, base, archive):
+    """The bucketed layout gives the same reports, and a later session can read it."""
+    want = load_table(spark, f"{base}/fold_change_ranked").collect()
+    jobs.run_layout(spark, base, 4)
+    spark.sql("DROP TABLE gene_expr_by_case")
+    for _ in range(2):
+        jobs.run_reports(spark, base, buckets=4)
+        got = load_table(spark, f"{base}/fold_change_ranked").collect()
+        assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+    spark.sql("DROP TABLE gene_expr_by_case")
+
+
+def test_glued_cases_reach_reports_one_by_one(spark, tmp_path):
+    base, data = str(tmp_path / "out"), tmp_path / "data"
+    cases = [{"case_id": c, "project": {"project_id": "P"}} for c in ("c1", "c2")]
+    entry = {"file_name": "a.FPKM-UQ.txt", "data_format": "TXT", "cases": cases}
+    (tmp_path / "meta.json").write_text(json.dumps([entry]))
+    (tmp_path / "manifest.txt").write_text("id\tfilename\nd\ta.FPKM-UQ.txt\n")
+    (data / "d").mkdir(parents=True)
+    (data / "d" / "a.FPKM-UQ.txt").write_text("G1.1\t2\n")
+    for each_case, want in ((False, ["c1c2"]), (True, ["c1", "c2"])):
+        jobs.run_catalog(
+            spark, base, str(tmp_path / "meta.json"), str(tmp_path / "manifest.txt"),
+            each_case=each_case,
+        )
+        jobs.run_expression(spark, base, str(data))
+        rows = load_table(spark, f"{base}/gene_expr_table").collect()
+        assert sorted(r.case_id for r in rows) == want
+
+
+def test_quarantine(spark, archive, tmp_path):
     other = str(tmp_path / "out")
     data = tmp_path / "data"
     for i, (case, values) in enumerate(CASES.items()):
@@ -174,4 +238,5 @@ def test_arguments(monkeypatch):
     jobs.main(["expression", "/b", "--root", "/r", "--under", "0*"])
     assert seen == {
         "session": "session", "base": "/b", "root": "/r", "under": "0*", "check_gzip": False,
+        "on_missing": "fail",
     }

@@ -1,15 +1,20 @@
 from __future__ import annotations
 
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
 from oncolake.operators.catalog import build_index
+from oncolake.plans import joins
 from oncolake.plans.joins import (
     BROADCAST_SETTING,
     attach_reference,
+    fit_broadcast,
     fits_broadcast,
     lookup_join,
     measured_bytes,
+    measured_sizes,
 )
 
 
@@ -39,7 +44,7 @@ def lookup(spark):
 def test_shuffled_equals_broadcast(hot, lookup, how):
     plain = hot.join(lookup, "k", how)
     for broadcast in (True, False, None):
-        got = lookup_join(hot, lookup, ["k"], how, salt_by=["v"], broadcast=broadcast, splits=5)
+        got = lookup_join(hot, lookup, ["k"], how, broadcast)
         assert got.columns == plain.columns
         assert rows_of(got) == rows_of(plain)
 
@@ -49,40 +54,74 @@ def test_outer_joins_are_refused(hot, lookup):
         lookup_join(hot, lookup, ["k"], "full")
 
 
+SKEWED = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB",
+    "spark.sql.shuffle.partitions": "200",
+}
+
+
+@pytest.fixture
+def small_partitions(spark):
+    """Sizes at which adaptive execution takes a partition for skewed, as large data would."""
+    before = {k: spark.conf.get(k, None) for k in SKEWED}
+    for k, v in SKEWED.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 @pytest.mark.parametrize("copies", [False, True])
-def test_hot_key_is_dealt_out(spark, copies):
-    """No task holds the whole hot key, also where its rows are copies of one row."""
+def test_hot_key_is_dealt_out(spark, small_partitions, copies, how):
+    """The partition of the hot key is cut, also where its rows are copies of one row."""
     n = F.col("id")
-    rows = spark.range(0, 200000, 1, 64).select(
+    rows = spark.range(0, 400000, 1, 64).select(
         F.when(n % 2 == 0, 1).otherwise(n % 1000).alias("k"),
         F.when((n % 2 == 0) & F.lit(copies), 0).otherwise(F.hash(n)).alias("v"),
     )
     lookup = spark.range(1000).select(n.alias("k"), (n * 2).alias("w"))
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        joined = lookup_join(rows, lookup.hint("merge"), ["k"], salt_by=["v"], broadcast=False)
-        assert joined.count() == 200000
-        per_task = joined.groupBy(F.spark_partition_id()).count().agg(F.max("count"))
-        assert per_task.first()[0] < 200000 / 8 * 1.6
-    finally:
-        spark.conf.unset("spark.sql.adaptive.enabled")
+    joined = lookup_join(rows, lookup, ["k"], how, broadcast=False)
+    tasks = joined.select("k", "v", F.spark_partition_id().alias("task"))
+    counts = Counter(r.task for r in tasks.collect())
+    assert "skew=true" in tasks._jdf.queryExecution().executedPlan().toString()
+    assert sum(counts.values()) == (0 if how == "left_anti" else 400000)
+    assert not counts or max(counts.values()) < 400000 / 4
+
+
+def test_a_filter_reaches_the_rows_below_a_join(spark, tmp_path):
+    """Also where nothing is broadcast."""
+    path = str(tmp_path / "rows")
+    spark.range(100).select(F.col("id").alias("k"), F.col("id").alias("g")).write.parquet(path)
+    rows = spark.read.parquet(path)
+    joined = lookup_join(rows, rows.select("k"), ["k"], broadcast=False).filter("g = 5")
+    assert "EqualTo(g,5)" in joined._jdf.queryExecution().executedPlan().toString()
 
 
 def test_measured_bytes(spark):
     df = spark.createDataFrame([("abc", 1), (None, 2)], "s string, n int")
     assert measured_bytes(df) == (16 + 19 + 8) + (16 + 16 + 8)
     assert measured_bytes(df.filter("n > 5")) == 0
+    assert measured_sizes(df.filter("n > 5"), df, df.select("n")) == [0, 83, 48]
     nested = spark.createDataFrame([([("a", 1)],)], "x array<struct<p: string, q: int>>")
     assert measured_bytes(nested) > 16
 
 
-def test_fits_broadcast(spark):
+def test_fits_broadcast(spark, monkeypatch):
     assert fits_broadcast(spark.range(10))
     spark.conf.set(BROADCAST_SETTING, "100")
     try:
         assert not fits_broadcast(spark.range(10))
         plan = lookup_join(spark.range(5), spark.range(10), ["id"])._jdf.queryExecution()
-        assert "_salt" in plan.toString()
+        assert "ResolvedHint" not in plan.toString()
+        spark.conf.set(BROADCAST_SETTING, str(1 << 62))
+        assert fit_broadcast(spark.range(10), spark.range(5)) == [True, True]
+        monkeypatch.setattr(joins, "MOST_BROADCAST_BYTES", 100)
+        assert not fits_broadcast(spark.range(10))
     finally:
         spark.conf.unset(BROADCAST_SETTING)
 
@@ -99,33 +138,20 @@ def test_attach_reference_with_a_hot_reference_key(spark):
         assert rows_of(got) == rows_of(plain)
 
 
-def test_adaptive_execution_cuts_a_hot_file_name(spark):
+def test_adaptive_execution_cuts_a_hot_file_name(spark, small_partitions):
     """The catalog joins two large sides: its final plan splits the name of half the rows."""
-    settings = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
-    }
-    before = {k: spark.conf.get(k, None) for k in settings}
-    for k, v in settings.items():
-        spark.conf.set(k, v)
-    try:
-        n = F.col("id")
-        manifest = spark.range(0, 400000, 1, 8).select(
-            F.hash(n).cast("string").alias("path"),
-            F.when(n % 2 == 0, "same").otherwise((n % 1000).cast("string")).alias("filename"),
-        )
-        project = F.struct(F.lit("P").alias("project_id"))
-        case = F.struct(n.cast("string").alias("case_id"), project.alias("project"))
-        metadata = spark.range(1000).select(
-            F.when(n == 0, "same").otherwise(n.cast("string")).alias("file_name"),
-            F.lit("TXT").alias("data_format"),
-            F.array(case).alias("cases"),
-        )
-        index = build_index(manifest, metadata)
-        assert len(index.collect()) == 400000
-        assert "skew=true" in index._jdf.queryExecution().executedPlan().toString()
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    n = F.col("id")
+    manifest = spark.range(0, 400000, 1, 8).select(
+        F.hash(n).cast("string").alias("path"),
+        F.when(n % 2 == 0, "same").otherwise((n % 1000).cast("string")).alias("filename"),
+    )
+    project = F.struct(F.lit("P").alias("project_id"))
+    case = F.struct(n.cast("string").alias("case_id"), project.alias("project"))
+    metadata = spark.range(1000).select(
+        F.when(n == 0, "same").otherwise(n.cast("string")).alias("file_name"),
+        F.lit("TXT").alias("data_format"),
+        F.array(case).alias("cases"),
+    )
+    index = build_index(manifest, metadata)
+    assert len(index.collect()) == 400000
+    assert "skew=true" in index._jdf.queryExecution().executedPlan().toString()

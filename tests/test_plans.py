@@ -49,6 +49,77 @@ def test_one_scan_also_where_nothing_is_broadcast(spark, name):
             spark.conf.unset(key)
 
 
+@pytest.fixture
+def nothing_broadcast(spark):
+    settings = {BROADCAST_SETTING: "0", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key in settings:
+        spark.conf.unset(key)
+
+
+UNIQUE_KEYS = [
+    "patient_update", "missing_files_anti", "expr_missing", "clinical_xml_extract", "expr_ingest",
+]
+
+
+@pytest.mark.parametrize("name", UNIQUE_KEYS)
+def test_no_row_is_copied_for_a_key_that_cannot_be_hot(spark, nothing_broadcast, name):
+    """The reports' list is exploded by the stand-in itself, below the join."""
+    plan = plan_of(QUERIES[name](spark, SF))
+    assert "_salt" not in plan and "spark_partition_id" not in plan
+    assert plan.count("Generate") <= (name == "clinical_xml_extract")
+    assert "BroadcastHashJoin" not in plan
+
+
+def test_report_texts_do_not_move(spark, nothing_broadcast):
+    df = QUERIES["clinical_xml_extract"](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    above = plan[: plan.index("ArrowEvalPython")]
+    assert "Exchange hashpartitioning(filepath" in above
+    below = re.findall(r"Exchange [^\n]*\n(?:[^\n]*\n){1,3}", above)
+    assert below and not any("value" in part for part in below)
+    assert "Exchange" not in plan[plan.index("ArrowEvalPython") : plan.index("c_mktsegment")]
+
+
+def test_text_is_scanned_once(spark):
+    plan = plan_of(QUERIES["expr_ingest"](spark, SF))
+    assert scans(plan, "l_quantity") == 0
+    assert len(re.findall(r"FileScan parquet [^\n]*staged-lines", plan)) == 2
+
+
+def test_measures_by_case_stay_where_they_are(spark, nothing_broadcast, tmp_path):
+    from oncolake.operators import cohort
+    from oncolake.sources.tables import save_bucketed
+
+    save_bucketed(
+        s.expression(spark, SF), "by_case", str(tmp_path / "t"), "case_id", 6, "gene_id"
+    )
+    try:
+        means = cohort.stage_means(spark.table("by_case"), s.patients(spark, SF), s.SPECS)
+        plan = means._jdf.queryExecution().executedPlan().toString()
+        join = plan[plan.index("SortMergeJoin") :]
+        left = join[: join.index("FileScan parquet")]
+        assert "Exchange" not in left
+        assert "Bucketed: true" in join
+        plain = cohort.stage_means(s.expression(spark, SF), s.patients(spark, SF), s.SPECS)
+        assert sorted(map(tuple, means.collect())) == sorted(map(tuple, plain.collect()))
+    finally:
+        spark.sql("DROP TABLE by_case")
+
+
+def test_jobs_of_building_a_report(spark):
+    """Building runs the two jobs of one measurement, and no schema is looked up."""
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "building")
+    try:
+        QUERIES["fold_change_ranked"](spark, SF)
+        assert len(tracker.getJobIdsForGroup("building")) <= 2
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_scan_reads_three_columns(spark):
     plan = plan_of(QUERIES["fold_change_all"](spark, SF))
     read = re.search(r"FileScan parquet \[([^\]]*l_partkey[^\]]*)\]", plan).group(1)
@@ -104,4 +175,4 @@ def test_ranking_has_partitioned_windows_only(spark):
 def test_stand_in_counts(spark):
     """Row counts of the stand-ins, by hand."""
     assert s.expression(spark, SF).count() == 5855
-    assert s.genome(spark, "/root/testdata/sf0.01").filter("id % 10 = 0").count() == 342
+    assert s.genome(spark, "/root/testdata/sf0.01").filter("id % 10 = 0").count() == 370

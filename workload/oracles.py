@@ -35,6 +35,15 @@ INDEX = """manifest AS (
          'f' || CAST(o_orderkey AS VARCHAR)
              || CASE WHEN o_orderkey % 2 = 0 THEN '.FPKM-UQ.txt.gz' ELSE '.xml' END AS filename
   FROM orders WHERE o_orderkey % 19 <> 0),
+renamed AS (
+  SELECT CASE WHEN o_orderkey % 23 = 0 THEN 'described-f' ELSE 'f' END
+             || CAST(o_orderkey AS VARCHAR)
+             || CASE WHEN o_orderkey % 2 = 0 THEN '.FPKM-UQ.txt.gz' ELSE '.xml' END AS file_name,
+         CASE WHEN o_orderkey % 17 = 0 THEN NULL
+              ELSE CASE o_orderkey % 4 WHEN 0 THEN 'BCR XML' WHEN 1 THEN 'TXT'
+                                       WHEN 2 THEN 'XLSX' ELSE 'VCF' END
+         END AS data_format
+  FROM orders JOIN customer ON o_custkey = c_custkey),
 meta AS (
   SELECT 'f' || CAST(o_orderkey AS VARCHAR)
              || CASE WHEN o_orderkey % 2 = 0 THEN '.FPKM-UQ.txt.gz' ELSE '.xml' END AS file_name,
@@ -252,12 +261,17 @@ ORACLES = {
         CASE WHEN l_linenumber = 7 THEN '' ELSE l_returnflag || l_linestatus END AS project_id
         FROM lineitem""",
     "catalog_not_xlsx": f"""WITH {INDEX}
-        SELECT file_name, data_format FROM meta WHERE data_format <> 'XLSX'""",
+        SELECT file_name, data_format FROM renamed WHERE data_format <> 'XLSX'""",
     "catalog_join": _index("*"),
     "catalog_files": _index(
         """*, CASE data_format WHEN 'BCR XML' THEN 'xml_list' WHEN 'TXT' THEN 'txt_list'
         ELSE 'unknowns' END AS list_table"""
     ),
+    "catalog_files_multi_line": _index("*"),
+    "catalog_each_case": f"""WITH {INDEX}
+        SELECT path, filename, data_format, project_id, case_id FROM idx UNION ALL
+        SELECT path, filename, data_format, project_id,
+               CAST(CAST(case_id AS BIGINT) + 1 AS VARCHAR) FROM idx""",
     "catalog_route_xml": _index("*", "WHERE data_format = 'BCR XML'"),
     "catalog_route_txt": _index("*", "WHERE data_format = 'TXT'"),
     "catalog_unknown": _index("*", "WHERE data_format NOT IN ('BCR XML', 'TXT')"),
@@ -302,6 +316,8 @@ ORACLES = {
     "expr_rejected": f"""SELECT {ORDER_PATH} AS filepath, COUNT(*) AS bad_lines
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey
         WHERE o_orderkey % 50 = 0 AND l_linenumber = 1 GROUP BY o_orderkey""",
+    "expr_missing": f"""SELECT CAST(o_custkey AS VARCHAR) AS case_id, {ORDER_PATH} AS filepath
+        FROM orders WHERE o_orderkey % 2 = 0 AND o_orderpriority = '1-URGENT'""",
     "expr_ingest_files": f"""WITH {EXPRESSION}
         SELECT CAST(case_id % 4 AS VARCHAR) AS case_id, CAST(gene_id AS VARCHAR) AS gene_id,
                gene_expr FROM gene_expr_table""",
@@ -309,6 +325,8 @@ ORACLES = {
     "clinical_xml_extract": f"WITH {CLINICAL} SELECT * FROM clinical",
     "clinical_quarantine": f"""WITH {REPORTS}
         SELECT filepath AS case_id, filepath, disease_stage, disease_type, gender FROM reports""",
+    "clinical_xml_files": f"""WITH {REPORTS}
+        SELECT filepath AS case_id, disease_stage, disease_type, gender FROM reports""",
     "clinical_xml_struct": _patients(
         """COALESCE(disease_type, 'none') AS disease_type,
         COALESCE(disease_stage, 'none') AS disease_stage, COALESCE(gender, 'none') AS gender,
@@ -349,6 +367,7 @@ ORACLES = {
     "genome_chromosome": _genes("full_id, chromosome"),
     "genome_rejected": _genes("full_id, chromosome", "WHERE pos_start IS NULL"),
     "genome_reference": _genes("*", "WHERE pos_start IS NOT NULL"),
+    "genome_stored": _genes("*", "WHERE pos_start IS NOT NULL"),
     "genome_counts": _genes(
         "chromosome, COUNT(*) AS genes", "WHERE pos_start IS NOT NULL GROUP BY chromosome"
     ),

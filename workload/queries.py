@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from oncolake import schemas
 from oncolake.functions import text
 from oncolake.operators import catalog, clinical, cohort, genome, serving
 from oncolake.operators import expression as ingest
 from oncolake.operators.reports import save_reports
-from oncolake.plans.cohorts import CohortSpec, like, stages
+from oncolake.plans.cohorts import CohortSpec, arm_rows, like, stages
+from oncolake.plans.joins import fit_broadcast
 from oncolake.sources import files, tables
 from workload import standins as s
 
@@ -19,14 +22,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 RANKED = "BUILDING"
-PATIENT_NAMESPACES = (
-    'xmlns:brca="urn:brca" xmlns:shared="urn:shared" '
-    'xmlns:clin_shared="urn:clin" xmlns:shared_stage="urn:stage"'
-)
-PATIENT_ELEMENT = (
-    "`shared_stage:stage_event` struct<`shared_stage:pathologic_stage`: struct<_VALUE: string>>, "
-    "`clin_shared:tumor_tissue_site` struct<_VALUE: string>, "
-    "`shared:gender` struct<_VALUE: string>"
+STAGED = "filepath string, gene_id string, gene_expr double, bad boolean"
+# Prefixes of the patient elements, declared for the files that are written with them.
+PATIENT_NAMESPACES = " ".join(
+    f'xmlns:{prefix}="urn:{prefix}"'
+    for prefix in sorted({"brca", *re.findall(r"(\w+):", " ".join(clinical.PATIENT_ELEMENTS.values()))})
 )
 
 
@@ -35,8 +35,16 @@ def query(function: Query) -> Query:
     return function
 
 
-def _means(spark: SparkSession, sf: str, specs=s.SPECS) -> DataFrame:
-    return cohort.stage_means(s.expression(spark, sf), s.patients(spark, sf), specs)
+def _means(
+    spark: SparkSession, sf: str, specs=s.SPECS, broadcast: bool | None = None
+) -> DataFrame:
+    return cohort.stage_means(s.expression(spark, sf), s.patients(spark, sf), specs, broadcast)
+
+
+def _lookups(spark: SparkSession, sf: str, specs=s.SPECS) -> list[bool]:
+    """Whether the cohort and the gene reference can be copied, measured together."""
+    members = arm_rows(s.patients(spark, sf), specs)
+    return fit_broadcast(members, cohort.gene_rows(s.genome(spark, sf)))
 
 
 def _index(spark: SparkSession, sf: str) -> DataFrame:
@@ -55,7 +63,8 @@ def fold_change_ranked(spark, sf):
 
 @query
 def fold_change_all(spark, sf):
-    return cohort.fold_change(_means(spark, sf), s.genome(spark, sf))
+    few, small = _lookups(spark, sf)
+    return cohort.fold_change(_means(spark, sf, broadcast=few), s.genome(spark, sf), small)
 
 
 @query
@@ -67,7 +76,9 @@ def fold_change_placeholder(spark, sf):
 
 @query
 def expression_changed(spark, sf):
-    return cohort.expression_changed(_means(spark, sf), s.genome(spark, sf), s.SPECS)
+    few, small = _lookups(spark, sf)
+    means = _means(spark, sf, broadcast=few)
+    return cohort.expression_changed(means, s.genome(spark, sf), s.SPECS, small)
 
 
 @query
@@ -252,7 +263,7 @@ def catalog_files(spark, sf):
     base = tables.scratch_path(spark, "catalog")
     tables.save_table(s.metadata(spark, sf), f"{base}/metadata", "json")
     listed = s.manifest(spark, sf).select(
-        F.col("path").alias("id"), "filename", F.lit('"0"').alias("md5")
+        F.col("path").alias("id"), "filename", F.lit('"0"').alias("md5"), F.lit("1").alias("size")
     )
     tables.save_table(listed, f"{base}/manifest", "csv", sep="\t", header="true", quote="")
     index = catalog.build_index(
@@ -264,6 +275,34 @@ def catalog_files(spark, sf):
     return tables.load_table(spark, lists)
 
 
+@query
+def catalog_files_multi_line(spark, sf):
+    """The catalog from metadata in files of one array each, spread over several lines."""
+    base = tables.scratch_path(spark, "catalog-arrays")
+    block = F.floor(F.regexp_extract("file_name", "f([0-9]+)", 1).cast("bigint") / 4096)
+    arrays = (
+        s.metadata(spark, sf)
+        .groupBy(block.alias("block"))
+        .agg(F.collect_list(F.struct("file_name", "data_format", "cases")).alias("files"))
+        .select("block", F.to_json("files", {"pretty": "true"}).alias("value"))
+    )
+    tables.save_table(arrays, base, "text", partition_by=["block"])
+    return catalog.build_index(s.manifest(spark, sf), files.read_metadata(spark, base))
+
+
+@query
+def catalog_each_case(spark, sf):
+    """Files of two cases, here a customer and the next one, with a row for each."""
+    metadata = s.metadata(spark, sf)
+    case = F.col("cases")[0]
+    other = F.struct(
+        (case.case_id.cast("bigint") + 1).cast("string").alias("case_id"),
+        case.project.alias("project"),
+    )
+    two = metadata.withColumn("cases", F.array(case, other))
+    return catalog.build_index(s.manifest(spark, sf), two, each_case=True)
+
+
 @query
 def catalog_route_xml(spark, sf):
     return catalog.route(_index(spark, sf), "xml_list")
@@ -386,16 +425,35 @@ def expr_positive(spark, sf):
     return rows.filter(text.is_positive(F.col("v")))
 
 
+def _staged(spark: SparkSession, lines: DataFrame) -> DataFrame:
+    """The text is read once, into a staged table."""
+    path = tables.scratch_path(spark, "staged-lines")
+    tables.save_table(ingest.stage_lines(lines), path)
+    return tables.load_table(spark, path, schema=STAGED)
+
+
 @query
 def expr_ingest(spark, sf):
-    return ingest.ingest_expression(
-        s.expression_lines(spark, sf), catalog.expression_files(s.order_files(spark, sf))
-    )
+    staged = _staged(spark, s.expression_lines(spark, sf))
+    return ingest.ingest_expression(staged, catalog.expression_files(s.order_files(spark, sf)))
 
 
 @query
 def expr_rejected(spark, sf):
-    return ingest.rejected_files(s.expression_lines(spark, sf))
+    return ingest.rejected_files(ingest.stage_lines(s.expression_lines(spark, sf)))
+
+
+@query
+def expr_missing(spark, sf):
+    """Listed expression files that are not in the archive: here, those of urgent orders."""
+    listed = catalog.expression_files(s.order_files(spark, sf))
+    stored = s.table(spark, sf, "orders").withColumn(
+        "path", s.order_path(F.col("o_orderkey"))
+    )
+    gone = F.concat(F.col("path"), F.lit(".gone"))
+    urgent = F.col("o_orderpriority") == "1-URGENT"
+    present = stored.select(F.when(urgent, gone).otherwise(F.col("path")).alias("filepath"))
+    return catalog.missing_files(listed, present)
 
 
 @query
@@ -411,8 +469,8 @@ def expr_ingest_files(spark, sf):
     paths = present.select(
         F.regexp_extract("filepath", "ward=([0-9]+)/", 1).alias("case_id"), "filepath"
     )
-    read = files.read_lines(spark, root, "*.txt.gz")
-    clustered = ingest.clustered(ingest.ingest_expression(read, paths))
+    staged = _staged(spark, files.read_lines(spark, root, "*.txt.gz"))
+    clustered = ingest.clustered(ingest.ingest_expression(staged, paths))
     stored = f"{root}-table"
     tables.save_table(clustered, stored)
     return tables.load_table(spark, stored)
@@ -423,20 +481,31 @@ def expr_ingest_files(spark, sf):
 
 @query
 def clinical_xml_extract(spark, sf):
-    listed = clinical.listed_reports(s.reports(spark, sf), s.report_files(spark, sf))
-    return clinical.extract_clinical(listed)
+    parsed = clinical.parse_reports(s.reports(spark, sf))
+    return clinical.extract_clinical(clinical.listed_reports(parsed, s.report_files(spark, sf)))
 
 
 @query
 def clinical_quarantine(spark, sf):
     """Reports among web pages: the pages, left open at their end, are no XML documents."""
     pages = s.table(spark, sf, "pages").select(
-        F.col("url").alias("filepath"),
-        F.lit("").alias("case_id"),
-        F.concat(F.lit("<r>"), F.col("html")).alias("value"),
+        F.col("url").alias("filepath"), F.concat(F.lit("<r>"), F.col("html")).alias("value")
     )
-    good = s.reports(spark, sf).select("filepath", F.col("filepath").alias("case_id"), "value")
-    return clinical.extract_clinical(good.unionByName(pages), on_error="quarantine")
+    parsed = clinical.parse_reports(s.reports(spark, sf).unionByName(pages))
+    listed = parsed.withColumn("case_id", F.col("filepath"))
+    return clinical.extract_clinical(listed, on_error="quarantine")
+
+
+@query
+def clinical_xml_files(spark, sf):
+    """Reports written as files, one for each report, and read back as whole documents."""
+    root = tables.scratch_path(spark, "reports-as-files")
+    reports = s.reports(spark, sf).select("value", F.col("filepath").alias("report"))
+    tables.save_table(reports, root, "text", partition_by=["report"])
+    parsed = clinical.parse_reports(files.read_documents(spark, root, "*.txt"))
+    report = F.regexp_extract("filepath", "^report=([^/]+)/", 1)
+    listed = parsed.select(report.alias("case_id"), "*")
+    return clinical.extract_clinical(listed).drop("filepath")
 
 
 @query
@@ -458,7 +527,7 @@ def clinical_xml_struct(spark, sf):
     # Prefixed names are no plain names, which is what the writer would check.
     layout = {"rowTag": tag, "rootTag": f"brca:bcr {PATIENT_NAMESPACES}", "validateName": "false"}
     tables.save_table(rows, root, "xml", **layout)
-    read = files.read_elements(spark, root, tag, PATIENT_ELEMENT)
+    read = files.read_elements(spark, root, tag, clinical.patient_schema())
     return (
         clinical.clinical_from_elements(read)
         .groupBy("disease_type", "disease_stage", "gender")
@@ -533,6 +602,15 @@ def genome_reference(spark, sf):
     return genome.gene_reference(_parsed(spark, sf))
 
 
+@query
+def genome_stored(spark, sf):
+    """The gene reference stored as its table, and read back."""
+    path = tables.scratch_path(spark, "hs-genome")
+    tables.create_table(spark, "hs_genome", path)
+    tables.save_table(genome.gene_reference(_parsed(spark, sf)), path, mode="append")
+    return tables.load_table(spark, path, schema=schemas.GENE_REFERENCE)
+
+
 @query
 def genome_counts(spark, sf):
     return genome.genes_per_chromosome(genome.gene_reference(_parsed(spark, sf)))

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from oncolake.functions.reports import CLINICAL_FIELDS
 from oncolake.plans.cohorts import CohortSpec, like, stages
 
 # One disease per shape of cohort: stage lists, overlapping patterns, single stages, a
@@ -27,8 +28,23 @@ STAGES = (
 )
 
 
+# The given tables that stand in for others, with the columns that are used.
+SCHEMAS = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+        "l_quantity double, l_returnflag string, l_linestatus string"
+    ),
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderpriority string"
+    ),
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    reader = spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else spark.read
+    return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def spec_of(disease: str) -> CohortSpec:
@@ -67,18 +83,15 @@ def expression(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def genome(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every 7th part is unknown, every 10th has two rows."""
+    """Every 7th part has an id that no measure has, every 10th has two rows."""
     key = F.col("p_partkey")
     copies = F.when(key % 10 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-    rows = (
-        table(spark, sf_dir, "part")
-        .filter(key % 7 != 0)
-        .select("*", F.explode(copies).alias("copy"))
-    )
+    rows = table(spark, sf_dir, "part").select("*", F.explode(copies).alias("copy"))
+    own = F.when(key % 7 == 0, -1 - key).otherwise(key)
     source = F.concat(F.lit(" [Source:"), F.col("p_brand"), F.lit("]"))
     return rows.select(
-        F.concat(key.cast("string"), F.lit("."), F.col("copy").cast("string")).alias("full_id"),
-        key.alias("id"),
+        F.concat(own.cast("string"), F.lit("."), F.col("copy").cast("string")).alias("full_id"),
+        own.alias("id"),
         F.col("p_name").alias("name"),
         F.col("p_brand").alias("chromosome"),
         F.when(F.col("copy") == 1, F.concat("p_type", source))
@@ -93,16 +106,17 @@ def _file_name(key: Column) -> Column:
 
 
 def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every 19th file has a name that the metadata do not have."""
     key = F.col("o_orderkey")
-    return (
-        table(spark, sf_dir, "orders")
-        .filter(key % 19 != 0)
-        .select(key.cast("string").alias("path"), _file_name(key).alias("filename"))
+    name = F.when(key % 19 == 0, F.concat(F.lit("listed-"), _file_name(key)))
+    return table(spark, sf_dir, "orders").select(
+        key.cast("string").alias("path"), name.otherwise(_file_name(key)).alias("filename")
     )
 
 
 def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested, as the JSON input is; every 23rd file is unknown, every 17th has no format."""
+    """Nested, as the JSON input is; every 23rd file has a name that the manifest does not
+    have, every 17th has no format."""
     key = F.col("o_orderkey")
     data_format = F.when(
         key % 17 != 0,
@@ -111,14 +125,15 @@ def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(key % 4 == 2, F.lit("XLSX"))
         .otherwise(F.lit("VCF")),
     )
-    orders = table(spark, sf_dir, "orders").filter(key % 23 != 0)
+    orders = table(spark, sf_dir, "orders")
+    name = F.when(key % 23 == 0, F.concat(F.lit("described-"), _file_name(key)))
     customer = table(spark, sf_dir, "customer")
     case = F.struct(
         F.col("o_custkey").cast("string").alias("case_id"),
         F.struct(F.col("c_nationkey").cast("string").alias("project_id")).alias("project"),
     )
     return orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).select(
-        _file_name(key).alias("file_name"),
+        name.otherwise(_file_name(key)).alias("file_name"),
         data_format.alias("data_format"),
         F.array(case).alias("cases"),
     )
@@ -158,7 +173,8 @@ def order_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(filepath, value): a namespaced XML report per customer.
 
-    Every 7th has no stage element, every 5th an empty gender.
+    Every 7th has no stage element, every 5th an empty gender. A gender of another namespace
+    stands before the right one, and a comment inside of it.
     """
     key = F.col("c_custkey")
     element = "<{0}>%s</{0}>".format
@@ -170,14 +186,14 @@ def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
     ).otherwise(F.lit(""))
     gender = F.when(key % 5 == 0, F.lit("<bio:gender/>")).otherwise(
-        F.lit("<bio:gender>FEMALE</bio:gender>")
+        F.lit("<bio:gender>FE<!-- no break -->MALE</bio:gender>")
     )
+    gender = F.concat(F.lit("<other:gender>UNKNOWN</other:gender>"), gender)
     site = F.format_string(element("site:tumor_tissue_site"), F.col("c_mktsegment"))
+    prefixes = zip(("stage", "site", "bio"), CLINICAL_FIELDS, strict=True)
+    declared = "".join(f' xmlns:{prefix}="{field.namespace}"' for prefix, field in prefixes)
     head = (
-        '<?xml version="1.0" encoding="UTF-8"?><bcr'
-        ' xmlns:stage="http://tcga.nci/bcr/xml/clinical/shared/stage/2.7"'
-        ' xmlns:site="http://tcga.nci/bcr/xml/clinical/shared/2.7"'
-        ' xmlns:bio="http://tcga.nci/bcr/xml/shared/2.7"><patient>'
+        f'<?xml version="1.0" encoding="UTF-8"?><bcr{declared} xmlns:other="urn:other"><patient>'
     )
     return table(spark, sf_dir, "customer").select(
         F.concat(F.lit("r"), key.cast("string")).alias("filepath"),
