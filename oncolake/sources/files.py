@@ -202,8 +202,6 @@ def damaged_gzip_files(
     rejected files: what was read of them before the damage is then dropped with them.
     """
     blobs = _files_under(spark, glob).format("binaryFile").load(_below(spark, root, under))
-    return (
-        blobs.select(relative_path(spark, root).alias("filepath"), _unpacks("content").alias("_whole"))
-        .filter(~F.col("_whole"))
-        .select("filepath")
-    )
+    path = relative_path(spark, root).alias("filepath")
+    checked = blobs.select(path, _unpacks("content").alias("_whole"))
+    return checked.filter(~F.col("_whole")).select("filepath")

@@ -24,10 +24,8 @@ QUERIES: dict[str, Query] = {}
 RANKED = "BUILDING"
 STAGED = "filepath string, gene_id string, gene_expr double, bad boolean"
 # Prefixes of the patient elements, declared for the files that are written with them.
-PATIENT_NAMESPACES = " ".join(
-    f'xmlns:{prefix}="urn:{prefix}"'
-    for prefix in sorted({"brca", *re.findall(r"(\w+):", " ".join(clinical.PATIENT_ELEMENTS.values()))})
-)
+_PREFIXES = {"brca", *re.findall(r"(\w+):", " ".join(clinical.PATIENT_ELEMENTS.values()))}
+PATIENT_NAMESPACES = " ".join(f'xmlns:{p}="urn:{p}"' for p in sorted(_PREFIXES))
 
 
 def query(function: Query) -> Query:
