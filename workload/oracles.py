@@ -376,10 +376,5 @@ ORACLES = {
         'name AS full_id, COUNT(*) AS "rows"',
         "WHERE pos_start IS NOT NULL GROUP BY name HAVING COUNT(*) > 1",
     ),
-    "genome_files": """SELECT 'G' || CAST(p_partkey AS VARCHAR) || '.3' AS full_id,
-        'G' || CAST(p_partkey AS VARCHAR) AS id, p_name AS name,
-        'Non-chromosomal' AS chromosome,
-        CASE WHEN p_partkey % 2 = 0 THEN '-' ELSE '+' END AS strand,
-        -1 AS pos_start, -1 AS pos_end, p_type || ' [Source:' || p_brand || ']' AS info
-        FROM part""",
+    "genome_files": _genes("*", "WHERE pos_start IS NOT NULL"),
 }

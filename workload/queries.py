@@ -626,13 +626,29 @@ def genome_repeated(spark, sf):
     return genome.repeated_genes(named)
 
 
+def _as_named_files(spark: SparkSession, root: str, column: str) -> str:
+    """Text files written in folders by a file name, moved to files of that name."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    store = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    named = f"{root}-named"
+    for folder in store.globStatus(path(f"{root}/{column}=*")):
+        name = folder.getPath().getName().split("=", 1)[1]
+        for i, part in enumerate(store.globStatus(path(f"{folder.getPath()}/part-*"))):
+            store.mkdirs(path(f"{named}/{i}"))
+            store.rename(part.getPath(), path(f"{named}/{i}/{name}"))
+    return named
+
+
 @query
 def genome_files(spark, sf):
-    """Gene records written as compressed flat files and cut again by the reader."""
+    """Gene records written as compressed flat files, one for each chromosome, and cut again by
+    the reader."""
     root = tables.scratch_path(spark, "genome")
     lines = s.genome_records(spark, sf).select(
-        F.concat(F.lit("HEADER\n     gene "), F.col("value")).alias("value")
+        "file_name", F.concat(F.lit("HEADER\n     gene "), F.col("value")).alias("value")
+    )
+    tables.save_table(
+        lines.repartition("file_name"), root, "text", partition_by=["file_name"], compression="gzip"
     )
-    tables.save_table(lines, root, "text", compression="gzip")
-    records = files.read_genome_records(spark, root, "genbank", "*.txt.gz")
+    records = files.read_genome_records(spark, _as_named_files(spark, root, "file_name"))
     return genome.gene_reference(genome.parse_genes(records))
