@@ -74,8 +74,9 @@ class Graph:
                 fresh = np.take_along_axis(fresh, front, 1)
                 near = np.where(fresh, np.take_along_axis(near, front, 1), n)
                 seen[rows, near] = True
-                found = np.matmul(self.vectors[np.minimum(near, n - 1)], queries[active][:, :, None])
-                sim = np.where(fresh, found[:, :, 0], -np.inf)
+                around = self.vectors[np.minimum(near, n - 1)]
+                found = np.matmul(around, queries[active][:, :, None])[:, :, 0]
+                sim = np.where(fresh, found, -np.inf)
                 every = np.concatenate([sims[active], sim], axis=1)
                 best = np.argsort(-every, axis=1, kind="stable")[:, :beam]
                 sims[active] = np.take_along_axis(every, best, 1)
@@ -144,7 +145,8 @@ class Graph:
             found = np.full((len(part), MOST_EDGES + most), -1, np.int32)
             found[:, :MOST_EDGES] = self.edges[nodes[part]]
             for i, k in enumerate(part.tolist()):
-                found[i, MOST_EDGES : MOST_EDGES + count[k]] = source[first[k] : first[k] + count[k]]
+                new = source[first[k] : first[k] + count[k]]
+                found[i, MOST_EDGES : MOST_EDGES + len(new)] = new
             self.edges[nodes[part]] = -1
             self.edges[nodes[part], :DEGREE] = self._prune(nodes[part], found, DEGREE)
 

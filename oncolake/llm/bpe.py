@@ -18,7 +18,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import chain
 
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from oncolake.llm.pretokens import blocks, bounds, number_words, pack, ragged, unpack
-from oncolake.llm.shared import extended, written
+from oncolake.llm.shared import extended, release_memory, written
 
 #: Ids of the texts that leave a task at once, at least.
 OUT_IDS = 1_000_000
@@ -81,6 +81,32 @@ def encode(
     each pre-token. A frequent word is one row part for each block, whatever its count; a bucket
     of words is bounded by the number of distinct words over the shuffle partitions.
     """
+
+    def ids_alone():
+        return lambda keys, ids: pa.RecordBatch.from_arrays([keys, _column(ids)], ["key", "ids"])
+
+    return _encoded(
+        docs, path, pattern, id_col, text_col, stable_input, ids_alone, "ids array<int>"
+    )
+
+
+def _column(ids: list[np.ndarray]) -> pa.ListArray:
+    ends = bounds(np.fromiter(map(len, ids), np.int64, len(ids)))
+    values = np.concatenate(ids).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))
+
+
+def _encoded(
+    docs: DataFrame,
+    path: str,
+    pattern: str,
+    id_col: str,
+    text_col: str,
+    stable_input: bool,
+    output: Callable[[], Callable[[pa.Array, list[np.ndarray]], pa.RecordBatch]],
+    columns: str,
+) -> DataFrame:
+    """The encoded texts, as the function that `output` makes in each task gives them out."""
     spark = docs.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     source = docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("text"))
@@ -108,12 +134,13 @@ def encode(
                 ],
                 names=["block", "sum", "bucket", "words", "sizes", "numbers"],
             )
+        release_memory()
 
     def encode_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one, ids, bucket = _word_encoder(path), {}, None
         for batch in batches:
             out_sizes, out_data = [], []
-            for row in batch.select(["bucket", "words", "sizes"]).to_pylist():
+            for row in _rows(batch.select(["bucket", "words", "sizes"])):
                 if row["bucket"] != bucket:
                     bucket, ids = row["bucket"], {}
                 ends = bounds(unpack(row["sizes"])).tolist()
@@ -155,23 +182,16 @@ def encode(
                 ],
                 names=["block", "sum", "kind", "numbers", "sizes", "data", "key"],
             ).to_batches()
+        release_memory()
 
     def put_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, total, parts = None, None, []
         start = size = flat = None
         keys, out, filled = [], [], 0
-
-        def batch_of():
-            lengths = np.fromiter(map(len, out), np.int64, len(out))
-            values = np.concatenate(out) if out else np.zeros(0)
-            listed = pa.ListArray.from_arrays(
-                pa.array(bounds(lengths), pa.int32()), pa.array(values.astype(np.int32))
-            )
-            return pa.RecordBatch.from_arrays([pa.array(keys, arrow_key), listed], ["key", "ids"])
-
+        emit = output()
         for batch in batches:
             arrow_key = batch.schema.field("key").type
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 if row["block"] != block:
                     block, total, parts, start = row["block"], row["sum"], [], None
                 if row["sum"] != total:
@@ -189,10 +209,11 @@ def encode(
                 out.append(flat[ragged(start[at], size[at])] if len(at) else flat[:0])
                 filled += len(out[-1])
                 if filled >= OUT_IDS:
-                    yield batch_of()
+                    yield emit(pa.array(keys, arrow_key), out)
                     keys, out, filled = [], [], 0
         if keys:
-            yield batch_of()
+            yield emit(pa.array(keys, arrow_key), out)
+        release_memory()
 
     dictionary = (
         source.mapInArrow(split_words, _WORDS)
@@ -208,11 +229,17 @@ def encode(
         texts.unionByName(dictionary)
         .repartition("block")
         .sortWithinPartitions("block", "kind")
-        .mapInArrow(put_together, f"key {key.dataType.simpleString()}, ids array<int>")
+        .mapInArrow(put_together, f"key {key.dataType.simpleString()}, {columns}")
         .withColumnRenamed("key", id_col)
     )
 
 
+def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
+    """The rows of a batch, a few at a time, so that their values are not there twice at once."""
+    for start in range(0, batch.num_rows, 256):
+        yield from batch.slice(start, 256).to_pylist()
+
+
 def _dictionary(parts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and size of each word's ids by its number, and the ids of all."""
     if not parts:
@@ -251,7 +278,9 @@ def token_bytes(path: str) -> list[bytes | None]:
     return table
 
 
-def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
+def decode(
+    encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids"
+) -> DataFrame:
     """The id, the ids, and `decoded`, the bytes that they stand for, of every row.
 
     The table of token bytes, whose size is that of the vocabulary file, is joined by id inside
@@ -275,33 +304,63 @@ def _joined(table: list[bytes | None], ids: list[int]) -> bytes:
     return b"".join(map(table.__getitem__, ids))
 
 
-def digest(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
-    """The id, n_tokens, and SHA-256 of the decimal ids and of the bytes they decode to.
+def round_trip(
+    docs: DataFrame,
+    path: str,
+    pattern: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    stable_input: bool = False,
+) -> DataFrame:
+    """`encode` and `decode` in one task: the id, `ids` and `decoded` of every row. A task then
+    has one Python worker, whose output is what both would give."""
 
-    Decodes and hashes in one task, so that decoded texts need not leave it.
-    """
-    source = encoded.select(F.col(id_col), F.col(ids_col))
-    schema = extended(
-        source.select(id_col), n_tokens="long", ids_sha256="string", decoded_sha256="string"
-    )
+    def both():
+        table = token_bytes(path)
+
+        def emit(keys: pa.Array, ids: list[np.ndarray]) -> pa.RecordBatch:
+            texts = [_joined(table, row.tolist()) for row in ids]
+            columns = [keys, _column(ids), pa.array(texts, pa.binary())]
+            return pa.RecordBatch.from_arrays(columns, ["key", "ids", "decoded"])
+
+        return emit
+
+    columns = "ids array<int>, decoded binary"
+    return _encoded(docs, path, pattern, id_col, text_col, stable_input, both, columns)
+
+
+def digest(
+    docs: DataFrame,
+    path: str,
+    pattern: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    stable_input: bool = False,
+) -> DataFrame:
+    """`round_trip`, of which only digests leave the task: the id, n_tokens, and SHA-256 of the
+    decimal ids and of the bytes that the ids decode to."""
 
-    def hash_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def hashed():
         table, decimal = token_bytes(path), _Decimals()
-        for batch in batches:
-            counts, ids, texts = [], [], []
-            for row in _lists(batch.column(1)):
+
+        def emit(keys: pa.Array, ids: list[np.ndarray]) -> pa.RecordBatch:
+            counts, of_ids, of_bytes = [], [], []
+            for row in map(np.ndarray.tolist, ids):
+                text = " ".join(map(decimal.__getitem__, row))
                 counts.append(len(row))
-                listed = " ".join(map(decimal.__getitem__, row))
-                ids.append(hashlib.sha256(listed.encode()).hexdigest())
-                texts.append(hashlib.sha256(_joined(table, row)).hexdigest())
-            yield pa.RecordBatch.from_arrays(
+                of_ids.append(hashlib.sha256(text.encode()).hexdigest())
+                of_bytes.append(hashlib.sha256(_joined(table, row)).hexdigest())
+            return pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0),
+                    keys,
                     pa.array(counts, pa.int64()),
-                    pa.array(ids, pa.string()),
-                    pa.array(texts, pa.string()),
+                    pa.array(of_ids, pa.string()),
+                    pa.array(of_bytes, pa.string()),
                 ],
-                schema.names,
+                ["key", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 
-    return source.mapInArrow(hash_, schema)
+        return emit
+
+    columns = "n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return _encoded(docs, path, pattern, id_col, text_col, stable_input, hashed, columns)

@@ -66,7 +66,9 @@ def _longest_run(words: Column, known: Column) -> Column:
     return F.aggregate(words, zero, step, lambda acc: acc["most"])
 
 
-def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+def contamination(
+    docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **options
+) -> DataFrame:
     """Per row of `docs`: the id, n_words, n_hit (words inside any occurrence of a window),
     `items` (those with occurring windows, as sorted strings) and `spans` (first word and the one
     behind the last, from 0, not touching each other). Options are those of `_search`.

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from oncolake.llm.shared import extended
+from oncolake.llm.shared import extended, release_memory
 
 #: Bounds of the labelled sample: documents of a language, characters of each, characters of all.
 TRAIN_DOCS = 64
@@ -27,6 +27,8 @@ TRAIN_DOC_CHARS = 4_000
 TRAIN_CHARS = 32_000
 
 PIECE = 256
+#: Rows of a batch that are parsed at once.
+SLICE = 1_000
 BLOCK_CHARS = 4_096 * PIECE
 UNDETERMINED = "und"
 
@@ -132,7 +134,7 @@ class Model:
         kind = np.uint8 if width <= 256 else np.uint32
         self.classes = np.where(letters, other, SPACE).astype(kind)
         self.classes[seen] = np.arange(SPACE + 1, other)
-        tables, self.bits, base = [np.full((1, width), 0, np.int64)], [], 1
+        tables, self.bits, base = [np.zeros((1, width), np.int32)], [], 1
         starts = np.zeros((len(texts), width), np.int64)
         for k, codes in enumerate(texts):
             mapped = self.classes[codes]
@@ -140,13 +142,14 @@ class Model:
             keep[1:] = (mapped[1:] != SPACE) | (mapped[:-1] != SPACE)
             mapped = mapped[keep]
             table = _automaton(mapped.tolist(), width)
-            tables.append(np.where(table < 0, 0, (table.astype(np.int64) + base) * width))
+            if (base + len(table)) * width >= 2**31:
+                raise ValueError("the labelled texts of all languages are too long together")
+            tables.append(np.where(table < 0, 0, (table + base) * width).astype(np.int32))
             starts[k] = tables[-1][0]
             self.bits.append(max(1.0, float(np.log2(max(2, len(mapped))))))
             base += len(table)
-        size = np.int32 if base * width < 2**31 else np.int64
-        self.steps = np.concatenate(tables).ravel().astype(size)
-        self.starts = starts.astype(size)
+        self.steps = np.concatenate(tables).ravel()
+        self.starts = starts.astype(np.int32)
 
     def phrases(self, segments: list[str]) -> np.ndarray:
         """Phrases of each segment against each language: an array segments x languages.
@@ -252,28 +255,33 @@ def predict_language(
     """The id, the columns of `keep`, lang_pred, score and phrase_chars of every row of `docs`.
 
     A null or empty text, one without letters, and any text if the sample is empty: 'und' with
-    score and phrase_chars 0. Of languages with equal cost the first by name wins, with score 0. Repeated rows
-    are predicted alike. Other columns are not carried on. Nothing is shuffled; every task
-    builds the automata of the bounded sample for itself.
+    score and phrase_chars 0. Of languages with equal cost the first by name wins, with score 0.
+    Repeated rows are predicted alike. Other columns are not carried on. Nothing is shuffled;
+    every task builds the automata of the bounded sample for itself.
     """
     pairs = tuple(sorted(sample.items()))
     columns = [F.col(id_col), *(F.col(c) for c in keep)]
     source = docs.select(*columns, F.col(text_col).alias("__text"))
-    schema = extended(source.drop("__text"), lang_pred="string", score="double", phrase_chars="double")
+    schema = extended(
+        source.drop("__text"), lang_pred="string", score="double", phrase_chars="double"
+    )
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(pairs)
         for batch in batches:
-            langs, scores, lengths = model.predict(batch.column("__text").to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *(batch.column(i) for i in range(batch.num_columns - 1)),
-                    pa.array(langs, pa.string()),
-                    pa.array(scores, pa.float64()),
-                    pa.array(lengths, pa.float64()),
-                ],
-                names=schema.names,
-            )
+            for start in range(0, batch.num_rows, SLICE):
+                part = batch.slice(start, SLICE)
+                langs, scores, lengths = model.predict(part.column(part.num_columns - 1).to_pylist())
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(part.column(i) for i in range(part.num_columns - 1)),
+                        pa.array(langs, pa.string()),
+                        pa.array(scores, pa.float64()),
+                        pa.array(lengths, pa.float64()),
+                    ],
+                    names=schema.names,
+                )
+        release_memory()
 
     return source.mapInArrow(predict, schema)
 
@@ -289,8 +297,10 @@ def in_known_language(
     docs: DataFrame, sample: dict[str, str], id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """The rows of `docs` whose text has letters and is in one of the sample's languages."""
-    row = docs.select(F.col(id_col).alias("id"), text_col, F.struct(*docs.columns).alias("row"))
-    found = predict_language(row, sample, "id", text_col, keep=("row",))
+    row = docs.select(
+        F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.struct(*docs.columns).alias("row")
+    )
+    found = predict_language(row, sample, "id", "text", keep=("row",))
     known = (F.col("phrase_chars") >= LEAST_PHRASE_CHARS) | (
         F.length(F.col("row")[text_col]) < LEAST_CHARS
     )

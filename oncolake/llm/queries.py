@@ -58,8 +58,7 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and the bytes they decode to, as digests."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     docs = table(spark, sf_dir, "documents")
-    encoded = bpe.encode(docs, path, public_tokenizers.PATTERN, stable_input=True)
-    return bpe.digest(encoded, path)
+    return bpe.digest(docs, path, public_tokenizers.PATTERN, stable_input=True)
 
 
 #: Stands in for a key that a deployment reads from its own store.
@@ -137,7 +136,28 @@ _WORDS = (
     "'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 )
 
+# Base32 by groups of 20 bits: five hexadecimal digits are four of base32.
+_BASE32 = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', "
+    f"CAST((CAST('0x' || substr(h, {5 * k + 1}, 5) AS BIGINT) >> {shift}) & 31 AS INTEGER) + 1, 1)"
+    for k in range(8)
+    for shift in (15, 10, 5, 0)
+)
+
 ORACLES: dict[str, str] = {
+    "op3_warc": f"""
+        WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+        k AS (SELECT body, max(page_id) AS first FROM p GROUP BY body),
+        d AS (
+            SELECT page_id, strlen(body) AS payload_bytes, sha1(body) AS h,
+                   CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+            FROM p JOIN k USING (body)
+        )
+        SELECT page_id, payload_bytes, {_BASE32} AS payload_digest,
+               CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type,
+               refers_to
+        FROM d
+    """,
     "op7_decontamination": f"""
         WITH d AS (
             SELECT row_number() OVER () AS r, doc_id, coalesce({_WORDS}, []) AS w FROM documents

@@ -202,13 +202,10 @@ def scan(
 
 
 def _listed(spans: Column) -> Column:
-    return F.array_join(
-        F.transform(
-            spans,
-            lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")),
-        ),
-        ",",
-    )
+    def text(s: Column) -> Column:
+        return F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
+
+    return F.array_join(F.transform(spans, text), ",")
 
 
 def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from oncolake.llm.components import components
-from oncolake.llm.shared import checkpointed
+from oncolake.llm.shared import checkpointed, release_memory
 
 WORDS = 4
 SEED = 42
@@ -68,6 +68,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(found, pa.int64())], ["id", "fp"]
             )
+        release_memory()
 
     return source.mapInArrow(hash_, f"id {kind}, fp long")
 

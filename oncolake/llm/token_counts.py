@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from oncolake.llm.pretokens import blocks, bounds, number_words
-from oncolake.llm.shared import extended
+from oncolake.llm.shared import extended, release_memory
 
 #: Longer sequences are merged one by one with a heap: rounds would pass over them too often.
 LONG = 400
@@ -117,7 +117,8 @@ class Merges:
             # In a run of equal symbols every other pair is taken, from the left.
             if len(at) > 1:
                 run = np.concatenate([[True], np.diff(at) != 1])
-                since = np.arange(len(at)) - np.maximum.accumulate(np.where(run, np.arange(len(at)), 0))
+                place = np.arange(len(at))
+                since = place - np.maximum.accumulate(np.where(run, place, 0))
                 at = at[since % 2 == 0]
             symbols[at] = self.merged[rank[at]]
             keep = np.ones(len(symbols), bool)
@@ -217,6 +218,7 @@ def count_tokens(
                 ],
                 names=schema.names,
             ).to_batches()
+        release_memory()
 
     return source.mapInArrow(count, schema)
 

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import heapq
 import io
 import json
 import struct
@@ -24,7 +25,7 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import (
@@ -274,7 +275,8 @@ def _verify(row: dict, data: bytes) -> None:
 
 
 def _open(uri: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
+    plain = "://" not in uri and not uri.startswith("file:")
+    return fs.FileSystem.from_uri(f"file://{uri}" if plain else uri)
 
 
 def _files(uri: str) -> list[tuple[str, int]]:
@@ -339,8 +341,6 @@ class WarcReader(DataSourceReader):
         total = sum(size for _, size in files)
         count = max(1, min(len(files), -(-total // self.partition_bytes)))
         bins: list[list] = [[0, k, []] for k in range(count)]
-        import heapq
-
         for path, size in sorted(files, key=lambda f: (-f[1], f[0])):
             least = heapq.heappop(bins)
             least[0] += size
@@ -399,12 +399,8 @@ class _Raw(io.RawIOBase):
         super().close()
 
 
-_ARROW = pa.schema(
-    [
-        (f.name, pa.int64() if f.name == "payload_bytes" else pa.binary() if f.name == "payload" else pa.string())
-        for f in SCHEMA.fields
-    ]
-)
+_KINDS = {"payload_bytes": pa.int64(), "payload": pa.binary()}
+_ARROW = pa.schema([(f.name, _KINDS.get(f.name, pa.string())) for f in SCHEMA.fields])
 
 
 def _batch(rows: list[dict]) -> pa.RecordBatch:
@@ -533,35 +529,36 @@ def page_records(
     first = rows.filter(shared).groupBy("hash").agg(F.max("id").alias("first"))
     joined = rows.join(first, "hash", "left")
     revisit = shared & F.col("first").isNotNull() & ~F.col("id").eqNullSafe(F.col("first"))
-    name = F.concat(F.lit(f"<{PAGE}"), F.coalesce(F.col("id").cast("string"), F.lit("none")), F.lit(">"))
     digest = F.sha1("body")
     return joined.select(
-        name.alias("record_id"),
+        _page("id").alias("record_id"),
         F.when(revisit, "revisit").otherwise("response").alias("record_type"),
         "target_uri",
         F.lit(date).alias("date"),
         F.lit("text/html; charset=utf-8").alias("content_type"),
         F.when(revisit, F.concat(F.lit("sha1:"), _base32(digest))).alias("payload_digest"),
-        F.when(revisit, F.concat(F.lit(f"<{PAGE}"), F.col("first").cast("string"), F.lit(">"))).alias(
-            "refers_to"
-        ),
+        F.when(revisit, _page("first")).alias("refers_to"),
         F.octet_length("body").cast("long").alias("payload_bytes"),
         F.when(~revisit, F.col("body")).alias("payload"),
     )
 
 
-def _base32(hex_: F.Column) -> F.Column:
+def _page(column: str) -> Column:
+    number = F.coalesce(F.col(column).cast("string"), F.lit("none"))
+    return F.concat(F.lit(f"<{PAGE}"), number, F.lit(">"))
+
+
+def _base32(hex_: Column) -> Column:
     """The upper-case base32 of 40 hexadecimal digits: each five of them are four of 32."""
     digits = F.transform(
         F.sequence(F.lit(0), F.lit(7)),
         lambda k: F.upper(F.lpad(F.conv(F.substring(hex_, k * 5 + 1, F.lit(5)), 16, 32), 4, "0")),
     )
-    return F.translate(
-        F.array_join(digits, ""), "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
-    )
+    ours, theirs = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+    return F.translate(F.array_join(digits, ""), ours, theirs)
 
 
-def page_ids(column: str) -> F.Column:
+def page_ids(column: str) -> Column:
     """The id in a page's record name, null if it has none."""
     number = F.regexp_extract(column, rf"^{PAGE}(-?\d+)$", 1)
     return F.when(number != "", number.cast("long"))
