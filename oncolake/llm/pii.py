@@ -21,10 +21,19 @@ KINDS = ("email", "iban", "card", "ssn", "phone", "date", "ip")
 
 # The formats that are looked for, as known from their standards.
 _PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "email": (
+        r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@"
+        r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
+    ),
+    "iban": (
+        r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}"
+        r"(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
+    ),
     "ip": r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?![\d]|\.\d)",
-    "date": r"(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\d/-]|\.\d)",
+    "date": (
+        r"(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})"
+        r"(?![\d/-]|\.\d)"
+    ),
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "phone": r"(?<![\d+])(?:\+1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)",
     "card": r"(?<![\d.-])\d(?:[ -]?\d){12,18}(?![\d]|[.-]\d)",
@@ -142,16 +151,17 @@ def _mod97(text: Column) -> Column:
 
     def step(acc: Column, c: Column) -> Column:
         code = F.ascii(c)
-        return F.when(code < 65, (acc * 10 + code - 48) % 97).otherwise((acc * 100 + code - 55) % 97)
+        digit, letter = acc * 10 + code - 48, acc * 100 + code - 55
+        return F.when(code < 65, digit % 97).otherwise(letter % 97)
 
     return F.aggregate(F.split(text, ""), F.lit(0), step)
 
 
 def _card(key: Key) -> tuple[Callable, Callable]:
-    """Luhn numbers; the first digit, which names the industry, stays."""
+    """Luhn numbers from 2 to 6, the industries that issue cards; the first digit stays."""
 
     def valid(value: Column) -> Column:
-        return _let(_digits(value), lambda d: _luhn_sum(d, 1) % 10 == 0)
+        return _let(_digits(value), lambda d: d.rlike("^[2-6]") & (_luhn_sum(d, 1) % 10 == 0))
 
     def pseudonym(value: Column) -> Column:
         def changed(d: Column) -> Column:
@@ -200,34 +210,43 @@ def _iban(key: Key) -> tuple[Callable, Callable]:
 
 
 def _phone(key: Key) -> tuple[Callable, Callable]:
-    """Ten digits of the North American plan: area and exchange from 200 to 999."""
+    """Ten digits in the layout of a North American number.
 
-    def ten(value: Column) -> Column:
-        return F.right(_digits(value), F.lit(10))
+    Area and exchange go from 200; numbers with one below that are written, too, and are permuted
+    among their like, so that a number that could be called stays one.
+    """
 
     def valid(value: Column) -> Column:
-        return ten(value).rlike("^[2-9][0-9]{2}[2-9]")
+        return F.lit(True)
 
     def pseudonym(value: Column) -> Column:
         def number(d: Column, at: int, size: int) -> Column:
             return F.substring(d, at, size).cast("long")
 
         def changed(d: Column) -> Column:
-            left = (number(d, 1, 3) - 200) * 100 + number(d, 7, 2)
-            right = (number(d, 4, 3) - 200) * 100 + number(d, 9, 2)
-            size = F.lit(80_000).cast("long")
+            area, exchange = number(d, 1, 3), number(d, 4, 3)
+            first = [F.when(n >= 200, 200).otherwise(0).cast("long") for n in (area, exchange)]
+            size = [F.when(n > 0, 80_000).otherwise(20_000).cast("long") for n in first]
+            left = (area - first[0]) * 100 + number(d, 7, 2)
+            right = (exchange - first[1]) * 100 + number(d, 9, 2)
             return _let(
-                feistel(key, "phone", left, size, right, size),
+                feistel(key, "phone", left, size[0], right, size[1]),
                 lambda p: F.concat(
-                    (F.floor(p["l"] / 100) + 200).cast("string"),
-                    (F.floor(p["r"] / 100) + 200).cast("string"),
-                    F.lpad((p["l"] % 100).cast("string"), 2, "0"),
-                    F.lpad((p["r"] % 100).cast("string"), 2, "0"),
+                    *(
+                        F.lpad(n.cast("string"), width, "0")
+                        for n, width in (
+                            (F.floor(p["l"] / 100) + first[0], 3),
+                            (F.floor(p["r"] / 100) + first[1], 3),
+                            (p["l"] % 100, 2),
+                            (p["r"] % 100, 2),
+                        )
+                    )
                 ),
             )
 
         country = F.when(F.length(_digits(value)) == 11, F.lit("1")).otherwise("")
-        return _in_place(value, "[0-9]", F.concat(country, _let(ten(value), changed)))
+        ten = F.right(_digits(value), F.lit(10))
+        return _in_place(value, "[0-9]", F.concat(country, _let(ten, changed)))
 
     return valid, pseudonym
 
@@ -394,35 +413,36 @@ def pseudonymize(
 ) -> DataFrame:
     """`docs` with the pseudonyms in place, all other columns as they are.
 
-    With `counts`, a column of that name is added: a map of kind to the values replaced. Values
+    With `counts`, a column of that new name is added: a map of kind to the values replaced. Values
     that fail their kind's validation (Luhn, modulo 97, ranges, calendar) stay. A null text stays
     null and has no values; repeated rows are treated alike. Nothing is shuffled.
     """
+    if counts in docs.columns:
+        raise ValueError(f"there is a column {counts} already")
+    own = "__hits"
+    while own in docs.columns:
+        own += "_"
     text = F.col(text_col)
     found = F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
     # Few texts hold a digit or an at sign; the others pass with one short search.
     hits = F.when(text.rlike("[@0-9]"), F.transform(found, lambda f: _checked(f, key)))
-    kinds = F.col("__hits")["kind"]
+    kinds = F.col(own)["kind"]
     rebuilt = F.array_join(
         F.zip_with(
             F.split(text, ANY, -1),
-            F.transform("__hits", lambda h: _text_of(h, key)),
+            F.transform(own, lambda h: _text_of(h, key)),
             lambda gap, new: F.concat(gap, F.coalesce(new, F.lit(""))),
         ),
         "",
     )
     changed = F.exists(kinds, lambda k: k.isNotNull())
-    marked = docs.withColumn("__hits", hits)
+    marked = docs.withColumn(own, hits)
     out = {text_col: F.when(changed, rebuilt).otherwise(text)}
     if counts:
-        each = [
-            F.struct(
-                F.lit(k).alias("key"),
-                F.size(F.filter(F.coalesce(kinds, F.array().cast("array<string>")), lambda x: x == k))
-                .cast("long")
-                .alias("value"),
-            )
-            for k in KINDS
-        ]
-        out[counts] = F.map_from_entries(F.array(*each))
-    return marked.withColumns(out).drop("__hits")
+        found_kinds = F.coalesce(kinds, F.array().cast("array<string>"))
+
+        def number(kind: str) -> Column:
+            return F.size(F.filter(found_kinds, lambda k: k == kind)).cast("long")
+
+        out[counts] = F.map_from_arrays(F.lit(list(KINDS)), F.array(*map(number, KINDS)))
+    return marked.withColumns(out).drop(own)

@@ -62,7 +62,7 @@ def mod97(text):
 
 def card(key, value):
     d = re.sub("[^0-9]", "", value)
-    if not luhn(d):
+    if d[0] not in "23456" or not luhn(d):
         return None
     p = d[0] + permuted(key, "card", d[1:-1], 10)
     check = next(c for c in "0123456789" if luhn(p + c))
@@ -81,13 +81,12 @@ def iban(key, value):
 def phone(key, value):
     every = re.sub("[^0-9]", "", value)
     d = every[-10:]
-    if d[0] in "01" or d[3] in "01":
-        return None
+    area, exchange = (200 if n >= "200" else 0 for n in (d[:3], d[3:6]))
     a, b = feistel(
-        key, "phone", (int(d[:3]) - 200) * 100 + int(d[6:8]), 80000,
-        (int(d[3:6]) - 200) * 100 + int(d[8:]), 80000,
+        key, "phone", (int(d[:3]) - area) * 100 + int(d[6:8]), 80000 if area else 20000,
+        (int(d[3:6]) - exchange) * 100 + int(d[8:]), 80000 if exchange else 20000,
     )
-    new = f"{a // 100 + 200}{b // 100 + 200}{a % 100:02d}{b % 100:02d}"
+    new = f"{a // 100 + area:03d}{b // 100 + exchange:03d}{a % 100:02d}{b % 100:02d}"
     return fill(value, "[0-9]", every[:-10] + new)
 
 
@@ -155,8 +154,9 @@ def pseudonymized(key, text):
 
 
 CASES = [
+    "9111111111111110 is a Luhn number, 9111111111111116 is none",
     "card 4111 1111 1111 1111 and 4111-1111-1111-1112, again 4111111111111111.",
-    "call +1 (212) 555-2485 or 212-555-2485, not (012) 555-2485",
+    "call +1 (212) 555-2485 or 212-555-2485, also (012) 555-2485 or 212.055.2485; not 12-555-2485",
     "from 10.0.0.1 to 255.255.255.255, but 300.1.1.1 and 1.2.3 and 1.2.3.4.5 stay",
     "born 1999-12-31, 12/31/1999, 31/12/1999, 31.12.1999; never 1999-02-30 or 1850-01-01",
     "ssn 123-45-6789, 000-45-6789, 899-99-9999, 001-01-0001",
@@ -171,13 +171,15 @@ CASES = [
 @pytest.mark.parametrize("key", [KEY, "other"])
 def test_against_python(spark, key):
     rows = [(i, t, "x") for i, t in enumerate(CASES)] + [(0, CASES[0], "again")]
-    docs = spark.createDataFrame(rows, "doc_id int, text string, kind string")
+    docs = spark.createDataFrame(rows, "doc_id int, text string, __hits string")
     got = pii.pseudonymize(docs, key, counts="n").collect()
     assert len(got) == len(rows)
     for row in got:
         text, counts = pseudonymized(key, CASES[row.doc_id])
         assert (row.text, row.n) == (text, counts)
-    assert {r.kind for r in got} == {"x", "again"}
+    assert {r["__hits"] for r in got} == {"x", "again"}
+    with pytest.raises(ValueError):
+        pii.pseudonymize(docs, key, counts="doc_id")
 
 
 def test_equal_values_stay_linked(spark):
