@@ -126,9 +126,9 @@ def _search(
         "scanned",
     )
     small = (facts.bytes or 0) <= BROADCAST_BYTES
+    searched_rows = scanned.filter(F.col("text").isNotNull())
     placed = (
-        scanned.filter(F.col("text").isNotNull())
-        .select("row", words_of(F.col("text")).alias("words"))
+        searched_rows.select("row", words_of(F.col("text")).alias("words"))
         .select("row", "words", F.explode(F.lit(sizes).cast("array<int>")).alias("size"))
         .select(
             "row", "size", F.posexplode(_windows(F.col("words"), F.col("size"))).alias("at", "gram")
@@ -144,8 +144,11 @@ def _search(
         )
         .select("row", _merged(F.col("found")).alias("spans"), "items")
     )
+    # Rows that were not searched have no hits, and need not meet them.
+    none = scanned.filter(F.col("text").isNull()).select("carried", "n_words")
+    found = searched_rows.join(hits, "row", "left").select("carried", "n_words", "spans", "items")
     covered = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
-    return scanned.join(hits, "row", "left").select(
+    return found.unionByName(none, allowMissingColumns=True).select(
         "carried",
         "n_words",
         F.coalesce(covered, F.lit(0).cast("long")).alias("n_hit"),
