@@ -39,16 +39,15 @@ def _is_bad() -> Column:
 
 def stage_lines(lines: DataFrame) -> DataFrame:
     """(filepath, gene_id, gene_expr, bad) of the lines that matter: the positive measures, and
-    the bad lines, which have neither gene nor value. Lines are (filepath, value)."""
+    the bad lines, whatever they hold. Lines are (filepath, value)."""
     bad = F.coalesce(_is_bad(), F.lit(False))
-    marked = lines.select("filepath", "value", bad.alias("bad"))
-    measure = F.when(~F.col("bad") & _has_two_fields(), number_of_field(_measure_field()))
+    measure = F.when(_has_two_fields(), number_of_field(_measure_field()))
     # An empty id is stored as null.
     gene = F.nullif(strip_version(unquote(_gene_field())), F.lit(""))
-    staged = marked.select(
-        "filepath", F.when(~F.col("bad"), gene).alias("gene_id"), measure.alias("gene_expr"), "bad"
+    # The cheap test stands first: the pattern of a number is then matched once for a line.
+    return lines.filter(F.coalesce(is_positive(measure), F.lit(False)) | bad).select(
+        "filepath", gene.alias("gene_id"), measure.alias("gene_expr"), bad.alias("bad")
     )
-    return staged.filter(F.col("bad") | is_positive(F.col("gene_expr")))
 
 
 def rejected_files(staged: DataFrame) -> DataFrame:
