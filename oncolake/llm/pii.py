@@ -41,6 +41,20 @@ _PATTERNS = {
 _ORDER = ("email", "iban", "ip", "date", "ssn", "phone", "card")
 ANY = "|".join(f"(?:{_PATTERNS[k]})" for k in _ORDER)
 
+# A match of a card or an IBAN may have taken in groups beside it, and values of other kinds. Where
+# it fails, every start is looked at again, for each length that ends with a group.
+_CARD_STARTS = [
+    rf"(?<![\d.-])(?=(\d(?:[ -]?\d){{{n - 1}}}(?![\d]|[.-]\d)))" for n in range(13, 20)
+]
+_IBAN_STARTS = [
+    rf"(?<![A-Za-z0-9])(?=([A-Z]{{2}}\d{{2}}(?: ?[A-Z0-9]{{4}}){{{n}}}{rest}(?![A-Za-z0-9])))"
+    for n in range(2, 8)
+    for rest in ("", " ?[A-Z0-9]{1,3}")
+]
+#: Groups as cards are written; a number in other groups gives way to one in these.
+_CARD_LAYOUT = r"^(?:\d+|\d{4}([ -])\d{4}\1\d{4}\1\d{4}(?:\1\d{1,3})?|\d{4}([ -])\d{6}\2\d{4,5})$"
+_OTHERS = "|".join(f"(?:{_PATTERNS[k]})" for k in _ORDER if k not in ("card", "iban"))
+
 #: Days from 1900-01-01 to 2099-12-31, as 17 times 4297.
 _FIRST_DAY, _DAYS = "1900-01-01", (17, 4297)
 
@@ -408,41 +422,110 @@ def _text_of(hit: Column, key: Key) -> Column:
     return out.otherwise(hit["found"])
 
 
+def _mark(text: Column) -> Column:
+    """A string that stands for a value that was found: no text holds its own hash."""
+    letters = F.translate(F.sha2(text, 256), "0123456789", "ghijklmnop")
+    return F.concat(F.lit("\0"), letters, F.lit("\0"))
+
+
+def _inner(rest: Column, key: Key) -> Column:
+    """A pattern of the valid cards and IBANs at any start in `rest`, and of the other kinds."""
+
+    def starts(patterns: list[str]) -> Column:
+        every = [F.regexp_extract_all(rest, F.lit(p), F.lit(1)) for p in patterns]
+        return F.array_distinct(F.concat(*every))
+
+    def pattern(ibans: Column, cards: Column) -> Column:
+        laid = F.filter(cards, lambda c: c.rlike(_CARD_LAYOUT))
+
+        def gives_way(c: Column) -> Column:
+            return ~c.rlike(_CARD_LAYOUT) & F.exists(
+                laid, lambda d: F.arrays_overlap(F.split(c, " "), F.split(d, " ")) & ~c.contains(d)
+            )
+
+        def longest_first(values: Column) -> Column:
+            by_size = F.transform(values, lambda v: F.struct(-F.length(v), v.alias("v")))
+            return F.transform(F.sort_array(by_size), lambda v: v["v"])
+
+        iban = F.transform(
+            longest_first(ibans),
+            lambda v: F.concat(F.lit("(?<![A-Za-z0-9])"), v, F.lit("(?![A-Za-z0-9])")),
+        )
+        card = F.transform(
+            longest_first(F.filter(cards, lambda c: ~gives_way(c))),
+            lambda v: F.concat(F.lit(r"(?<![\d.-])"), v, F.lit(r"(?![\d]|[.-]\d)")),
+        )
+        return F.array_join(F.concat(iban, card, F.array(F.lit(_OTHERS))), "|")
+
+    return _let(
+        F.filter(starts(_IBAN_STARTS), _iban(key)[0]),
+        lambda ibans: _let(
+            F.filter(starts(_CARD_STARTS), _card(key)[0]), lambda cards: pattern(ibans, cards)
+        ),
+    )
+
+
 def pseudonymize(
     docs: DataFrame, key: Key, text_col: str = "text", counts: str | None = None
 ) -> DataFrame:
     """`docs` with the pseudonyms in place, all other columns as they are.
 
     With `counts`, a column of that new name is added: a map of kind to the values replaced. Values
-    that fail their kind's validation (Luhn, modulo 97, ranges, calendar) stay. A null text stays
-    null and has no values; repeated rows are treated alike. Nothing is shuffled.
+    that fail their kind's validation (Luhn, modulo 97, ranges, calendar) stay; where a card or an
+    IBAN fails, the values inside and across its match are looked for. A null text stays null and has no values; repeated rows are treated alike. Nothing is shuffled.
     """
     if counts in docs.columns:
         raise ValueError(f"there is a column {counts} already")
-    own = "__hits"
-    while own in docs.columns:
-        own += "_"
+    own, again, inner, rest = "__hits", "__again", "__inner", "__rest"
+    while {own, again, inner, rest} & set(docs.columns):
+        own, again, inner, rest = (f"{c}_" for c in (own, again, inner, rest))
     text = F.col(text_col)
     found = F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
     # Few texts hold a digit or an at sign; the others pass with one short search.
     hits = F.when(text.rlike("[@0-9]"), F.transform(found, lambda f: _checked(f, key)))
-    kinds = F.col(own)["kind"]
-    rebuilt = F.array_join(
-        F.zip_with(
-            F.split(text, ANY, -1),
-            F.transform(own, lambda h: _text_of(h, key)),
-            lambda gap, new: F.concat(gap, F.coalesce(new, F.lit(""))),
-        ),
-        "",
+    glued = "|".join(f"^(?:{_PATTERNS[k]})$" for k in ("card", "iban"))
+    failed = F.exists(own, lambda h: h["kind"].isNull() & h["found"].rlike(glued))
+    valid = F.filter(own, lambda h: h["kind"].isNotNull())
+
+    def with_hits(whole: Column, pattern: Column, new: Column) -> Column:
+        gaps = F.split(whole, pattern, -1)
+        joined = F.zip_with(
+            gaps, new, lambda gap, value: F.concat(gap, F.coalesce(value, F.lit("")))
+        )
+        return F.array_join(joined, "")
+
+    # What is left where a match failed: the text with a mark for each value found so far.
+    marks = F.transform(
+        own, lambda h: F.when(h["kind"].isNull(), h["found"]).otherwise(_mark(text))
+    )
+    left = F.when(failed, with_hits(text, F.lit(ANY), marks))
+    second = F.transform(
+        F.regexp_extract_all(F.col(rest), F.col(inner), F.lit(0)), lambda f: _checked(f, key)
+    )
+    pseudonyms = F.transform(own, lambda h: _text_of(h, key))
+    once = with_hits(text, F.lit(ANY), pseudonyms)
+    twice = with_hits(
+        with_hits(F.col(rest), F.col(inner), F.transform(again, lambda h: _text_of(h, key))),
+        _mark(text),
+        F.transform(valid, lambda h: _text_of(h, key)),
+    )
+    kinds = F.concat(
+        F.coalesce(F.col(own)["kind"], F.array().cast("array<string>")),
+        F.coalesce(F.col(again)["kind"], F.array().cast("array<string>")),
     )
     changed = F.exists(kinds, lambda k: k.isNotNull())
-    marked = docs.withColumn(own, hits)
+    marked = (
+        docs.withColumn(own, hits)
+        .withColumn(rest, left)
+        .withColumn(inner, F.when(F.col(rest).isNotNull(), _inner(F.col(rest), key)))
+        .withColumn(again, F.when(F.col(rest).isNotNull(), second))
+    )
+    rebuilt = F.when(F.col(rest).isNotNull(), twice).otherwise(once)
     out = {text_col: F.when(changed, rebuilt).otherwise(text)}
     if counts:
-        found_kinds = F.coalesce(kinds, F.array().cast("array<string>"))
 
         def number(kind: str) -> Column:
-            return F.size(F.filter(found_kinds, lambda k: k == kind)).cast("long")
+            return F.size(F.filter(kinds, lambda k: k == kind)).cast("long")
 
         out[counts] = F.map_from_arrays(F.lit(list(KINDS)), F.array(*map(number, KINDS)))
-    return marked.withColumns(out).drop(own)
+    return marked.withColumns(out).drop(own, again, inner, rest)

@@ -208,3 +208,34 @@ def test_whole_table(spark):
         assert row.text == text
         assert {k: row[f"n_{k}"] for k in pii.KINDS} == counts
     assert sum(r.n_card for r in got) and sum(r.n_email for r in got)
+
+
+#: (text, the values in it, of which nothing may stay), stated apart from the patterns.
+GLUED = [
+    ("4111111111111111 12/27", {"card": ["4111111111111111"]}),
+    ("4111 1111 1111 1111 123", {"card": ["4111 1111 1111 1111"]}),
+    ("qty 2 4111111111111111", {"card": ["4111111111111111"]}),
+    ("no 1234 4111 1111 1111 1111 end", {"card": ["4111 1111 1111 1111"]}),
+    ("a 5500-0000-0000-0004 12 and 7 3782 822463 10005", {
+        "card": ["5500-0000-0000-0004", "3782 822463 10005"]}),
+    ("pay BE68539007547034 BIC", {"iban": ["BE68539007547034"]}),
+    ("ID12 BE68 5390 0754 7034 EUR", {"iban": ["BE68 5390 0754 7034"]}),
+    ("2024 123-45-6789", {"ssn": ["123-45-6789"]}),
+    ("a@b.org 123 212-555-2485, 4111111111111111 99", {
+        "email": ["a@b.org"], "phone": ["212-555-2485"], "card": ["4111111111111111"]}),
+    ("GB82WEST12345698765432 1999-12-31 4111111111111111 12", {
+        "iban": ["GB82WEST12345698765432"], "date": ["1999-12-31"], "card": ["4111111111111111"]}),
+    ("9111111111111110 12 and 4111111111111112 5", {}),
+]
+
+
+def test_values_beside_short_groups(spark):
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(GLUED)], "i int, text string")
+    got = {r.i: r for r in pii.pseudonymize(docs, KEY, counts="n").collect()}
+    for i, (text, values) in enumerate(GLUED):
+        want = text
+        for kind, found in values.items():
+            for value in found:
+                want = want.replace(value, BRUTE[kind](KEY, value))
+        assert got[i].text == want
+        assert got[i].n == {k: len(values.get(k, [])) for k in pii.KINDS}
