@@ -102,9 +102,7 @@ def _search(
     ).first()
     sizes = sorted(facts.sizes)
     known = _vocabulary(grams)
-    words = F.coalesce(
-        F.regexp_extract_all(F.lower(text_col), F.lit(WORD), F.lit(0)), _empty("string")
-    )
+    words = F.coalesce(words_of(F.col(text_col)), _empty("string"))
     if not sizes:
         searched = F.lit(False)
     elif known is None:
@@ -162,12 +160,12 @@ def _empty(kind: str) -> Column:
 
 
 def _vocabulary(grams: DataFrame) -> list[str] | None:
-    """The distinct words of the windows with lower(); None if they are too many to list.
+    """The distinct words of the windows; None if they are too many to list.
 
-    lower() also changes letters beyond ASCII, but in texts and test words alike: what is equal
-    with A-Z lowered stays equal, and words keep their bounds. It only chooses what to search.
+    They are those of `words_of`, as in the join: lower() would change a Greek capital sigma by
+    what stands beside it, and so one word of a text and of a window to two.
     """
-    words = grams.select(F.explode(F.split("gram", " ")).alias("word")).select(F.lower("word"))
+    words = grams.select(F.explode(F.split("gram", " ")).alias("word"))
     found = words.distinct().limit(MAX_VOCABULARY + 1).collect()
     return [r[0] for r in found] if len(found) <= MAX_VOCABULARY else None
 

@@ -114,3 +114,14 @@ def test_no_python_in_the_plan(spark):
     docs, items = tables(spark)
     plan = d.contamination(docs, items)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_capital_sigma_in_a_window(spark):
+    text = "Ο.Σ. ΑΒ ΤΗΣ'Α one two three four five six seven"
+    docs, items = [(1, f"x {text} y", "")], [(1, text, "")]
+    got = d.contamination(
+        spark.createDataFrame(docs, "doc_id long, text string, items string"),
+        spark.createDataFrame(items, "item_id long, text string, doc_id string"),
+    )
+    assert sorted(map(tuple, d.digest(got).collect()), key=repr) == brute(docs, items)
+    assert got.first().n_hit == 12
