@@ -201,16 +201,27 @@ def hex_of(fp: Column) -> Column:
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`docs` with one row of each component, that of the smallest id.
+    """`docs` with one row of each component: of the smallest id, and of its smallest text hash.
 
-    Rows without an id are not compared and stay. Rows that repeat an id are one document, of
-    which one row stays.
+    Rows without an id are not compared and stay. Rows that repeat an id with other texts are
+    documents of their own; of those that repeat id and text one stays, chosen by the other columns.
     """
-    with_id = docs.filter(F.col(id_col).isNotNull())
-    found = near_duplicates(with_id, id_col, text_col)
-    kept = found.filter(F.col(id_col) == F.col("component")).select(id_col).distinct()
+    own, key = "__text", "__key"
+    while {own, key} & set(docs.columns):
+        own, key = own + "_", key + "_"
+    with_id = docs.filter(F.col(id_col).isNotNull()).withColumn(own, F.xxhash64(text_col))
+    pair = F.struct(F.col(id_col).alias("id"), F.col(own).alias("hash"))
+    found = near_duplicates(with_id.withColumn(key, pair), key, text_col)
+    kept = (
+        found.filter(F.col(key) == F.col("component"))
+        .select(F.col(key)["id"].alias(id_col), F.col(key)["hash"].alias(own))
+        .distinct()
+    )
+    others = F.to_json(F.struct(*(c for c in docs.columns if c != text_col)))
     return (
-        with_id.join(kept, id_col, "left_semi")
-        .dropDuplicates([id_col])
+        with_id.join(kept, [id_col, own], "left_semi")
+        .groupBy(id_col, own)
+        .agg(F.min_by(F.struct(*docs.columns), others).alias(key))
+        .select(f"{key}.*")
         .unionByName(docs.filter(F.col(id_col).isNull()))
     )

@@ -138,6 +138,16 @@ def test_deduplicate(spark):
     assert kept == [(False, 2), (False, 3), (False, 9), (True, 0), (True, 0)]
 
 
+def test_deduplicate_ids_with_several_texts(spark):
+    copy, lone = "one text that is copied here", "another text that stands alone"
+    rows = [(9, lone, "a"), (9, copy, "b"), (3, copy, "c"), (3, copy, "d"), (1, lone + " x", "e"),
+            (1, "a third text of the id", "f"), (4, "a third text of the id", "g")]
+    want = {(9, lone, "a"), (3, copy, "c"), (1, lone + " x", "e"), (1, "a third text of the id", "f")}
+    for order in (rows, rows[::-1]):
+        got = simhash.deduplicate(docs_of(spark, order).repartition(3)).collect()
+        assert len(got) == len(want) and set(map(tuple, got)) == want
+
+
 def test_whole_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").toPandas()
     got = op2_simhash(spark, SF).toPandas().sort_values("doc_id", ignore_index=True)
