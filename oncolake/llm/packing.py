@@ -6,8 +6,10 @@ than a shard is dealt out in parts.
 
 Items beyond a share of a shard are few, since their sum is bounded by the total; they are placed
 first, on the driver. The others are packed in cells: every cell gets its items by a hash and
-packs them alone, against its share of what the large items left. Cells end up balanced, and so
-is their sum.
+packs them alone, against its share of what the items before left. Cells end up balanced, and so
+is their sum, as long as no item is large against a cell's share of a shard. So there are levels
+with more and more cells, each for the items that are small against its cells, and each level's
+rest is handed on to the next.
 """
 
 from __future__ import annotations
@@ -22,9 +24,13 @@ from oncolake.llm.shared import checkpointed
 SHARDS = 40
 #: Bytes that a row takes besides its text.
 ROW_BYTES = 16
-#: Items beyond this share of a shard, in any dimension, are placed before the others: at most
-#: shards / LARGE of them in each dimension.
+#: Items beyond this share of a cell's part of a shard, in any dimension, are placed before those
+#: cells are packed.
 LARGE = 1 / 16
+#: Cells of a level, for each cell of the level before. The driver places at most
+#: shards * GROWTH / LARGE items in each dimension, and a cell has as many at most, on average,
+#: but for the last level.
+GROWTH = 16
 #: Parts that a group larger than a shard is dealt to, for each shard that it would fill.
 PARTS = 4
 #: Items of a cell, about.
@@ -76,6 +82,29 @@ def _shares(rows: pd.DataFrame, even: dict[str, float]) -> np.ndarray:
     return np.column_stack([rows[d].to_numpy(float) / even[d] for d in WEIGHTS])
 
 
+def _levels(cells: int) -> list[int]:
+    """Numbers of cells, from few that take larger items to `cells`."""
+    out = [min(GROWTH, cells)]
+    while out[-1] < cells:
+        out.append(min(out[-1] * GROWTH, cells))
+    return out
+
+
+def _packer(even: dict[str, float], residual: np.ndarray):
+    """Packs one cell against its share of `residual`."""
+    rest = np.maximum(residual.sum(axis=0), 1e-9)
+    left = residual.copy()
+
+    def pack_cell(cell: pd.DataFrame) -> pd.DataFrame:
+        cell = cell.sort_values(_KEY, ignore_index=True)
+        shares = _shares(cell, even)
+        start = left * (shares.sum(axis=0) / rest)
+        cell["shard"] = pack(shares, start, int(cell["cell"].iloc[0]) % len(left))
+        return cell[[*_KEY, "shard", *WEIGHTS]]
+
+    return pack_cell
+
+
 def shard(
     docs: DataFrame,
     shards: int = SHARDS,
@@ -107,26 +136,30 @@ def shard(
         .drop("parts")
     )
     items = checkpointed(parted.groupBy(*_KEY).agg(*_sums()).withColumn("filled", filled))
-    large = items.filter(F.col("filled") > LARGE).orderBy(*_KEY).toPandas()
+    levels = _levels(-(-(totals["rows"] or 1) // CELL_ITEMS))
+    large = items.filter(F.col("filled") > LARGE / levels[0]).orderBy(*_KEY).toPandas()
     residual = np.ones((shards, len(WEIGHTS)))
     large["shard"] = pack(_shares(large, even), residual).astype(np.int32)
-    rest = np.maximum(residual.sum(axis=0), 1e-9)
-    cells = -(-(totals["rows"] or 1) // CELL_ITEMS)
-
-    def pack_cell(cell: pd.DataFrame) -> pd.DataFrame:
-        cell = cell.sort_values(_KEY, ignore_index=True)
-        shares = _shares(cell, even)
-        start = residual * (shares.sum(axis=0) / rest)
-        cell["shard"] = pack(shares, start, int(cell["cell"].iloc[0]) % shards)
-        return cell[[*_KEY, "shard"]]
-
     kinds = "hash long, crc long, part int, shard int"
-    small = items.filter(F.col("filled") <= LARGE).withColumn(
-        "cell", F.pmod(F.xxhash64(*_KEY, F.lit("cell")), F.lit(cells)).cast("int")
-    )
-    placed = small.groupBy("cell").applyInPandas(pack_cell, kinds)
-    first = docs.sparkSession.createDataFrame(large[[*_KEY, "shard"]], kinds)
-    return _with_slots(checkpointed(parted.join(placed.unionByName(first), _KEY)), id_col)
+    done = docs.sparkSession.createDataFrame(large[[*_KEY, "shard"]], kinds)
+    sums = ", ".join(f"{d} long" for d in WEIGHTS)
+    for cells, following in zip(levels, [*levels[1:], None], strict=True):
+        fits = F.col("filled") <= LARGE / cells
+        if following:
+            fits &= F.col("filled") > LARGE / following
+        cell = F.pmod(F.xxhash64(*_KEY, F.lit("cell")), F.lit(cells)).cast("int")
+        placed = (
+            items.filter(fits)
+            .withColumn("cell", cell)
+            .groupBy("cell")
+            .applyInPandas(_packer(even, residual), f"{kinds}, {sums}")
+        )
+        if following:
+            placed = checkpointed(placed)
+            for row in placed.groupBy("shard").agg(*(F.sum(d).alias(d) for d in WEIGHTS)).collect():
+                residual[row["shard"]] -= [row[d] / even[d] for d in WEIGHTS]
+        done = done.unionByName(placed.select(*_KEY, "shard"))
+    return _with_slots(checkpointed(parted.join(done, _KEY)), id_col)
 
 
 def _with_slots(placed: DataFrame, id_col: str) -> DataFrame:

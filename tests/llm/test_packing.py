@@ -63,6 +63,22 @@ def test_cells_and_edge_rows(spark, monkeypatch, cell_items):
     assert got.loc[got.doc_id == 900, "size"].item() == 100_016
 
 
+def test_balance_of_many_cells(spark, monkeypatch):
+    """120 cells, groups of 5 % of a shard and texts of 0.3 %, both large against a cell's share."""
+    monkeypatch.setattr(packing, "CELL_ITEMS", 50)
+    texts = [f"group {g:03d} " * 1200 for g in range(60) for _ in range(5)]
+    texts += [f"long {i:04d} " * 360 for i in range(1000)]
+    texts += [f"short {i:04d} " * (30 + i % 60) for i in range(4700)]
+    rows = [(i, t, None) for i, t in enumerate(texts)]
+    got = packing.shard(docs_of(spark, rows), shards=10).toPandas()
+    assert sorted(got.doc_id) == list(range(len(rows)))
+    check_slots(got)
+    sizes = got.groupby("shard")["size"].sum()
+    assert sizes.max() / sizes.min() < 1.04
+    got["text"] = [texts[i] for i in got.doc_id]
+    assert (got.groupby("text").shard.nunique() == 1).all()
+
+
 def test_empty_table(spark):
     assert packing.shard(docs_of(spark, [])).collect() == []
 
