@@ -13,6 +13,7 @@ from oncolake.llm import (
     bpe,
     decontaminate,
     language,
+    merkle,
     packing,
     pii,
     secrets,
@@ -118,6 +119,32 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict_language(docs, sample, keep=("held_out",))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in the manifest, with some documents changed after it was made."""
+    docs = table(spark, sf_dir, "documents")
+    fields = ("doc_id", "source", "lang", "n_chars", "text")
+    own = {name: F.col(name) for name in fields}
+    changed = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    # One more than the largest long does not fit a long.
+    more = (F.col("n_chars").cast("decimal(20,0)") + 1).cast("string")
+    met = own | {"n_chars": F.when(changed, more).otherwise(F.col("n_chars").cast("string"))}
+    records = docs.select(
+        "doc_id",
+        F.col("lang").alias("group"),
+        merkle.record_digest(*own.values()).alias("digest"),
+        merkle.record_digest(*met.values()).alias("claim"),
+    )
+    return merkle.proofs(merkle.manifest(records, "doc_id")).select(
+        F.col("id").cast("long").alias("doc_id"),
+        F.col("digest").alias("leaf"),
+        "subroot",
+        "root",
+        merkle.proof_digest(F.col("proof")).alias("proof_sha256"),
+        "folded_root",
+        "verified",
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_nearest": op1_nearest,
     "op2_simhash": op2_simhash,
@@ -129,6 +156,7 @@ QUERIES: dict[str, Query] = {
     "op8_token_counts": op8_token_counts,
     "op9_secrets": op9_secrets,
     "op10_language_id": op10_language_id,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 
 _WORDS = (
@@ -144,6 +172,53 @@ _BASE32 = " || ".join(
     for shift in (15, 10, 5, 0)
 )
 
+# The 256 remainders of CRC-32, from their rule.
+_CRC_TABLE = """
+        crc_steps AS (
+            SELECT i, i AS v, 0 AS k FROM range(256) s(i)
+            UNION ALL
+            SELECT i, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, k + 1
+            FROM crc_steps WHERE k < 8
+        ),
+        crc_table AS (SELECT list(v ORDER BY i) AS t FROM crc_steps WHERE k = 8)"""
+
+
+def _crc32(column: str) -> str:
+    """Unsigned CRC-32 of a column's decimal text, in a query that joins crc_table."""
+    codes = f"list_transform(string_split({column}::VARCHAR, ''), lambda c: ascii(c)::BIGINT)"
+    step = "lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])"
+    return f"xor(4294967295, list_reduce(list_prepend(4294967295, {codes}), {step}))"
+
+
+def _record(n_chars: str) -> str:
+    fields = ("doc_id", "source", "lang", n_chars, "text")
+    parts = (f"coalesce(strlen({f}::VARCHAR) || ':' || {f}::VARCHAR, '-')" for f in fields)
+    return f"sha256({' || '.join(parts)})"
+
+
+def _trees(name: str, leaves: str) -> str:
+    """Nodes (g, k, i, h) of the trees g over (g, i, h), level by level up to the roots."""
+    return f"""
+        {name} AS (
+            SELECT g, 0 AS k, i, h FROM {leaves}
+            UNION ALL
+            SELECT g, k + 1, i // 2, sha256(string_agg(h, '' ORDER BY i))
+            FROM (SELECT *, count(*) OVER (PARTITION BY g) AS n FROM {name}) WHERE n > 1
+            GROUP BY g, k, i // 2
+        )"""
+
+
+def _beside(trees: str, leaves: str, key: str, first: int) -> str:
+    """What stands beside the way of each leaf, by level, counted from `first`."""
+    return f"""
+            SELECT l.{key}, p.k + {first} AS k,
+                   {{'s': CASE WHEN b.h IS NULL THEN '' WHEN b.i < p.i THEN '<' ELSE '>' END,
+                     'h': coalesce(b.h, '')}} AS beside
+            FROM {leaves} l JOIN {trees} p ON p.g = l.g AND p.i = l.i >> p.k
+            JOIN (SELECT g, max(k) AS top FROM {trees} GROUP BY g) m ON m.g = l.g AND p.k < m.top
+            LEFT JOIN {trees} b ON b.g = p.g AND b.k = p.k AND b.i = xor(p.i, 1)"""
+
+
 ORACLES: dict[str, str] = {
     "op3_warc": f"""
         WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
@@ -191,4 +266,48 @@ ORACLES: dict[str, str] = {
                covered.n IS NOT NULL AS contaminated
         FROM d LEFT JOIN covered USING (r) LEFT JOIN items USING (r)
     """,
+    "op12_merkle_manifest": f"""
+        WITH RECURSIVE {_CRC_TABLE},
+        records AS (
+            SELECT row_number() OVER () AS r, doc_id, coalesce('=' || lang, '-') AS g,
+                   {_record("n_chars")} AS h,
+                   CASE WHEN {_crc32("doc_id")} % 7 = 0
+                        THEN {_record("(n_chars::HUGEINT + 1)")} END AS changed
+            FROM documents, crc_table
+        ),
+        leaves AS (
+            SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, h) - 1 AS i
+            FROM records
+        ),
+        {_trees("nodes", "leaves")},
+        subroots AS (SELECT g, arg_max(h, k) AS h FROM nodes GROUP BY g),
+        heads AS (
+            SELECT '*' AS g, g AS name, h, row_number() OVER (ORDER BY g) - 1 AS i FROM subroots
+        ),
+        {_trees("upper", "heads")},
+        upper_ways AS ({_beside("upper", "heads", "name", 1000)}),
+        beside AS (
+            {_beside("nodes", "leaves", "r", 0)}
+            UNION ALL
+            SELECT r, k, beside FROM leaves JOIN upper_ways ON name = g
+        ),
+        ways AS (SELECT r, list(beside ORDER BY k) AS way FROM beside GROUP BY r),
+        proved AS (
+            SELECT doc_id, l.h AS leaf, s.h AS subroot, (SELECT arg_max(h, k) FROM upper) AS root,
+                   coalesce(way, []) AS way, coalesce(changed, l.h) AS claim
+            FROM leaves l JOIN subroots s USING (g) LEFT JOIN ways USING (r)
+        ),
+        folded AS (
+            SELECT *, list_reduce(
+                list_prepend({{'s': '', 'h': claim}}, way),
+                lambda a, b: {{'s': '', 'h': sha256(CASE b.s WHEN '<' THEN b.h || a.h
+                                                   WHEN '>' THEN a.h || b.h ELSE a.h END)}}
+            ).h AS folded_root
+            FROM proved
+        )
+        SELECT doc_id, leaf, subroot, root,
+               sha256(array_to_string(list_transform(way, lambda w: w.h), '')) AS proof_sha256,
+               folded_root, folded_root = root AS verified
+        FROM folded
+    """,
 }
