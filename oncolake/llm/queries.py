@@ -16,12 +16,13 @@ from oncolake.llm import (
     merkle,
     packing,
     pii,
+    prefix_trie,
     secrets,
     simhash,
     token_counts,
     warc,
 )
-from oncolake.llm.shared import scratch, table
+from oncolake.llm.shared import scratch, table, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -145,6 +146,14 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all conversations, whose first turns are those of every hundredth one."""
+    rows = written(prefix_trie.turns(table(spark, sf_dir, "conversations")), "turns")
+    base = F.col("conv") - F.col("conv") % 100
+    head = F.crc32(F.col("conv").cast("string").cast("binary")) % 6
+    return prefix_trie.trie(prefix_trie.with_shared_heads(rows, base, head))
+
+
 QUERIES: dict[str, Query] = {
     "op1_nearest": op1_nearest,
     "op2_simhash": op2_simhash,
@@ -157,6 +166,7 @@ QUERIES: dict[str, Query] = {
     "op9_secrets": op9_secrets,
     "op10_language_id": op10_language_id,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 _WORDS = (
@@ -310,4 +320,52 @@ ORACLES: dict[str, str] = {
                folded_root, folded_root = root AS verified
         FROM folded
     """,
+    "op13_prefix_trie": f"""
+        WITH RECURSIVE {_CRC_TABLE},
+        own AS (
+            SELECT conv_id AS c, list({{'d': d, 'n': n}} ORDER BY turn NULLS FIRST, d) AS turns
+            FROM (
+                SELECT conv_id, turn, length(coalesce(text, '')) AS n,
+                       sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '')
+                              || coalesce(text, '')) AS d
+                FROM conversations WHERE conv_id IS NOT NULL
+            ) GROUP BY conv_id
+        ),
+        heads AS (SELECT c, c - c % 100 AS base, {_crc32("c")} % 6 AS h FROM own, crc_table),
+        rebuilt AS (
+            SELECT o.c, list_concat(coalesce(b.turns[1:h], []), o.turns[h + 1:]) AS turns
+            FROM own o JOIN heads USING (c) LEFT JOIN own b ON b.c = base
+        ),
+        paths AS (
+            SELECT c, len(turns) AS size, unnest(range(len(turns) + 1)) AS depth, turns
+            FROM rebuilt
+        ),
+        named AS (
+            SELECT c, depth, depth = size AS ends, turns[depth].n AS chars,
+                   array_to_string(list_transform(turns[1:depth], lambda t: t.d), '') AS name
+            FROM paths
+        ),
+        nodes AS (
+            SELECT name, depth, min(c) AS conv_id, count(*) AS n, any_value(chars) AS chars,
+                   string_agg(c, ',' ORDER BY c) FILTER (WHERE ends) AS ids
+            FROM named GROUP BY name, depth
+        ),
+        linked AS (
+            SELECT v.*, p.conv_id AS parent_conv_id, p.name AS parent
+            FROM nodes v LEFT JOIN nodes p
+            ON p.depth = v.depth - 1 AND p.name = v.name[1 : 64 * (v.depth - 1)]
+        ),
+        children AS (SELECT parent, count(*) AS n FROM linked WHERE depth > 0 GROUP BY parent),
+        sums AS (
+            SELECT u.name, sum((v.n - 1) * coalesce(v.chars, 0)) AS saved,
+                   count(*) FILTER (WHERE k.n IS NULL) AS leaves
+            FROM nodes u JOIN nodes v ON v.depth >= u.depth AND v.name[1 : 64 * u.depth] = u.name
+            LEFT JOIN children k ON k.parent = v.name
+            GROUP BY u.name
+        )
+        SELECT l.conv_id, l.depth, parent_conv_id, l.n AS n_convs,
+               coalesce(k.n, 0) AS n_children, leaves AS n_leaves,
+               saved::BIGINT AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+        FROM linked l JOIN sums USING (name) LEFT JOIN children k ON k.parent = l.name
+    """,
 }
