@@ -17,6 +17,7 @@ from oncolake.llm import (
     packing,
     pii,
     prefix_trie,
+    quality,
     secrets,
     simhash,
     token_counts,
@@ -120,6 +121,20 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict_language(docs, sample, keep=("held_out",))
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned from the labels of two of three folds."""
+    held_out = quality.held_out(F.col("doc_id"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").filter(~held_out)
+    scored = quality.scores(docs, quality.train(docs.filter(~held_out), labels))
+    return scored.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place in the manifest, with some documents changed after it was made."""
     docs = table(spark, sf_dir, "documents")
@@ -165,6 +180,7 @@ QUERIES: dict[str, Query] = {
     "op8_token_counts": op8_token_counts,
     "op9_secrets": op9_secrets,
     "op10_language_id": op10_language_id,
+    "op11_quality": op11_quality,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_prefix_trie": op13_prefix_trie,
 }
