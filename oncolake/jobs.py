@@ -7,30 +7,57 @@
     python -m oncolake.jobs layout     BASE --buckets N
     python -m oncolake.jobs reports    BASE [--buckets N]
 
-Every job writes its results whole and reads what earlier jobs wrote, so each can be run again.
+Every job reads what earlier jobs wrote and can be run again. An archive may come in batches: a
+second catalog batch adds the patients that it lists first, and a clinical part changes the slices
+of the patient table that its cases are in. Measures have summaries for each batch (`moments`),
+from which the reports follow without another scan of them (`reports --from-moments`).
 """
 
 from __future__ import annotations
 
 import argparse
+import uuid
 from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oncolake import schemas
-from oncolake.operators import catalog, clinical, expression, genome
-from oncolake.operators.reports import save_reports
-from oncolake.operators.serving import project_summary
+from oncolake.operators import catalog, clinical, expression, genome, moments, patients
+from oncolake.operators.cohort import gene_rows
+from oncolake.operators.reports import save_reports, save_reports_of_means
+from oncolake.plans.joins import fits_broadcast
 from oncolake.session import build_session
 from oncolake.sources import files
 from oncolake.sources.tables import load_bucketed, load_table, save_bucketed, save_table
 
 
 def _lists(spark: SparkSession, base: str) -> DataFrame:
-    return load_table(
-        spark, f"{base}/lists", schema=f"{schemas.FILE_LIST}, list_table string"
-    )
+    schema = f"{schemas.FILE_LIST}, batch string, list_table string"
+    return load_table(spark, f"{base}/lists", schema=schema).drop("batch")
+
+
+_REPEATED = "case_id string, rows bigint"
+
+
+def _refresh_patients(spark: SparkSession, base: str, named: list[int]) -> None:
+    """The named slices of the patient table and of what is counted in it; then the counts of all
+    slices as the tables that are read."""
+    target = f"{base}/patient_info"
+    patients.refresh(spark, f"{base}/new_patients", f"{base}/clinical", target, named)
+    stored = load_table(spark, target, schema=f"{schemas.PATIENT_INFO}, slice int")
+    counts, repeats = f"{base}/patient_counts", f"{base}/patient_repeats"
+    for path, kinds, count in (
+        (counts, schemas.PROJECT_SUMMARY, patients.slice_counts),
+        (repeats, _REPEATED, patients.slice_repeats),
+    ):
+        patients.create(spark, path, kinds)
+        if named:
+            patients.save_slices(count(patients.some(stored, named)), path)
+    every = load_table(spark, counts, schema=f"{schemas.PROJECT_SUMMARY}, slice int")
+    save_table(patients.summary_of(every), f"{base}/project_summary", mode="overwrite")
+    every = load_table(spark, repeats, schema=f"{_REPEATED}, slice int").drop("slice")
+    save_table(every, f"{base}/repeated_cases", mode="overwrite")
 
 
 def _list(spark: SparkSession, base: str, table: str) -> DataFrame:
@@ -46,22 +73,30 @@ def run_catalog(
     manifest: str,
     multi_line: bool = True,
     each_case: bool = False,
+    batch: str = "",
 ) -> None:
-    """File lists and the patients they name. The join of both inputs runs once."""
+    """File lists of one batch, and the patients that it lists first. The join of both inputs
+    runs once.
+
+    To run a batch again replaces its lists and adds no patient twice; patients are never
+    withdrawn. The slices of the patient table that the batch names follow.
+    """
     index = catalog.build_index(
         files.read_manifest(spark, manifest),
         files.read_metadata(spark, metadata, multi_line),
         each_case,
     )
+    own = f"{base}/lists/batch={_batch(batch)}"
     save_table(
-        catalog.with_list_table(index),
-        f"{base}/lists",
-        mode="overwrite",
-        partition_by=["list_table"],
+        catalog.with_list_table(index), own, mode="overwrite", partition_by=["list_table"]
     )
-    save_table(catalog.new_patients(_lists(spark, base)), f"{base}/new_patients", mode="overwrite")
-    patients = load_table(spark, f"{base}/new_patients")
-    save_table(catalog.repeated_cases(patients), f"{base}/repeated_cases", mode="overwrite")
+    listed = load_table(spark, own, schema=f"{schemas.FILE_LIST}, list_table string")
+    new = f"{base}/staged_patients/batch={_batch(batch)}"
+    save_table(catalog.new_patients(listed), new, mode="overwrite")
+    staged = load_table(spark, new, schema=schemas.PATIENT_INFO)
+    named = patients.named_slices(staged)
+    patients.append_patients(staged, f"{base}/new_patients", named)
+    _refresh_patients(spark, base, named)
 
 
 def _batch(under: str) -> str:
@@ -76,8 +111,8 @@ def run_clinical(
     under: str = "",
     glob: str = "*.xml",
 ) -> None:
-    """Clinical records of the reports under one part of the archive, as one batch; the patient
-    table with all batches so far, and its summary.
+    """Clinical records of the reports under one part of the archive, as one batch; the slices
+    of the patient table that it names, with the records of all batches, and the summary.
 
     A listed report that is missing or malformed stops the job before any table but its own
     staged one is touched. With on_error='quarantine' both kinds are written to tables of their
@@ -94,17 +129,12 @@ def run_clinical(
     if on_error == "fail":
         catalog.require_none(missing)
     records = clinical.extract_clinical(listed, on_error)
-    save_table(records, f"{base}/clinical/batch={batch}", mode="overwrite")
+    named = patients.save_records(records, f"{base}/clinical", batch)
     if on_error == "quarantine":
         save_table(missing, f"{base}/missing_reports/batch={batch}", mode="overwrite")
         malformed = clinical.malformed_reports(listed)
         save_table(malformed, f"{base}/malformed_reports/batch={batch}", mode="overwrite")
-    patients = load_table(spark, f"{base}/new_patients")
-    every = load_table(spark, f"{base}/clinical", schema=schemas.CLINICAL).drop("batch")
-    updated = clinical.update_patients(patients, every)
-    save_table(updated, f"{base}/patient_info", mode="overwrite")
-    summary = project_summary(load_table(spark, f"{base}/patient_info"))
-    save_table(summary, f"{base}/project_summary", mode="overwrite")
+    _refresh_patients(spark, base, named)
 
 
 def run_expression(
@@ -149,6 +179,15 @@ def run_expression(
     save_table(
         expression.clustered(rows), f"{base}/gene_expr_table/batch={batch}", mode="overwrite"
     )
+    # The cases of a batch and its run tell later whether its summary still holds.
+    stored = load_table(spark, f"{base}/gene_expr_table/batch={batch}", schema=schemas.GENE_EXPR)
+    none = spark.createDataFrame([(None,)], "case_id string")
+    cases = stored.select("case_id").unionByName(none).distinct()
+    save_table(
+        cases.withColumn("run", F.lit(uuid.uuid4().hex)),
+        f"{base}/measured_cases/batch={batch}",
+        mode="overwrite",
+    )
 
 
 BY_CASE = {"schema": schemas.GENE_EXPR, "key": "case_id", "sort_by": "gene_id"}
@@ -187,8 +226,42 @@ def run_genome(
     save_table(genome.repeated_genes(parsed), f"{base}/repeated_genes", mode="overwrite")
 
 
-def run_reports(spark: SparkSession, base: str, buckets: int = 0) -> None:
-    """All report tables; with `buckets`, from the measures that `run_layout` dealt to as many."""
+def run_moments(spark: SparkSession, base: str) -> None:
+    """Summaries of the measures for each batch, disease and gene.
+
+    A batch is summed up when it is new, or when its cases have come to other arms since; the
+    measures of other batches are not read.
+    """
+    measures, cases, known = (
+        load_table(spark, f"{base}/{name}", schema=schema)
+        for name, schema in (
+            ("gene_expr_table", f"{schemas.GENE_EXPR}, batch string"),
+            ("measured_cases", "case_id string, run string, batch string"),
+            ("patient_info", schemas.PATIENT_INFO),
+        )
+    )
+    moments.update(spark, measures, cases, known, f"{base}/moments", f"{base}/moment_members")
+
+
+def run_reports(
+    spark: SparkSession, base: str, buckets: int = 0, from_moments: bool = False
+) -> None:
+    """All report tables; with `buckets`, from the measures that `run_layout` dealt to as many;
+    `from_moments`, from what `run_moments` has summed up, with the test of the difference."""
+    genome_table = load_table(spark, f"{base}/hs_genome")
+    if from_moments:
+        merged = moments.merge(moments.load(spark, f"{base}/moments"))
+        save_table(merged, f"{base}/merged_moments", mode="overwrite")
+        merged = load_table(spark, f"{base}/merged_moments")
+        small = fits_broadcast(gene_rows(genome_table))
+        save_reports_of_means(moments.means(merged), genome_table, base, small)
+        save_table(
+            moments.difference(merged),
+            f"{base}/expression_difference",
+            mode="overwrite",
+            partition_by=["disease_type"],
+        )
+        return
     if buckets:
         measures = load_bucketed(
             spark,
@@ -200,12 +273,7 @@ def run_reports(spark: SparkSession, base: str, buckets: int = 0) -> None:
     else:
         measures = load_table(spark, f"{base}/gene_expr_table", schema=schemas.GENE_EXPR)
         measures = measures.drop("batch")
-    save_reports(
-        measures,
-        load_table(spark, f"{base}/patient_info"),
-        load_table(spark, f"{base}/hs_genome"),
-        base,
-    )
+    save_reports(measures, load_table(spark, f"{base}/patient_info"), genome_table, base)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -217,6 +285,7 @@ def main(argv: list[str] | None = None) -> None:
         "expression": ["--root"],
         "genome": ["--root"],
         "layout": [],
+        "moments": [],
         "reports": [],
     }
     for name, required in arguments.items():
@@ -226,6 +295,7 @@ def main(argv: list[str] | None = None) -> None:
             job.add_argument(option, required=True)
     jobs.choices["catalog"].add_argument("--json-lines", dest="multi_line", action="store_false")
     jobs.choices["catalog"].add_argument("--each-case", action="store_true")
+    jobs.choices["catalog"].add_argument("--batch", default="")
     jobs.choices["clinical"].add_argument(
         "--on-error", choices=["fail", "quarantine"], default="fail"
     )
@@ -236,6 +306,7 @@ def main(argv: list[str] | None = None) -> None:
     )
     jobs.choices["layout"].add_argument("--buckets", type=int, required=True)
     jobs.choices["reports"].add_argument("--buckets", type=int, default=0)
+    jobs.choices["reports"].add_argument("--from-moments", action="store_true")
     jobs.choices["expression"].add_argument("--check-gzip", action="store_true")
     jobs.choices["genome"].add_argument(
         "--layout", choices=sorted(files.GENE_LINE), default="genbank"
@@ -247,6 +318,7 @@ def main(argv: list[str] | None = None) -> None:
         "expression": run_expression,
         "genome": run_genome,
         "layout": run_layout,
+        "moments": run_moments,
         "reports": run_reports,
     }[options.pop("job")]
     run(build_session(f"oncolake-{run.__name__}"), **options)

@@ -31,7 +31,19 @@ def save_reports(
     save_table(project_summary(patients), f"{base}/project_summary", fmt, "overwrite")
     save_table(stage_means(expression, patients, specs), f"{base}/stage_means", fmt, "overwrite")
     means = load_table(spark, f"{base}/stage_means", fmt)
-    small = fits_broadcast(gene_rows(genome))
+    save_reports_of_means(means, genome, base, fits_broadcast(gene_rows(genome)), specs, fmt)
+
+
+def save_reports_of_means(
+    means: DataFrame,
+    genome: DataFrame,
+    base: str,
+    small: bool,
+    specs: Sequence[CohortSpec] = COHORTS,
+    fmt: str = "parquet",
+) -> None:
+    """Fold changes and changed genes from stored means; `small` tells that the gene reference can
+    be copied."""
     by_disease = {"fmt": fmt, "mode": "overwrite", "partition_by": ["disease_type"]}
     save_table(fold_change(means, genome, small), f"{base}/fold_change_ranked", **by_disease)
     save_table(

@@ -71,6 +71,12 @@ def save_table(
         writer.format(fmt).options(**options).save(name)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is anything at a path of any file system that Spark reads."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
 def empty_table(spark: SparkSession, table: str) -> DataFrame:
     """A table of the data model without rows."""
     return spark.createDataFrame([], schemas.TABLES[table])

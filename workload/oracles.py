@@ -103,6 +103,43 @@ def _report(select: str, diseases: list[str] | None = None, where: str = "TRUE")
     )
 
 
+def _spread(disease: str, condition: str) -> str:
+    return f"""(SELECT gene_id, COUNT(*) AS n, AVG(gene_expr) AS m, VAR_SAMP(gene_expr) AS v
+      FROM gene_expr_table x
+      WHERE EXISTS (SELECT 1 FROM patient_info p
+                    WHERE p.case_id = x.case_id AND p.disease_type = '{disease}' AND {condition})
+      GROUP BY gene_id)"""
+
+
+def _difference() -> str:
+    """Welch's test. The p-value is the tail of Student's density over its half, both by
+    quadrature: steps of u in y = exp(pi/2 sinh(u)), the distance from where the tail begins."""
+    blocks = "\n  UNION ALL\n  ".join(
+        f"""SELECT '{disease}' AS disease_type, e.gene_id, e.n AS early_n, l.n AS late_n,
+           e.m AS em, l.m AS lm, e.v / e.n AS ev, l.v / l.n AS lv
+    FROM {_spread(disease, early)} e JOIN {_spread(disease, late)} l ON e.gene_id = l.gene_id"""
+        for disease, early, late, _ in ARMS
+    )
+    return f"""WITH {PATIENTS},\n{EXPRESSION},
+  arms AS ({blocks}),
+  tests AS (
+    SELECT *, row_number() OVER () AS r,
+           CASE WHEN ev + lv > 0 THEN (lm - em) / sqrt(ev + lv) END AS t,
+           CASE WHEN ev + lv > 0
+                THEN (ev + lv) ** 2 / (ev ** 2 / (early_n - 1) + lv ** 2 / (late_n - 1)) END AS df
+    FROM arms),
+  steps AS (SELECT k / 64.0 AS u FROM range(-288, 289) s(k)),
+  nodes AS (
+    SELECT exp(pi() / 2 * (exp(u) - exp(-u)) / 2) AS y, (exp(u) + exp(-u)) / 2 AS w FROM steps),
+  tails AS (
+    SELECT r, sum(w * y * exp(-(df + 1) / 2 * ln(1 + (abs(t) + y) ** 2 / df))) AS tail,
+           sum(w * y * exp(-(df + 1) / 2 * ln(1 + y ** 2 / df))) AS half
+    FROM tests, nodes WHERE t IS NOT NULL GROUP BY r)
+  SELECT disease_type, gene_id, early_n, late_n, round(t, 6) AS t, round(df, 6) AS df,
+         round(tail / half, 6) AS p_value
+  FROM tests LEFT JOIN tails USING (r)"""
+
+
 RANKED_COLUMNS = "disease_type, gene_id, name AS gene_name, fold_change, chromosome, info"
 CHANGED = "fold_change > high OR fold_change < 0.5"
 
@@ -343,6 +380,13 @@ ORACLES = {
                    AS disease_stage,
                CASE WHEN l.case_id IS NULL THEN p.gender ELSE l.gender END AS gender
         FROM patient_info p LEFT JOIN latest l ON p.case_id = l.case_id""",
+    "patients_by_batch": _index(
+        """DISTINCT case_id, project_id, CAST(NULL AS VARCHAR) AS disease_type,
+        CAST(NULL AS VARCHAR) AS disease_stage, CAST(NULL AS VARCHAR) AS gender"""
+    ),
+    # summaries that can be merged
+    "fold_change_by_batch": _report(RANKED_COLUMNS),
+    "expression_difference": _difference(),
     # reference genome
     "regex_extract": """SELECT doc_id, regexp_extract(text, '(?i)([a-z]+) of ', 1) AS word
         FROM documents""",
@@ -378,3 +422,5 @@ ORACLES = {
     ),
     "genome_files": _genes("*", "WHERE pos_start IS NOT NULL"),
 }
+
+ORACLES["patient_update_by_batch"] = ORACLES["patient_update"]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from oncolake import schemas
 from oncolake.functions import text
-from oncolake.operators import catalog, clinical, cohort, genome, serving
+from oncolake.operators import catalog, clinical, cohort, genome, moments, patients, serving
 from oncolake.operators import expression as ingest
 from oncolake.operators.reports import save_reports
 from oncolake.plans.cohorts import CohortSpec, arm_rows, like, stages
@@ -541,6 +541,93 @@ def patient_update(spark, sf):
     return clinical.update_patients(s.patients(spark, sf), tables.load_table(spark, records))
 
 
+def _schema(rows: DataFrame) -> str:
+    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+
+
+@query
+def patients_by_batch(spark, sf):
+    """The index in two batches, the first one twice: each adds the patients not listed so far."""
+    root = tables.scratch_path(spark, "patients-by-batch")
+    tables.save_table(_index(spark, sf), f"{root}/index")
+    index = tables.load_table(spark, f"{root}/index")
+    for batch in (0, 1, 0):
+        rows = catalog.new_patients(index.filter(F.col("path").cast("long") % 2 == batch))
+        named = patients.named_slices(rows)
+        patients.append_patients(rows, f"{root}/patients", named)
+    schema = f"{schemas.PATIENT_INFO}, slice int"
+    return tables.load_table(spark, f"{root}/patients", schema=schema).drop("slice")
+
+
+@query
+def patient_update_by_batch(spark, sf):
+    """The records in two batches, the first one twice: each refreshes the slices it names."""
+    root = tables.scratch_path(spark, "update-by-batch")
+    listed, records, target = (f"{root}/{name}" for name in ("listed", "records", "target"))
+    known = s.patients(spark, sf)
+    tables.save_table(clinical_xml_extract(spark, sf), f"{root}/extracted")
+    extracted = tables.load_table(spark, f"{root}/extracted")
+    kinds = {"schema": _schema(known), "record_schema": _schema(extracted)}
+    named = patients.named_slices(known)
+    patients.append_patients(known, listed, named, kinds["schema"])
+    patients.refresh(spark, listed, records, target, named, **kinds)
+    for batch in (0, 1, 0):
+        own = extracted.filter(F.crc32(F.col("filepath").cast("binary")) % 2 == batch)
+        named = patients.save_records(own, records, str(batch), kinds["record_schema"])
+        patients.refresh(spark, listed, records, target, named, **kinds)
+    schema = f"{kinds['schema']}, slice int"
+    return tables.load_table(spark, target, schema=schema).drop("slice")
+
+
+# --- summaries that can be merged ---------------------------------------------------------
+
+
+def _merged(spark: SparkSession, sf: str) -> DataFrame:
+    """Measures in two batches, summed up one after the other, and merged."""
+    root = tables.scratch_path(spark, "moments")
+    batch = ((F.col("case_id") + F.col("gene_id")) % 2).cast("string")
+    tables.save_table(
+        s.expression(spark, sf).withColumn("batch", batch),
+        f"{root}/measures",
+        partition_by=["batch"],
+    )
+    kinds = "case_id bigint, gene_id bigint, gene_expr double, batch string"
+    measures = tables.load_table(spark, f"{root}/measures", schema=kinds)
+    cases = measures.select("case_id", F.lit("first").alias("run"), "batch").distinct()
+    for some in (cases.filter(F.col("batch") == "0"), cases):
+        moments.update(
+            spark,
+            measures,
+            some,
+            s.patients(spark, sf),
+            f"{root}/moments",
+            f"{root}/members",
+            s.SPECS,
+        )
+    return moments.merge(moments.load(spark, f"{root}/moments", "bigint"))
+
+
+@query
+def fold_change_by_batch(spark, sf):
+    """The fold changes of all diseases, from the summaries of two batches."""
+    genome_rows = s.genome(spark, sf)
+    (small,) = fit_broadcast(cohort.gene_rows(genome_rows))
+    return cohort.fold_change(moments.means(_merged(spark, sf)), genome_rows, small)
+
+
+@query
+def expression_difference(spark, sf):
+    """Welch's test of both arms, gene by gene; to six places, which any summation order gives."""
+    found = moments.difference(_merged(spark, sf))
+    return found.select(
+        "disease_type",
+        "gene_id",
+        "early_n",
+        "late_n",
+        *(F.round(c, 6).alias(c) for c in ("t", "df", "p_value")),
+    )
+
+
 # --- reference genome ---------------------------------------------------------------------
 
 
