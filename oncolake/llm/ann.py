@@ -1,13 +1,18 @@
 """Nearest neighbours by inner product: a pruned directed graph for each shard.
 
-Rows are dealt to shards by a hash of their id. A shard's distinct vectors are the nodes of a
-graph. They are inserted in batches: a greedy search from the entry node proposes neighbours, and
-pruning keeps a near one only if no neighbour kept before is closer to it by the relaxation
-factor, so that the edges point in different directions. Queries run a beam search in every
-shard, and the best of all shards are kept.
+Rows are dealt to shards by a hash of their id. A shard's distinct vectors are cut into bands of
+similar length, and those of a band are the nodes of a graph. They are inserted in batches: a
+greedy search from the entry node proposes neighbours, and pruning keeps a near one only if no
+neighbour kept before is closer to it by the relaxation factor, so that the edges point in
+different directions. Queries run a beam search in every shard, and the best of all shards are kept.
 
 Largest inner product becomes nearest point by one more coordinate, which gives all vectors of a
-shard the same norm. Graphs work in single precision; scores are those of the original vectors in
+band the same norm. Within a band this coordinate never outweighs the others by much, whatever
+other lengths the table has. A query takes the bands from the longest vectors down, and leaves
+out those whose length bounds their products below what it has found.
+
+How wide a beam has to be depends on the vectors: each graph is tried with some of the shard's
+own vectors against all its nodes, and keeps the width that finds enough of them. All is in
 double precision.
 """
 
@@ -27,12 +32,19 @@ QUERY_ROWS = 4_096
 DEGREE = 32
 MOST_EDGES = 48
 ALPHA = 1.2
-#: Widths of the beam.
+#: Widths of the beam; that of a search is the least one, doubled until PROBES vectors of the
+#: shard find this share of their nearest nodes.
 BUILD_BEAM = 64
 SEARCH_BEAM = 128
+PROBES = 128
+PROBE_RECALL = 0.985
+#: The shortest vector of a band, as a share of the longest.
+BAND = 0.5
 #: Nodes inserted and queries advanced at once, and beam entries expanded in one step.
 BATCH = 512
 EXPAND = 4
+#: Components that are gathered at once for products, 64 MB of them.
+GATHERED = 8 * 1024 * 1024
 
 
 class Graph:
@@ -50,9 +62,17 @@ class Graph:
 
     def search(self, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
         """Nodes and products of the best found, best first; -1 behind the last."""
+        block = max(1, min(BATCH, GATHERED // (EXPAND * self.edges.shape[1] * queries.shape[1])))
+        parts = [
+            self._search(queries[start : start + block], beam)
+            for start in range(0, len(queries), block)
+        ]
+        return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+
+    def _search(self, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
         n, count = len(self.vectors), len(queries)
         ids = np.full((count, beam), -1, np.int32)
-        sims = np.full((count, beam), -np.inf, np.float32)
+        sims = np.full((count, beam), -np.inf)
         done = np.ones((count, beam), bool)
         seen = np.zeros((count, n + 1), bool)
         ids[:, 0], done[:, 0], seen[:, 0] = 0, False, True
@@ -91,6 +111,14 @@ class Graph:
 
     def _prune(self, nodes: np.ndarray, found: np.ndarray, degree: int) -> np.ndarray:
         """Of the nodes found for each node, -1 for none, those that keep an edge."""
+        block = max(1, GATHERED // (found.shape[1] * self.vectors.shape[1]))
+        parts = [
+            self._prune_block(nodes[start : start + block], found[start : start + block], degree)
+            for start in range(0, len(nodes), block)
+        ]
+        return np.concatenate(parts)
+
+    def _prune_block(self, nodes: np.ndarray, found: np.ndarray, degree: int) -> np.ndarray:
         norm = float(self.vectors[0] @ self.vectors[0])
         around = self.vectors[np.maximum(found, 0)]
         sims = np.matmul(around, self.vectors[nodes][:, :, None])[:, :, 0]
@@ -177,19 +205,58 @@ class Graph:
                 self.edges[free[0], slot] = node
 
 
-def _level(vectors: np.ndarray) -> np.ndarray:
-    """Vectors scaled into range, with a coordinate that makes all norms equal."""
-    scaled = vectors / np.abs(vectors).max()
-    norms = (scaled * scaled).sum(axis=1)
-    rest = np.sqrt(np.maximum(norms.max() - norms, 0))
-    return np.column_stack([scaled, rest]).astype(np.float32)
+    def width(self, probes: np.ndarray, beam: int) -> int:
+        """The least beam, from `beam` on by doubling, that finds PROBE_RECALL of the probes'
+        nearest nodes; one of all nodes is not doubled again."""
+        n = len(self.vectors)
+        near = min(20, n)
+        sims = probes @ self.vectors.T
+        least = np.partition(sims, n - near, axis=1)[:, n - near]
+        while beam < n:
+            _, found = self.search(probes, beam)
+            # The same product may differ in its last bits.
+            if (found[:, :near] >= least[:, None] - 1e-12).mean() >= PROBE_RECALL:
+                break
+            beam *= 2
+        return beam
+
+
+def _lengths(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors of length one, and the binary logarithms of their lengths; no component
+    overflows or vanishes on the way."""
+    most = np.abs(vectors).max(axis=1, keepdims=True)
+    scaled = vectors / most
+    norms = np.sqrt((scaled * scaled).sum(axis=1))
+    return scaled / norms[:, None], np.log2(most[:, 0]) + np.log2(norms)
+
 
+def _bands(logs: np.ndarray) -> np.ndarray:
+    """Numbers of the bands: one starts at the longest vector that none before it holds."""
+    order = np.argsort(-logs, kind="stable")
+    ordered = -logs[order]
+    band = np.zeros(len(logs), np.int32)
+    start, number = 0, 0
+    while start < len(ordered):
+        stop = int(np.searchsorted(ordered, ordered[start] - np.log2(BAND), side="right"))
+        band[order[start:stop]] = number
+        start, number = stop, number + 1
+    return band
 
-def build(ids: np.ndarray, vectors: np.ndarray) -> pd.DataFrame:
-    """The index of one shard: for every distinct vector its ids, ascending, and its edges.
+
+def _level(units: np.ndarray, logs: np.ndarray) -> np.ndarray:
+    """Vectors scaled so that the longest has length one, with a coordinate that makes all
+    lengths one."""
+    norms = np.exp2(logs - logs.max())
+    rest = np.sqrt(np.maximum(1 - norms * norms, 0))
+    return np.column_stack([units * norms[:, None], rest])
+
+
+def build(ids: np.ndarray, vectors: np.ndarray, beam: int = SEARCH_BEAM) -> pd.DataFrame:
+    """The index of one shard: for every distinct vector its band, its number there, its ids,
+    ascending, its edges, and the width of beam that its graph takes.
 
     A repeated id counts once, with the smallest of its vectors. Node 0 is the vector nearest to
-    the mean, the others follow in an order that a hash of their least id gives.
+    the mean of its band, the others follow in an order that a hash of their least id gives.
     """
     order = np.lexsort([*vectors.T[::-1], ids])
     ids, vectors = ids[order], vectors[order]
@@ -203,18 +270,31 @@ def build(ids: np.ndarray, vectors: np.ndarray) -> pd.DataFrame:
     least = np.array([g[0] for g in groups], np.int64)
     mixed = least.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     order = np.argsort(mixed ^ (mixed >> np.uint64(29)), kind="stable")
-    level = _level(distinct)
-    entry = int(np.argmax(level @ level.mean(axis=0)))
-    order = np.concatenate([[entry], order[order != entry]])
-    graph = Graph(np.ascontiguousarray(level[order]))
-    return pd.DataFrame(
-        {
-            "node": np.arange(len(order)),
-            "ids": [groups[k].tolist() for k in order.tolist()],
-            "vector": list(distinct[order]),
-            "edges": [e[e >= 0].tolist() for e in graph.edges[: len(order)]],
-        }
-    )
+    units, logs = _lengths(distinct)
+    bands = _bands(logs)
+    tried = units[order[:PROBES]]
+    probes = np.column_stack([tried, np.zeros(len(tried))])
+    parts = []
+    for band in range(int(bands.max()) + 1):
+        mine = order[bands[order] == band]
+        level = _level(units[mine], logs[mine])
+        entry = int(np.argmax(level @ level.mean(axis=0)))
+        place = np.concatenate([[entry], np.delete(np.arange(len(mine)), entry)])
+        mine, level = mine[place], np.ascontiguousarray(level[place])
+        graph = Graph(level)
+        parts.append(
+            pd.DataFrame(
+                {
+                    "band": band,
+                    "node": np.arange(len(mine)),
+                    "ids": [groups[k].tolist() for k in mine.tolist()],
+                    "vector": list(distinct[mine]),
+                    "edges": [e[e >= 0].tolist() for e in graph.edges[: len(mine)]],
+                    "beam": graph.width(probes, beam),
+                }
+            )
+        )
+    return pd.concat(parts, ignore_index=True)
 
 
 def _usable(vector: Column) -> Column:
@@ -238,7 +318,10 @@ def prepared(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     )
 
 
-_NODE = "dim int, shard int, node int, ids array<long>, vector array<double>, edges array<int>"
+_NODE = (
+    "dim int, shard int, band int, node int, ids array<long>, vector array<double>, "
+    "edges array<int>, beam int"
+)
 
 
 def index(
@@ -332,29 +415,35 @@ def nearest(
 def _search_block(nodes: pd.DataFrame, asked: pd.DataFrame, k: int, beam: int) -> pd.DataFrame:
     if not len(nodes) or not len(asked):
         return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-    nodes = nodes.sort_values("node", ignore_index=True)
-    vectors = np.stack(nodes["vector"].to_list())
-    width = max(1, max(map(len, nodes["edges"])))
-    edges = np.full((len(nodes) + 1, width), -1, np.int32)
-    for i, out in enumerate(nodes["edges"]):
-        edges[i, : len(out)] = out
-    graph = Graph(_level(vectors), edges)
-    ids = [np.asarray(x) for x in nodes["ids"]]
+    own = asked["id"].tolist()
     queries = np.stack(asked["vector"].to_list())
-    scaled = queries / np.abs(queries).max(axis=1, keepdims=True)
-    asks = np.column_stack([scaled, np.zeros(len(scaled))]).astype(np.float32)
-    out: list[tuple[int, int, float]] = []
-    for start in range(0, len(asks), BATCH):
-        found, _ = graph.search(asks[start : start + BATCH], beam)
-        for i, near in enumerate(found):
-            own, near = int(asked["id"].iloc[start + i]), near[near >= 0]
-            scores = (vectors[near] * queries[start + i]).sum(axis=1)
-            best: list[tuple[float, int]] = []
+    units, query_logs = _lengths(queries)
+    asks = np.column_stack([units, np.zeros(len(units))])
+    best: list[list[tuple[float, int]]] = [[] for _ in own]
+    for _, band in nodes.groupby("band"):
+        band = band.sort_values("node", ignore_index=True)
+        vectors = np.stack(band["vector"].to_list())
+        ids = [np.asarray(x) for x in band["ids"]]
+        band_units, logs = _lengths(vectors)
+        # No product here is above that of the lengths, but for its rounding.
+        bound = np.exp2(np.minimum(query_logs + logs.max(), 1023)) * (1 + 1e-9)
+        open_ = [i for i, b in enumerate(best) if len(b) < k or bound[i] >= b[-1][0]]
+        if not open_:
+            continue
+        edges = np.full((len(band) + 1, max(1, max(map(len, band["edges"])))), -1, np.int32)
+        for i, out in enumerate(band["edges"]):
+            edges[i, : len(out)] = out
+        graph = Graph(_level(band_units, logs), edges)
+        found, _ = graph.search(asks[open_], max(beam, int(band["beam"].iloc[0])))
+        for i, near in zip(open_, found, strict=True):
+            near = near[near >= 0]
+            scores = (vectors[near] * queries[i]).sum(axis=1)
             for at in np.argsort(-scores, kind="stable").tolist():
                 score = float(scores[at])
-                if len(best) >= k and score < best[-1][0]:
+                if len(best[i]) >= k and score < best[i][-1][0]:
                     break
-                mine = [int(x) for x in ids[near[at]][: k + 1].tolist() if x != own]
-                best = sorted(best + [(score, x) for x in mine], key=lambda b: (-b[0], b[1]))[:k]
-            out += [(own, x, score) for score, x in best]
-    return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
+                mine = [int(x) for x in ids[near[at]][: k + 1].tolist() if x != own[i]]
+                every = best[i] + [(score, x) for x in mine]
+                best[i] = sorted(every, key=lambda b: (-b[0], b[1]))[:k]
+    rows = [(q, x, score) for q, b in zip(own, best, strict=True) for score, x in b]
+    return pd.DataFrame(rows, columns=["query_id", "vec_id", "score"])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from oncolake.llm import ann
@@ -93,13 +94,66 @@ def test_graph_reaches_every_node():
     tight = rng.normal(size=(1, 16)) + 1e-3 * rng.normal(size=(700, 16))
     far = rng.normal(size=(700, 16)) * 10
     index = ann.build(np.arange(1400), np.concatenate([tight, far]))
-    seen, front = {0}, [0]
-    while front:
-        front = [j for i in front for j in index.edges[i] if j not in seen and not seen.add(j)]
-    assert len(seen) == len(index) == 1400
+    assert len(index) == 1400
+    for _, band in index.groupby("band"):
+        edges = dict(zip(band.node, band.edges, strict=True))
+        seen, front = {0}, [0]
+        while front:
+            front = [j for i in front for j in edges[i] if j not in seen and not seen.add(j)]
+        assert seen == set(edges) == set(range(len(band)))
     assert max(map(len, index.edges)) <= ann.MOST_EDGES + 8
 
 
+def clustered(rng):
+    centres = rng.normal(size=(40, 64))
+    return centres[rng.integers(0, 40, 4000)] + 0.05 * rng.normal(size=(4000, 64))
+
+
+def one_long(rng):
+    vectors = rng.normal(size=(4000, 64))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    vectors[17] *= 1e4
+    return vectors
+
+
+SHAPES = {
+    "clusters": clustered,
+    "gaussian": lambda rng: rng.normal(size=(4000, 64)),
+    "many dimensions": lambda rng: rng.normal(size=(2000, 256)),
+    "lengths": lambda rng: rng.normal(size=(4000, 64)) * np.exp(rng.normal(size=(4000, 1))),
+    "one long": one_long,
+    "tiny clusters": lambda rng: 1 + 1e-6 * rng.normal(size=(3000, 16)),
+}
+
+
+@pytest.mark.parametrize("shape", SHAPES)
+def test_recall_in_one_shard(shape):
+    """Whatever the vectors are: 200 queries against all products of a shard."""
+    vectors = SHAPES[shape](np.random.default_rng(11))
+    queries = np.arange(0, len(vectors), len(vectors) // 200)[:200]
+    nodes = ann.build(np.arange(len(vectors)), vectors)
+    asked = pd.DataFrame({"id": queries, "vector": list(vectors[queries])})
+    found = ann._search_block(nodes, asked, 20, ann.SEARCH_BEAM)
+    got = found.groupby("query_id").vec_id.agg(set)
+    share = []
+    for q in queries:
+        products = vectors @ vectors[q]
+        products[q] = -np.inf
+        share.append(len(set(np.argsort(-products)[:20].tolist()) & got[q]) / 20)
+    assert np.mean(share) >= 0.95
+    assert min(share) >= 0.7
+
+
+def test_bands_of_lengths():
+    logs = np.array([0.0, -0.4, 3.0, -1.0, 2.5, -30.0, 3.0])
+    assert ann._bands(logs).tolist() == [1, 1, 0, 1, 0, 2, 0]
+    units, logs = ann._lengths(np.array([[3e200, 4e200], [3e-300, 4e-300], [0.0, -2.0]]))
+    np.testing.assert_allclose(units, [[0.6, 0.8], [0.6, 0.8], [0, -1]])
+    np.testing.assert_allclose(np.exp2(logs[2]), 2)
+    level = ann._level(units, logs)
+    np.testing.assert_allclose((level * level).sum(axis=1), 1)
+
+
 @pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
 def test_recall_on_whole_table(spark, sf):
     path = f"/root/testdata/{sf}"
