@@ -3,7 +3,7 @@
 Everything is DataFrame expressions. Two first-order models, one of random strings and one of
 ordinary identifiers, give every pair of neighbouring characters a log-likelihood ratio; the two
 are trained by counting the pairs of labelled samples. A long token whose pairs look random on
-average is a span of kind `markov`, unless it touches a span of the fixed patterns.
+average is a span of kind `markov`, unless it lies inside a span of the fixed patterns.
 """
 
 from __future__ import annotations
@@ -148,7 +148,8 @@ def scan(
     threshold: float = THRESHOLD,
 ) -> DataFrame:
     """Per row of `docs`: the id and `spans`, array of (start, end, kind, found) by start, then
-    kind as in KINDS. Places are code points, the end exclusive.
+    kind as in KINDS. Places are code points, the end exclusive. Spans may overlap: a random token
+    is left out only if one span of a fixed pattern holds all of it.
 
     A null or empty text has no spans; repeated rows are scanned each; other columns are not
     carried on. Nothing is shuffled.
@@ -193,7 +194,7 @@ def scan(
                 F.filter(
                     "markov",
                     lambda m: ~F.exists(
-                        "fixed", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])
+                        "fixed", lambda b: (b["start"] <= m["start"]) & (m["end"] <= b["end"])
                     ),
                 ),
             )
