@@ -28,7 +28,7 @@ from oncolake.operators.cohort import gene_rows
 from oncolake.operators.reports import save_reports, save_reports_of_means
 from oncolake.plans.joins import fits_broadcast
 from oncolake.session import build_session
-from oncolake.sources import files
+from oncolake.sources import contents, files
 from oncolake.sources.tables import load_bucketed, load_table, save_bucketed, save_table
 
 
@@ -145,16 +145,20 @@ def run_expression(
     on_missing: str = "fail",
     glob: str = files.EXPRESSION_FILES,
     check_gzip: bool = False,
+    by_content: bool = False,
 ) -> None:
     """Measures of the files under one part of the archive, as one batch of the table.
 
     Listed files that are not there are written to a table of their own; they stop the job
     before any other table is touched, or with on_missing='record' the rest goes on. To run a
     part again replaces its batch; parts must not overlap. `check_gzip` is for archives with
-    damaged files; set `spark.sql.files.ignoreCorruptFiles` along with it.
+    damaged files; set `spark.sql.files.ignoreCorruptFiles` along with it. `by_content` is for
+    archives whose names do not tell which files are packed.
     """
     if on_missing not in ("fail", "record"):
         raise ValueError(f"unknown on_missing: {on_missing}")
+    if check_gzip and by_content:
+        raise ValueError("damaged files can be left out only where names tell how files are packed")
     batch = _batch(under)
     listed = catalog.expression_files(catalog.file_paths(_list(spark, base, "txt_list")))
     # Only the list rows of the part: the smaller the part, the sooner its list can be copied.
@@ -166,7 +170,8 @@ def run_expression(
         catalog.require_none(load_table(spark, missing))
     # The text is read once, into this table.
     staged = f"{base}/staged_lines/batch={batch}"
-    lines = files.read_lines(spark, root, glob, under)
+    read = contents.read_lines if by_content else files.read_lines
+    lines = read(spark, root, glob, under)
     save_table(expression.stage_lines(lines), staged, mode="overwrite")
     stage = load_table(spark, staged)
     rejected = expression.rejected_files(stage)
@@ -308,6 +313,7 @@ def main(argv: list[str] | None = None) -> None:
     jobs.choices["reports"].add_argument("--buckets", type=int, default=0)
     jobs.choices["reports"].add_argument("--from-moments", action="store_true")
     jobs.choices["expression"].add_argument("--check-gzip", action="store_true")
+    jobs.choices["expression"].add_argument("--by-content", action="store_true")
     jobs.choices["genome"].add_argument(
         "--layout", choices=sorted(files.GENE_LINE), default="genbank"
     )

@@ -100,12 +100,14 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(value("id").alias("path"), value("filename").alias("filename"))
 
 
-def _files_under(spark: SparkSession, glob: str | None) -> DataFrameReader:
+def files_under(spark: SparkSession, glob: str | None) -> DataFrameReader:
+    """A reader of all files below a folder whose names match."""
     reader = spark.read.option("recursiveFileLookup", "true")
     return reader.option("pathGlobFilter", glob) if glob else reader
 
 
-def _below(spark: SparkSession, root: str, under: str) -> str:
+def below_root(spark: SparkSession, root: str, under: str) -> str:
+    """What lies `under` the root, as a path to read."""
     top = resolved(spark, root)
     return f"{top}/{under}" if under else f"{top}/"
 
@@ -114,7 +116,7 @@ def read_lines(
     spark: SparkSession, root: str, glob: str | None = EXPRESSION_FILES, under: str = ""
 ) -> DataFrame:
     """(filepath, value) of every line; compressed files are unpacked by their extension."""
-    lines = _files_under(spark, glob).text(_below(spark, root, under))
+    lines = files_under(spark, glob).text(below_root(spark, root, under))
     return lines.select(relative_path(spark, root).alias("filepath"), "value")
 
 
@@ -122,7 +124,7 @@ def read_documents(
     spark: SparkSession, root: str, glob: str | None = "*.xml", under: str = ""
 ) -> DataFrame:
     """(filepath, value), one row per file, without a byte order mark."""
-    documents = _files_under(spark, glob).text(_below(spark, root, under), wholetext=True)
+    documents = files_under(spark, glob).text(below_root(spark, root, under), wholetext=True)
     text = F.ltrim(F.col("value"), F.lit("\ufeff"))
     return documents.select(relative_path(spark, root).alias("filepath"), text.alias("value"))
 
@@ -136,8 +138,8 @@ def read_elements(
     under: str = "",
 ) -> DataFrame:
     """(filepath, fields of the schema), one row per `row_tag` element in any file."""
-    reader = _files_under(spark, glob).format("xml").schema(schema).option("rowTag", row_tag)
-    elements = reader.load(_below(spark, root, under))
+    reader = files_under(spark, glob).format("xml").schema(schema).option("rowTag", row_tag)
+    elements = reader.load(below_root(spark, root, under))
     return elements.select(relative_path(spark, root).alias("filepath"), "*")
 
 
@@ -154,7 +156,7 @@ def read_genome_records(
     another, and large plain files are split over tasks. The record of the last gene before a
     sequence holds that sequence too: a task needs memory for the longest one.
     """
-    records = _files_under(spark, glob).text(_below(spark, root, under), lineSep=GENE_LINE[layout])
+    records = files_under(spark, glob).text(below_root(spark, root, under), lineSep=GENE_LINE[layout])
     return records.select(F.col("_metadata.file_name").alias("file_name"), "value")
 
 
@@ -162,7 +164,7 @@ def list_files(
     spark: SparkSession, root: str, glob: str | None = "*.gz", under: str = ""
 ) -> DataFrame:
     """(filepath, length, modified) of the files below a prefix; contents are not read."""
-    found = _files_under(spark, glob).format("binaryFile").load(_below(spark, root, under))
+    found = files_under(spark, glob).format("binaryFile").load(below_root(spark, root, under))
     return found.select(
         relative_path(spark, root).alias("filepath"),
         "length",
@@ -201,7 +203,7 @@ def damaged_gzip_files(
     with this, read with `spark.sql.files.ignoreCorruptFiles` set, and add the list to the
     rejected files: what was read of them before the damage is then dropped with them.
     """
-    blobs = _files_under(spark, glob).format("binaryFile").load(_below(spark, root, under))
+    blobs = files_under(spark, glob).format("binaryFile").load(below_root(spark, root, under))
     path = relative_path(spark, root).alias("filepath")
     checked = blobs.select(path, _unpacks("content").alias("_whole"))
     return checked.filter(~F.col("_whole")).select("filepath")

@@ -238,5 +238,5 @@ def test_arguments(monkeypatch):
     jobs.main(["expression", "/b", "--root", "/r", "--under", "0*"])
     assert seen == {
         "session": "session", "base": "/b", "root": "/r", "under": "0*", "check_gzip": False,
-        "on_missing": "fail",
+        "on_missing": "fail", "by_content": False,
     }

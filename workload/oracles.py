@@ -358,6 +358,9 @@ ORACLES = {
     "expr_ingest_files": f"""WITH {EXPRESSION}
         SELECT CAST(case_id % 4 AS VARCHAR) AS case_id, CAST(gene_id AS VARCHAR) AS gene_id,
                gene_expr FROM gene_expr_table""",
+    "expr_ingest_by_content": f"""WITH {EXPRESSION}
+        SELECT CAST(case_id % 4 AS VARCHAR) AS case_id, CAST(gene_id AS VARCHAR) AS gene_id,
+               gene_expr FROM gene_expr_table WHERE case_id % 4 < 2""",
     # clinical enrichment
     "clinical_xml_extract": f"WITH {CLINICAL} SELECT * FROM clinical",
     "clinical_quarantine": f"""WITH {REPORTS}

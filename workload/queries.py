@@ -15,7 +15,7 @@ from oncolake.operators import expression as ingest
 from oncolake.operators.reports import save_reports
 from oncolake.plans.cohorts import CohortSpec, arm_rows, like, stages
 from oncolake.plans.joins import fit_broadcast
-from oncolake.sources import files, tables
+from oncolake.sources import contents, files, tables
 from workload import standins as s
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -474,6 +474,26 @@ def expr_ingest_files(spark, sf):
     return tables.load_table(spark, stored)
 
 
+@query
+def expr_ingest_by_content(spark, sf):
+    """Ingest from an archive whose names do not tell how files are packed: what is a gzip file
+    by its contents is taken, as the content type of an object store would have it."""
+    root = files.resolved(spark, tables.scratch_path(spark, "contents"))
+    lines = s.measures(spark, sf).select(
+        F.concat_ws("\t", F.concat("gene_id", F.lit(".1")), "gene_expr").alias("value"),
+        (F.col("case_id") % 4).alias("ward"),
+    )
+    for ward, (extension, packed) in enumerate(
+        [("txt.gz", True), ("txt", True), ("txt.gz", False), ("txt", False)]
+    ):
+        s.pack_lines(lines.filter(F.col("ward") == ward), f"{root}/{ward}", extension, packed)
+    paths = contents.gzip_files(spark, root).select(
+        F.substring_index("filepath", "/", 1).alias("case_id"), "filepath"
+    )
+    staged = _staged(spark, contents.read_lines(spark, root))
+    return ingest.ingest_expression(staged, paths)
+
+
 # --- clinical enrichment ------------------------------------------------------------------
 
 

@@ -6,6 +6,11 @@ files. Quantities are whole numbers, so sums and means are exact in any order.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -253,3 +258,21 @@ def genome_records(spark: SparkSession, sf_dir: str) -> DataFrame:
             tail,
         ).alias("value"),
     )
+
+
+def pack_lines(lines: DataFrame, root: str, extension: str, packed: bool) -> None:
+    """Writes (value) as text, one file for each task, under names of an extension that need not
+    tell how they are packed. A task that runs again writes its file again."""
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, folder = fs.FileSystem.from_uri(root if ":/" in root else f"file://{root}")
+        store.create_dir(folder)
+        name = f"{folder}/part-{TaskContext.get().partitionId():05d}-UQ.{extension}"
+        with store.open_output_stream(name, compression="gzip" if packed else None) as out:
+            for batch in batches:
+                out.write("".join(f"{v}\n" for v in batch.column(0).to_pylist()).encode())
+        yield pa.RecordBatch.from_pydict({"name": [name]})
+
+    lines.select("value").mapInArrow(write, "name string").write.format("noop").mode(
+        "overwrite"
+    ).save()
