@@ -223,7 +223,7 @@ def run_genome(
     glob: str = files.GENOME_FILES,
 ) -> None:
     """The gene reference, and the genes that were left out or occur twice."""
-    records = files.read_genome_records(spark, root, layout, glob)
+    records = contents.read_genome_records(spark, root, layout, glob)
     save_table(genome.parse_genes(records), f"{base}/parsed_genes", mode="overwrite")
     parsed = load_table(spark, f"{base}/parsed_genes")
     save_table(genome.gene_reference(parsed), f"{base}/hs_genome", mode="overwrite")

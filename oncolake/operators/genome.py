@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from oncolake.functions.text import regex_extract, strip_version
+from oncolake.sources.files import SECTIONS
 
 # The name part that holds the chromosome, the value where it is absent, the
 # position of a gene on none, and the qualifiers of a gene.
@@ -20,10 +21,6 @@ GENE_ID = r'(?i)/gene="?([A-Z0-9.]+)'
 GENE_NAME = r'/locus_tag="([^"]+)"'
 GENE_NOTE = r'/note="([^"]*)"'
 
-# A sequence section, or the end of an entry, ends the annotations. They are cut off by
-# plain search before any pattern sees the text: the last gene of a chromosome is followed
-# by the whole sequence.
-SECTIONS = ("\nORIGIN", "\nSQ ", "\nXX", "\n//")
 # The next feature key, at its fixed column, ends a block.
 NEXT_FEATURE = r"\n(?:  |FT)   \S+ "
 COLUMNS = (
@@ -35,7 +32,8 @@ def gene_blocks(records: DataFrame) -> DataFrame:
     """(file_name, location, block): the location line and qualifiers of each gene.
 
     A record is the text after the gene key. What stands before the first gene of a file is
-    no block: it does not start with a blank, as what follows a key does.
+    no block: it does not start with a blank, as what follows a key does. Annotations are cut off
+    by plain search before any pattern sees the text: a record may hold a whole sequence.
     """
     annotations = reduce(
         lambda text, section: F.substring_index(text, section, 1), SECTIONS, F.col("value")

@@ -1,15 +1,15 @@
 """Files known by what they hold, not by their names.
 
 Spark lists the files; a task opens each one that it was dealt through its URI, on any file
-system that pyarrow reads, and takes the first bytes. Lines are unpacked as a stream, so a task
-holds one piece of a file and the line that it is in. The line reader of `files` goes by names:
+system that pyarrow reads, and takes the first bytes. Lines and records are unpacked as a stream,
+so a task holds one piece of a file and the line or record that it is in. The line reader of `files` goes by names:
 one that does not say how a file is packed would stop it, or make it take packed bytes for text.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from urllib.parse import quote
 
 import pyarrow as pa
@@ -17,14 +17,21 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oncolake.sources.files import below_root, files_under, relative_path
+from oncolake.sources.files import (
+    GENE_LINE,
+    GENOME_FILES,
+    SECTIONS,
+    below_root,
+    files_under,
+    relative_path,
+)
 
 # Fixed value: the first two bytes of a gzip file.
 GZIP_MARK = b"\x1f\x8b"
 
 _PIECE = 1024 * 1024
-#: Lines of one batch, at most, and their bytes, about.
-_LINES = 10_000
+#: Rows of one batch, at most, and their bytes, about.
+_ROWS = 10_000
 _BYTES = 4 * 1024 * 1024
 
 
@@ -115,28 +122,54 @@ def _unended(line: bytes) -> bytes:
     return line[:-1] if line.endswith((b"\n", b"\r")) else line
 
 
-def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def batch_of(path: str, lines: list[bytes]) -> pa.RecordBatch:
-        paths = pa.DictionaryArray.from_arrays(pa.array([0] * len(lines), pa.int32()), [path])
+def _records(stream: pa.NativeFile, mark: bytes, ends: Sequence[bytes]) -> Iterator[bytes]:
+    """What follows each mark, to the next mark or to the first of the ends; what lies between an
+    end and a mark is passed over and never held."""
+    cut = re.compile(b"|".join(map(re.escape, (mark, *ends))))
+    longest = max(map(len, (mark, *ends)))
+    held, inside = b"", False
+    while piece := stream.read(_PIECE):
+        start, seek = 0, max(0, len(held) - longest + 1)
+        held += piece
+        while found := cut.search(held, seek):
+            if inside:
+                yield held[start : found.start()]
+            inside = found[0] == mark
+            start = seek = found.end()
+        held = held[start if inside else max(start, len(held) - longest + 1) :]
+    if inside:
+        yield held
+
+
+def _streamed(
+    listed: DataFrame, pieces: Callable[[pa.NativeFile], Iterator[bytes]]
+) -> DataFrame:
+    """(filepath, value) of the pieces of every listed file, unpacked if it is a gzip file."""
+
+    def batch_of(path: str, values: list[bytes]) -> pa.RecordBatch:
+        paths = pa.DictionaryArray.from_arrays(pa.array([0] * len(values), pa.int32()), [path])
         return pa.RecordBatch.from_arrays(
-            [paths.cast(pa.string()), pa.array(lines, pa.binary())], ["filepath", "value"]
+            [paths.cast(pa.string()), pa.array(values, pa.binary())], ["filepath", "value"]
         )
 
-    for batch in batches:
-        for file in batch.to_pylist():
-            uri, path = file["uri"], file["filepath"]
-            store, where = _opened(uri)
-            packing = "gzip" if _is_gzip(store, where) else None
-            held, size = [], 0
-            with store.open_input_stream(where, compression=packing) as stream:
-                for line in _lines(stream):
-                    held.append(line)
-                    size += len(line)
-                    if len(held) == _LINES or size >= _BYTES:
-                        yield batch_of(path, held)
-                        held, size = [], 0
-            if held:
-                yield batch_of(path, held)
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for file in batch.to_pylist():
+                store, where = _opened(file["uri"])
+                packing = "gzip" if _is_gzip(store, where) else None
+                held, size = [], 0
+                with store.open_input_stream(where, compression=packing) as stream:
+                    for value in pieces(stream):
+                        held.append(value)
+                        size += len(value)
+                        if len(held) == _ROWS or size >= _BYTES:
+                            yield batch_of(file["filepath"], held)
+                            held, size = [], 0
+                if held:
+                    yield batch_of(file["filepath"], held)
+
+    rows = listed.select("uri", "filepath").mapInArrow(unpack, "filepath string, value binary")
+    return rows.withColumn("value", F.col("value").cast("string"))
 
 
 def read_lines(
@@ -148,6 +181,24 @@ def read_lines(
     A file that does not unpack to its end stops the job. Each file is one task's work, plain
     ones too: where names can be trusted, `files.read_lines` cuts those.
     """
-    listed = _listed(spark, root, glob, under).select("uri", "filepath")
-    lines = listed.mapInArrow(_unpack, "filepath string, value binary")
-    return lines.withColumn("value", F.col("value").cast("string"))
+    return _streamed(_listed(spark, root, glob, under), _lines)
+
+
+def read_genome_records(
+    spark: SparkSession,
+    root: str,
+    layout: str = "genbank",
+    glob: str | None = GENOME_FILES,
+    under: str = "",
+) -> DataFrame:
+    """(file_name, value) of annotated genome files, one record for each gene: the text after a
+    gene key, to the next one or to the end of the annotations.
+
+    Sequences are passed over as they are unpacked, so no row and no task holds one. A file is
+    one task's work; `files.read_genome_records` cuts large plain ones, but keeps sequences.
+    """
+    mark, ends = GENE_LINE[layout].encode(), [section.encode() for section in SECTIONS]
+    records = _streamed(
+        _listed(spark, root, glob, under), lambda stream: _records(stream, mark, ends)
+    )
+    return records.select(F.substring_index("filepath", "/", -1).alias("file_name"), "value")

@@ -20,6 +20,8 @@ from oncolake import schemas
 # Line layouts of annotated genome files, up to and including the key of a
 # gene block.
 GENE_LINE = {"genbank": "\n     gene ", "embl": "\nFT   gene "}
+# A sequence section, or the end of an entry, ends the annotations.
+SECTIONS = ("\nORIGIN", "\nSQ ", "\nXX", "\n//")
 GENOME_FILES = "*dat.gz"
 EXPRESSION_FILES = "*-UQ.txt*"
 

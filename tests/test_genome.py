@@ -1,11 +1,14 @@
 from __future__ import annotations
 
 import gzip
+import re
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 
 from oncolake.operators import genome
-from oncolake.sources import files
+from oncolake.sources import contents, files
 
 PAD = " " * 21
 
@@ -130,3 +133,57 @@ def test_file_list(spark, tmp_path):
         (tmp_path / name).write_bytes(b"1234")
     listed = files.list_files(spark, str(tmp_path), "*.gz").collect()
     assert [(r.filepath, r.length) for r in listed] == [("a/x.dat.gz", 4)]
+
+
+@pytest.mark.parametrize("layout", ["genbank", "embl"])
+def test_streamed_records_are_those_of_the_plain_reader(spark, tmp_path, layout):
+    for name, text in {**NAMES, "Species.B1.9.chromosome.3.dat.gz": "no gene\n"}.items():
+        text = embl(text) if layout == "embl" else text
+        (tmp_path / name).write_bytes(gzip.compress(text.encode()))
+    both = [
+        genome.parse_genes(reader(spark, str(tmp_path), layout)).collect()
+        for reader in (files.read_genome_records, contents.read_genome_records)
+    ]
+    assert sorted(both[0], key=repr) == sorted(both[1], key=repr)
+    assert both[0]
+    values = contents.read_genome_records(spark, str(tmp_path), layout).select("value").collect()
+    assert not any("acgt" in r.value or "//" in r.value for r in values)
+
+
+@pytest.mark.parametrize("piece", [1, 2, 5, 11, 1000])
+def test_records_at_ends_of_pieces(monkeypatch, piece):
+    monkeypatch.setattr(contents, "_PIECE", piece)
+    mark, ends = files.GENE_LINE["genbank"], files.SECTIONS
+    for text in [*NAMES.values(), "", mark, mark + mark, "\n//" + mark + "a\n//b", "\n     gene"]:
+        want = []
+        for record in text.split(mark)[1:]:
+            want.append(re.split("|".join(map(re.escape, ends)), record)[0].encode())
+        stream = pa.BufferReader(text.encode())
+        got = list(contents._records(stream, mark.encode(), [e.encode() for e in ends]))
+        assert got == want
+
+
+class Chromosome:
+    """A stream of a gene and a sequence of a gigabyte."""
+
+    def __init__(self):
+        self.parts = 1024
+        self.line = b"        1 " + b"acgtacgtac " * 6 + b"\n"
+
+    def read(self, size):
+        self.parts -= 1
+        if self.parts == 1023:
+            return b"HEAD\n     gene 1..2\n /gene=G1\nORIGIN\n"
+        return (self.line * (size // len(self.line) + 1))[:size] if self.parts >= 0 else b""
+
+
+def test_a_gigabyte_of_sequence_is_not_held():
+    tracemalloc.start()
+    try:
+        ends = [e.encode() for e in files.SECTIONS]
+        got = list(contents._records(Chromosome(), files.GENE_LINE["genbank"].encode(), ends))
+        _, peak = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert got == [b"1..2\n /gene=G1"]
+    assert peak < 16 * 1024 * 1024

@@ -424,6 +424,7 @@ ORACLES = {
         "WHERE pos_start IS NOT NULL GROUP BY name HAVING COUNT(*) > 1",
     ),
     "genome_files": _genes("*", "WHERE pos_start IS NOT NULL"),
+    "genome_streamed": _genes("*", "WHERE pos_start IS NOT NULL"),
 }
 
 ORACLES["patient_update_by_batch"] = ORACLES["patient_update"]
