@@ -10,10 +10,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator, Sequence
-from urllib.parse import quote
 
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,9 +23,7 @@ from oncolake.sources.files import (
     files_under,
     relative_path,
 )
-
-# Fixed value: the first two bytes of a gzip file.
-GZIP_MARK = b"\x1f\x8b"
+from oncolake.sources.opening import is_gzip, look, opened
 
 _PIECE = 1024 * 1024
 #: Rows of one batch, at most, and their bytes, about.
@@ -35,24 +31,6 @@ _ROWS = 10_000
 _BYTES = 4 * 1024 * 1024
 
 
-def _opened(uri: str) -> tuple[fs.FileSystem, str]:
-    # Spark writes a local file's URI with one slash or with three, and leaves letters beyond
-    # ASCII as they are.
-    quoted = quote(uri, safe="%/:?#[]@!$&'()*+,;=~")
-    return fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", quoted))
-
-
-def _is_gzip(store: fs.FileSystem, path: str) -> bool:
-    with store.open_input_stream(path, compression=None, buffer_size=None) as stream:
-        return stream.read(len(GZIP_MARK)) == GZIP_MARK
-
-
-def _look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        marks = [_is_gzip(*_opened(uri)) for uri in batch.column("uri").to_pylist()]
-        yield batch.append_column("gzip", pa.array(marks, pa.bool_()))
-
-
 def _listed(spark: SparkSession, root: str, glob: str | None, under: str) -> DataFrame:
     """(uri, filepath, length, modified) of the files below a prefix; nothing is read."""
     found = files_under(spark, glob).format("binaryFile").load(below_root(spark, root, under))
@@ -78,7 +56,7 @@ def packed_files(
     not listed, as Spark's scans pass it over.
     """
     listed = _listed(spark, root, glob, under)
-    looked = listed.mapInArrow(_look, _schema(listed, "gzip boolean"))
+    looked = listed.mapInArrow(look, _schema(listed, "gzip boolean"))
     return looked.drop("uri").withColumn("named_gzip", _named_gzip())
 
 
@@ -155,8 +133,8 @@ def _streamed(
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for file in batch.to_pylist():
-                store, where = _opened(file["uri"])
-                packing = "gzip" if _is_gzip(store, where) else None
+                store, where = opened(file["uri"])
+                packing = "gzip" if is_gzip(store, where) else None
                 held, size = [], 0
                 with store.open_input_stream(where, compression=packing) as stream:
                     for value in pieces(stream):

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
 from oncolake import schemas
+from oncolake.sources.arrays import read_objects
 
 # Line layouts of annotated genome files, up to and including the key of a
 # gene block.
@@ -66,10 +67,17 @@ def _after(text: Column, starts: Sequence[str]) -> Column:
     return out
 
 
-def read_metadata(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Nested file metadata. A multi-line file is one task's work: for a large archive write
-    one object per line and pass multi_line=False."""
-    return spark.read.schema(schemas.METADATA).json(path, multiLine=multi_line)
+def read_metadata(
+    spark: SparkSession, path: str, multi_line: bool = True, cut_bytes: int | None = None
+) -> DataFrame:
+    """Nested file metadata: arrays of objects, or with multi_line=False one object on each line.
+
+    A file of either kind is cut into many tasks; arrays are read twice for that (`arrays`).
+    """
+    if not multi_line:
+        return spark.read.schema(schemas.METADATA).json(path)
+    entries = read_objects(spark, path, cut_bytes)
+    return entries.select(F.from_json("value", schemas.METADATA).alias("entry")).select("entry.*")
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:

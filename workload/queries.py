@@ -285,7 +285,9 @@ def catalog_files_multi_line(spark, sf):
         .select("block", F.to_json("files", {"pretty": "true"}).alias("value"))
     )
     tables.save_table(arrays, base, "text", partition_by=["block"])
-    return catalog.build_index(s.manifest(spark, sf), files.read_metadata(spark, base))
+    # The files have about a megabyte each, so they are cut more finely than large ones.
+    entries = files.read_metadata(spark, base, cut_bytes=256 * 1024)
+    return catalog.build_index(s.manifest(spark, sf), entries)
 
 
 @query
