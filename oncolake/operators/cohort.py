@@ -209,6 +209,20 @@ def top_changed(
     )
 
 
+def by_place(disease: str = "disease_type") -> list[Column]:
+    """Columns of the order in which ranked reports are stored."""
+    return [F.asc(disease), *_largest_first()]
+
+
+def place_key() -> Column:
+    """One value of a row that ascends where `ranked` goes down, to find the first of many."""
+    ratio = F.col("fold_change")
+    # An undefined ratio is before all; what is no number counts as larger than any.
+    kind = F.when(ratio.isNull(), 0).when(F.isnan(ratio), 1).otherwise(2)
+    rest = [F.struct(F.isnull(c), c) for c in ("gene_id", "gene_name", "chromosome", "info")]
+    return F.struct(kind, F.when(kind == 2, -ratio), *rest)
+
+
 def top_of_one(rows: DataFrame, n: int = TOP, increased: bool = True) -> DataFrame:
     """The first n rows of one disease's stored fold changes, from either end."""
     return rows.orderBy(*(_largest_first() if increased else _smallest_first())).limit(n)

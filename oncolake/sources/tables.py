@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from oncolake import schemas
 
@@ -33,7 +34,11 @@ def parallel_scan(column: str, lower: int, upper: int, partitions: int) -> dict[
 
 
 def load_table(
-    spark: SparkSession, name: str, fmt: str = "parquet", schema: str | None = None, **options: str
+    spark: SparkSession,
+    name: str,
+    fmt: str = "parquet",
+    schema: str | StructType | None = None,
+    **options: str,
 ) -> DataFrame:
     """A table by name or path. `fmt` is 'table' for the catalog, 'jdbc' for a database, or
     any file or connector format.

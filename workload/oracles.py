@@ -141,6 +141,7 @@ def _difference() -> str:
 
 
 RANKED_COLUMNS = "disease_type, gene_id, name AS gene_name, fold_change, chromosome, info"
+RANKED_NAMES = "disease_type, gene_id, gene_name, fold_change, chromosome, info"
 CHANGED = "fold_change > high OR fold_change < 0.5"
 
 
@@ -244,6 +245,10 @@ ORACLES = {
     "top_decreased_all": _top("decreased"),
     "reports_stored": _report(RANKED_COLUMNS, ["BUILDING"])
     + " ORDER BY fold_change DESC, gene_id, gene_name, chromosome, info LIMIT 10",
+    "reports_both_ends": " UNION ALL ".join(
+        f"SELECT {RANKED_NAMES}, '{end}' AS \"end\" FROM ({_top(direction, ['BUILDING'])})"
+        for end, direction in (("first", "increased"), ("last", "decreased"))
+    ),
     # patients, summaries and menus
     "project_summary": _patients(
         "disease_type, project_id, COUNT(*) AS sample_counts", "GROUP BY ALL"

@@ -12,7 +12,7 @@ from oncolake import schemas
 from oncolake.functions import text
 from oncolake.operators import catalog, clinical, cohort, genome, moments, patients, serving
 from oncolake.operators import expression as ingest
-from oncolake.operators.reports import save_reports
+from oncolake.operators.reports import save_ranked, save_reports, stored_top
 from oncolake.plans.cohorts import CohortSpec, arm_rows, like, stages
 from oncolake.plans.joins import fit_broadcast
 from oncolake.sources import contents, files, tables
@@ -151,6 +151,17 @@ def reports_stored(spark, sf):
     return cohort.top_of_one(stored.filter(F.col("disease_type") == RANKED))
 
 
+@query
+def reports_both_ends(spark, sf):
+    """The most increased and the most decreased genes of a disease, each from the file at that end
+    of its stored ranking."""
+    base = tables.scratch_path(spark, "ranked")
+    means = _means(spark, sf, s.SPECS)
+    save_ranked(cohort.fold_change(means, s.genome(spark, sf)), base, rows_per_file=100)
+    first, last = (stored_top(spark, base, RANKED, increased=up) for up in (True, False))
+    return first.withColumn("end", F.lit("first")).unionByName(last.withColumn("end", F.lit("last")))
+
+
 # --- patients, summaries and menus --------------------------------------------------------
 
 
