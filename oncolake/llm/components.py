@@ -2,7 +2,8 @@
 
 Every round makes each node's neighbours point to the smallest one of them, first the larger
 neighbours and then the smaller ones (large star, small star). The rounds grow with the
-logarithm of a component's size, not with the length of its chains.
+logarithm of a component's size, not with the length of its chains. A node that most links end
+at, as the middle of a star does, is dealt to many tasks.
 """
 
 from __future__ import annotations
@@ -10,30 +11,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from oncolake.llm.shared import checkpointed
+from oncolake.llm.shared import checkpointed, with_total
 
 MAX_ROUNDS = 100
 
 
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return (
-        both.filter(F.col("v") > F.col("u"))
-        .join(least, "u")
-        .select(F.col("v").alias("u"), F.col("m").alias("v"))
-        .distinct()
-    )
+    larger = with_total(both, "u", "v", F.min("v"), F.min, "m", keep=F.col("v") > F.col("u"))
+    return larger.select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct()
 
 
 def _small_star(links: DataFrame) -> DataFrame:
-    least = links.groupBy("u").agg(F.min("v").alias("m"))
-    moved = links.join(least, "u").filter(F.col("v") != F.col("m"))
-    return (
-        moved.select(F.col("v").alias("u"), F.col("m").alias("v"))
-        .unionByName(least.select("u", F.col("m").alias("v")))
-        .distinct()
-    )
+    least = links.groupBy("u").agg(F.min("v").alias("v"))
+    moved = with_total(links, "u", "v", F.min("v"), F.min, "m").filter(F.col("v") != F.col("m"))
+    others = moved.select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return others.unionByName(least).distinct()
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -1,12 +1,12 @@
 """SimHash near-duplicates through an inverted index of the fingerprints' bytes.
 
 Two 64-bit fingerprints that differ in at most four bits share at least four of their eight
-bytes, place by place. An index of single bytes would tally all pairs of its long lists, 1/256 of
-all fingerprints each. So the tally is part of the index: an entry is a combination of four
-places with their bytes, and fingerprints that meet under any entry have reached the guaranteed
-four matches. What meets is verified by its differing bits.
+bytes, place by place. A list of the index holds the fingerprints with the same bytes at three
+places; the list of a single byte would be 1/256 of all fingerprints. Two fingerprints that share
+four bytes meet in four of the 56 lists or more. Those that meet are tallied: the places whose
+bytes they share are counted, and a pair with the guaranteed four is verified by its bits.
 
-Only distinct fingerprints are indexed. An entry's fingerprints give a spanning forest of their
+Only distinct fingerprints are indexed. A list's fingerprints give a spanning forest of their
 links, not all pairs, so a large group of near copies costs as many links as it has members; the
 components are those of all pairs.
 """
@@ -24,12 +24,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from oncolake.llm.components import components
-from oncolake.llm.shared import checkpointed, release_memory
+from oncolake.llm.shared import PARTS, checkpointed, release_memory, with_total
 
 WORDS = 4
 SEED = 42
 MAX_BITS = 4
 BYTES = 8
+#: Bytes that a pair within MAX_BITS shares at least.
+SHARED = BYTES - MAX_BITS
+#: Bytes that the fingerprints of one list share. A list has 2^-24 of all fingerprints, besides near
+#: copies: with more than some 10^9 of them take SHARED bytes, which makes 70 lists.
+LISTED = 3
 
 #: Fingerprints under one entry that one task compares; more are dealt out in pairs of blocks.
 GROUP = 20_000
@@ -74,16 +79,31 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(entry, fp) for every combination of as many places as must match."""
-    places = list(combinations(range(BYTES), BYTES - MAX_BITS))
+    """(entry, fp) for every list that a fingerprint is in."""
+    places = list(combinations(range(BYTES), LISTED))
     for batch in batches:
         fp = batch.column(0).to_numpy()
         raw = np.ascontiguousarray(fp).view(np.uint8).reshape(-1, BYTES)
         for k, chosen in enumerate(places):
-            value = np.ascontiguousarray(raw[:, chosen]).view(np.uint32).ravel()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array((k << 32) + value.astype(np.int64)), pa.array(fp)], ["entry", "fp"]
-            )
+            value = np.full(len(fp), k, np.int64)
+            for place in chosen:
+                value = value * 256 + raw[:, place]
+            yield pa.RecordBatch.from_arrays([pa.array(value), pa.array(fp)], ["entry", "fp"])
+
+
+def _shared_bytes(differing: np.ndarray) -> np.ndarray:
+    """How many places' bytes are equal, from the differing bits of fingerprints."""
+    for shift in (4, 2, 1):
+        differing = differing | (differing >> np.uint64(shift))
+    return BYTES - np.bitwise_count(differing & np.uint64(0x0101010101010101))
+
+
+def linked(fps: np.ndarray, one: int) -> np.ndarray:
+    """Which fingerprints are within MAX_BITS of one: those that share enough bytes are verified."""
+    differing = (fps ^ one).view(np.uint64)
+    near = _shared_bytes(differing) >= SHARED
+    near[near] = np.bitwise_count(differing[near]) <= MAX_BITS
+    return near
 
 
 def forest(fps: np.ndarray) -> list[tuple[int, int]]:
@@ -94,7 +114,7 @@ def forest(fps: np.ndarray) -> list[tuple[int, int]]:
         queue, left = [left[0]], left[1:]
         while queue and len(left):
             at = queue.pop()
-            near = np.bitwise_count((left ^ at).view(np.uint64)) <= MAX_BITS  # of the sign, too
+            near = linked(left, at)
             if near.any():
                 found = left[near]
                 links += [(int(at), int(x)) for x in found]
@@ -146,10 +166,11 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _dealt(crowded: DataFrame, group: int) -> DataFrame:
     """Links of entries with more than GROUP fingerprints, compared in pairs of blocks."""
-    sizes = crowded.groupBy("u").agg(F.ceil(F.count("*") / (group / 2)).cast("int").alias("blocks"))
-    own = F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int")
+    sized = with_total(crowded, "u", "v", F.count(F.lit(1)), F.sum, "size")
+    # Another hash than that of the parts.
+    own = F.pmod(F.xxhash64("v", F.lit(1)), F.col("blocks")).cast("int")
     paired = (
-        crowded.join(sizes, "u")
+        sized.select("u", "v", F.ceil(F.col("size") / (group / 2)).cast("int").alias("blocks"))
         .select("u", "v", own.alias("own"), "blocks")
         .select("u", "v", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("to"))
         .select(
@@ -188,12 +209,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = checkpointed(fingerprints(docs, id_col, text_col))
     groups = checkpointed(rows.groupBy("fp").agg(F.min("id").alias("first")))
     roots = components(links(groups.select("fp")))
-    rooted = groups.join(roots, groups.fp == roots.node, "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root")
+    rooted = groups.join(roots, groups.fp == roots.node)
+    named = with_total(rooted, "root", "fp", F.min("first"), F.min, "component")
+    least = groups.join(named.select("fp", "component"), "fp", "left").select(
+        "fp", F.coalesce("component", "first").alias("component")
     )
-    smallest = rooted.groupBy("root").agg(F.min("first").alias("component"))
-    named = rooted.join(smallest, "root").select("fp", "component")
-    return rows.join(named, "fp").select(F.col("id").alias(id_col), "fp", "component")
+    # The many rows of one fingerprint are dealt to parts, and its component comes to each.
+    dealt = rows.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(PARTS)))
+    parts = dealt.select("fp", "part").distinct().join(least, "fp")
+    return dealt.join(parts, ["fp", "part"]).select(F.col("id").alias(id_col), "fp", "component")
 
 
 def hex_of(fp: Column) -> Column:

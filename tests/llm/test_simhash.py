@@ -8,10 +8,12 @@ import numpy as np
 import pandas as pd
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from oncolake.llm import simhash
 from oncolake.llm.components import components
 from oncolake.llm.queries import op2_simhash
+from oncolake.llm.shared import with_total
 
 SF = "/root/testdata/sf0.01"
 
@@ -113,6 +115,31 @@ def test_links_connect_what_all_pairs_connect(spark, monkeypatch, group):
     assert len(want) < len(fps)
 
 
+def test_tally_of_shared_bytes():
+    rng = np.random.default_rng(3)
+    one = int(rng.integers(0, 1 << 62))
+    others = [near(rng, one, int(b)) for b in rng.integers(0, 12, 400)]
+    fps = np.array([f - (1 << 64) if f >> 63 else f for f in [*others, one ^ (1 << 64) - 1]])
+    pairs = [((one ^ f) & (1 << 64) - 1).to_bytes(8, "big") for f in fps.tolist()]
+    shared = simhash._shared_bytes((fps ^ one).view(np.uint64))
+    assert shared.tolist() == [p.count(0) for p in pairs]
+    near_ = [p.count(0) >= 4 and sum(b.bit_count() for b in p) <= 4 for p in pairs]
+    assert simhash.linked(fps, one).tolist() == near_
+    assert {sum(b.bit_count() for b in p) <= 4 for p in pairs} == {True, False}
+
+
+def test_totals_of_a_hot_key(spark):
+    """Most rows have one key, which is dealt to many parts; nulls are a value like others."""
+    data = [("hot", i) for i in range(3000)] + [("a", 5), ("a", 3), ("b", None), ("hot", 7)]
+    rows = spark.createDataFrame(data, "k string, n long")
+    got = with_total(rows, "k", "n", F.min("n"), F.min, "least", keep=~F.col("n").between(8, 2990))
+    want = [(k, n, {"hot": 0, "a": 3, "b": None}[k]) for k, n in data if n is None or not 8 <= n <= 2990]
+    want = [w for w in want if w[1] is not None]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    counted = with_total(rows, "k", "n", F.count(F.lit(1)), F.sum, "size").groupBy("k", "size").count()
+    assert {tuple(r) for r in counted.collect()} == {("hot", 3001, 3001), ("a", 2, 2), ("b", 1, 1)}
+
+
 def test_components_of_a_chain_and_a_star(spark):
     chain = [(i, i + 1) for i in range(100, 160)]
     star = [(7, i) for i in range(1000, 1050)] + [(7, 7), (1000, 7), (None, 3)]
