@@ -19,6 +19,24 @@ from pyspark.sql import functions as F
 ROUNDS = 10
 KINDS = ("email", "iban", "card", "ssn", "phone", "date", "ip")
 
+# Names of months.
+_MONTHS = (
+    "January", "February", "March", "April", "May", "June",
+    "July", "August", "September", "October", "November", "December",
+)
+_MONTH = "|".join(f"{m[:3]}(?:{m[3:]})?" if m[3:] else m for m in _MONTHS)
+_MONTH = rf"(?:{_MONTH}|Sept)(?![A-Za-z])"
+_NTH = r"\d{1,2}(?:st|nd|rd|th)?"
+
+# Country codes of telephone numbers, as assigned.
+_COUNTRIES = (
+    r"1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]"
+    r"|21[1-368]|2[2-6]\d|29[017-9]|3[578]\d|42[0134]|5[09]\d|6[789]\d"
+    r"|80[08]|85[02-6]|88[068]|96[0-8]|97[0-79]|99[2-68]"
+)
+# Blocks that IPv6 addresses of networks are assigned from.
+_IPV6_BLOCKS = r"[23][0-9A-Fa-f]{3}|[Ff][CDcd][0-9A-Fa-f]{2}|[Ff][Ee][89ABab][0-9A-Fa-f]"
+
 # The formats that are looked for, as known from their standards.
 _PATTERNS = {
     "email": (
@@ -29,31 +47,64 @@ _PATTERNS = {
         r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}"
         r"(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
     ),
-    "ip": r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?![\d]|\.\d)",
+    "ip": (
+        # A number of a version is written alike.
+        r"(?<![\d.])(?<![Vv])(?<![Vv]\.)(?<![Vv]ersion )(?<![Vv]ersion)"
+        r"\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?![\d]|\.\d)"
+        r"|(?<![A-Za-z0-9_:.])[0-9A-Fa-f]{1,4}(?:(?:::?[0-9A-Fa-f]{1,4}){1,7}(?:::)?|::)"
+        r"(?![A-Za-z0-9_:])"
+    ),
     "date": (
-        r"(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})"
+        r"(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})"
         r"(?![\d/-]|\.\d)"
+        rf"|(?<![A-Za-z0-9])(?:{_MONTH}\.? {_NTH},?|(?<![./-]){_NTH} {_MONTH}\.?,?)"
+        r" \d{4}(?![A-Za-z0-9])"
     ),
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "phone": r"(?<![\d+])(?:\+1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)",
+    "phone": (
+        r"(?<![\d+])(?:\+1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)"
+        r"|(?<![A-Za-z0-9_+])\+[1-9](?:[ .-]?\(?\d\)?){6,14}(?!\d)"
+    ),
     "card": r"(?<![\d.-])\d(?:[ -]?\d){12,18}(?![\d]|[.-]\d)",
 }
 _ORDER = ("email", "iban", "ip", "date", "ssn", "phone", "card")
 ANY = "|".join(f"(?:{_PATTERNS[k]})" for k in _ORDER)
 
 # A match of a card or an IBAN may have taken in groups beside it, and values of other kinds. Where
-# it fails, every start is looked at again, for each length that ends with a group.
-_CARD_STARTS = [
-    rf"(?<![\d.-])(?=(\d(?:[ -]?\d){{{n - 1}}}(?![\d]|[.-]\d)))" for n in range(13, 20)
+# it fails, every start in the text is looked at, for each length that ends with a group; a mark
+# before a start tells what begins there, and a fixed pattern finds what is marked.
+MARK = "\x01"
+_STARTS = r"(?<![\d.@-])(?=\d)|(?<![A-Za-z0-9@])(?=[A-Z]{2}\d{2})"
+#: Characters from a start that are looked at, and starts that have as many.
+_REACH, _NEXT = 64, 26
+_NO_ADDRESS = r"(?![A-Za-z0-9._%+-]*@)"
+_CARD_SIZES = range(13, 20)
+_CARD_AT = [
+    (chr(ord("A") + n - 13), rf"^(\d(?:[ -]?\d){{{n - 1}}})(?![\d]|[.-]\d){_NO_ADDRESS}")
+    for n in _CARD_SIZES
 ]
-_IBAN_STARTS = [
-    rf"(?<![A-Za-z0-9])(?=([A-Z]{{2}}\d{{2}}(?: ?[A-Z0-9]{{4}}){{{n}}}{rest}(?![A-Za-z0-9])))"
+_IBAN_AT = [
+    rf"^([A-Z]{{2}}\d{{2}}(?: ?[A-Z0-9]{{4}}){{{n}}}{rest})(?![A-Za-z0-9]){_NO_ADDRESS}"
     for n in range(2, 8)
     for rest in ("", " ?[A-Z0-9]{1,3}")
 ]
+_IBAN_SIZES = range(15, 35)
+_MARKS = rf"{MARK}[A-Ta-t]"
+_MARKED = "|".join(
+    [
+        rf"{MARK}{code}\d(?:[ -]?(?:{_MARKS})?\d){{{n - 1}}}"
+        for n, (code, _) in zip(_CARD_SIZES, _CARD_AT, strict=True)
+    ]
+    + [
+        rf"{MARK}{chr(ord('a') + n - 15)}[A-Z](?: ?(?:{_MARKS})?[A-Z0-9]){{{n - 1}}}"
+        for n in _IBAN_SIZES
+    ]
+)
+ANY_MARKED = "|".join(
+    [_MARKED, *(f"(?:{_PATTERNS[k]})" for k in _ORDER if k not in ("card", "iban"))]
+)
 #: Groups as cards are written; a number in other groups gives way to one in these.
 _CARD_LAYOUT = r"^(?:\d+|\d{4}([ -])\d{4}\1\d{4}\1\d{4}(?:\1\d{1,3})?|\d{4}([ -])\d{6}\2\d{4,5})$"
-_OTHERS = "|".join(f"(?:{_PATTERNS[k]})" for k in _ORDER if k not in ("card", "iban"))
 
 #: Days from 1900-01-01 to 2099-12-31, as 17 times 4297.
 _FIRST_DAY, _DAYS = "1900-01-01", (17, 4297)
@@ -224,43 +275,67 @@ def _iban(key: Key) -> tuple[Callable, Callable]:
 
 
 def _phone(key: Key) -> tuple[Callable, Callable]:
-    """Ten digits in the layout of a North American number.
+    """North American numbers, and others with the code of their country.
 
-    Area and exchange go from 200; numbers with one below that are written, too, and are permuted
-    among their like, so that a number that could be called stays one.
+    The former have an area and an exchange from 200 that do not end in 11, and no area has a 9 in
+    the middle; what is no such number stays. With or without the code 1 a number has one
+    pseudonym, which is such a number again. Of other numbers, of 8 to 15 digits, the code and the
+    digit after it stay.
     """
 
+    def american(d: Column) -> Column:
+        return d.rlike(r"^1?(?!.11)[2-9][0-8]\d(?!.11)[2-9]\d{6}$")
+
     def valid(value: Column) -> Column:
-        return F.lit(True)
+        abroad = value.startswith("+") & ~value.startswith("+1")
+        return _let(
+            _digits(value),
+            lambda d: F.when(
+                abroad, d.rlike(rf"^(?:{_COUNTRIES})\d+$") & F.length(d).between(8, 15)
+            ).otherwise(american(d)),
+        )
 
-    def pseudonym(value: Column) -> Column:
-        def number(d: Column, at: int, size: int) -> Column:
+    def place(code: Column, middles: int) -> Column:
+        """The place of an area or exchange among those that there are: without 11 at the end."""
+        rest = code % 100
+        return (F.floor(code / 100) - 2) * (middles * 10 - 1) + rest - (rest > 11).cast("long")
+
+    def code_at(place: Column, middles: int) -> Column:
+        rest = place % (middles * 10 - 1)
+        first = F.floor(place / (middles * 10 - 1)) + 2
+        return first * 100 + rest + (rest >= 11).cast("long")
+
+    def of_america(d: Column) -> Column:
+        def number(at: int, size: int) -> Column:
             return F.substring(d, at, size).cast("long")
 
+        left = place(number(1, 3), 9) * 100 + number(7, 2)
+        right = place(number(4, 3), 10) * 100 + number(9, 2)
+        sizes = F.lit(8 * 89 * 100).cast("long"), F.lit(8 * 99 * 100).cast("long")
+
+        def text(p: Column) -> Column:
+            parts = (
+                (code_at(F.floor(p["l"] / 100), 9), 3),
+                (code_at(F.floor(p["r"] / 100), 10), 3),
+                (p["l"] % 100, 2),
+                (p["r"] % 100, 2),
+            )
+            return F.concat(*(F.lpad(n.cast("string"), k, "0") for n, k in parts))
+
+        return _let(feistel(key, "phone", left, sizes[0], right, sizes[1]), text)
+
+    def pseudonym(value: Column) -> Column:
         def changed(d: Column) -> Column:
-            area, exchange = number(d, 1, 3), number(d, 4, 3)
-            first = [F.when(n >= 200, 200).otherwise(0).cast("long") for n in (area, exchange)]
-            size = [F.when(n > 0, 80_000).otherwise(20_000).cast("long") for n in first]
-            left = (area - first[0]) * 100 + number(d, 7, 2)
-            right = (exchange - first[1]) * 100 + number(d, 9, 2)
-            return _let(
-                feistel(key, "phone", left, size[0], right, size[1]),
-                lambda p: F.concat(
-                    *(
-                        F.lpad(n.cast("string"), width, "0")
-                        for n, width in (
-                            (F.floor(p["l"] / 100) + first[0], 3),
-                            (F.floor(p["r"] / 100) + first[1], 3),
-                            (p["l"] % 100, 2),
-                            (p["r"] % 100, 2),
-                        )
-                    )
-                ),
+            code = F.length(F.regexp_extract(d, rf"^(?:{_COUNTRIES})", 0)) + 1
+            others = F.substring(d, code + 1, F.length(d))
+            ten = F.right(d, F.lit(10))
+            return F.when(
+                american(d), F.concat(F.when(F.length(d) == 11, "1").otherwise(""), of_america(ten))
+            ).otherwise(
+                F.concat(F.substring(d, F.lit(1), code), _permuted(key, "phone", others, 10))
             )
 
-        country = F.when(F.length(_digits(value)) == 11, F.lit("1")).otherwise("")
-        ten = F.right(_digits(value), F.lit(10))
-        return _in_place(value, "[0-9]", F.concat(country, _let(ten, changed)))
+        return _in_place(value, "[0-9]", _let(_digits(value), changed))
 
     return valid, pseudonym
 
@@ -294,13 +369,40 @@ def _ssn(key: Key) -> tuple[Callable, Callable]:
 
 
 def _ip(key: Key) -> tuple[Callable, Callable]:
-    def parts(value: Column) -> Column:
+    """Addresses of four bytes, and those of eight groups in an assigned block.
+
+    Of the latter the first group stays, and the result is written out in lower case, so that an
+    address has one pseudonym however it is shortened.
+    """
+
+    def four(value: Column) -> Column:
         return F.split(value, r"\.").cast("array<bigint>")
 
+    def groups(value: Column) -> Column:
+        """The eight groups, as numbers; a double colon stands for those that are missing."""
+
+        def part(side: Column) -> Column:
+            return F.filter(F.split(side, ":"), lambda g: g != "")
+
+        def filled(ends: Column) -> Column:
+            zeros = F.lit(8) - F.size(ends[0]) - F.size(ends[1])
+            every = F.concat(ends[0], F.array_repeat(F.lit("0"), zeros), ends[1])
+            return F.transform(every, lambda g: F.conv(g, 16, 10).cast("long"))
+
+        sides = F.split(value, "::")
+        return _let(F.array(part(sides[0]), part(F.coalesce(F.get(sides, F.lit(1)), F.lit("")))), filled)
+
     def valid(value: Column) -> Column:
-        return F.forall(parts(value), lambda n: n <= 255)
+        long_ = (
+            value.rlike(rf"^(?:{_IPV6_BLOCKS}):")
+            & value.rlike("^(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){7}|(?!.*::.*::).*::.*)$")
+            & (F.size(F.regexp_extract_all(value, F.lit("[0-9A-Fa-f]+"), F.lit(0))) <= 8)
+        )
+        return F.when(value.contains(":"), long_).otherwise(
+            F.forall(F.split(value, r"\.").try_cast("array<bigint>"), lambda n: n <= 255)
+        )
 
-    def pseudonym(value: Column) -> Column:
+    def of_four(value: Column) -> Column:
         size = F.lit(65_536).cast("long")
 
         def changed(a: Column) -> Column:
@@ -317,46 +419,126 @@ def _ip(key: Key) -> tuple[Callable, Callable]:
                 ),
             )
 
-        return _let(parts(value), changed)
+        return _let(four(value), changed)
+
+    def of_eight(value: Column) -> Column:
+        """Seven groups are two halves of 56 bits; the middle group is in both."""
+        size, byte = F.lit(2**56).cast("long"), F.lit(256).cast("long")
+
+        def shifted(n: Column, bits: int) -> Column:
+            return F.shiftright(n, bits) if bits > 0 else F.shiftleft(n, -bits)
+
+        def changed(g: Column) -> Column:
+            at = [F.get(g, F.lit(i)) for i in range(8)]
+            left = shifted(at[1], -40) + shifted(at[2], -24) + shifted(at[3], -8) + shifted(at[4], 8)
+            right = shifted(at[4] % byte, -48) + shifted(at[5], -32) + shifted(at[6], -16) + at[7]
+
+            def text(p: Column) -> Column:
+                l, r = p["l"], p["r"]
+                new = [
+                    at[0], *(shifted(l, k) % 65_536 for k in (40, 24, 8)),
+                    l % byte * byte + shifted(r, 48), *(shifted(r, k) % 65_536 for k in (32, 16, 0)),
+                ]
+                return F.lower(F.concat_ws(":", *(F.hex(n) for n in new)))
+
+            return _let(feistel(key, "ipv6", left, size, right, size), text)
+
+        return _let(groups(value), changed)
+
+    def pseudonym(value: Column) -> Column:
+        return F.when(value.contains(":"), of_eight(value)).otherwise(of_four(value))
 
     return valid, pseudonym
 
 
 def _date(key: Key) -> tuple[Callable, Callable]:
-    """Days of 1900 to 2099; with slashes month first, or else day first."""
-    forms = ("yyyy-MM-dd", "MM/dd/yyyy", "dd/MM/yyyy", "dd.MM.yyyy")
+    """Days of 1900 to 2099, in numbers or with the month's name.
 
-    def day(value: Column) -> Column:
-        read = [
-            F.when(value.rlike(rule), F.try_to_date(value, form))
-            for form, rule in zip(forms, ("-", "/", "/", r"\."), strict=True)
-        ]
-        return F.coalesce(*read)
+    With slashes the month is first, or else the day. A day and month without a leading zero, a name
+    that is cut short and an ordinal are written so again.
+    """
+    token = r"[A-Za-z]{3,}|\d+(?:st|nd|rd|th)?"
+    #: The places of year, month and day among the tokens, each under its condition.
+    by_year, by_month, by_day = (0, 1, 2), (2, 0, 1), (2, 1, 0)
+
+    def tokens(value: Column) -> Column:
+        return F.regexp_extract_all(value, F.lit(token), F.lit(0))
+
+    def month(text: Column) -> Column:
+        short = F.lit([m[:3] for m in _MONTHS])
+        named = F.array_position(short, F.left(text, F.lit(3))).cast("string")
+        return F.when(text.rlike("^[A-Z]"), named).otherwise(text)
+
+    def as_day(t: Column, order: tuple[int, int, int]) -> Column:
+        y, m, d = (F.get(t, F.lit(k)) for k in order)
+        return F.try_to_date(F.concat_ws("-", y, month(m), _digits(d)), "yyyy-M-d")
+
+    def read(value: Column, then: Callable[[Column, Column, tuple], Column]) -> Column:
+        """`then` of the day, the tokens and their order; null if no order gives a day."""
+
+        def choose(t: Column) -> Column:
+            month_first = ~value.contains(".") | value.rlike("^[A-Z]")
+            fits = (
+                (value.contains("-"), by_year),
+                (month_first & as_day(t, by_month).isNotNull(), by_month),
+                (~value.rlike("^[A-Z]"), by_day),
+            )
+            out = F.when(fits[0][0], then(as_day(t, by_year), t, by_year))
+            for condition, order in fits[1:]:
+                out = out.when(condition, then(as_day(t, order), t, order))
+            return out
+
+        return _let(tokens(value), choose)
 
     def valid(value: Column) -> Column:
-        return F.coalesce(F.year(day(value)).between(1900, 2099), F.lit(False))
+        year = read(value, lambda day, t, order: F.year(day))
+        return F.coalesce(year.between(1900, 2099), F.lit(False))
+
+    def written(new: Column, t: Column, order: tuple[int, int, int]) -> Column:
+        """The tokens of a day, each as the one in its place is written."""
+        y, m, d = (F.get(t, F.lit(k)) for k in order)
+        padded = (F.length(m) == 2) & (F.length(d) == 2)
+        names = F.lit(list(_MONTHS))
+        name = F.get(names, F.month(new) - 1)
+        short = ~F.array_contains(names, m)
+        day = F.dayofmonth(new)
+        ending = (
+            F.when(day.between(11, 13), "th")
+            .when(day % 10 == 1, "st")
+            .when(day % 10 == 2, "nd")
+            .when(day % 10 == 3, "rd")
+            .otherwise("th")
+        )
+
+        def number(n: Column) -> Column:
+            return F.when(padded, F.lpad(n.cast("string"), 2, "0")).otherwise(n.cast("string"))
+
+        parts = {
+            order[0]: F.year(new).cast("string"),
+            order[1]: F.when(m.rlike("^[A-Z]"), F.when(short, F.left(name, F.lit(3))).otherwise(name))
+            .otherwise(number(F.month(new))),
+            order[2]: F.when(d.rlike("[a-z]"), F.concat(day.cast("string"), ending))
+            .when(m.rlike("^[A-Z]"), day.cast("string"))
+            .otherwise(number(day)),
+        }
+        return F.array(*(parts[k] for k in range(3)))
 
     def pseudonym(value: Column) -> Column:
         a, b = _DAYS
         first = F.lit(_FIRST_DAY).cast("date")
-
-        def text(p: Column) -> Column:
-            new = F.date_add(first, (p["l"] * b + p["r"]).cast("int"))
-            by_month = F.try_to_date(value, forms[1]).isNotNull()
-            return (
-                F.when(value.rlike("-"), F.date_format(new, forms[0]))
-                .when(value.rlike("/") & by_month, F.date_format(new, forms[1]))
-                .when(value.rlike("/"), F.date_format(new, forms[2]))
-                .otherwise(F.date_format(new, forms[3]))
-            )
+        sizes = F.lit(a).cast("long"), F.lit(b).cast("long")
 
         def changed(n: Column) -> Column:
-            sizes = F.lit(a).cast("long"), F.lit(b).cast("long")
-            return _let(
-                feistel(key, "date", F.floor(n / b), sizes[0], n % b, sizes[1]), text
-            )
+            def new_tokens(p: Column) -> Column:
+                return _let(
+                    F.date_add(first, (p["l"] * b + p["r"]).cast("int")),
+                    lambda new: read(value, lambda day, t, order: written(new, t, order)),
+                )
+
+            return _let(feistel(key, "date", F.floor(n / b), sizes[0], n % b, sizes[1]), new_tokens)
 
-        return _let(F.datediff(day(value), first).cast("long"), changed)
+        new = _let(F.datediff(read(value, lambda day, t, order: day), first).cast("long"), changed)
+        return _joined(F.split(value, token, -1), new)
 
     return valid, pseudonym
 
@@ -364,11 +546,15 @@ def _date(key: Key) -> tuple[Callable, Callable]:
 def _email(key: Key) -> tuple[Callable, Callable]:
     """Letters and digits of the local part, in runs of 22; the domain stays.
 
-    The result is in lower case, so an address in any case has one pseudonym.
+    The result is in lower case, so an address in any case has one pseudonym. Dots stand inside
+    the local part and not in a row, labels of the domain have no hyphen at an end and up to 63
+    characters, and the domain up to 253.
     """
 
     def valid(value: Column) -> Column:
-        return F.lit(True)
+        return ~value.rlike(r"^\.|\.@|\.\..*@|@.{254}") & value.rlike(
+            r"@(?:(?!-)[A-Za-z0-9-]{1,63}(?<!-)\.)+[A-Za-z]{2,63}$"
+        )
 
     def pseudonym(value: Column) -> Column:
         local = F.lower(F.substring_index(value, "@", 1))
@@ -402,15 +588,23 @@ _RULES = {
 }
 
 
+def _joined(gaps: Column, values: Column) -> Column:
+    """The gaps with the values between them."""
+    between = F.zip_with(gaps, values, lambda g, v: F.concat(g, F.coalesce(v, F.lit(""))))
+    return F.array_join(between, "")
+
+
 def _checked(found: Column, key: Key) -> Column:
-    """struct(kind, found) of a match; kind is null where validation fails."""
+    """struct(kind, found) of a match; kind is null where validation fails. What is marked has been
+    validated."""
     nothing = F.lit(None).cast("string")
-    kind = None
+    marked = F.when(found.rlike(f"^{MARK}[A-Z]"), F.lit("card")).otherwise(F.lit("iban"))
+    kind = F.when(found.startswith(MARK), marked)
     for name in _ORDER:
-        hit = found.rlike(f"^(?:{_PATTERNS[name]})$")
         value = F.when(_RULES[name](key)[0](found), F.lit(name)).otherwise(nothing)
-        kind = F.when(hit, value) if kind is None else kind.when(hit, value)
-    return F.struct(kind.otherwise(nothing).alias("kind"), found.alias("found"))
+        kind = kind.when(found.rlike(f"^(?:{_PATTERNS[name]})$"), value)
+    plain = F.regexp_replace(found, _MARKS, "")
+    return F.struct(kind.otherwise(nothing).alias("kind"), plain.alias("found"))
 
 
 def _text_of(hit: Column, key: Key) -> Column:
@@ -422,105 +616,133 @@ def _text_of(hit: Column, key: Key) -> Column:
     return out.otherwise(hit["found"])
 
 
-def _mark(text: Column) -> Column:
-    """A string that stands for a value that was found: no text holds its own hash."""
-    letters = F.translate(F.sha2(text, 256), "0123456789", "ghijklmnop")
-    return F.concat(F.lit("\0"), letters, F.lit("\0"))
+def _marked(text: Column, key: Key) -> Column:
+    """`text` with a mark before every start of a valid card or IBAN, which tells its length.
 
+    At a start the longest one counts, but a number that is not laid out as cards are gives way to
+    one that is and that it overlaps. The steps grow with the text, whatever it holds.
+    """
+    card, iban = _card(key)[0], _iban(key)[0]
+
+    def longest(window: Column, patterns: list[str], valid: Callable) -> Column:
+        every = F.array(*(F.regexp_extract(window, p, 1) for p in patterns))
+        by_size = F.filter(every, lambda c: (c != "") & valid(c))
+        return F.array_max(F.transform(by_size, lambda c: F.struct(F.length(c), c.alias("v"))))["v"]
+
+    def best(window: Column) -> Column:
+        """struct(card, laid, iban): the longest card, the longest laid out one, and the IBAN."""
+        sized = [p for _, p in _CARD_AT]
+        cards = F.filter(
+            F.array(*(F.regexp_extract(window, p, 1) for p in sized)),
+            lambda c: (c != "") & card(c),
+        )
 
-def _inner(rest: Column, key: Key) -> Column:
-    """A pattern of the valid cards and IBANs at any start in `rest`, and of the other kinds."""
+        def both(found: Column) -> Column:
+            laid = F.filter(found, lambda c: c.rlike(_CARD_LAYOUT))
+            # Of more digits, and so longer ones, the last.
+            return F.struct(
+                F.try_element_at(found, F.lit(-1)).alias("card"),
+                F.try_element_at(laid, F.lit(-1)).alias("laid"),
+                F.when(window.rlike(r"^[A-Z]{2}\d{2}"), longest(window, _IBAN_AT, iban)).alias(
+                    "iban"
+                ),
+            )
 
-    def starts(patterns: list[str]) -> Column:
-        every = [F.regexp_extract_all(rest, F.lit(p), F.lit(1)) for p in patterns]
-        return F.array_distinct(F.concat(*every))
+        return _let(cards, both)
 
-    def pattern(ibans: Column, cards: Column) -> Column:
-        laid = F.filter(cards, lambda c: c.rlike(_CARD_LAYOUT))
+    def code(value: Column, letter: str, smallest: int) -> Column:
+        size = F.length(F.regexp_replace(value, "[ -]", ""))
+        return F.concat(F.lit(MARK), F.char(size - smallest + ord(letter)))
 
-        def gives_way(c: Column) -> Column:
-            return ~c.rlike(_CARD_LAYOUT) & F.exists(
-                laid, lambda d: F.arrays_overlap(F.split(c, " "), F.split(d, " ")) & ~c.contains(d)
+    def window(heads: Column, i: Column) -> Column:
+        return F.left(F.array_join(F.slice(heads, i + 1, F.lit(_NEXT)), ""), F.lit(_REACH))
+
+    def put(pieces: Column, heads: Column) -> Column:
+        # Most starts have too few digits after them.
+        starts = F.transform(
+            heads,
+            lambda p, i: _let(
+                window(heads, i),
+                lambda w: F.when(w.rlike(r"^\d(?:[ -]?\d){12}|^[A-Z]{2}\d{2}"), best(w)),
+            ),
+        )
+
+        def mark(at: Column, i: Column, found: Column) -> Column:
+            chosen = at["card"]
+            inside = F.slice(found, i + 2, F.size(F.split(chosen, " ")) - 1)
+            gives_way = ~chosen.rlike(_CARD_LAYOUT) & F.exists(
+                inside, lambda o: o["laid"].isNotNull() & ~chosen.contains(o["laid"])
+            )
+            own = F.when(gives_way, at["laid"]).otherwise(chosen)
+            return (
+                F.when(at["iban"].isNotNull(), code(at["iban"], "a", 15))
+                .when(own.isNotNull(), code(own, "A", 13))
+                .otherwise("")
             )
 
-        def longest_first(values: Column) -> Column:
-            by_size = F.transform(values, lambda v: F.struct(-F.length(v), v.alias("v")))
-            return F.transform(F.sort_array(by_size), lambda v: v["v"])
+        def text_of(found: Column) -> Column:
+            marks = F.transform(
+                found, lambda at, i: F.when(at.isNotNull(), mark(at, i, found)).otherwise("")
+            )
+            return F.array_join(F.zip_with(marks, pieces, lambda m, p: F.concat(m, p)), "")
 
-        iban = F.transform(
-            longest_first(ibans),
-            lambda v: F.concat(F.lit("(?<![A-Za-z0-9])"), v, F.lit("(?![A-Za-z0-9])")),
-        )
-        card = F.transform(
-            longest_first(F.filter(cards, lambda c: ~gives_way(c))),
-            lambda v: F.concat(F.lit(r"(?<![\d.-])"), v, F.lit(r"(?![\d]|[.-]\d)")),
-        )
-        return F.array_join(F.concat(iban, card, F.array(F.lit(_OTHERS))), "|")
+        return _let(starts, text_of)
 
     return _let(
-        F.filter(starts(_IBAN_STARTS), _iban(key)[0]),
-        lambda ibans: _let(
-            F.filter(starts(_CARD_STARTS), _card(key)[0]), lambda cards: pattern(ibans, cards)
+        F.split(text, _STARTS, -1),
+        lambda pieces: _let(
+            F.transform(pieces, lambda p: F.left(p, F.lit(_REACH))),
+            lambda heads: put(pieces, heads),
         ),
     )
 
 
+#: A mark that a text has itself is told apart by what follows it.
+_ESCAPED = MARK + "~"
+
+
 def pseudonymize(
     docs: DataFrame, key: Key, text_col: str = "text", counts: str | None = None
 ) -> DataFrame:
     """`docs` with the pseudonyms in place, all other columns as they are.
 
     With `counts`, a column of that new name is added: a map of kind to the values replaced. Values
-    that fail their kind's validation (Luhn, modulo 97, ranges, calendar) stay; where a card or an
-    IBAN fails, the values inside and across its match are looked for. A null text stays null and has no values; repeated rows are treated alike. Nothing is shuffled.
+    that fail their kind's validation (Luhn, modulo 97, ranges, calendar, assigned codes) stay;
+    where a card or an IBAN fails, every start in the text is looked at, and what is valid from
+    there goes before values of other kinds that it overlaps. A null text stays null and has no
+    values; repeated rows are treated alike. Nothing is shuffled.
     """
     if counts in docs.columns:
         raise ValueError(f"there is a column {counts} already")
-    own, again, inner, rest = "__hits", "__again", "__inner", "__rest"
-    while {own, again, inner, rest} & set(docs.columns):
-        own, again, inner, rest = (f"{c}_" for c in (own, again, inner, rest))
+    names = first, own, cut, hits, gaps = "__first", "__source", "__cut", "__hits", "__gaps"
+    while set(names) & set(docs.columns):
+        names = first, own, cut, hits, gaps = tuple(f"{c}_" for c in names)
     text = F.col(text_col)
-    found = F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
-    # Few texts hold a digit or an at sign; the others pass with one short search.
-    hits = F.when(text.rlike("[@0-9]"), F.transform(found, lambda f: _checked(f, key)))
-    glued = "|".join(f"^(?:{_PATTERNS[k]})$" for k in ("card", "iban"))
-    failed = F.exists(own, lambda h: h["kind"].isNull() & h["found"].rlike(glued))
-    valid = F.filter(own, lambda h: h["kind"].isNotNull())
-
-    def with_hits(whole: Column, pattern: Column, new: Column) -> Column:
-        gaps = F.split(whole, pattern, -1)
-        joined = F.zip_with(
-            gaps, new, lambda gap, value: F.concat(gap, F.coalesce(value, F.lit("")))
-        )
-        return F.array_join(joined, "")
-
-    # What is left where a match failed: the text with a mark for each value found so far.
-    marks = F.transform(
-        own, lambda h: F.when(h["kind"].isNull(), h["found"]).otherwise(_mark(text))
-    )
-    left = F.when(failed, with_hits(text, F.lit(ANY), marks))
-    second = F.transform(
-        F.regexp_extract_all(F.col(rest), F.col(inner), F.lit(0)), lambda f: _checked(f, key)
+    # Few texts hold a digit, an at sign or two colons; the others pass with one short search.
+    held = F.when(text.rlike("[@0-9]|::"), text)
+    glued = {kind: f"^(?:{_PATTERNS[kind]})$" for kind in ("card", "iban")}
+    failed = F.exists(
+        first,
+        lambda f: (f.rlike(glued["card"]) & ~_card(key)[0](f))
+        | (f.rlike(glued["iban"]) & ~_iban(key)[0](f)),
     )
-    pseudonyms = F.transform(own, lambda h: _text_of(h, key))
-    once = with_hits(text, F.lit(ANY), pseudonyms)
-    twice = with_hits(
-        with_hits(F.col(rest), F.col(inner), F.transform(again, lambda h: _text_of(h, key))),
-        _mark(text),
-        F.transform(valid, lambda h: _text_of(h, key)),
-    )
-    kinds = F.concat(
-        F.coalesce(F.col(own)["kind"], F.array().cast("array<string>")),
-        F.coalesce(F.col(again)["kind"], F.array().cast("array<string>")),
-    )
-    changed = F.exists(kinds, lambda k: k.isNotNull())
+    escaped = F.replace(held, F.lit(MARK), F.lit(_ESCAPED))
+    is_cut, source = F.col(cut), F.col(own)
+    again = F.regexp_extract_all(source, F.lit(ANY_MARKED), F.lit(0))
+    found = F.when(is_cut, again).otherwise(F.col(first))
+    between = F.when(is_cut, F.split(source, ANY_MARKED, -1)).otherwise(F.split(source, ANY, -1))
     marked = (
-        docs.withColumn(own, hits)
-        .withColumn(rest, left)
-        .withColumn(inner, F.when(F.col(rest).isNotNull(), _inner(F.col(rest), key)))
-        .withColumn(again, F.when(F.col(rest).isNotNull(), second))
+        docs.withColumn(first, F.regexp_extract_all(held, F.lit(ANY), F.lit(0)))
+        .withColumn(cut, F.coalesce(failed, F.lit(False)))
+        .withColumn(own, F.when(is_cut, _marked(escaped, key)).otherwise(held))
+        .withColumn(hits, F.transform(found, lambda f: _checked(f, key)))
+        .withColumn(gaps, between)
     )
-    rebuilt = F.when(F.col(rest).isNotNull(), twice).otherwise(once)
+    kinds = F.coalesce(F.col(hits)["kind"], F.array().cast("array<string>"))
+    changed = F.exists(kinds, lambda k: k.isNotNull())
+    rebuilt = _joined(F.col(gaps), F.transform(hits, lambda h: _text_of(h, key)))
+    plain = F.replace(F.regexp_replace(rebuilt, _MARKS, ""), F.lit(_ESCAPED), F.lit(MARK))
+    rebuilt = F.when(is_cut, plain).otherwise(rebuilt)
     out = {text_col: F.when(changed, rebuilt).otherwise(text)}
     if counts:
 
@@ -528,4 +750,4 @@ def pseudonymize(
             return F.size(F.filter(kinds, lambda k: k == kind)).cast("long")
 
         out[counts] = F.map_from_arrays(F.lit(list(KINDS)), F.array(*map(number, KINDS)))
-    return marked.withColumns(out).drop(own, again, inner, rest)
+    return marked.withColumns(out).drop(*names)
