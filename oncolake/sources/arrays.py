@@ -23,6 +23,8 @@ _PIECE = 1024 * 1024
 #: Objects of one batch, at most, and their bytes, about.
 _ROWS = 5_000
 _BYTES = 4 * 1024 * 1024
+#: Tasks for each core, so that uneven ones even out.
+_PER_CORE = 4
 
 _BACKSLASH, _QUOTE = ord("\\"), ord('"')
 _LEVEL = np.zeros(256, np.int8)
@@ -160,19 +162,27 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     yield pa.RecordBatch.from_arrays([pa.array(held, pa.binary())], ["value"])
 
 
+def _tasks(ranges: int, size: int, most: int, cores: int) -> int:
+    """Tasks for ranges of so many bytes in all: some for each core, and more only if one would
+    read more than `most` bytes. The driver's share grows with tasks, so small ranges share one."""
+    return max(2, min(ranges, max(_PER_CORE * cores, -(-size // most))))
+
+
 def read_objects(spark: SparkSession, path: str, cut_bytes: int | None = None) -> DataFrame:
     """(value) of every object in files that hold an array of objects each, or objects alone, as
     the text that stands there.
 
     Files are UTF-8, of any layout; gzip files, known by their contents, are one task each, others
-    one for each `cut_bytes` (by default spark.sql.files.maxPartitionBytes). Elements of an
+    cut into ranges of `cut_bytes` (by default spark.sql.files.maxPartitionBytes). A task takes
+    several ranges if there are many, as Spark's scans do with small files. Elements of an
     array that are no objects, and empty files, give nothing. A file that ends inside an object
     stops the job. A task holds one object and one piece of a megabyte.
     """
+    # Bytes, as the session writes them out.
+    set_ = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    most = int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(set_))
     if cut_bytes is None:
-        # Bytes, as the session writes them out.
-        set_ = spark.conf.get("spark.sql.files.maxPartitionBytes")
-        cut_bytes = int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(set_))
+        cut_bytes = most
     found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     listed = found.select(F.col("_metadata.file_path").alias("uri"), "length")
     looked = listed.mapInArrow(look, "uri string, length long, gzip boolean")
@@ -185,11 +195,12 @@ def read_objects(spark: SparkSession, path: str, cut_bytes: int | None = None) -
         F.least("length", F.col("start") + cut_bytes).alias("end"),
         (F.col("gzip") | (F.col("start") + cut_bytes >= F.col("length"))).alias("last"),
     )
-    # A task for each range. A row stands for many bytes, which adaptive execution does not see:
-    # a given number of partitions is left as it is.
-    tasks = listed.agg(F.sum(F.ceil(F.col("length") / cut_bytes))).first()[0] or 1
+    # A row stands for many bytes, which adaptive execution does not see: a given number of
+    # partitions is left as it is.
+    count, size = listed.agg(F.sum(F.ceil(F.col("length") / cut_bytes)), F.sum("length")).first()
+    tasks = _tasks(count or 0, size or 0, most, spark.sparkContext.defaultParallelism)
     schema = "uri string, gzip boolean, start long, end long, last boolean, odd boolean, out long, into long"
-    summed = ranges.repartition(int(tasks)).mapInArrow(_sums, schema)
+    summed = ranges.repartition(tasks).mapInArrow(_sums, schema)
     before = Window.partitionBy("uri").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
 
     def so_far(value: Column) -> Column:
@@ -198,5 +209,7 @@ def read_objects(spark: SparkSession, path: str, cut_bytes: int | None = None) -
     begun = summed.withColumn("within", so_far(F.col("odd").cast("int")) % 2 == 1).withColumn(
         "level", so_far(F.when(F.col("within"), F.col("into")).otherwise(F.col("out")))
     )
-    rows = begun.repartition(int(tasks)).mapInArrow(_cut, "value binary")
-    return rows.select(F.col("value").cast("string").alias("value"))
+    rows = begun.repartition(tasks).mapInArrow(_cut, "value binary")
+    # Adaptive execution takes the objects for as small as the ranges they come from, and would
+    # have the driver collect and copy them in a join.
+    return rows.select(F.col("value").cast("string").alias("value")).hint("merge")

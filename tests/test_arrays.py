@@ -11,6 +11,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from oncolake.operators import catalog
 from oncolake.sources import arrays, files
 
 STRANGE = ['"', "\\", '\\"', "{", "}", "[", "]", "},{", "é中", "\n", "a", ""]
@@ -104,6 +105,35 @@ def test_one_file_is_many_tasks(spark, tmp_path):
     assert used >= 8
 
 
+def test_tasks_grow_with_bytes_not_with_ranges(spark, tmp_path):
+    """Many small files share tasks; one range alone is no single partition either."""
+    assert arrays._tasks(1, 10, 1000, 8) == 2
+    assert arrays._tasks(10_000, 10_000_000, 10_000_000, 8) == 8 * arrays._PER_CORE
+    assert arrays._tasks(10_000, 10_000_000, 100_000, 8) == 100
+    entries = entries_of(400)
+    for k, entry in enumerate(entries):
+        (tmp_path / f"{k}.json").write_text(json.dumps([entry]))
+    rows = files.read_metadata(spark, str(tmp_path), cut_bytes=64)
+    assert sorted(r.file_name for r in rows.collect()) == sorted(e["file_name"] for e in entries)
+    cores = spark.sparkContext.defaultParallelism
+    assert rows.rdd.getNumPartitions() <= arrays._PER_CORE * cores
+
+
+def test_objects_are_not_copied_for_a_join(spark, tmp_path):
+    """The ranges are few bytes, what is read from them is not."""
+    entries = entries_of(2000)
+    (tmp_path / "a.json").write_text(json.dumps(entries))
+    names = spark.createDataFrame([(e["file_name"], "p") for e in entries], "filename string, path string")
+    for each_case in (False, True):
+        rows = files.read_metadata(spark, str(tmp_path), cut_bytes=64 * 1024)
+        index = catalog.build_index(names, rows, each_case)
+        assert index.count() == sum(e["data_format"] is not None for e in entries)
+        index.collect()
+        plan = index._jdf.queryExecution().executedPlan().toString()
+        assert "isFinalPlan=true" in plan
+        assert "BroadcastHashJoin" not in plan
+
+
 def test_nothing_to_read(spark, tmp_path):
     (tmp_path / "none.json").write_text("[]")
     assert files.read_metadata(spark, str(tmp_path / "none.json")).collect() == []
