@@ -162,7 +162,13 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     yield pa.RecordBatch.from_arrays([pa.array(held, pa.binary())], ["value"])
 
 
-def _tasks(ranges: int, size: int, most: int, cores: int) -> int:
+def partition_bytes(spark: SparkSession) -> int:
+    """What one task of a scan reads at most, in bytes; a session may write it with a unit."""
+    set_ = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    return int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(set_))
+
+
+def tasks_for(ranges: int, size: int, most: int, cores: int) -> int:
     """Tasks for ranges of so many bytes in all: some for each core, and more only if one would
     read more than `most` bytes. The driver's share grows with tasks, so small ranges share one."""
     return max(2, min(ranges, max(_PER_CORE * cores, -(-size // most))))
@@ -178,9 +184,7 @@ def read_objects(spark: SparkSession, path: str, cut_bytes: int | None = None) -
     array that are no objects, and empty files, give nothing. A file that ends inside an object
     stops the job. A task holds one object and one piece of a megabyte.
     """
-    # Bytes, as the session writes them out.
-    set_ = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    most = int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(set_))
+    most = partition_bytes(spark)
     if cut_bytes is None:
         cut_bytes = most
     found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
@@ -198,7 +202,7 @@ def read_objects(spark: SparkSession, path: str, cut_bytes: int | None = None) -
     # A row stands for many bytes, which adaptive execution does not see: a given number of
     # partitions is left as it is.
     count, size = listed.agg(F.sum(F.ceil(F.col("length") / cut_bytes)), F.sum("length")).first()
-    tasks = _tasks(count or 0, size or 0, most, spark.sparkContext.defaultParallelism)
+    tasks = tasks_for(count or 0, size or 0, most, spark.sparkContext.defaultParallelism)
     schema = "uri string, gzip boolean, start long, end long, last boolean, odd boolean, out long, into long"
     summed = ranges.repartition(tasks).mapInArrow(_sums, schema)
     before = Window.partitionBy("uri").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)

@@ -8,13 +8,16 @@ one that does not say how a file is packed would stop it, or make it take packed
 
 from __future__ import annotations
 
+import gzip
 import re
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from oncolake.sources.arrays import partition_bytes, tasks_for
 from oncolake.sources.files import (
     GENE_LINE,
     GENOME_FILES,
@@ -22,8 +25,10 @@ from oncolake.sources.files import (
     below_root,
     files_under,
     relative_path,
+    resolved,
 )
-from oncolake.sources.opening import is_gzip, look, opened
+from oncolake.sources.opening import GZIP_MARK, is_gzip, look, opened
+from oncolake.sources.tables import scratch_path
 
 _PIECE = 1024 * 1024
 #: Rows of one batch, at most, and their bytes, about.
@@ -162,6 +167,112 @@ def read_lines(
     return _streamed(_listed(spark, root, glob, under), _lines)
 
 
+# -- archives of very many files
+
+
+def _root_of(root: str) -> tuple[fs.FileSystem, str]:
+    """Its file system and path. Here a percent sign stands for itself."""
+    return opened(root.replace("%", "%25"))
+
+
+def _hidden(name: str) -> bool:
+    """What Spark's scans pass over."""
+    plain = name.startswith("_") and "=" not in name
+    return plain or name.startswith(".") or name.endswith("._COPYING_")
+
+
+def _walked(spark: SparkSession, root: str, starts: list[str], glob: str | None) -> DataFrame:
+    """(filepath, size) of the files in and below folders of the root, listed by tasks.
+
+    A folder is one row, and its files are no rows on the driver. Each level of folders is a job.
+    """
+
+    def inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, top = _root_of(root)
+        for batch in batches:
+            for folder in batch.column("filepath").to_pylist():
+                place = f"{top}/{folder}".rstrip("/")
+                found = [
+                    (f"{folder}/{i.base_name}".lstrip("/"), i.size, i.type == fs.FileType.Directory)
+                    for i in store.get_file_info(fs.FileSelector(place))
+                    if not _hidden(i.base_name)
+                ]
+                for at in range(0, len(found), _ROWS):
+                    yield pa.RecordBatch.from_pylist(
+                        [dict(zip(kinds.names, f, strict=True)) for f in found[at : at + _ROWS]], kinds
+                    )
+
+    kinds = pa.schema([("filepath", pa.string()), ("size", pa.int64()), ("folder", pa.bool_())])
+    schema = "filepath string, size long, folder boolean"
+    base, level = scratch_path(spark, "walked"), 0
+    folders = spark.createDataFrame([(s,) for s in starts], "filepath string")
+    while count := folders.count():
+        tasks = min(count, 4 * spark.sparkContext.defaultParallelism)
+        found = folders.repartition(tasks).mapInArrow(inside, schema)
+        found.write.parquet(f"{base}/level={level}")
+        folders = spark.read.schema(schema).parquet(f"{base}/level={level}").filter("folder")
+        level += 1
+    listed = spark.read.schema(f"{schema}, level int").parquet(base) if level else folders
+    listed = listed.filter("NOT folder AND size > 0").select("filepath", "size")
+    if glob:
+        # The pattern as Spark's readers take it.
+        named = spark._jvm.org.apache.hadoop.fs.GlobPattern(glob).compiled().pattern()
+        listed = listed.filter(F.substring_index("filepath", "/", -1).rlike(f"^(?:{named})$"))
+    return listed
+
+
+def read_documents(
+    spark: SparkSession, root: str, glob: str | None = "*.xml", under: str = ""
+) -> DataFrame:
+    """(filepath, value), one row per file, without a byte order mark, unpacked if it is a gzip
+    file by its contents.
+
+    The rows of `files.read_documents`, for archives of any number of files: tasks list the
+    folders, so the driver holds no names of files, and each task reads many.
+    """
+    top = resolved(spark, root)
+    starts = [""]
+    if under:
+        path = spark._jvm.org.apache.hadoop.fs.Path(below_root(spark, root, under))
+        store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        found = [f.getPath().toString() for f in store.globStatus(path) or [] if f.isDirectory()]
+        starts = sorted(f.removeprefix(f"{top}/") for f in found)
+    listed = _walked(spark, top, starts, glob)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = _root_of(top)
+
+        def batch_of(rows: list[tuple[str, bytes]]) -> pa.RecordBatch:
+            names, values = zip(*rows, strict=True)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(names, pa.string()), pa.array(values, pa.binary())], ["filepath", "value"]
+            )
+
+        for batch in batches:
+            held, size = [], 0
+            for name in batch.column("filepath").to_pylist():
+                with store.open_input_stream(f"{base}/{name}", compression=None) as stream:
+                    value = stream.read()
+                if value.startswith(GZIP_MARK):
+                    value = gzip.decompress(value)
+                held.append((name, value))
+                size += len(value)
+                if len(held) == _ROWS or size >= _BYTES:
+                    yield batch_of(held)
+                    held, size = [], 0
+            if held:
+                yield batch_of(held)
+
+    count, size = listed.agg(F.count(F.lit(1)), F.sum("size")).first()
+    cores = spark.sparkContext.defaultParallelism
+    tasks = tasks_for(count, size or 0, partition_bytes(spark), cores)
+    rows = listed.select("filepath").repartition(tasks)
+    values = rows.mapInArrow(read, "filepath string, value binary")
+    text = F.ltrim(F.col("value").cast("string"), F.lit("\ufeff"))
+    # Documents are larger than their names, which adaptive execution takes them for.
+    return values.select("filepath", text.alias("value")).hint("merge")
+
+
 def read_genome_records(
     spark: SparkSession,
     root: str,

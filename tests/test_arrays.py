@@ -107,9 +107,9 @@ def test_one_file_is_many_tasks(spark, tmp_path):
 
 def test_tasks_grow_with_bytes_not_with_ranges(spark, tmp_path):
     """Many small files share tasks; one range alone is no single partition either."""
-    assert arrays._tasks(1, 10, 1000, 8) == 2
-    assert arrays._tasks(10_000, 10_000_000, 10_000_000, 8) == 8 * arrays._PER_CORE
-    assert arrays._tasks(10_000, 10_000_000, 100_000, 8) == 100
+    assert arrays.tasks_for(1, 10, 1000, 8) == 2
+    assert arrays.tasks_for(10_000, 10_000_000, 10_000_000, 8) == 8 * arrays._PER_CORE
+    assert arrays.tasks_for(10_000, 10_000_000, 100_000, 8) == 100
     entries = entries_of(400)
     for k, entry in enumerate(entries):
         (tmp_path / f"{k}.json").write_text(json.dumps([entry]))

@@ -126,3 +126,34 @@ def test_job(spark, tmp_path):
     assert got == [("c0", "G1", 1.0), ("c1", "G1", 3.0)]
     with pytest.raises(ValueError, match="names tell"):
         jobs.run_expression(spark, base, str(root), check_gzip=True, by_content=True)
+
+
+def test_documents_as_the_plain_reader_has_them(spark, tmp_path):
+    """In folders of any depth and name; hidden and empty files, other names, packed ones."""
+    for name in ("a.xml", "d 1/é%20+.xml", "d2/in/b.xml", "_k=1/c.xml", "d2/e,f.xml"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(f"﻿<a>{name}</a>\n")
+    for name in ("_x.xml", ".y.xml", "d2/z.txt", "_hidden/a.xml"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text("<no/>")
+    (tmp_path / "empty.xml").write_text("")
+    root = str(tmp_path)
+    for glob, under in (("*.xml", ""), ("{a,b}.xml", ""), ("[!a].xml", "d[2]"), (None, "d*"), ("*.gz", "")):
+        want = files.read_documents(spark, root, glob, under).collect()
+        got = contents.read_documents(spark, root, glob, under).collect()
+        assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+    (tmp_path / "packed.xml").write_bytes(gzip.compress(b"<b/>"))
+    got = {r.filepath: r.value for r in contents.read_documents(spark, root).collect()}
+    assert got["packed.xml"] == "<b/>" and len(got) == 6
+
+
+def test_the_driver_holds_no_names_of_documents(spark, tmp_path):
+    """Neither the scans of the plan nor its tasks grow with the number of files."""
+    for k in range(500):
+        folder = tmp_path / str(k % 5)
+        folder.mkdir(exist_ok=True)
+        (folder / f"{k}.xml").write_text(f"<a>{k}</a>")
+    rows = contents.read_documents(spark, str(tmp_path))
+    assert {r.value for r in rows.collect()} == {f"<a>{k}</a>" for k in range(500)}
+    assert not any(f.endswith(".xml") for f in rows.inputFiles())
+    assert rows.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism

@@ -530,11 +530,10 @@ def clinical_quarantine(spark, sf):
 @query
 def clinical_xml_files(spark, sf):
     """Reports written as files, one for each report, and read back as whole documents."""
-    root = tables.scratch_path(spark, "reports-as-files")
-    reports = s.reports(spark, sf).select("value", F.col("filepath").alias("report"))
-    tables.save_table(reports, root, "text", partition_by=["report"])
-    parsed = clinical.parse_reports(files.read_documents(spark, root, "*.txt"))
-    report = F.regexp_extract("filepath", "^report=([^/]+)/", 1)
+    root = files.resolved(spark, tables.scratch_path(spark, "reports-as-files"))
+    s.write_documents(s.reports(spark, sf), root)
+    parsed = clinical.parse_reports(contents.read_documents(spark, root, "*.txt"))
+    report = F.regexp_extract("filepath", "([^/]+)[.]txt$", 1)
     listed = parsed.select(report.alias("case_id"), "*")
     return clinical.extract_clinical(listed).drop("filepath")
 

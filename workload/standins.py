@@ -7,6 +7,7 @@ files. Quantities are whole numbers, so sums and means are exact in any order.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from zlib import crc32
 
 import pyarrow as pa
 from pyarrow import fs
@@ -276,3 +277,25 @@ def pack_lines(lines: DataFrame, root: str, extension: str, packed: bool) -> Non
     lines.select("value").mapInArrow(write, "name string").write.format("noop").mode(
         "overwrite"
     ).save()
+
+
+def write_documents(documents: DataFrame, root: str) -> None:
+    """Writes (filepath, value) as one text file each, in folders that hold a bounded share of them.
+    A task that runs again writes the same files again."""
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, top = fs.FileSystem.from_uri(root if ":/" in root else f"file://{root}")
+        part, made, count = f"{top}/{TaskContext.get().partitionId():05d}", set(), 0
+        for batch in batches:
+            for name, value in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                folder = f"{part}/{crc32(name.encode()) % 64:02d}"
+                if folder not in made:
+                    store.create_dir(folder)
+                    made.add(folder)
+                with store.open_output_stream(f"{folder}/{name}.txt", compression=None) as out:
+                    out.write(f"{value}\n".encode())
+                count += 1
+        yield pa.RecordBatch.from_pydict({"files": [count]})
+
+    dealt = documents.select("filepath", "value").repartition("filepath")
+    dealt.mapInArrow(write, "files long").write.format("noop").mode("overwrite").save()
