@@ -239,3 +239,15 @@ def test_elements_by_tag(spark, tmp_path):
         ("a.xml", "Stage I", "Breast", "FEMALE"),
         ("b.xml", None, "Breast", "FEMALE"),
     ]
+
+
+def test_element_files_are_of_bounded_size(spark, tmp_path, monkeypatch):
+    """A file of elements is one task's work, so a larger table makes more files."""
+    from workload import queries
+
+    monkeypatch.setattr(queries, "ELEMENTS_PER_FILE", 40)
+    monkeypatch.setattr(queries.tables, "scratch_path", lambda _, label: str(tmp_path / label))
+    found = queries.clinical_xml_struct(spark, "/root/testdata/sf0.001").collect()
+    counts = [f.read_text().count("<brca:patient>") for f in (tmp_path / "elements").glob("part-*")]
+    assert sum(counts) == sum(r.patients for r in found) == 150
+    assert max(counts) <= 40

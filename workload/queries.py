@@ -25,6 +25,8 @@ RANKED = "BUILDING"
 STAGED = "filepath string, gene_id string, gene_expr double, bad boolean"
 # Prefixes of the patient elements, declared for the files that are written with them.
 _PREFIXES = {"brca", *re.findall(r"(\w+):", " ".join(clinical.PATIENT_ELEMENTS.values()))}
+# Some 350 bytes each.
+ELEMENTS_PER_FILE = 100_000
 PATIENT_NAMESPACES = " ".join(f'xmlns:{p}="urn:{p}"' for p in sorted(_PREFIXES))
 
 
@@ -556,7 +558,9 @@ def clinical_xml_struct(spark, sf):
     tag = "brca:patient"
     # Prefixed names are no plain names, which is what the writer would check.
     layout = {"rowTag": tag, "rootTag": f"brca:bcr {PATIENT_NAMESPACES}", "validateName": "false"}
-    tables.save_table(rows, root, "xml", **layout)
+    # A file is read by one task, so that files are of bounded size, whatever the table's are.
+    layout["maxRecordsPerFile"] = str(ELEMENTS_PER_FILE)
+    tables.save_table(rows.hint("rebalance"), root, "xml", **layout)
     read = files.read_elements(spark, root, tag, clinical.patient_schema())
     return (
         clinical.clinical_from_elements(read)
