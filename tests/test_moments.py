@@ -208,3 +208,18 @@ def test_jobs_from_moments(spark, base, archive):
     jobs.run_reports(spark, base, from_moments=True)
     got = load_table(spark, f"{base}/fold_change_ranked").collect()
     assert sorted(map(tuple, got), key=repr) == want["fold_change_ranked"]
+
+
+def test_cases_of_the_batches_are_found_once(spark, monkeypatch):
+    """An update asks for its cases several times: they are a table, not a scan of all measures."""
+    from workload import queries
+
+    asked = []
+    monkeypatch.setattr(queries.moments, "update", lambda *given: asked.append(given[2]))
+    monkeypatch.setattr(queries.moments, "load", lambda *_: None)
+    monkeypatch.setattr(queries.moments, "merge", lambda parts: parts)
+    queries._merged(spark, "/root/testdata/sf0.001")
+    assert len(asked) == 2
+    for cases in asked:
+        assert cases.count() > 0
+        assert all("/cases/" in name for name in cases.inputFiles())

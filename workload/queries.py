@@ -629,7 +629,11 @@ def _merged(spark: SparkSession, sf: str) -> DataFrame:
     )
     kinds = "case_id bigint, gene_id bigint, gene_expr double, batch string"
     measures = tables.load_table(spark, f"{root}/measures", schema=kinds)
-    cases = measures.select("case_id", F.lit("first").alias("run"), "batch").distinct()
+    # Asked for several times in each update, as the table that a job would have of them.
+    tables.save_table(measures.select("case_id", "batch").distinct(), f"{root}/cases")
+    cases = tables.load_table(spark, f"{root}/cases", schema="case_id bigint, batch string").select(
+        "case_id", F.lit("first").alias("run"), "batch"
+    )
     for some in (cases.filter(F.col("batch") == "0"), cases):
         moments.update(
             spark,
