@@ -11,8 +11,9 @@ An entry does not give all pairs: each text there is linked with the one in the
 is near to. A group of copies of one text thus hangs together at that text, and costs as many links
 as it has members. Each text's link to the middle of its largest company is verified first. Other
 links to a middle are verified only if they would join two groups, and a text that no link holds is
-tried with its nearest one under each entry. The groups are the connected components of the links
-that hold.
+tried with its nearest one under each entry. At last all near pairs under an entry are verified
+whose texts are still in two groups, so that none which would join groups is left out. The groups
+are the connected components of the links that hold.
 """
 
 from __future__ import annotations
@@ -162,11 +163,13 @@ def links_of(sketches: np.ndarray, nodes: np.ndarray) -> list[tuple[int, int, in
 
 
 _FOUND = "u long, v long, company long, sketch long"
+#: Company of the rows (entry, node) of texts that are near another one of their entry.
+_MEMBER = -1
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links under each entry, from rows sorted by entry; of a crowded entry its rows, as (entry,
-    node) with their sketch."""
+    """Links under each entry, from rows sorted by entry, and as (entry, node) with their sketch
+    the texts that are near others; of a crowded entry all its rows."""
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
         columns = zip(*rows, strict=True)
@@ -179,7 +182,17 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return tuple(np.concatenate([h[k] for h in held]) for k in (0, 1))
 
     def close() -> list[tuple]:
-        return [(*link, None) for link in links_of(*rows())] if size > 1 and not crowded else []
+        if size < 2 or crowded:
+            return []
+        fps, names = rows()
+        links = links_of(fps, names)
+        found = [(*link, None) for link in links]
+        near = {u for u, _, company in links if company == 0}
+        # Of two near texts the link is there.
+        if len(near) > 2:
+            pairs = zip(fps.tolist(), names.tolist(), strict=True)
+            found += [(int(entry), name, _MEMBER, fp) for fp, name in pairs if name in near]
+        return found
 
     for batch in batches:
         keys, sketches, nodes = (batch.column(k).to_numpy() for k in range(3))
@@ -234,17 +247,21 @@ def _dealt(crowded: DataFrame, group: int) -> DataFrame:
     return paired.groupBy("entry", "i", "j").applyInPandas(compare, schema)
 
 
-def candidates(nodes: DataFrame) -> DataFrame:
-    """Distinct links (u, v, company) between texts (node, print) that are worth verifying: from a
-    text to its middle, with the largest company it has there, or to its nearest one, with 0."""
-    met = checkpointed(
+def met_under_entries(nodes: DataFrame) -> DataFrame:
+    """What `_meet` finds of texts (node, print)."""
+    return checkpointed(
         nodes.mapInArrow(_entries, "entry long, sketch long, node long")
         .repartition("entry")
         # Ties are broken by the order of rows.
         .sortWithinPartitions("entry", "node")
         .mapInArrow(_meet, _FOUND)
     )
-    crowded = met.filter(F.col("sketch").isNotNull()).select(
+
+
+def candidates(met: DataFrame) -> DataFrame:
+    """Distinct links (u, v, company) between texts that are worth verifying: from a text to its
+    middle, with the largest company it has there, or to its nearest one, with 0."""
+    crowded = met.filter(F.col("sketch").isNotNull() & (F.col("company") != _MEMBER)).select(
         F.col("u").alias("entry"), F.col("v").alias("node"), "sketch"
     )
     plain = met.filter(F.col("sketch").isNull()).select("u", "v", "company")
@@ -252,6 +269,43 @@ def candidates(nodes: DataFrame) -> DataFrame:
     return both.groupBy("u", "v").agg(F.max("company").alias("company"))
 
 
+def near_members(met: DataFrame) -> DataFrame:
+    """(entry, node, sketch) of the texts that may be near several others of their entry."""
+    return met.filter(F.col("sketch").isNotNull()).select(
+        F.col("u").alias("entry"), F.col("v").alias("node"), "sketch"
+    )
+
+
+def near_between_groups(members: DataFrame, held: DataFrame) -> DataFrame:
+    """All pairs (u, v) near under an entry whose texts the links `held` do not connect.
+
+    Of such a pair one text at least is not in the entry's largest group: only those are compared
+    with the others, so a large group of copies is not compared in itself.
+    """
+    groups = checkpointed(components(held)).withColumnRenamed("root", "of")
+    named = members.join(groups, "node", "left").withColumn("of", F.coalesce("of", "node"))
+    named = checkpointed(named.select("entry", "node", "sketch", "of"))
+    sizes = named.groupBy("entry", "of").agg(F.count(F.lit(1)).alias("size"))
+    largest = sizes.groupBy("entry").agg(
+        F.max_by("of", F.struct("size", "of")).alias("largest"), F.count(F.lit(1)).alias("groups")
+    )
+    mixed = named.join(largest.filter(F.col("groups") > 1).select("entry", "largest"), "entry")
+    mixed = checkpointed(mixed)
+    some = mixed.filter(F.col("of") != F.col("largest")).alias("a")
+    every = mixed.alias("b")
+    apart = F.bit_count(F.col("a.sketch").bitwiseXOR(F.col("b.sketch")))
+    both = some.join(
+        every,
+        (F.col("a.entry") == F.col("b.entry"))
+        & (F.col("a.of") != F.col("b.of"))
+        # A pair of which neither text is in the largest group comes once.
+        & ((F.col("b.of") == F.col("b.largest")) | (F.col("a.node") < F.col("b.node")))
+        & (apart <= NEAR_BITS),
+    )
+    u, v = F.col("a.node"), F.col("b.node")
+    return both.select(F.least(u, v).alias("u"), F.greatest(u, v).alias("v")).distinct()
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         held = [shingles(words_of(t.as_py()), WORDS).view(np.int64) for t in batch.column(1)]
@@ -295,10 +349,11 @@ def _between_groups(links: DataFrame, held: DataFrame) -> DataFrame:
     )
 
 
-def verified(links: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links of similarity SIMILARITY or more that connect whatever such ones of `links` connect.
+def verified(links: DataFrame, members: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links of similarity SIMILARITY or more that connect whatever pairs near under an entry
+    connect which are so similar.
 
-    `texts` has (node, text), `links` is what `candidates` gave.
+    `texts` has (node, text), `links` is what `candidates` gave, `members` what `near_members` did.
     """
     sets = written(texts.mapInArrow(_sets, "node long, held array<long>"), "shingles")
     middles = links.filter(F.col("company") > 0)
@@ -310,7 +365,8 @@ def verified(links: DataFrame, texts: DataFrame) -> DataFrame:
     others = links.filter(F.col("company") == 0)
     ways = [others.join(alone.withColumnRenamed("node", end), end, "left_semi") for end in "uv"]
     rest = ways[0].unionByName(ways[1]).select("u", "v").distinct()
-    return held.unionByName(_similar(rest, sets))
+    held = checkpointed(held.unionByName(_similar(rest, sets)))
+    return held.unionByName(_similar(near_between_groups(members, held), sets))
 
 
 # -- documents
@@ -337,7 +393,8 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     rows = source.mapInArrow(_prints, f"key {kind}, node long, print binary")
     # Texts of equal words have equal prints.
     nodes = checkpointed(rows.groupBy("node", "print").agg(F.min("key").alias("first")))
-    links = checkpointed(candidates(nodes.select("node", "print")))
+    met = met_under_entries(nodes.select("node", "print"))
+    links = checkpointed(candidates(met))
     wanted = nodes.join(_ends(links), "node").select("node", "first.*")
     texts = (
         with_id.select(F.col(id_col).alias("id"), F.col(own).alias("hash"), F.col(text_col))
@@ -346,7 +403,7 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         .groupBy("node")
         .agg(F.first(text_col).alias("text"))
     )
-    groups = components(verified(links, texts))
+    groups = components(verified(links, near_members(met), texts))
     named = nodes.join(groups, "node", "left").select("first", "root")
     best = named.filter(F.col("root").isNotNull()).groupBy("root").agg(F.min("first").alias("first"))
     kept = (

@@ -7,6 +7,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from oncolake.llm import near_copies
@@ -197,3 +198,27 @@ def test_repeated_ids_clashing_names_and_no_id(spark):
 
 def test_empty_table(spark):
     assert ids(spark, []) == set()
+
+
+def test_near_pairs_that_neither_middle_nor_nearest_links(spark):
+    """Two pairs of close copies that are near copies of each other, under an entry whose middle is
+    another text: each one's nearest is its close copy."""
+    rng = random.Random(9)
+    a = words(rng, 200)
+    d = a[18:] + words(rng, 18)
+    texts = [words(rng, 150), a, a[:-1] + ["last"], d, d[:-1] + ["end"]]
+    sketches = np.array([0, 0xFF, 0x1FF, 0xFF0000, 0x1FF0000])
+    rows = [(k, " ".join(t)) for k, t in enumerate(texts)]
+    assert brute(rows) == {0, 1}
+    found = near_copies.links_of(sketches, np.arange(5))
+    assert not {(u, v) for u, v, _ in found} & {(u, v) for u in (1, 2) for v in (3, 4)}
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([7] * 5), pa.array(sketches), pa.array(range(5))], ["entry", "sketch", "node"]
+    )
+    out = [tuple(r.values()) for b in near_copies._meet([batch]) for r in b.to_pylist()]
+    met = spark.createDataFrame(out, near_copies._FOUND)
+    nodes = spark.createDataFrame(rows, "node long, text string")
+    links = near_copies.candidates(met)
+    held = near_copies.verified(links, near_copies.near_members(met), nodes)
+    roots = {r.node: r.root for r in near_copies.components(held).collect()}
+    assert set(roots) == {1, 2, 3, 4} and len(set(roots.values())) == 1
