@@ -10,21 +10,23 @@ bits of a sketch of its own, and what is near is verified by its shingles, all o
 An entry does not give all pairs: each text there is linked with the one in the middle of those it
 is near to. A group of copies of one text thus hangs together at that text, and costs as many links
 as it has members. Each text's link to the middle of its largest company is verified first. Other
-links to a middle are verified only if they would join two groups, and a text that no link holds is
-tried with its nearest one under each entry. At last all near pairs under an entry are verified
-whose texts are still in two groups, so that none which would join groups is left out. The groups
-are the connected components of the links that hold.
+links to a middle are verified only if they would join two groups. At last the texts that are near
+any other are joined exactly, again only where that would join two groups: two sets of similarity
+0.8 share one of the rarest fifth of each, and have enough behind the first that they share. So
+neither a crowd of texts that are near but not similar nor a group of copies is compared in itself.
+The groups are the connected components of the links that hold.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from oncolake.llm.components import components
@@ -45,10 +47,15 @@ ENTRIES = 160
 NEAR_BITS = 18
 #: Texts under one entry that one task compares; more are dealt out in pairs of blocks.
 GROUP = 20_000
+#: Bits that tell most sets apart that are not similar.
+BITS = 1024
+#: Links of a task, in the rounds that find groups.
+LINKS = 50_000
 #: Shingles of one text that are counted at once.
 SLICE = 1 << 15
 
 _LANES = PLACES // 8 + 1
+_MOST = int(round(SIMILARITY * 1000))
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -163,13 +170,11 @@ def links_of(sketches: np.ndarray, nodes: np.ndarray) -> list[tuple[int, int, in
 
 
 _FOUND = "u long, v long, company long, sketch long"
-#: Company of the rows (entry, node) of texts that are near another one of their entry.
-_MEMBER = -1
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links under each entry, from rows sorted by entry, and as (entry, node) with their sketch
-    the texts that are near others; of a crowded entry all its rows."""
+    """Links under each entry, from rows sorted by entry; of a crowded entry its rows, as (entry,
+    node) with their sketch."""
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
         columns = zip(*rows, strict=True)
@@ -182,17 +187,7 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return tuple(np.concatenate([h[k] for h in held]) for k in (0, 1))
 
     def close() -> list[tuple]:
-        if size < 2 or crowded:
-            return []
-        fps, names = rows()
-        links = links_of(fps, names)
-        found = [(*link, None) for link in links]
-        near = {u for u, _, company in links if company == 0}
-        # Of two near texts the link is there.
-        if len(near) > 2:
-            pairs = zip(fps.tolist(), names.tolist(), strict=True)
-            found += [(int(entry), name, _MEMBER, fp) for fp, name in pairs if name in near]
-        return found
+        return [(*link, None) for link in links_of(*rows())] if size > 1 and not crowded else []
 
     for batch in batches:
         keys, sketches, nodes = (batch.column(k).to_numpy() for k in range(3))
@@ -261,7 +256,7 @@ def met_under_entries(nodes: DataFrame) -> DataFrame:
 def candidates(met: DataFrame) -> DataFrame:
     """Distinct links (u, v, company) between texts that are worth verifying: from a text to its
     middle, with the largest company it has there, or to its nearest one, with 0."""
-    crowded = met.filter(F.col("sketch").isNotNull() & (F.col("company") != _MEMBER)).select(
+    crowded = met.filter(F.col("sketch").isNotNull()).select(
         F.col("u").alias("entry"), F.col("v").alias("node"), "sketch"
     )
     plain = met.filter(F.col("sketch").isNull()).select("u", "v", "company")
@@ -270,60 +265,64 @@ def candidates(met: DataFrame) -> DataFrame:
 
 
 def near_members(met: DataFrame) -> DataFrame:
-    """(entry, node, sketch) of the texts that may be near several others of their entry."""
-    return met.filter(F.col("sketch").isNotNull()).select(
-        F.col("u").alias("entry"), F.col("v").alias("node"), "sketch"
-    )
+    """(node) of the texts that are near another one under an entry, or in a crowded one."""
+    plain = met.filter(F.col("sketch").isNull()).select("u", "v")
+    crowded = met.filter(F.col("sketch").isNotNull()).select(F.col("v").alias("node"))
+    return _ends(plain).unionByName(crowded).distinct()
 
 
-def near_between_groups(members: DataFrame, held: DataFrame) -> DataFrame:
-    """All pairs (u, v) near under an entry whose texts the links `held` do not connect.
-
-    Of such a pair one text at least is not in the entry's largest group: only those are compared
-    with the others, so a large group of copies is not compared in itself.
-    """
-    groups = checkpointed(components(held)).withColumnRenamed("root", "of")
-    named = members.join(groups, "node", "left").withColumn("of", F.coalesce("of", "node"))
-    named = checkpointed(named.select("entry", "node", "sketch", "of"))
-    sizes = named.groupBy("entry", "of").agg(F.count(F.lit(1)).alias("size"))
-    largest = sizes.groupBy("entry").agg(
-        F.max_by("of", F.struct("size", "of")).alias("largest"), F.count(F.lit(1)).alias("groups")
-    )
-    mixed = named.join(largest.filter(F.col("groups") > 1).select("entry", "largest"), "entry")
-    mixed = checkpointed(mixed)
-    some = mixed.filter(F.col("of") != F.col("largest")).alias("a")
-    every = mixed.alias("b")
-    apart = F.bit_count(F.col("a.sketch").bitwiseXOR(F.col("b.sketch")))
-    both = some.join(
-        every,
-        (F.col("a.entry") == F.col("b.entry"))
-        & (F.col("a.of") != F.col("b.of"))
-        # A pair of which neither text is in the largest group comes once.
-        & ((F.col("b.of") == F.col("b.largest")) | (F.col("a.node") < F.col("b.node")))
-        & (apart <= NEAR_BITS),
-    )
-    u, v = F.col("a.node"), F.col("b.node")
-    return both.select(F.least(u, v).alias("u"), F.greatest(u, v).alias("v")).distinct()
+_BITS = [f"b{k}" for k in range(BITS // 64)]
+_SETS = f"node long, held array<long>, size int, more int, bits struct<{', '.join(f'{b}: long' for b in _BITS)}>"
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Shingles of (node, text), their number, BITS bits of which each shingle sets one, and by how
+    many the shingles are more than the bits that are set."""
     for batch in batches:
-        held = [shingles(words_of(t.as_py()), WORDS).view(np.int64) for t in batch.column(1)]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(held, pa.list_(pa.int64()))], ["node", "held"]
-        )
+        held = [shingles(words_of(t.as_py()), WORDS) for t in batch.column(1)]
+        marks = np.zeros((len(held), BITS), np.uint8)
+        for row, own in zip(marks, held, strict=True):
+            row[own % np.uint64(BITS)] = 1
+        packed = np.packbits(marks, axis=1).view(np.int64)
+        size = np.array([len(own) for own in held], np.int32)
+        columns = [
+            batch.column(0),
+            pa.array([own.view(np.int64) for own in held], pa.list_(pa.int64())),
+            pa.array(size),
+            pa.array(size - marks.sum(axis=1, dtype=np.int32)),
+            pa.StructArray.from_arrays([pa.array(packed[:, k]) for k in range(len(_BITS))], _BITS),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, ["node", "held", "size", "more", "bits"])
     release_memory()
 
 
+def _enough(shared: Column, sizes: Column) -> Column:
+    """Whether sets of so many shingles in sum, of them so many shared, are similar."""
+    # shared / (sizes - shared) >= SIMILARITY, in whole numbers of a thousandth.
+    return shared * (1000 + _MOST) >= sizes * _MOST
+
+
+def _at_most() -> Column:
+    """What sets `a` and `b` share at most: a bit that one has alone stands for a shingle of it."""
+    both = (F.col(f"a.bits.{b}").bitwiseAND(F.col(f"b.bits.{b}")) for b in _BITS)
+    return reduce(Column.__add__, map(F.bit_count, both)) + F.least("a.more", "b.more")
+
+
 def _similar(links: DataFrame, sets: DataFrame) -> DataFrame:
-    both = links.join(sets.withColumnsRenamed({"node": "u", "held": "a"}), "u").join(
-        sets.withColumnsRenamed({"node": "v", "held": "b"}), "v"
-    )
-    shared = F.size(F.array_intersect("a", "b"))
-    rest = F.size("a") + F.size("b")
-    # shared / (rest - shared) >= SIMILARITY, in whole numbers of a thousandth.
-    most = int(round(SIMILARITY * 1000))
-    return both.filter(shared * (1000 + most) >= rest * most).select("u", "v")
+    """The links (u, v) between similar sets. Most others show in the bits, and only what is left
+    meets its sets."""
+
+    def joined(rows: DataFrame, *columns: str) -> DataFrame:
+        for end, side in (("u", "a"), ("v", "b")):
+            own = sets.select(F.col("node").alias(end), F.struct(*columns).alias(side))
+            rows = rows.join(own, end)
+        return rows
+
+    sizes = F.col("a.size") + F.col("b.size")
+    likely = joined(links, "size", "more", "bits").filter(_enough(_at_most(), sizes)).select("u", "v")
+    shared = F.size(F.array_intersect("a.held", "b.held"))
+    found = joined(checkpointed(likely), "size", "held").filter(_enough(shared, sizes))
+    return found.select("u", "v")
 
 
 def _ends(links: DataFrame) -> DataFrame:
@@ -334,7 +333,7 @@ def _ends(links: DataFrame) -> DataFrame:
 def _between_groups(links: DataFrame, held: DataFrame) -> DataFrame:
     """The links whose ends the links `held` do not connect. A text has at most a link for each
     entry, so those of one are looked up together."""
-    groups = checkpointed(components(held))
+    groups = checkpointed(components(held, LINKS))
     of = {end: groups.withColumnsRenamed({"node": end, "root": f"of_{end}"}) for end in "uv"}
     each = (
         links.groupBy("u")
@@ -349,24 +348,77 @@ def _between_groups(links: DataFrame, held: DataFrame) -> DataFrame:
     )
 
 
+def _rarest(sets: DataFrame) -> DataFrame:
+    """(node, shingle, size, rest) for those of each set's rarest shingles that another set has:
+    of `size` shingles `rest` follow in the order by count and shingle.
+
+    Sets of similarity SIMILARITY share so many shingles that one is among those rows of both.
+    """
+    each = sets.select("node", "size", F.explode("held").alias("shingle"))
+    counted = with_total(each, "shingle", "node", F.count(F.lit(1)), F.sum, "sets")
+    shared = counted.filter(F.col("sets") > 1)
+    ordered = shared.groupBy("node", "size").agg(
+        F.array_sort(F.collect_list(F.struct("sets", "shingle"))).alias("shared")
+    )
+    # The least number that a similar set has of them; shingles of one set alone come first.
+    least = F.ceil(F.col("size") * _MOST / 1000).cast("int")
+    first = F.size("shared") - least + 1
+    return (
+        ordered.filter(first > 0)
+        .select("node", "size", F.size("shared").alias("n"), first.alias("k"), "shared")
+        .select("node", "size", "n", F.posexplode(F.slice("shared", F.lit(1), F.col("k"))))
+        .select("node", "col.shingle", "size", (F.col("n") - F.col("pos") - 1).alias("rest"))
+    )
+
+
+def near_between_groups(sets: DataFrame, held: DataFrame) -> DataFrame:
+    """Pairs (u, v) of `sets` that the links `held` do not connect, all similar ones among them.
+
+    Of such a pair one text at least is not in the largest group that a shingle has: only those are
+    compared with the others, so a large group of copies is not compared in itself.
+    """
+    groups = checkpointed(components(held, LINKS)).withColumnRenamed("root", "of")
+    named = _rarest(sets).join(groups, "node", "left").withColumn("of", F.coalesce("of", "node"))
+    named = checkpointed(named.join(sets.select("node", "more", "bits"), "node"))
+    sizes = named.groupBy("shingle", "of").agg(F.count(F.lit(1)).alias("members"))
+    largest = sizes.groupBy("shingle").agg(
+        F.max_by("of", F.struct("members", "of")).alias("largest"),
+        F.count(F.lit(1)).alias("groups"),
+    )
+    largest = checkpointed(largest.filter(F.col("groups") > 1).select("shingle", "largest"))
+    mixed = checkpointed(named.join(largest, "shingle"))
+    some = mixed.filter(F.col("of") != F.col("largest")).alias("a")
+    every = mixed.alias("b")
+    # At the first shingle that both have, it and the rest are all that they can share.
+    most = F.least("a.rest", "b.rest") + 1
+    sizes = F.col("a.size") + F.col("b.size")
+    both = some.join(
+        every,
+        (F.col("a.shingle") == F.col("b.shingle"))
+        & (F.col("a.of") != F.col("b.of"))
+        # A pair of which neither text is in the largest group comes once.
+        & ((F.col("b.of") == F.col("b.largest")) | (F.col("a.node") < F.col("b.node")))
+        & _enough(most, sizes)
+        & _enough(_at_most(), sizes),
+    )
+    u, v = F.col("a.node"), F.col("b.node")
+    return both.select(F.least(u, v).alias("u"), F.greatest(u, v).alias("v")).distinct()
+
+
 def verified(links: DataFrame, members: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links of similarity SIMILARITY or more that connect whatever pairs near under an entry
-    connect which are so similar.
+    """Links of similarity SIMILARITY or more that connect whatever pairs of members connect which
+    are so similar.
 
     `texts` has (node, text), `links` is what `candidates` gave, `members` what `near_members` did.
     """
-    sets = written(texts.mapInArrow(_sets, "node long, held array<long>"), "shingles")
+    wanted = texts.join(members, "node", "left_semi")
+    sets = written(wanted.mapInArrow(_sets, _SETS), "shingles")
     middles = links.filter(F.col("company") > 0)
     best = middles.groupBy("u").agg(F.max_by("v", F.struct("company", "v")).alias("v"))
     first = checkpointed(_similar(best, sets))
-    further = checkpointed(_similar(_between_groups(middles.select("u", "v"), first), sets))
-    held = first.unionByName(further)
-    alone = checkpointed(_ends(links).join(_ends(held), "node", "left_anti"))
-    others = links.filter(F.col("company") == 0)
-    ways = [others.join(alone.withColumnRenamed("node", end), end, "left_semi") for end in "uv"]
-    rest = ways[0].unionByName(ways[1]).select("u", "v").distinct()
-    held = checkpointed(held.unionByName(_similar(rest, sets)))
-    return held.unionByName(_similar(near_between_groups(members, held), sets))
+    further = _similar(_between_groups(middles.select("u", "v"), first), sets)
+    held = checkpointed(first.unionByName(further))
+    return held.unionByName(_similar(near_between_groups(sets, held), sets))
 
 
 # -- documents
@@ -395,7 +447,8 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     nodes = checkpointed(rows.groupBy("node", "print").agg(F.min("key").alias("first")))
     met = met_under_entries(nodes.select("node", "print"))
     links = checkpointed(candidates(met))
-    wanted = nodes.join(_ends(links), "node").select("node", "first.*")
+    members = checkpointed(near_members(met))
+    wanted = nodes.join(members, "node").select("node", "first.*")
     texts = (
         with_id.select(F.col(id_col).alias("id"), F.col(own).alias("hash"), F.col(text_col))
         .join(wanted, ["id", "hash"])
@@ -403,7 +456,7 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         .groupBy("node")
         .agg(F.first(text_col).alias("text"))
     )
-    groups = components(verified(links, near_members(met), texts))
+    groups = components(verified(links, members, texts), LINKS)
     named = nodes.join(groups, "node", "left").select("first", "root")
     best = named.filter(F.col("root").isNotNull()).groupBy("root").agg(F.min("first").alias("first"))
     kept = (

@@ -222,3 +222,63 @@ def test_near_pairs_that_neither_middle_nor_nearest_links(spark):
     held = near_copies.verified(links, near_copies.near_members(met), nodes)
     roots = {r.node: r.root for r in near_copies.components(held).collect()}
     assert set(roots) == {1, 2, 3, 4} and len(set(roots.values())) == 1
+
+
+def test_crowd_of_near_texts_that_are_not_similar(spark, monkeypatch):
+    """Copies with too many edits, all near each other by their sketches: what is verified at last
+    grows with the texts, not with their pairs."""
+    rng = random.Random(12)
+    first = words(rng, 200)
+    rows = [(k, " ".join(edited(rng, first, 0.035))) for k in range(300)]
+    rows += [(1000, " ".join(first)), (1001, " ".join([*first[:-1], "last"]))]
+    looked = []
+    plain = near_copies._similar
+
+    def counted(links, sets):
+        met = sets.select("node").withColumnRenamed("node", "u")
+        looked.append(links.join(met, "u").count())
+        return plain(links, sets)
+
+    monkeypatch.setattr(near_copies, "_similar", counted)
+    assert ids(spark, rows) == brute(rows)
+    assert len(brute(rows)) > 250
+    assert looked[-1] < len(rows)
+
+
+def test_similar_texts_that_share_no_entry(spark):
+    """Each has a near text under an entry of its own."""
+    rng = random.Random(13)
+    a = words(rng, 200)
+    texts = [a, [*a[:-1], "last"], words(rng, 200), words(rng, 200)]
+    rows = [(k, " ".join(t)) for k, t in enumerate(texts)]
+    assert brute(rows) == {0, 2, 3}
+    found = [(0, 2, 1, None), (0, 2, 0, None), (1, 3, 1, None), (1, 3, 0, None)]
+    met = spark.createDataFrame(found, near_copies._FOUND)
+    nodes = spark.createDataFrame(rows, "node long, text string")
+    links, members = near_copies.candidates(met), near_copies.near_members(met)
+    held = near_copies.verified(links, members, nodes)
+    assert {tuple(sorted(r)) for r in held.collect()} == {(0, 1)}
+
+
+def test_join_of_sets_is_exact(spark):
+    """All similar pairs between groups, of sets from a few common words to many rare ones."""
+    rng = random.Random(14)
+    texts = []
+    for _ in range(60):
+        text = words(rng, rng.choice([3, 8, 30, 120, 1500]), rng.choice([2, 50, 2000]))
+        texts += [text, edited(rng, text, 0.01), edited(rng, text, 0.03), text[: len(text) * 7 // 8]]
+    distinct = sorted({" ".join(t) for t in texts if t})
+    rows = list(enumerate(distinct))
+    nodes = spark.createDataFrame(rows, "node long, text string")
+    sets = nodes.mapInArrow(near_copies._sets, near_copies._SETS)
+    want = {tuple(sorted(p)) for p in near_pairs({i: shingles(t) for i, t in rows})}
+    joined = sorted(want)[::3]
+    held = spark.createDataFrame(joined, "u long, v long")
+    root = {r.node: r.root for r in near_copies.components(held).collect()}
+    apart = {(u, v) for u, v in want if root.get(u, u) != root.get(v, v)}
+    got = near_copies.near_between_groups(sets, held)
+    found = {tuple(r) for r in near_copies._similar(got, sets).collect()}
+    assert len(apart) > 20
+    # Sets that are equal though their words are not are one in `near_pairs`.
+    assert apart <= found
+    assert all(similar(shingles(distinct[u]), shingles(distinct[v])) for u, v in found)
